@@ -16,15 +16,24 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes
     Use it where the optimizer cannot see that a table is small, for instance after ``distinct``.
     The measurement stops after ``max_rows`` rows.
     """
-    texts = [f.name for f in dim.schema.fields if isinstance(f.dataType, T.StringType)]
-    size = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(0))
-    # +1 row so that a table exactly at the bound still counts as small.
-    measured = dim.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
-    ).first()
-    if measured["n"] <= max_rows and measured["bytes"] <= max_bytes:
-        return F.broadcast(dim)
-    return dim
+    return broadcast_each_if_small([dim], max_rows, max_bytes)[0]
+
+
+def broadcast_each_if_small(dims: list[DataFrame], max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_TEXT_BYTES) -> list[DataFrame]:
+    """:func:`broadcast_if_small` for several tables, measured in one job."""
+    sizes = None
+    for place, dim in enumerate(dims):
+        texts = [f.name for f in dim.schema.fields if isinstance(f.dataType, T.StringType)]
+        width = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(0))
+        # one row more than allowed, so that a table exactly at the bound still counts as small
+        measured = dim.limit(max_rows + 1).agg(
+            F.lit(place).alias("place"),
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
+        )
+        sizes = measured if sizes is None else sizes.unionByName(measured)
+    small = {r["place"] for r in sizes.collect() if r["rows"] <= max_rows and r["bytes"] <= max_bytes}
+    return [F.broadcast(d) if place in small else d for place, d in enumerate(dims)]
 
 
 def enrich(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, str], how: str = "left") -> DataFrame:

@@ -26,6 +26,7 @@ from millrace.operators import (
     trade,
     traffic,
 )
+from millrace.operators.joins import broadcast_each_if_small
 from millrace.plans.views import PROFILE_DAY, Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -428,9 +429,10 @@ def sku_dim_chain(i: Inputs) -> DataFrame:
     summed = trade.sku_order_window(
         i.order_detail(), Inputs.DETAIL_ORDER, times.seconds_slice(F.col("ts"), MONTH_SLICE), "1 day"
     )
-    chained = trade.sku_dim_chain(
-        summed, i.sku(), i.spu(), i.trademark(), i.category3(), i.category2(), i.category1_partial()
+    small = broadcast_each_if_small(
+        [i.spu(), i.trademark(), i.category3(), i.category2(), i.category1_partial()]
     )
+    chained = trade.sku_dim_chain(summed, i.sku(), *small)
     return _no_nulls(
         chained.select(
             "stt", "sku_id", "sku_name", "spu_id", "spu_name", "trademark_id", "trademark_name",
@@ -448,7 +450,7 @@ def category_hierarchy(i: Inputs) -> DataFrame:
 
 @query
 def sku_snapshot(i: Inputs) -> DataFrame:
-    return trade.sku_snapshot(i.sku(), i.spu(), i.trademark())
+    return trade.sku_snapshot(i.sku(), *broadcast_each_if_small([i.spu(), i.trademark()]))
 
 
 # --- shop customers ------------------------------------------------------------------------------
@@ -596,7 +598,8 @@ def _device_rows(i: Inputs) -> DataFrame:
 
 
 def _searched(i: Inputs) -> DataFrame:
-    return labels.score_search(labels.score_device(_device_rows(i)), i.search_categories(), i.search_compare())
+    small = broadcast_each_if_small([i.search_categories(), i.search_compare()])
+    return labels.score_search(labels.score_device(_device_rows(i)), *small)
 
 
 BRAND_GROUPS = {
@@ -609,9 +612,7 @@ CATEGORY_GROUPS = {"1": ["c1-0"], "2": ["c1-1"]}
 
 
 def _order_rows(i: Inputs) -> DataFrame:
-    hierarchy = trade.category_hierarchy(i.category3(), i.category2(), i.category1())
-    snapshot = trade.sku_snapshot(i.sku(), i.spu(), i.trademark())
-    return labels.order_dimensions(_newest_details(i), snapshot, hierarchy)
+    return _with_dimensions(i, _newest_details(i))
 
 
 def _order_scores(i: Inputs) -> DataFrame:
@@ -675,21 +676,22 @@ def score_amount(i: Inputs) -> DataFrame:
     return labels.score_amount(i.label_orders()).select("id", "spending_pow", *labels.score_columns("amount"))
 
 
-def _with_dimensions(i: Inputs) -> DataFrame:
+def _with_dimensions(i: Inputs, details: DataFrame) -> DataFrame:
+    """Details with brand and top category; both lookup tables are measured after they are joined."""
     hierarchy = trade.category_hierarchy(i.category3(), i.category2(), i.category1())
     snapshot = trade.sku_snapshot(i.sku(), i.spu(), i.trademark())
-    return labels.order_dimensions(i.order_detail(), snapshot, hierarchy)
+    return labels.order_dimensions(details, *broadcast_each_if_small([snapshot, hierarchy]))
 
 
 @query
 def score_brand(i: Inputs) -> DataFrame:
-    scored = labels.score_brand(_with_dimensions(i), groups=BRAND_GROUPS)
+    scored = labels.score_brand(_with_dimensions(i, i.order_detail()), groups=BRAND_GROUPS)
     return scored.select("id", "sku_id", "sku_num", "ts", "tname", *labels.score_columns("brand"))
 
 
 @query
 def score_category(i: Inputs) -> DataFrame:
-    scored = labels.score_category(_with_dimensions(i), groups=CATEGORY_GROUPS)
+    scored = labels.score_category(_with_dimensions(i, i.order_detail()), groups=CATEGORY_GROUPS)
     return scored.select("id", "sku_id", "sku_num", "ts", "b1_name", *labels.score_columns("category"))
 
 

@@ -329,28 +329,24 @@ class Inputs:
 
     def spu(self) -> DataFrame:
         ids = self._parts().select("spu").distinct()
-        return broadcast_if_small(
-            ids.select(
-                text(F.col("spu")).alias("id"),
-                F.concat(F.lit("spu-"), text(F.col("spu"))).alias("spu_name"),
-                text(F.col("spu") % 10).alias("category3_id"),
-                F.concat(F.lit("Brand#"), text(F.col("spu") % 25 + 1)).alias("tm_id"),
-            )
+        return ids.select(
+            text(F.col("spu")).alias("id"),
+            F.concat(F.lit("spu-"), text(F.col("spu"))).alias("spu_name"),
+            text(F.col("spu") % 10).alias("category3_id"),
+            F.concat(F.lit("Brand#"), text(F.col("spu") % 25 + 1)).alias("tm_id"),
         )
 
     def trademark(self) -> DataFrame:
-        return broadcast_if_small(
-            self._parts().select(F.col("p_brand").alias("id"), F.lower("p_brand").alias("tm_name")).distinct()
-        )
+        return self._parts().select(F.col("p_brand").alias("id"), F.lower("p_brand").alias("tm_name")).distinct()
 
     def category3(self) -> DataFrame:
-        return broadcast_if_small(self._named("c3", ("c2", "category2_id")))
+        return self._named("c3", ("c2", "category2_id"))
 
     def category2(self) -> DataFrame:
-        return broadcast_if_small(self._named("c2", ("c1", "category1_id")))
+        return self._named("c2", ("c1", "category1_id"))
 
     def category1(self) -> DataFrame:
-        return broadcast_if_small(self._named("c1"))
+        return self._named("c1")
 
     def category1_partial(self) -> DataFrame:
         """Top categories with one missing, so that a lookup meets an unknown key."""
@@ -369,19 +365,17 @@ class Inputs:
     def search_categories(self) -> DataFrame:
         """Searched phrase to top category: the lowest size band sold under that name."""
         band = self._parts().groupBy("p_name").agg(F.min("c3").alias("band"))
-        return broadcast_if_small(
-            band.select(F.col("p_name").alias("b3name"), F.concat(F.lit("b1-"), text(F.col("band"))).alias("b1name"))
+        return band.select(
+            F.col("p_name").alias("b3name"), F.concat(F.lit("b1-"), text(F.col("band"))).alias("b1name")
         )
 
     def search_compare(self) -> DataFrame:
         """Top category to search category, in the order of the score table; the seventh has none."""
         names = F.array(*[F.lit(n) for n in SEARCH])
         bands = self._parts().select(F.col("c3").alias("band")).distinct()
-        return broadcast_if_small(
-            bands.select(
-                F.concat(F.lit("b1-"), text(F.col("band"))).alias("category_name"),
-                F.get(names, (F.col("band") % 7).cast("int")).alias("search_category"),
-            )
+        return bands.select(
+            F.concat(F.lit("b1-"), text(F.col("band"))).alias("category_name"),
+            F.get(names, (F.col("band") % 7).cast("int")).alias("search_category"),
         )
 
     # --- changelog -----------------------------------------------------------------------------
@@ -476,21 +470,23 @@ class Inputs:
         return F.create_map(F.lit("db"), F.lit("shop"), F.lit("table"), F.lit(table)).alias("source")
 
     def fact_config(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [
-                ("order_info", "dwd_order_info", "id,user_id,total_amount"),
-                ("order_detail", "dwd_order_detail", "id,sku_id,sku_num"),
-            ],
-            "source_table string, sink_table string, sink_columns string",
+        return self.spark.sql(
+            """
+            SELECT * FROM VALUES
+              ('order_info', 'dwd_order_info', 'id,user_id,total_amount'),
+              ('order_detail', 'dwd_order_detail', 'id,sku_id,sku_num')
+            AS config(source_table, sink_table, sink_columns)
+            """
         )
 
     def dim_config(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [
-                ("sku_info", "dim_sku_info", "id,price", "id"),
-                ("user_info", "dim_user_info", "id,name", "id"),
-            ],
-            "source_table string, sink_table string, sink_columns string, sink_row_key string",
+        return self.spark.sql(
+            """
+            SELECT * FROM VALUES
+              ('sku_info', 'dim_sku_info', 'id,price', 'id'),
+              ('user_info', 'dim_user_info', 'id,name', 'id')
+            AS config(source_table, sink_table, sink_columns, sink_row_key)
+            """
         )
 
     def config_changes(self) -> DataFrame:
