@@ -18,9 +18,8 @@ def hash_bucket(value: Column, buckets: int) -> Column:
     return F.lpad((digits % buckets).cast("string"), 4, "0")
 
 
-def keep_keys(entries: Column, comma_list: Column) -> Column:
-    """Map entries whose key appears in a comma-separated list."""
-    wanted = F.split(comma_list, ",")
+def keep_keys(entries: Column, wanted: Column) -> Column:
+    """Map entries whose key appears in an array."""
     return F.map_filter(entries, lambda k, _: F.array_contains(wanted, k))
 
 

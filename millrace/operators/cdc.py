@@ -54,7 +54,7 @@ def route_fact(changes: DataFrame, config: DataFrame) -> DataFrame:
     Deletes carry no new row and are skipped. The configuration has one row per source table.
     """
     wanted = config.select(
-        F.col("source_table").alias("__source"), "sink_table", F.col("sink_columns").alias("__columns")
+        F.col("source_table").alias("__source"), "sink_table", F.split("sink_columns", ",").alias("__columns")
     )
     routed = changes.where((F.col("op") != "d") & F.col("after").isNotNull()).join(
         wanted, F.col("source")["table"] == F.col("__source")
@@ -71,7 +71,7 @@ def dim_latest(changes: DataFrame, config: DataFrame) -> DataFrame:
     wanted = config.select(
         F.col("source_table").alias("__source"),
         "sink_table",
-        F.col("sink_columns").alias("__columns"),
+        F.split("sink_columns", ",").alias("__columns"),
         F.col("sink_row_key").alias("__key"),
     )
     kept = changes.where((F.col("op") != "d") & F.col("after").isNotNull()).join(

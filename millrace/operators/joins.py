@@ -14,7 +14,7 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes
     """Mark ``dim`` for broadcast after measuring it; a larger one is left to a shuffle join.
 
     Use it where the optimizer cannot see that a table is small, for instance after ``distinct``.
-    The measurement stops after ``max_rows`` rows.
+    The measurement is one row of counts; no rows of the table come to the driver.
     """
     return broadcast_each_if_small([dim], max_rows, max_bytes)[0]
 
@@ -25,8 +25,7 @@ def broadcast_each_if_small(dims: list[DataFrame], max_rows: int = BROADCAST_ROW
     for place, dim in enumerate(dims):
         texts = [f.name for f in dim.schema.fields if isinstance(f.dataType, T.StringType)]
         width = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(0))
-        # one row more than allowed, so that a table exactly at the bound still counts as small
-        measured = dim.limit(max_rows + 1).agg(
+        measured = dim.agg(
             F.lit(place).alias("place"),
             F.count(F.lit(1)).alias("rows"),
             F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),

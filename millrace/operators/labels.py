@@ -77,33 +77,28 @@ CATEGORY_GROUPS = {
 SCORE_TYPE = "decimal(6,3)"
 
 
-def _scores(prefix: str, label: Column, table: Mapping[str, str], weight: Decimal, other: str | None = None) -> list[Column]:
-    """Six columns: the label's numbers times the weight, half up to three digits.
+def _scored(df: DataFrame, prefix: str, label: Column, table: Mapping[str, str], weight: Decimal, other: str | None = None) -> DataFrame:
+    """Add six columns: the label's numbers times the weight, half up to three digits.
 
-    The products are constants, so scoring is a plain projection. Labels that are null, or unknown
-    where there is no ``other`` row, have no score.
+    The products are constants, so scoring is one lookup per row in a projection. Labels that are
+    null, or unknown where there is no ``other`` row, have no score.
     """
-    def product(numbers: str, i: int) -> Column:
-        value = (Decimal(numbers.split()[i]) * weight).quantize(Decimal("0.001"), ROUND_HALF_UP)
-        return F.lit(value).cast(SCORE_TYPE)
+    def products(numbers: str) -> Column:
+        values = [(Decimal(n) * weight).quantize(Decimal("0.001"), ROUND_HALF_UP) for n in numbers.split()]
+        return F.array(*[F.lit(v).cast(SCORE_TYPE) for v in values])
 
-    columns = []
-    for i, bucket in enumerate(BUCKETS):
-        score = F.when(label.isNull(), None)
-        for name, numbers in table.items():
-            score = score.when(label == name, product(numbers, i))
-        if other is not None:
-            score = score.otherwise(product(other, i))
-        columns.append(score.cast(SCORE_TYPE).alias(f"{prefix}_{bucket}"))
-    return columns
+    by_label = F.create_map(*[c for name, numbers in table.items() for c in (F.lit(name), products(numbers))])
+    numbers = F.try_element_at(by_label, label)
+    if other is not None:
+        numbers = F.when(label.isNotNull(), F.coalesce(numbers, products(other)))
+    scores = [F.col("__numbers")[i].alias(f"{prefix}_{b}") for i, b in enumerate(BUCKETS)]
+    return df.withColumn("__numbers", numbers).select(*df.columns, *scores)
 
 
 def _group(value: Column, groups: Mapping[str, list[str]]) -> Column:
     """Group a value belongs to, "" for none, null for null and empty values."""
-    group = F.when(value.isNull() | (value == ""), None)
-    for name, members in groups.items():
-        group = group.when(value.isin(*members), name)
-    return group.otherwise("")
+    by_member = F.create_map(*[F.lit(c) for name, members in groups.items() for m in members for c in (m, name)])
+    return F.when(value.isNotNull() & (value != ""), F.coalesce(F.try_element_at(by_member, value), F.lit("")))
 
 
 def score_columns(prefix: str) -> list[str]:
@@ -161,7 +156,7 @@ def user_device_latest_window(base: DataFrame, width: str = "2 minutes") -> Data
 def score_device(df: DataFrame, os: str = "os") -> DataFrame:
     """Device score from the first of the user's operating systems."""
     judged = df.withColumn("judge_os", F.split(F.col(os), ",")[0])
-    return judged.select("*", *_scores("device", F.col("judge_os"), DEVICE, WEIGHTS["device"]))
+    return _scored(judged, "device", F.col("judge_os"), DEVICE, WEIGHTS["device"])
 
 
 def score_search(df: DataFrame, categories: DataFrame, compare: DataFrame) -> DataFrame:
@@ -175,7 +170,7 @@ def score_search(df: DataFrame, categories: DataFrame, compare: DataFrame) -> Da
         known, compare, {"b1_category": "category_name"}, {"search_category": "search_category"}
     )
     label = F.coalesce(F.col("search_category"), F.lit("unknown"))
-    return known.select("*", *_scores("search", label, SEARCH, WEIGHTS["search"], SEARCH_OTHER))
+    return _scored(known, "search", label, SEARCH, WEIGHTS["search"], SEARCH_OTHER)
 
 
 # --- order ---------------------------------------------------------------------------------------
@@ -186,7 +181,7 @@ def pay_time_slot(df: DataFrame, ts: str = "create_ts") -> DataFrame:
 
 
 def score_time(df: DataFrame, slot: str = "pay_time_slot") -> DataFrame:
-    return df.select("*", *_scores("time", F.col(slot), TIME, WEIGHTS["time"]))
+    return _scored(df, "time", F.col(slot), TIME, WEIGHTS["time"])
 
 
 def spending_power(amount: Column) -> Column:
@@ -201,17 +196,15 @@ def spending_power(amount: Column) -> Column:
 def score_amount(df: DataFrame, amount: str = "total_amount") -> DataFrame:
     """Amount score; exactly 1000 belongs to the middle band."""
     banded = df.withColumn("spending_pow", spending_power(F.col(amount)))
-    return banded.select("*", *_scores("amount", F.col("spending_pow"), AMOUNT, WEIGHTS["amount"]))
+    return _scored(banded, "amount", F.col("spending_pow"), AMOUNT, WEIGHTS["amount"])
 
 
 def score_brand(df: DataFrame, brand: str = "tname", groups: Mapping[str, list[str]] = BRAND_GROUPS) -> DataFrame:
-    return df.select("*", *_scores("brand", _group(F.col(brand), groups), BRAND, WEIGHTS["brand"], BRAND_OTHER))
+    return _scored(df, "brand", _group(F.col(brand), groups), BRAND, WEIGHTS["brand"], BRAND_OTHER)
 
 
 def score_category(df: DataFrame, category: str = "b1_name", groups: Mapping[str, list[str]] = CATEGORY_GROUPS) -> DataFrame:
-    return df.select(
-        "*", *_scores("category", _group(F.col(category), groups), CATEGORY, WEIGHTS["category"], CATEGORY_OTHER)
-    )
+    return _scored(df, "category", _group(F.col(category), groups), CATEGORY, WEIGHTS["category"], CATEGORY_OTHER)
 
 
 def order_dimensions(details: DataFrame, snapshot: DataFrame, hierarchy: DataFrame) -> DataFrame:

@@ -18,7 +18,8 @@ def parse_json(raw: DataFrame, schema: T.StructType, column: str = "value") -> D
     parsed = F.from_json(
         F.col(column), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    with_record = raw.withColumn("__parsed", parsed)
+    # The generator keeps later filters above the parse, so each text is parsed once.
+    with_record = raw.select("*", F.explode(F.array(parsed)).alias("__parsed"))
     dirty = F.col(f"__parsed.{CORRUPT}").isNotNull() | F.col("__parsed").isNull()
     record = F.struct(*[F.col(f"__parsed.{f.name}").alias(f.name) for f in schema.fields])
     return with_record.select(
