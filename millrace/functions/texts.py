@@ -30,3 +30,13 @@ def last_part(text: Column, separator: str = ",") -> Column:
 
 def is_blank(text: Column) -> Column:
     return text.isNull() | (F.trim(text) == "")
+
+
+def first_upper(text: Column) -> Column:
+    """The text with its first letter in upper case."""
+    return F.concat(F.upper(F.substring(text, 1, 1)), text.substr(F.lit(2), F.length(text)))
+
+
+def first_lower(text: Column) -> Column:
+    """The text with its first letter in lower case."""
+    return F.concat(F.lower(F.substring(text, 1, 1)), text.substr(F.lit(2), F.length(text)))

@@ -12,6 +12,13 @@ def of_table(changes: DataFrame, table: str) -> DataFrame:
     return changes.where(F.col("source")["table"] == table)
 
 
+def status_became(changes: DataFrame, table: str, field: str, after: str, before: str | None = None) -> DataFrame:
+    """Updates of a table whose status field became ``after``, from ``before`` or any known value."""
+    old, new = F.col("before")[field], F.col("after")[field]
+    was = old.isNotNull() if before is None else old == before
+    return of_table(changes, table).where((F.col("op") == "u") & was & (new == after))
+
+
 def image(op: str = "op", before: str = "before", after: str = "after") -> Column:
     """The row a change is about: the new one, or the old one for a delete."""
     return F.when(F.col(op) == "d", F.col(before)).otherwise(F.coalesce(F.col(after), F.col(before)))

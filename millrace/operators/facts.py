@@ -62,12 +62,8 @@ def order_detail_wide(details: DataFrame, orders: DataFrame, activities: DataFra
 
 def order_cancellations(changes: DataFrame) -> DataFrame:
     """Orders that went from unpaid to cancelled."""
-    orders = cdc.of_table(changes, "order_info")
-    return orders.where(
-        (F.col("op") == "u")
-        & (F.col("before")["order_status"] == UNPAID)
-        & (F.col("after")["order_status"] == CANCELLED)
-    ).select(
+    cancelled = cdc.status_became(changes, "order_info", "order_status", CANCELLED, UNPAID)
+    return cancelled.select(
         F.col("after")["id"].alias("id"),
         times.millis_to_timestamp(F.col("after")["operate_time"].try_cast("bigint")).alias("operate_ts"),
     )

@@ -39,6 +39,29 @@ def search_log_clean(raw: DataFrame, column: str = "value") -> DataFrame:
     return valid.withColumn("ts", times.millis_to_timestamp(F.col("timestamp")))
 
 
+GOODS_FIELDS = ["shop_id", "shop_name", "g_id", "g_name", "ts", "labels"]
+
+
+def parse_goods_log(raw: DataFrame, column: str = "value") -> DataFrame:
+    """Comma-separated goods lines to text columns; labels are the sixth field."""
+    parts = F.split(F.col(column), ",")
+    return raw.select(*[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(GOODS_FIELDS)])
+
+
+def search_records(goods: DataFrame) -> DataFrame:
+    """Goods records under the names of the search log, valid ones only."""
+    renamed = goods.select(
+        F.col("shop_id").try_cast("int").alias("query_id"),
+        F.col("g_name").alias("query"),
+        F.col("g_id").try_cast("int").alias("doc_id"),
+        F.col("shop_name").alias("title"),
+        F.col("ts").try_cast("bigint").alias("timestamp"),
+        F.col("labels").alias("type"),
+    )
+    valid = valid_search_log(renamed)
+    return valid.withColumn("ts", times.millis_to_timestamp(F.col("timestamp")))
+
+
 def query_count_window(searches: DataFrame, width: str = "3 seconds") -> DataFrame:
     """Searches per query and window."""
     counted = searches.groupBy(F.window("ts", width), "query").agg(F.count(F.lit(1)).alias("query_count"))

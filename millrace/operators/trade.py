@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import times
-from millrace.operators.dedup import retract_dedup
 from millrace.operators.joins import enrich
+from millrace.operators.running import latest_per_key
 
 SKU_AMOUNTS = {
     "split_original_amount": "original_amount",
@@ -20,33 +20,41 @@ def _money(total: Column) -> Column:
     return total.cast("decimal(16,2)")
 
 
-def sku_order_window(details: DataFrame, order: list[str], slice_by: Column, width: str = "5 seconds") -> DataFrame:
+def _counted(details: DataFrame, order: list[str], by: list[str], amounts: list[str]) -> DataFrame:
+    """Every detail's cell with amount 0, and the last version of each detail with its amounts.
+
+    Summed per cell this equals the sum over :func:`~millrace.operators.dedup.retract_dedup`: a
+    replaced detail and its negation lie in the same cell and cancel, and cells where everything was
+    taken back remain with 0. It needs no window over the versions of a detail: the last version is
+    an aggregate, and the cells are distinct values, so both combine before their shuffle.
+    """
+    cell = [F.window("ts", by[0]).alias("window"), *by[1:]]
+    last = latest_per_key(details.select("id", *dict.fromkeys([*order, *by[1:], *amounts])), ["id"], order)
+    nothing = [F.lit(0).cast("decimal(16,2)").alias(c) for c in amounts]
+    cells = details.select(*cell).distinct().select("window", *by[1:], *nothing)
+    return cells.unionByName(last.select(*cell, *amounts))
+
+
+def sku_order_window(details: DataFrame, order: list[str], width: str = "5 seconds") -> DataFrame:
     """Amounts per window and sku after retraction of replaced details.
 
-    ``details`` is the wide detail fact. The retraction needs the shuffle on the detail id; the sums
-    combine before the second one.
+    ``order`` is a total order of a detail's versions; ``details`` is the detail fact.
     """
-    signed = retract_dedup(details, "id", order, list(SKU_AMOUNTS), slice_by)
-    summed = signed.groupBy(F.window("ts", width), "sku_id").agg(
+    counted = _counted(details, order, [width, "sku_id"], list(SKU_AMOUNTS))
+    summed = counted.groupBy("window", "sku_id").agg(
         *[_money(F.sum(c)).alias(name) for c, name in SKU_AMOUNTS.items()]
     )
     return summed.select(*times.window_bounds(F.col("window")), "sku_id", *SKU_AMOUNTS.values())
 
 
-def province_order_window(
-    details: DataFrame,
-    provinces: DataFrame,
-    order: list[str],
-    slice_by: Column,
-    width: str = "10 seconds",
-) -> DataFrame:
-    """Order count and amount per window and province, with the province's name.
+def province_order_window(details: DataFrame, provinces: DataFrame, order: list[str], width: str = "10 seconds") -> DataFrame:
+    """Order count and amount per window and province after retraction, with the province's name.
 
     Orders are counted by first reducing to one row per (window, province, order), so a province with
     a third of all orders is spread over the order id and no set of ids is ever built.
     """
-    signed = retract_dedup(details, "id", order, ["split_total_amount"], slice_by)
-    per_order = signed.groupBy(F.window("ts", width), "province_id", "order_id").agg(
+    counted = _counted(details, order, [width, "province_id", "order_id"], ["split_total_amount"])
+    per_order = counted.groupBy("window", "province_id", "order_id").agg(
         F.sum("split_total_amount").alias("amount")
     )
     summed = per_order.groupBy("window", "province_id").agg(

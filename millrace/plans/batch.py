@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.functions import keys, times
+from millrace.functions.sql import register_functions
 from millrace.operators import (
     cdc,
     customers,
@@ -21,6 +22,7 @@ from millrace.operators import (
     labels,
     logs,
     moderation,
+    records,
     search,
     tables,
     trade,
@@ -304,6 +306,23 @@ def day_bucket(i: Inputs) -> DataFrame:
     return cdc.day_bucket(stamped, "at").groupBy("day").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query
+def order_paid_transition(i: Inputs) -> DataFrame:
+    """Orders whose status became paid from any known status."""
+    paid = cdc.status_became(i.changes(), "order_info", "order_status", facts.PAID)
+    return records.order_records(paid).select("id", "user_id", "total_amount", "ts")
+
+
+@query
+def order_detail_records(i: Inputs) -> DataFrame:
+    return records.order_detail_records(i.changes()).select("id", "order_id", "sku_id", "sku_num", "ts")
+
+
+@query
+def user_records(i: Inputs) -> DataFrame:
+    return records.user_records(i.changes()).select("uid", "uname", "gender", "ts")
+
+
 # --- facts ---------------------------------------------------------------------------------------
 
 
@@ -410,25 +429,27 @@ def retract_dedup(i: Inputs) -> DataFrame:
     return signed.select("id", "sku_id", "sku_num", *facts.AMOUNTS, "sign", "ts")
 
 
+@query
+def detail_latest_held(i: Inputs) -> DataFrame:
+    """The last version of each detail."""
+    held = dedup.latest_held(i.order_detail(), "id", Inputs.DETAIL_ORDER)
+    return held.select("id", "sku_id", "sku_num", "split_total_amount", "ts")
+
+
 @query
 def sku_order_window(i: Inputs) -> DataFrame:
-    summed = trade.sku_order_window(i.order_detail(), Inputs.DETAIL_ORDER, times.seconds_slice(F.col("ts"), MONTH_SLICE))
-    return summed
+    return trade.sku_order_window(i.order_detail(), Inputs.DETAIL_ORDER)
 
 
 @query
 def province_order_window(i: Inputs) -> DataFrame:
-    return trade.province_order_window(
-        i.detail_of_orders(), i.provinces(), Inputs.DETAIL_ORDER, times.seconds_slice(F.col("ts"), MONTH_SLICE)
-    )
+    return trade.province_order_window(i.detail_of_orders(), i.provinces(), Inputs.DETAIL_ORDER)
 
 
 @query
 def sku_dim_chain(i: Inputs) -> DataFrame:
     """Amounts per sku and day, then the six lookups; the top category table lacks one entry."""
-    summed = trade.sku_order_window(
-        i.order_detail(), Inputs.DETAIL_ORDER, times.seconds_slice(F.col("ts"), MONTH_SLICE), "1 day"
-    )
+    summed = trade.sku_order_window(i.order_detail(), Inputs.DETAIL_ORDER, "1 day")
     small = broadcast_each_if_small(
         [i.spu(), i.trademark(), i.category3(), i.category2(), i.category1_partial()]
     )
@@ -563,6 +584,26 @@ def hot_query_topn(i: Inputs) -> DataFrame:
     return search.hot_query_topn(search.query_count_window(search.search_log_clean(i.search_lines())))
 
 
+@query
+def search_records(i: Inputs) -> DataFrame:
+    """Goods log lines renamed into search records."""
+    return search.search_records(search.parse_goods_log(i.goods_lines())).drop("ts")
+
+
+@query
+def keyword_udtf(i: Inputs) -> DataFrame:
+    """The word splitter as a table function in SQL, over all user and assistant turns."""
+    register_functions(i.spark)
+    i.table("conversations").createOrReplaceTempView("millrace_conversations")
+    return i.spark.sql(
+        """
+        SELECT c.role, w.word, count(*) AS word_count
+        FROM millrace_conversations c, LATERAL keywordUDTF(c.text) w
+        GROUP BY c.role, w.word
+        """
+    )
+
+
 @query
 def keyword_tokens(i: Inputs) -> DataFrame:
     """Words of all documents, counted per language."""

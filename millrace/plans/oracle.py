@@ -555,6 +555,26 @@ SQL: dict[str, str] = {
     "retract_dedup": f"""
         SELECT id, sku_id, sku_num, {", ".join(f"CAST({a} * sign AS DOUBLE) AS {a}" for a in _AMOUNTS)}, sign, {_stamp("ts")}
         FROM v_signed""",
+    "detail_latest_held": f"""
+        SELECT id, sku_id, sku_num, CAST(split_total_amount AS DOUBLE) AS split_total_amount, {_stamp("ts")} FROM v_detail
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, sku_id DESC, sku_num DESC, split_original_amount DESC,
+            split_activity_amount DESC, split_coupon_amount DESC, split_total_amount DESC) = 1""",
+    "order_paid_transition": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id, CAST(amount AS DOUBLE) AS total_amount,
+               {_stamp("o_orderdate", "ts")}
+        FROM v_order_change WHERE op = 'u' AND new_status = '1002'""",
+    "order_detail_records": f"""
+        SELECT id, order_id, sku_id, sku_num, {_stamp("ts")} FROM v_detail""",
+    "user_records": """
+        SELECT CAST(c_custkey AS VARCHAR) AS uid, c_name AS uname, 'home' AS gender, '1970-01-01 00:00:00.000' AS ts FROM customer""",
+    "search_records": """
+        SELECT CAST(seq % 3 AS INTEGER) AS query_id, p_name AS query, CAST(k AS INTEGER) AS doc_id, 'shop ' || (seq % 3) AS title,
+               ts_ms AS "timestamp", event_type AS "type"
+        FROM v_events JOIN part ON k = p_partkey WHERE seq % 3 > 0 AND event_type <> 'error' AND k > 0""",
+    "keyword_udtf": """
+        SELECT role, word, count(*) AS word_count FROM (
+            SELECT role, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM conversations)
+        WHERE word <> '' GROUP BY role, word""",
     "sku_order_window": f"""
         SELECT {_window("5 seconds", "any_value(ts)")}, sku_id, CAST(sum(split_original_amount * sign) AS DOUBLE) AS original_amount,
                CAST(sum(split_activity_amount * sign) AS DOUBLE) AS activity_reduce_amount,

@@ -172,6 +172,27 @@ class Inputs:
             )
         )
 
+    def goods_lines(self) -> DataFrame:
+        """Lines shop id, shop name, goods id, goods name, time, labels; errors have no goods id."""
+        part = self.table("part").select(F.col("p_partkey").cast("int").alias("k"), "p_name")
+        goods = F.when(F.col("event_type") == "error", "").otherwise(text(F.col("k")))
+        shop = F.col("seq") % 3
+        return (
+            self.events()
+            .join(part, "k")
+            .select(
+                F.concat_ws(
+                    ",",
+                    text(shop),
+                    F.concat(F.lit("shop "), text(shop)),
+                    goods,
+                    "p_name",
+                    text(F.col("ts_ms")),
+                    "event_type",
+                ).alias("value")
+            )
+        )
+
     # --- orders --------------------------------------------------------------------------------
 
     def order_detail(self) -> DataFrame:

@@ -154,9 +154,19 @@ def test_counts_spread_a_hot_shop_over_users(inputs):
 
 
 def test_pruned_scans(inputs):
-    text = plan(trade.sku_order_window(inputs.order_detail(), Inputs.DETAIL_ORDER, times.seconds_slice(F.col("ts"), 86400)))
+    text = plan(trade.sku_order_window(inputs.order_detail(), Inputs.DETAIL_ORDER))
     assert "l_returnflag" not in text and "l_linestatus" not in text
     text = plan(inputs.payments())
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in text
     text = plan(traffic.keyword_tokens(inputs.table("documents"), "text", ["lang"]))
     assert "ReadSchema: struct<text:string,lang:string>" in text
+
+
+def test_window_totals_equal_the_retracted_rows(inputs, same):
+    details, order = inputs.order_detail(), Inputs.DETAIL_ORDER
+    signed = dedup.retract_dedup(details, "id", order, list(trade.SKU_AMOUNTS), times.seconds_slice(F.col("ts"), 86400))
+    expected = signed.groupBy(F.window("ts", "5 seconds"), "sku_id").agg(
+        *[F.sum(c).cast("decimal(16,2)").alias(n) for c, n in trade.SKU_AMOUNTS.items()]
+    )
+    got = trade.sku_order_window(details, order)
+    same(got, expected.select(*times.window_bounds(F.col("window")), "sku_id", *trade.SKU_AMOUNTS.values()))
