@@ -17,6 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 SLICE = "__slice"
 
@@ -97,16 +98,36 @@ def _fold(m: Running, value: Column) -> Column:
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str], take: list[str]) -> DataFrame:
     """Columns of the first row of each key, as an aggregate (combines map-side, no window)."""
-    picked = F.min_by(F.struct(*take), F.struct(*order)).alias("__first")
-    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col("__first")[c].alias(c) for c in take])
+    picked = _extreme(df, order, take, F.min, F.min_by).alias("__row")
+    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col("__row")[c].alias(c) for c in take])
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key, as an aggregate (combines map-side, no window)."""
     rest = [c for c in df.columns if c not in keys]
-    picked = F.max_by(F.struct(*rest), F.struct(*order)).alias("__last")
+    picked = _extreme(df, order, rest, F.max, F.max_by).alias("__row")
     return (
         df.groupBy(*keys)
         .agg(picked)
-        .select(*[F.col(c) if c in keys else F.col("__last")[c].alias(c) for c in df.columns])
+        .select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
     )
+
+
+def _extreme(df: DataFrame, order: list[str], take: list[str], fold, fold_by) -> Column:
+    """The row that is first or last in ``order``.
+
+    One struct with the order columns in front carries everything once, and makes the remaining
+    columns a tie-break. Maps have no order, so rows with maps are picked by a separate order struct.
+    """
+    others = [c for c in take if c not in order]
+    if any(_has_map(df.schema[c].dataType) for c in others):
+        return fold_by(F.struct(*take), F.struct(*order))
+    return fold(F.struct(*order, *others))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType)

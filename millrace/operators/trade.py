@@ -26,12 +26,12 @@ def _counted(details: DataFrame, order: list[str], by: list[str], amounts: list[
     Summed per cell this equals the sum over :func:`~millrace.operators.dedup.retract_dedup`: a
     replaced detail and its negation lie in the same cell and cancel, and cells where everything was
     taken back remain with 0. It needs no window over the versions of a detail: the last version is
-    an aggregate, and the cells are distinct values, so both combine before their shuffle.
+    an aggregate, and the zero rows collapse in the map-side half of the sum that follows.
     """
     cell = [F.window("ts", by[0]).alias("window"), *by[1:]]
     last = latest_per_key(details.select("id", *dict.fromkeys([*order, *by[1:], *amounts])), ["id"], order)
     nothing = [F.lit(0).cast("decimal(16,2)").alias(c) for c in amounts]
-    cells = details.select(*cell).distinct().select("window", *by[1:], *nothing)
+    cells = details.select(*cell, *nothing)
     return cells.unionByName(last.select(*cell, *amounts))
 
 

@@ -41,30 +41,31 @@ def uv_flag(views: DataFrame) -> DataFrame:
 def traffic_page_view_window(views: DataFrame, width: str = "10 seconds") -> DataFrame:
     """Views, sessions, time spent and unique visitors per window, version, channel, area, newcomer.
 
-    Counts and visitors are two partial aggregates over the same input; they meet as rows of equal
-    shape, so nothing has to be joined and no key is ever gathered in one task.
+    Every view counts once as a view; the first view per (device, day), found by an aggregate, counts
+    once more as a visitor. Both kinds of rows have the same shape and go through one aggregate that
+    combines before its shuffle, so no key is ever gathered in one task.
     """
     cell = [F.window("ts", width).alias("window"), *TRAFFIC_KEYS]
-    zero = F.lit(0).cast("bigint")
-    counts = views.groupBy(*cell).agg(
-        F.count(F.lit(1)).alias("pv_ct"),
-        F.sum(_opens_session().cast("bigint")).alias("sv_ct"),
-        F.sum("during_time").alias("dur_sum"),
-    ).withColumn("uv_ct", zero)
-    visitors = (
-        first_per_key(
-            views.withColumn("day", _day()), ["mid", "day"], ["ts", "seq"], ["ts", *TRAFFIC_KEYS]
-        )
-        .groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("uv_ct"))
-        .select("window", *TRAFFIC_KEYS, zero.alias("pv_ct"), zero.alias("sv_ct"), zero.alias("dur_sum"), "uv_ct")
+    none = F.lit(0).cast("bigint")
+    once = F.lit(1).cast("bigint")
+    counts = views.select(
+        *cell,
+        none.alias("uv_ct"),
+        _opens_session().cast("bigint").alias("sv_ct"),
+        once.alias("pv_ct"),
+        F.col("during_time").alias("dur_sum"),
     )
-    total = counts.unionByName(visitors).groupBy("window", *TRAFFIC_KEYS).agg(
-        *[F.sum(c).alias(c) for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum")]
+    first = first_per_key(
+        views.withColumn("day", _day()), ["mid", "day"], ["ts", "seq"], ["ts", *TRAFFIC_KEYS]
     )
-    return total.select(
-        *times.window_bounds(F.col("window")), *TRAFFIC_KEYS, "uv_ct", "sv_ct", "pv_ct", "dur_sum"
+    visitors = first.select(
+        *cell, once.alias("uv_ct"), none.alias("sv_ct"), none.alias("pv_ct"), none.alias("dur_sum")
+    )
+    measures = ["uv_ct", "sv_ct", "pv_ct", "dur_sum"]
+    total = counts.unionByName(visitors).groupBy("window", *TRAFFIC_KEYS).agg(
+        *[F.sum(c).alias(c) for c in measures]
     )
+    return total.select(*times.window_bounds(F.col("window")), *TRAFFIC_KEYS, *measures)
 
 
 def home_detail_uv_window(views: DataFrame, width: str = "5 seconds") -> DataFrame:

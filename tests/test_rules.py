@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import keys, profile, texts, times
-from millrace.operators import cdc, customers, facts, labels, logs, moderation, search, tables, trade, traffic
+from millrace.operators import cdc, customers, facts, labels, logs, moderation, records, search, tables, trade, traffic
 
 START = datetime(2024, 1, 1, 12)
 
@@ -407,3 +407,62 @@ def test_filled_days(spark):
     metric = spark.createDataFrame([("a", date(2024, 1, 1), 3), ("a", date(2024, 1, 4), 5)], "k string, day date, n int")
     got = tables.daily_metric_filled(metric, "day", ["k"], ["n"]).orderBy("day").collect()
     assert [(r.day.day, r.n) for r in got] == [(1, 3), (2, 0), (3, 0), (4, 5)]
+
+
+# --- changelog records ---------------------------------------------------------------------------
+
+
+def test_payment_and_refund_transitions(spark):
+    pay = lambda status: {"order_id": "1", "payment_type": "1101", "callback_time": "5000", "payment_status": status}
+    back = lambda status: {"id": "9", "order_id": "1", "sku_id": "2", "total_amount": "3.50", "refund_status": status}
+    changes = _changes(
+        spark,
+        ("u", pay("1601"), pay("1602"), "payment_info", 1),
+        ("c", None, pay("1602"), "payment_info", 2),
+        ("u", back("0701"), back("1602"), "refund_payment", 3),
+        ("u", {}, back("1602"), "refund_payment", 4),
+        ("u", back("0701"), back("0705"), "order_refund_info", 5),
+        ("c", None, back("0701"), "order_refund_info", 6),
+        ("u", {"order_status": "1005"}, {"id": "1", "order_status": "1006"}, "order_info", 7),
+        ("u", {"order_status": "1002"}, {"id": "1", "order_status": "1005"}, "order_info", 8),
+    )
+    assert [r.order_id for r in records.payment_records(changes).collect()] == ["1"]
+    paid_back = records.refund_payment_records(changes).collect()
+    assert [(r.id, r.total_amount) for r in paid_back] == [("9", Decimal("3.50"))]
+    assert records.refund_request_records(changes).count() == 2
+    assert records.refund_request_records(changes, granted_only=True).count() == 1
+    assert [r.status for r in records.refunded_orders(changes).collect()] == ["1006"]
+    assert [r.status for r in records.refunding_orders(changes).collect()] == ["1005"]
+
+
+def test_detail_record_amounts(spark):
+    after = {"id": "1", "sku_num": "3", "order_price": "1.25", "split_coupon_amount": "0.10", "split_total_amount": "x"}
+    row = records.order_detail_records(_changes(spark, ("r", None, after, "order_detail", 5))).collect()[0]
+    assert (row.split_original_amount, row.split_coupon_amount, row.split_total_amount) == (Decimal("3.75"), Decimal("0.10"), None)
+
+
+def test_other_records(spark):
+    changes = _changes(
+        spark,
+        ("r", None, {"id": "7", "name": "n", "birthday": "3000"}, "user_info", 1),
+        ("r", None, {"id": "", "name": "n"}, "user_info", 1),
+        ("r", None, {"uid": "7", "height": "170"}, "user_info_sup_msg", 1),
+        ("d", {"id": "1", "comment_txt": "old"}, None, "comment_info", 1),
+        ("r", None, {"order_detail_id": "1", "activity_id": "a", "activity_rule_id": "r"}, "order_detail_activity", 1),
+        ("r", None, {"order_detail_id": "1", "coupon_id": "c"}, "order_detail_coupon", 1),
+    )
+    assert [(r.uid, r.gender, r.birthday) for r in records.user_records(changes).collect()] == [("7", "home", 3000)]
+    assert [r.height for r in records.supplement_records(changes).collect()] == ["170"]
+    assert [(r.op, r.msg) for r in records.comment_records(changes).collect()] == [("d", "old")]
+    assert records.activity_records(changes).count() == records.coupon_records(changes).count() == 1
+
+
+def test_letters(spark):
+    assert column(spark, ["abc", "É", ""], "string", texts.first_upper) == ["Abc", "É", ""]
+    assert column(spark, ["Abc", "", "X"], "string", texts.first_lower) == ["abc", "", "x"]
+
+
+def test_goods_log_labels_are_the_sixth_field(spark):
+    goods = search.parse_goods_log(spark.createDataFrame([("3,shop,5,tv,99,hot",)], "value string"))
+    row = search.search_records(goods).collect()[0]
+    assert (row.query_id, row.query, row.doc_id, row.title, row.timestamp, row.type) == (3, "tv", 5, "shop", 99, "hot")
