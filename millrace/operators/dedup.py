@@ -24,9 +24,15 @@ def retract_dedup(df: DataFrame, key: str, order: list[str], amounts: list[str],
 
 
 def newest_only(df: DataFrame, key: str, version: str, arrival: list[str], slice_by: Column) -> DataFrame:
-    """Rows whose version exceeds every version of the key that arrived before."""
+    """Rows whose version exceeds every version of the key that arrived before.
+
+    Only the first arrival of each (key, version) can pass, so repeats collapse in an aggregate before
+    anything is put in order.
+    """
+    rest = [c for c in df.columns if c not in (key, version)]
+    firsts = first_per_key(df, [key, version], arrival, rest)
     best = Running("__best", "max", F.col(version), through=False)
-    seen = running(df, [key], arrival, slice_by, [best])
+    seen = running(firsts, [key], arrival, slice_by, [best])
     return seen.where(F.col("__best").isNull() | (F.col(version) > F.col("__best"))).select(*df.columns)
 
 

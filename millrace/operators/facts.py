@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import times
 from millrace.operators import cdc
-from millrace.operators.joins import enrich, interval_join, prefixed
+from millrace.operators.joins import enrich, interval_join, prefixed, spread_lookup
 from millrace.operators.running import latest_per_key
 
 # Status codes of the source database.
@@ -24,24 +24,36 @@ AMOUNTS = [
 ]
 
 
+def detail_extras(activities: DataFrame, coupons: DataFrame) -> DataFrame:
+    """Latest activity and latest coupon per order detail, from one aggregate over both tables."""
+    activity = F.struct("ts", "activity_id", "activity_rule_id")
+    coupon = F.struct("ts", "coupon_id")
+    rows = activities.select("order_detail_id", activity.alias("activity")).unionByName(
+        coupons.select("order_detail_id", coupon.alias("coupon")), allowMissingColumns=True
+    )
+    return rows.groupBy("order_detail_id").agg(
+        F.max("activity").alias("activity"), F.max("coupon").alias("coupon")
+    ).select("order_detail_id", "activity.activity_id", "activity.activity_rule_id", "coupon.coupon_id")
+
+
 def order_detail_wide(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> DataFrame:
     """Order details with the order's user and province and the detail's activity and coupon.
 
     Activity and coupon are taken in their latest version per detail, so a repeated detail never
-    multiplies with repeated activities. Both lookups share the detail id, so they come first and
-    need one shuffle of the details; the order lookup needs the second.
+    multiplies with repeated activities. Both come from one table by detail id, the order by order
+    id: two shuffles of the details, with heavy ids split in each.
     """
-    activity = latest_per_key(activities, ["order_detail_id"], ["ts", "activity_id", "activity_rule_id"])
-    coupon = latest_per_key(coupons, ["order_detail_id"], ["ts", "coupon_id"])
-    wide = enrich(
-        details,
-        activity,
-        {"id": "order_detail_id"},
-        {"activity_id": "activity_id", "activity_rule_id": "activity_rule_id"},
+    extras = ["activity_id", "activity_rule_id", "coupon_id"]
+    wide = spread_lookup(
+        details, detail_extras(activities, coupons), {"id": "order_detail_id"}, {c: c for c in extras}
     )
-    wide = enrich(wide, coupon, {"id": "order_detail_id"}, {"coupon_id": "coupon_id"})
-    wide = enrich(
-        wide, orders, {"order_id": "id"}, {"user_id": "user_id", "province_id": "province_id"}, "inner"
+    wide = spread_lookup(
+        wide,
+        orders,
+        {"order_id": "id"},
+        {"user_id": "user_id", "province_id": "province_id"},
+        "inner",
+        counted=details,
     )
     return wide.select(
         "id",
@@ -69,14 +81,16 @@ def order_cancellations(changes: DataFrame) -> DataFrame:
     )
 
 
-def order_cancel_detail(wide: DataFrame, changes: DataFrame, within: Column | None = None) -> DataFrame:
-    """Details of cancelled orders.
+def order_cancel_detail(wide: DataFrame, changes: DataFrame, within: Column | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """Details of cancelled orders; an order is cancelled once.
 
-    ``within`` is an optional condition on ``ts`` and ``operate_ts``; a stream needs one to let go of
-    old details, a batch does not.
+    ``within`` is an optional condition on ``ts`` and ``operate_ts``, the retention of old details.
+    ``counted`` is a cheaper frame with the details' order ids, to find heavy orders in.
     """
-    cancelled = order_cancellations(changes).withColumnRenamed("id", "__order")
-    joined = wide.join(cancelled, F.col("order_id") == F.col("__order"))
+    cancelled = order_cancellations(changes)
+    joined = spread_lookup(
+        wide, cancelled, {"order_id": "id"}, {"operate_ts": "operate_ts"}, "inner", counted
+    )
     if within is not None:
         joined = joined.where(within)
     return joined.select(
@@ -120,13 +134,19 @@ def payment_detail(
     dictionary: DataFrame,
     lower: int = PAYMENT_LOWER,
     upper: int = PAYMENT_UPPER,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Paid order details: interval join of payment and detail, then the name of the payment type."""
+    """Paid order details: interval join of payment and detail, then the name of the payment type.
+
+    ``counted`` is a cheaper frame with the details' order ids and times, to find heavy orders in.
+    """
     paid = payments.select(
         "order_id", F.md5("payment_type").alias("payment_type_code"), F.col("ts").alias("callback_ts")
     )
     detail = details.withColumnRenamed("id", "order_detail_id")
-    joined = interval_join(paid, detail, ["order_id"], "callback_ts", "ts", lower, upper)
+    joined = interval_join(
+        paid, detail, ["order_id"], "callback_ts", "ts", lower, upper, detail if counted is None else counted
+    )
     named = enrich(
         joined,
         flat_dictionary(dictionary),
@@ -166,15 +186,20 @@ def refund_payment_detail(refunds: DataFrame, refund_infos: DataFrame, orders: D
     request = latest_per_key(
         refund_infos.select("order_id", "sku_id", "refund_num", "ts", "id"), ["order_id", "sku_id"], ["ts", "id", "refund_num"]
     )
-    joined = enrich(
+    joined = spread_lookup(
         refunds,
         request,
         {"order_id": "order_id", "sku_id": "sku_id"},
         {"refund_num": "refund_num"},
         "inner",
     )
-    joined = enrich(
-        joined, orders, {"order_id": "id"}, {"user_id": "user_id", "province_id": "province_id"}, "inner"
+    joined = spread_lookup(
+        joined,
+        orders,
+        {"order_id": "id"},
+        {"user_id": "user_id", "province_id": "province_id"},
+        "inner",
+        counted=refunds,
     )
     coded = joined.withColumn("payment_type", F.md5("payment_type"))
     named = enrich(
@@ -198,7 +223,7 @@ def refund_payment_detail(refunds: DataFrame, refund_infos: DataFrame, orders: D
 def refund_order_detail(refund_infos: DataFrame, orders: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Refund requests with province and the names of type and reason from the same dictionary."""
     names = flat_dictionary(dictionary)
-    joined = enrich(refund_infos, orders, {"order_id": "id"}, {"province_id": "province_id"}, "inner")
+    joined = spread_lookup(refund_infos, orders, {"order_id": "id"}, {"province_id": "province_id"}, "inner")
     coded = joined.withColumns(
         {
             "refund_type_code": F.md5("refund_type"),
@@ -243,7 +268,8 @@ def comment_dic_left(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
 def comment_order_interval(comments: DataFrame, orders: DataFrame, lower: int = -60, upper: int = 60) -> DataFrame:
     """Comments with their order (``info_`` columns) when both happened within the interval."""
     info = prefixed(orders, "info_").withColumn("order_id", F.col("info_id"))
-    joined = interval_join(comments, info, ["order_id"], "ts", "info_ts", lower, upper)
+    # One order meets many comments, so the comments are the side whose heavy orders are split.
+    joined = interval_join(info, comments, ["order_id"], "info_ts", "ts", -upper, -lower, comments)
     return joined.withColumn("ds", times.day_stamp(F.col("ts")))
 
 
@@ -267,4 +293,4 @@ def order_detail_interval(orders: DataFrame, details: DataFrame, lower: int = -1
         "split_total_amount",
         F.col("ts").alias("detail_ts"),
     )
-    return interval_join(order, detail, ["order_id"], "create_ts", "detail_ts", lower, upper)
+    return interval_join(order, detail, ["order_id"], "create_ts", "detail_ts", lower, upper, detail)

@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 200_000
 BROADCAST_TEXT_BYTES = 32 * 1024 * 1024
 
+# A key with more rows is split into parts of about this size; at most so many keys are split.
+HEAVY_ROWS = 1_000_000
+HEAVY_KEYS = 1_000
+MOST_PARTS = 4_096
+
 
 def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_TEXT_BYTES) -> DataFrame:
     """Mark ``dim`` for broadcast after measuring it; a larger one is left to a shuffle join.
@@ -40,7 +45,7 @@ def enrich(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, st
 
     ``on`` maps columns of ``df`` to key columns of ``dim``; ``take`` maps columns of ``dim`` to
     output names. The dimension has one row per key. Spark broadcasts it when its measured size
-    allows, and otherwise splits skewed keys of the shuffle join (adaptive skew join).
+    allows. For two large tables use :func:`spread_lookup`.
     """
     picked = dim.select(
         *[F.col(d).alias(f"__k{i}") for i, d in enumerate(on.values())],
@@ -50,6 +55,66 @@ def enrich(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, st
     return df.join(picked, condition, how).drop(*[f"__k{i}" for i in range(len(on))])
 
 
+def heavy_keys(df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Keys with more than ``heavy_rows`` rows and the number of parts each is split into.
+
+    One aggregate over the key columns only. At most :data:`HEAVY_KEYS` keys come back, the largest
+    ones, so the result is safe to broadcast; a key that is not among them has few rows or less than a
+    thousandth of all rows, and is joined unsplit.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > heavy_rows)
+    largest = counted.orderBy(F.desc("__n"), *keys).limit(HEAVY_KEYS)
+    parts = F.least(F.ceil(F.col("__n") / heavy_rows), F.lit(MOST_PARTS)).cast("int")
+    return F.broadcast(largest.select(*[F.col(k).alias(f"__h_{k}") for k in keys], parts.alias("__parts")))
+
+
+def _with_parts(df: DataFrame, keys: list[str], heavy: DataFrame, heavy_names: list[str]) -> DataFrame:
+    """Add the columns of ``heavy`` to the rows of heavy keys, by a broadcast join."""
+    condition = [F.col(k) == F.col(h) for k, h in zip(keys, heavy_names)]
+    return df.join(heavy, condition, "left").drop(*heavy_names)
+
+
+def _part(df: DataFrame, parts: Column) -> Column:
+    """Part of a row: a hash of its values and of the task's number, so that copies spread too, and
+    a task that runs again gives the same parts."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    mixed = F.xxhash64(*plain) + F.spark_partition_id() * 7919
+    return F.when(parts > 1, F.pmod(mixed, parts.cast("bigint")).cast("int")).otherwise(0)
+
+
+def spread_lookup(
+    df: DataFrame,
+    dim: DataFrame,
+    on: dict[str, str],
+    take: dict[str, str],
+    how: str = "left",
+    counted: DataFrame | None = None,
+    heavy_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """:func:`enrich` for two large tables where single keys of ``df`` may hold much of it.
+
+    Rows of heavy keys are dealt over several parts and the one dimension row of such a key is
+    repeated for each part; all other keys are joined as they are. ``counted`` names a cheaper frame
+    with the same key columns to count on.
+    """
+    keys = list(on)
+    heavy = heavy_keys(df if counted is None else counted, keys, heavy_rows)
+    names = [f"__h_{k}" for k in keys]
+    rows = _with_parts(df, keys, heavy, names)
+    rows = rows.withColumn("__part", _part(df, F.coalesce("__parts", F.lit(1)))).drop("__parts")
+    side = dim.select(
+        *[F.col(d).alias(f"__k{i}") for i, d in enumerate(on.values())],
+        *[F.col(c).alias(name) for c, name in take.items()],
+    )
+    repeated = _with_parts(side, [f"__k{i}" for i in range(len(keys))], heavy, names)
+    repeated = repeated.withColumn(
+        "__kpart", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))
+    ).drop("__parts")
+    condition = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)] + [F.col("__part") == F.col("__kpart")]
+    joined = rows.join(repeated, condition, how)
+    return joined.select(*df.columns, *take.values())
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -58,6 +123,8 @@ def interval_join(
     right_ts: str,
     lower: int,
     upper: int,
+    counted: DataFrame | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Inner join on ``on`` where ``left_ts + lower <= right_ts <= left_ts + upper`` (seconds).
 
@@ -65,18 +132,32 @@ def interval_join(
     reaches at most two, so each matching pair meets exactly once and the join key (on, stretch)
     spreads a hot key over time. ``on`` columns appear once in the result; other columns of the two
     sides must not share names.
+
+    With ``counted``, a frame with the ``on`` and ``right_ts`` columns of the right side, (on, stretch)
+    groups that are heavy there are also dealt over parts, and the left rows that reach them repeated.
     """
     width = max(upper - lower, 1)
-    at = lambda c, shift: F.floor((F.unix_micros(F.col(c)) + F.lit(shift * 1_000_000)) / F.lit(width * 1_000_000)).cast("bigint")
-    reach = left.withColumn(
-        "__stretch", F.explode(F.sequence(at(left_ts, lower), at(left_ts, upper)))
-    )
+
+    def at(column: str, shift: int) -> Column:
+        moved = F.unix_micros(F.col(column)) + F.lit(shift * 1_000_000)
+        return F.floor(moved / F.lit(width * 1_000_000)).cast("bigint")
+
+    keys = [*on, "__stretch"]
+    reach = left.withColumn("__stretch", F.explode(F.sequence(at(left_ts, lower), at(left_ts, upper))))
     placed = right.withColumn("__stretch", at(right_ts, 0))
+    if counted is not None:
+        heavy = heavy_keys(counted.withColumn("__stretch", at(right_ts, 0)), keys, heavy_rows)
+        names = [f"__h_{k}" for k in keys]
+        parts = F.coalesce("__parts", F.lit(1))
+        placed = _with_parts(placed, keys, heavy, names).withColumn("__part", _part(right, parts)).drop("__parts")
+        reach = _with_parts(reach, keys, heavy, names)
+        reach = reach.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+        keys = [*keys, "__part"]
     gap = F.unix_micros(F.col(right_ts)) - F.unix_micros(F.col(left_ts))
     return (
-        reach.join(placed, [*on, "__stretch"])
+        reach.join(placed, keys)
         .where(gap.between(lower * 1_000_000, upper * 1_000_000))
-        .drop("__stretch")
+        .drop("__stretch", "__part")
     )
 
 

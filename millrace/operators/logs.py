@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.functions import times
+from millrace.operators.joins import spread_lookup
 from millrace.operators.running import first_per_key
 
 CORRUPT = "_corrupt_record"
@@ -135,8 +136,8 @@ def fix_is_new(log: DataFrame) -> DataFrame:
     """Correct ``common.is_new`` from the first record of each device.
 
     Only the first record of a device decides, so the state is one aggregate row per device; records
-    meet it in a join that adaptive skew handling can split when a device is hot. The mark is kept
-    for good, where a short expiry would forget devices within seconds.
+    meet it in a join that splits heavy devices. The mark is kept for good, where a short expiry
+    would forget devices within seconds.
     """
     seen = log.select(
         F.col("common.mid").alias("__mid"),
@@ -146,7 +147,10 @@ def fix_is_new(log: DataFrame) -> DataFrame:
         "seq",
     )
     first = first_per_key(seen, ["__mid"], ["ts", "seq"], ["first_day", "first_is_new"])
-    joined = log.join(first, F.col("common.mid") == F.col("__mid"), "left")
+    keyed = log.withColumn("__mid", F.col("common.mid"))
+    joined = spread_lookup(
+        keyed, first, {"__mid": "__mid"}, {"first_day": "first_day", "first_is_new": "first_is_new"}, counted=seen
+    )
     fixed = repaired_is_new(
         F.col("common.is_new"),
         F.to_date(times.millis_to_timestamp(F.col("ts"))),

@@ -341,7 +341,7 @@ def order_detail_wide(i: Inputs) -> DataFrame:
 
 @query
 def order_cancel_detail(i: Inputs) -> DataFrame:
-    return _no_nulls(facts.order_cancel_detail(_wide(i), i.changes()), "activity_id", "coupon_id")
+    return _no_nulls(facts.order_cancel_detail(_wide(i), i.changes(), counted=i.order_detail()), "activity_id", "coupon_id")
 
 
 @query
@@ -357,7 +357,9 @@ def cart_uu_window(i: Inputs) -> DataFrame:
 @query
 def payment_detail(i: Inputs) -> DataFrame:
     """Interval of 30 days before to 5 days after, in the data's scale of days."""
-    paid = facts.payment_detail(_wide(i), i.payments(), i.dictionary(), -30 * DAY, 5 * DAY)
+    paid = facts.payment_detail(
+        _wide(i), i.payments(), i.dictionary(), -30 * DAY, 5 * DAY, counted=i.order_detail()
+    )
     return _no_nulls(paid, "activity_id", "coupon_id")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import texts
-from millrace.operators.joins import broadcast_if_small
+from millrace.operators.joins import broadcast_if_small, spread_lookup
 from millrace.operators.labels import SEARCH
 from millrace.session import configure
 
@@ -240,8 +240,13 @@ class Inputs:
 
     def detail_of_orders(self) -> DataFrame:
         """Details with the user and province of their order."""
-        orders = self.order_info().select(F.col("id").alias("order_id"), "user_id", "province_id")
-        return self.order_detail().join(orders, "order_id")
+        return spread_lookup(
+            self.order_detail(),
+            self.order_info(),
+            {"order_id": "id"},
+            {"user_id": "user_id", "province_id": "province_id"},
+            "inner",
+        )
 
     def activities(self) -> DataFrame:
         return (

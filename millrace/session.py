@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split skewed joins even where that costs one more shuffle behind the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 

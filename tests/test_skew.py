@@ -170,3 +170,49 @@ def test_window_totals_equal_the_retracted_rows(inputs, same):
     )
     got = trade.sku_order_window(details, order)
     same(got, expected.select(*times.window_bounds(F.col("window")), "sku_id", *trade.SKU_AMOUNTS.values()))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_spread_lookup_equals_plain_join(spark, hot, same, how):
+    """Heavy keys are dealt over parts; copies, unknown keys and null keys keep their rows."""
+    odd = spark.createDataFrame([(None, START, 5000, 1), ("none", START, 5001, 2)], hot.schema)
+    facts_ = hot.unionByName(hot.where("seq < 200")).unionByName(odd)
+    dim = hot.groupBy(F.col("k").alias("id")).agg(F.max("v").alias("top"))
+    fast = joins.spread_lookup(facts_, dim, {"k": "id"}, {"top": "top"}, how, heavy_rows=50)
+    same(fast, joins.enrich(facts_, dim, {"k": "id"}, {"top": "top"}, how))
+
+
+def test_heavy_keys_are_split_into_parts(hot):
+    heavy = {r["__h_k"]: r["__parts"] for r in joins.heavy_keys(hot, ["k"], heavy_rows=100).collect()}
+    rows_of_hot = hot.where("k = 'hot'").count()
+    assert heavy == {"hot": -(-rows_of_hot // 100)}
+    parts = hot.where("k = 'hot'").select(joins._part(hot, F.lit(heavy["hot"])).alias("p")).groupBy("p").count()
+    sizes = [r["count"] for r in parts.collect()]
+    assert len(sizes) == heavy["hot"] and max(sizes) < 2 * rows_of_hot / len(sizes)
+
+
+def test_at_most_the_largest_keys_are_split(hot, monkeypatch):
+    monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
+    assert joins.heavy_keys(hot, ["k"], heavy_rows=1).count() == 2
+
+
+@pytest.mark.parametrize("lower,upper", [(-300, 300), (-1800, 5)])
+def test_spread_interval_join_equals_plain(hot, same, lower, upper):
+    left = hot.where(F.col("seq") < 300).select("k", F.col("ts").alias("lt"), F.col("seq").alias("ls"))
+    right = hot.where(F.col("seq") >= 600).select("k", F.col("ts").alias("rt"), F.col("seq").alias("rs"))
+    plain = joins.interval_join(left, right, ["k"], "lt", "rt", lower, upper)
+    same(joins.interval_join(left, right, ["k"], "lt", "rt", lower, upper, right, 3), plain)
+
+
+def test_newest_only_with_repeats(spark, same):
+    df = spark.createDataFrame(
+        [("a", 5, 1), ("a", 5, 2), ("a", 4, 3), ("a", 6, 4), ("a", 6, 5), ("b", 1, 6)], "k string, v bigint, seq bigint"
+    )
+    expected = spark.createDataFrame([("a", 5, 1), ("a", 6, 4), ("b", 1, 6)], df.schema)
+    for width in (1, 3, 100):
+        same(dedup.newest_only(df, "k", "v", ["seq"], F.floor(F.col("seq") / width).cast("bigint")), expected)
+
+
+def test_latest_row_with_maps(spark):
+    df = spark.createDataFrame([(1, 1, {"a": "x"}), (1, 2, {"a": "y"})], "k int, v int, m map<string,string>")
+    assert run_module.latest_per_key(df, ["k"], ["v"]).collect()[0].m == {"a": "y"}
