@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.running import has_map
+
 # A lookup table is broadcast only when it was counted and is below both bounds.
 BROADCAST_ROWS = 200_000
 BROADCAST_TEXT_BYTES = 32 * 1024 * 1024
@@ -40,6 +42,21 @@ def broadcast_each_if_small(dims: list[DataFrame], max_rows: int = BROADCAST_ROW
     return [F.broadcast(d) if place in small else d for place, d in enumerate(dims)]
 
 
+def measured_lookups(df: DataFrame, lookups: list[tuple[DataFrame, dict[str, str], dict[str, str]]], counted: DataFrame) -> DataFrame:
+    """Left lookups one after the other, each by the way its table's size asks for.
+
+    All tables are measured in one job. Small ones are broadcast; for a large one heavy keys are split,
+    found in ``counted`` where it has the key columns.
+    """
+    dims = broadcast_each_if_small([dim for dim, _, _ in lookups])
+    for measured, (dim, on, take) in zip(dims, lookups):
+        if measured is not dim:
+            df = enrich(df, measured, on, take)
+        else:
+            df = spread_lookup(df, dim, on, take, counted=counted if set(on) <= set(counted.columns) else None)
+    return df
+
+
 def enrich(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, str], how: str = "left") -> DataFrame:
     """Look columns up in a dimension table.
 
@@ -77,7 +94,7 @@ def _with_parts(df: DataFrame, keys: list[str], heavy: DataFrame, heavy_names: l
 def _part(df: DataFrame, parts: Column) -> Column:
     """Part of a row: a hash of its values and of the task's number, so that copies spread too, and
     a task that runs again gives the same parts."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    plain = [f.name for f in df.schema.fields if not has_map(f.dataType)]
     mixed = F.xxhash64(*plain) + F.spark_partition_id() * 7919
     return F.when(parts > 1, F.pmod(mixed, parts.cast("bigint")).cast("int")).otherwise(0)
 

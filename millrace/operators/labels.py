@@ -8,7 +8,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions import profile, times
-from millrace.operators.joins import enrich, interval_join
+from millrace.operators.joins import enrich, interval_join, measured_lookups
 
 BUCKETS = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
 
@@ -207,10 +207,20 @@ def score_category(df: DataFrame, category: str = "b1_name", groups: Mapping[str
     return _scored(df, "category", _group(F.col(category), groups), CATEGORY, WEIGHTS["category"], CATEGORY_OTHER)
 
 
-def order_dimensions(details: DataFrame, snapshot: DataFrame, hierarchy: DataFrame) -> DataFrame:
-    """Brand and top category of each ordered sku."""
-    out = enrich(details, snapshot, {"sku_id": "skuid"}, {"c3id": "c3id", "tname": "tname"})
-    return enrich(out, hierarchy, {"c3id": "id"}, {"b1name": "b1_name"})
+def order_dimensions(details: DataFrame, snapshot: DataFrame, hierarchy: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Brand and top category of each ordered sku.
+
+    ``counted`` is a cheaper frame with the details' sku ids, to find heavy skus in when the sku table
+    is too large to broadcast.
+    """
+    return measured_lookups(
+        details,
+        [
+            (snapshot, {"sku_id": "skuid"}, {"c3id": "c3id", "tname": "tname"}),
+            (hierarchy, {"c3id": "id"}, {"b1name": "b1_name"}),
+        ],
+        details if counted is None else counted,
+    )
 
 
 # --- profile and label ---------------------------------------------------------------------------

@@ -120,14 +120,14 @@ def _extreme(df: DataFrame, order: list[str], take: list[str], fold, fold_by) ->
     columns a tie-break. Maps have no order, so rows with maps are picked by a separate order struct.
     """
     others = [c for c in take if c not in order]
-    if any(_has_map(df.schema[c].dataType) for c in others):
+    if any(has_map(df.schema[c].dataType) for c in others):
         return fold_by(F.struct(*take), F.struct(*order))
     return fold(F.struct(*order, *others))
 
 
-def _has_map(kind: T.DataType) -> bool:
+def has_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
+        return any(has_map(f.dataType) for f in kind.fields)
     if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
+        return has_map(kind.elementType)
     return isinstance(kind, T.MapType)

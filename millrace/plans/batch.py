@@ -34,8 +34,6 @@ from millrace.plans.views import PROFILE_DAY, Inputs
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 DAY = 86_400
-MONTH_SLICE = 30 * DAY
-HOUR_SLICE = 3_600
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
@@ -426,7 +424,7 @@ def user_latest_only(i: Inputs) -> DataFrame:
 @query
 def retract_dedup(i: Inputs) -> DataFrame:
     signed = dedup.retract_dedup(
-        i.order_detail(), "id", Inputs.DETAIL_ORDER, facts.AMOUNTS, times.seconds_slice(F.col("ts"), MONTH_SLICE)
+        i.order_detail(), "id", Inputs.DETAIL_ORDER, facts.AMOUNTS, day_slice()
     )
     return signed.select("id", "sku_id", "sku_num", *facts.AMOUNTS, "sign", "ts")
 
@@ -720,10 +718,10 @@ def score_amount(i: Inputs) -> DataFrame:
 
 
 def _with_dimensions(i: Inputs, details: DataFrame) -> DataFrame:
-    """Details with brand and top category; both lookup tables are measured after they are joined."""
+    """Details with brand and top category."""
     hierarchy = trade.category_hierarchy(i.category3(), i.category2(), i.category1())
     snapshot = trade.sku_snapshot(i.sku(), i.spu(), i.trademark())
-    return labels.order_dimensions(details, *broadcast_each_if_small([snapshot, hierarchy]))
+    return labels.order_dimensions(details, snapshot, hierarchy, counted=i.order_detail())
 
 
 @query

@@ -63,6 +63,24 @@ def daily_distinct(df: DataFrame, key: list[str], ts: str = "ts") -> DataFrame:
     return day.dropDuplicates([*key, "day"])
 
 
+def traffic_window(flagged: DataFrame, width: str = "10 seconds", delay: str = LOG_DELAY) -> DataFrame:
+    """Traffic summary over views that already carry uv_ct (:func:`millrace.streaming.state.first_of_day`).
+
+    The flags come from a table between the two streams, as layers are chained by topics.
+    """
+    opens = (F.coalesce(F.col("last_page_id"), F.lit("")) == "").cast("bigint")
+    windowed = flagged.withWatermark("ts", delay).groupBy(F.window("ts", width), *traffic.TRAFFIC_KEYS)
+    total = windowed.agg(
+        F.sum("uv_ct").alias("uv_ct"),
+        F.sum(opens).alias("sv_ct"),
+        F.count(F.lit(1)).alias("pv_ct"),
+        F.sum("during_time").alias("dur_sum"),
+    )
+    return total.select(
+        *times.window_bounds(F.col("window")), *traffic.TRAFFIC_KEYS, "uv_ct", "sv_ct", "pv_ct", "dur_sum"
+    )
+
+
 def keyword_window(views: DataFrame, width: str = "10 seconds", delay: str = SQL_DELAY) -> DataFrame:
     return traffic.keyword_window(views.withWatermark("ts", delay), width)
 

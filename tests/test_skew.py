@@ -216,3 +216,12 @@ def test_newest_only_with_repeats(spark, same):
 def test_latest_row_with_maps(spark):
     df = spark.createDataFrame([(1, 1, {"a": "x"}), (1, 2, {"a": "y"})], "k int, v int, m map<string,string>")
     assert run_module.latest_per_key(df, ["k"], ["v"]).collect()[0].m == {"a": "y"}
+
+
+def test_measured_lookups_take_both_ways(hot, same, monkeypatch):
+    dim = hot.groupBy(F.col("k").alias("id")).agg(F.max("v").alias("top"))
+    tops = hot.groupBy("v").agg(F.min("seq").alias("first")).withColumnRenamed("v", "id")
+    lookups = [(dim, {"k": "id"}, {"top": "top"}), (tops, {"top": "id"}, {"first": "first"})]
+    small = joins.measured_lookups(hot, lookups, hot)
+    monkeypatch.setattr(joins, "broadcast_each_if_small", lambda dims: dims)
+    same(joins.measured_lookups(hot, lookups, hot), small)

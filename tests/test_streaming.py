@@ -30,6 +30,21 @@ def test_first_of_day(inputs, feed, run, same):
     same(run(state.first_of_day(feed(flat, ["ts", "seq"]), "mid"), "uv"), batch)
 
 
+def test_traffic_window(spark, inputs, feed, run, tmp_path, same):
+    """Two chained streams: flags into a folder, windows over that folder."""
+    flat = views(inputs).select("mid", "ts", "seq", *traffic.TRAFFIC_KEYS, "last_page_id", "during_time")
+    flagged = run(state.first_of_day(feed(flat, ["ts", "seq"]), "mid"), "flags")
+    table = KeyedTable(str(tmp_path / "traffic"), ("stt", "edt", "cur_date", *traffic.TRAFFIC_KEYS), ("pv_ct",))
+    jobs.run_available(
+        jobs.traffic_window(feed(flagged, ["ts", "seq"])),
+        "traffic",
+        jobs.upsert_into(table),
+        "update",
+        location=str(tmp_path / "cp-traffic"),
+    )
+    same(table.read(spark), traffic.traffic_page_view_window(views(inputs)))
+
+
 def test_login(inputs, feed, run, same):
     source = logs.logins(views(inputs)).select("uid", "ts", "seq")
     streamed = run(state.login(feed(source, ["ts", "seq"])), "login")
