@@ -140,3 +140,14 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     assert checkpoint_dir(Session()) == "/shared/checkpoints"
     assert jobs.checkpoint_location(Session(), "x") == "/shared/checkpoints/streams/x"
     assert os.path.isdir(checkpoint_dir(spark))
+
+
+def test_insert_into_a_table(spark, tmp_path):
+    spark.sql(f"CREATE TABLE millrace_sink (id INT, name STRING) USING parquet LOCATION '{tmp_path / 'sink'}'")
+    try:
+        df = spark.createDataFrame([("x", 1)], "name string, id int")
+        sinks.insert_into(df, "millrace_sink")
+        sinks.insert_into(df, "millrace_sink")
+        assert [tuple(r) for r in spark.table("millrace_sink").collect()] == [(1, "x"), (1, "x")]
+    finally:
+        spark.sql("DROP TABLE millrace_sink")
