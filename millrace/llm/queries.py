@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import fast_minhash
+from millrace.llm import fast_minhash, quality_rules
 from millrace.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("quality", 6).alias("quality"),
+    )
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return fast_minhash.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op6_minhash_near_dedup": op6_minhash_near_dedup}
+QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
+}

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-# Characters that separate words, as a class in a regular expression.
-WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+from millrace.llm.quality_sql import QUALITY
 
 NEAR_DUPLICATES = r"""
 WITH RECURSIVE texts AS (
@@ -34,6 +33,7 @@ WITH RECURSIVE texts AS (
 """
 
 SQL: dict[str, str] = {
+    "op1_quality_rules": QUALITY,
     "op6_minhash_near_dedup": NEAR_DUPLICATES.format(docs="documents")
     + "SELECT *, component_id = doc_id AS kept FROM near",
 }

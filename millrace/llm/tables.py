@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -51,3 +54,29 @@ def let(value: Column, body) -> Column:
 def column(frame: DataFrame, name: str) -> Column:
     """A column by its plain name, whatever characters are in it."""
     return frame["`" + name.replace("`", "``") + "`"]
+
+
+# Applications that have been sent the package already.
+_SHIPPED: set[str] = set()
+
+
+def arrow(frame: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow``, with this package sent to the executors first, so that they can import it."""
+    ship(frame.sparkSession)
+    return frame.mapInArrow(function, schema)
+
+
+def ship(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="millrace-"), "millrace.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for at, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
