@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import fast_minhash, quality_rules
+from millrace.llm import byte_bpe, fast_minhash, quality_rules, token_counts
 from millrace.llm.tables import table
 
+TOKEN_LIMIT = 4096
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,7 +25,23 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return fast_minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.token_counts(table(spark, folder, "documents"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.encoded(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_token_counts": op7_token_counts,
+    "op8_byte_bpe": op8_byte_bpe,
 }
