@@ -7,18 +7,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import connected_components
-from millrace.llm.tables import saved
+from millrace.llm.tables import arrow, saved
 
 WORDS_PER_SHINGLE = 5
 PERCENT = 75
-COORDINATES = 128
+COORDINATES = 1024
 BANDS = 32
-# Sketches of two sets at the threshold agree in 7/8 of their single bits on average (a coordinate that
-# differs still agrees by chance); a share below this is over seven deviations away.
-LEAST_BITS = 84
+ROWS = 4
+# Two sets at the threshold agree in 7/8 of their sketches' single bits on average (a coordinate that
+# differs still agrees by chance), with a deviation of 1 %. 842 of 1024 is over five deviations below.
+LEAST_BITS = 842
 
 U64 = np.uint64
 
@@ -30,21 +31,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-class _WordHashes(dict):
-    """Word to 64-bit hash, kept for words met again; emptied when it has grown to its bound."""
-
-    BOUND = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.BOUND:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-
-def shingle_set(text: bytes | None, known: _WordHashes) -> np.ndarray:
+def shingle_set(text: bytes | None) -> np.ndarray:
     """The sorted distinct shingle hashes of a whole text (UTF-8); empty without words.
 
     ``bytes.lower`` changes A-Z only and ``bytes.split`` cuts at the bytes 20 and 09-0D only, as asked.
@@ -52,40 +39,42 @@ def shingle_set(text: bytes | None, known: _WordHashes) -> np.ndarray:
     words = (text or b"").lower().split()
     if not words:
         return np.empty(0, U64)
-    h = np.fromiter(map(known.__getitem__, words), U64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
     width = min(WORDS_PER_SHINGLE, len(h))
     s = np.full(len(h) - width + 1, width, U64)
     for k in range(width):
-        s = _mix(s ^ h[k : len(h) - width + 1 + k]) * U64(0x9E3779B97F4A7C15)
-    return np.unique(s)
+        s = (s ^ h[k : len(h) - width + 1 + k]) * U64(0x9E3779B97F4A7C15)
+        s ^= s >> U64(32)
+    s = np.sort(_mix(s))
+    return s[np.append(True, s[1:] != s[:-1])]
 
 
-ROUND_SEEDS = _mix(np.arange(1, 2 * COORDINATES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
-LOW = U64(COORDINATES - 1)
+SEEDS = _mix(np.arange(1, 2 * COORDINATES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
+UNSET = U64(np.iinfo(np.uint64).max)
+# Members to place until every bin is likely reached: bins * ln(bins), and a little more.
+PLACED = int(1.2 * COORDINATES * np.log(COORDINATES))
 
 
 def sketch(members: np.ndarray) -> np.ndarray:
     """One value per coordinate, by rounds of hashed bin placement.
 
-    In round i every member falls into a hashed bin with a hashed value. A bin keeps the smallest value
-    of the first round that reached it. After as many rounds as there are bins, one round each is
-    dealt to one bin alone, so none stays empty. A set of n log n members needs about one round, so the
-    cost is that of the set, not of set times coordinates. Two sets agree in a coordinate with the
-    probability of their similarity, concentrated as for independent draws.
+    In round i every member falls into a hashed bin with a hashed value. A bin keeps the smallest value of
+    the first round that reached it; rounds are placed several at a time, as the round leads the value.
+    After as many rounds as there are bins, one round each is dealt to one bin alone, so none stays empty.
+    The cost is that of the set plus bins * log(bins), not of set times coordinates. Two sets agree in a
+    coordinate with the probability of their similarity, concentrated as for independent draws.
     """
-    out = np.zeros(COORDINATES, U64)
-    empty = np.ones(COORDINATES, bool)
-    for i in range(COORDINATES):
-        h = _mix(members ^ ROUND_SEEDS[i])
-        best = np.full(COORDINATES, np.iinfo(np.uint64).max, U64)
-        np.minimum.at(best, (h & LOW).astype(np.intp), h >> U64(7))
-        new = empty & (best != np.iinfo(np.uint64).max)
-        out[new] = best[new] ^ (U64(i) << U64(57))
-        empty &= ~new
-        if not empty.any():
+    out = np.full(COORDINATES, UNSET, U64)
+    at_once = max(1, -(-PLACED // len(members)))
+    for start in range(0, COORDINATES, at_once):
+        rounds = np.arange(start, min(start + at_once, COORDINATES), dtype=U64)
+        h = _mix(members ^ SEEDS[start : start + len(rounds), None])
+        np.minimum.at(out, (h & U64(COORDINATES - 1)).ravel().astype(np.intp), ((h >> U64(11)) | (rounds[:, None] << U64(53))).ravel())
+        empty = np.flatnonzero(out == UNSET)
+        if not len(empty):
             return out
-    for k in np.flatnonzero(empty):
-        out[k] = _mix(members ^ ROUND_SEEDS[COORDINATES + k]).min()
+    for k in empty:
+        out[k] = _mix(members ^ SEEDS[COORDINATES + k]).min()
     return out
 
 
@@ -95,7 +84,7 @@ BIT_SEEDS = _mix(np.arange(5001, 5001 + COORDINATES, dtype=U64))
 
 def _bands(values: np.ndarray) -> np.ndarray:
     key = BAND_SEEDS.copy()
-    for part in values.reshape(BANDS, -1).T:
+    for part in values[: BANDS * ROWS].reshape(BANDS, ROWS).T:
         key = _mix(key ^ part) * U64(0x9E3779B97F4A7C15)
     return key.view(np.int64)
 
@@ -108,25 +97,23 @@ def _bits(values: np.ndarray) -> np.ndarray:
 SKETCHES = pa.schema(
     [
         ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-        ("s1", pa.int64()), ("s2", pa.int64()), ("keys", pa.list_(pa.int64())),
+        ("bits", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())),
     ]
 )
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = _WordHashes()
     for batch in batches:
         rows = []
         for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-            members = shingle_set(text.as_py(), known)
+            members = shingle_set(text.as_py())
             if not len(members):
-                rows.append((doc, 0, None, None, None, None, None))
+                rows.append((doc, 0, None, None, None, None))
                 continue
             digest = np.frombuffer(xxhash.xxh3_128_digest(members.tobytes()), np.int64)
             values = sketch(members)
-            bits = _bits(values)
-            rows.append((doc, len(members), int(digest[0]), int(digest[1]), int(bits[0]), int(bits[1]), _bands(values)))
-        columns = list(zip(*rows, strict=True)) or [[]] * 7
+            rows.append((doc, len(members), int(digest[0]), int(digest[1]), _bits(values), _bands(values)))
+        columns = list(zip(*rows, strict=True)) or [[]] * 6
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(columns, SKETCHES, strict=True)], schema=SKETCHES
         )
@@ -134,15 +121,15 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, digest of the set, single bits of the sketch, band keys) per document."""
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
+    return arrow(
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")),
         _sketch_batches,
-        "doc_id long, n_shingles long, d1 long, d2 long, s1 long, s2 long, keys array<long>",
+        "doc_id long, n_shingles long, d1 long, d2 long, bits array<long>, keys array<long>",
     )
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with both whole texts; keeps those whose sets are similar enough."""
-    known = _WordHashes()
     last: tuple[int | None, np.ndarray] = (None, np.empty(0, U64))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     for batch in batches:
@@ -151,8 +138,8 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch["a"].to_pylist(), batch["b"].to_pylist(), batch["left"], batch["right"], strict=True
         ):
             if last[0] != a:
-                last = (a, shingle_set(left.as_py(), known))
-            other = shingle_set(right.as_py(), known)
+                last = (a, shingle_set(left.as_py()))
+            other = shingle_set(right.as_py())
             common = len(np.intersect1d(last[1], other, assume_unique=True))
             if 100 * common >= PERCENT * (len(last[1]) + len(other) - common):
                 found.append((a, b))
@@ -175,14 +162,18 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             F.max(F.when(F.col("side") == 1, F.col("text"))).alias("right"),
         )
     )
-    return both.mapInArrow(_confirm, "a long, b long")
+    return arrow(both, _confirm, "a long, b long")
 
 
-def _alike(left: str, right: str):
-    """Sizes and sketch bits do not rule the pair out."""
-    sizes = (100 * F.least(f"{left}.n", f"{right}.n")) >= PERCENT * F.greatest(f"{left}.n", f"{right}.n")
-    unlike = sum(F.bit_count(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))) for s in ("s1", "s2"))
-    return sizes & (unlike <= COORDINATES - LEAST_BITS)
+def _sizes(x: str, y: str) -> Column:
+    """The sets' sizes alone don't rule the pair out."""
+    return (100 * F.least(x, y)) >= PERCENT * F.greatest(x, y)
+
+
+def _bits_alike(x: str, y: str) -> Column:
+    """The sketches' single bits don't rule the pair out."""
+    differing = sum(F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i))) for i in range(COORDINATES // 64))
+    return differing <= COORDINATES - LEAST_BITS
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -194,10 +185,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     1. Texts with equal sets form a class, named by its smallest id; only that one goes on.
     2. Classes that share a band of four sketch coordinates meet. A pair at the threshold shares none of
        the 32 bands with a probability of 5e-6, at 0.8 of 5e-8. In each bucket all members meet the
-       smallest one; sizes and sketch bits rule out most false pairs, whole texts confirm the rest.
-    3. Buckets that are not yet one component: every member outside the most frequent component meets
-       every member of another component. Then no pair of a bucket is left that could join two
-       components, and a group of n near copies costs about n pairs, not n * n.
+       smallest one; sizes and 1,024 sketch bits rule out most false pairs, whole texts confirm the rest.
+    3. Buckets that are not yet one component: every member outside the most frequent component is held
+       against every member of another component, by sizes and sketch bits within the join; whole texts
+       confirm the pairs that are left. Then no pair of a bucket is left that could join two components, and
+       a group of n near copies costs about n confirmed pairs, not n * n.
 
     Nothing is capped or sampled. A null or empty text, or one without words, has an empty set and is its
     own component. Equal rows give equal results; a row with a null id links with nothing and is kept. An
@@ -207,40 +199,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signs = saved(sketches(docs), "sketches")
     classes = signs.where("d1 IS NOT NULL AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     members = signs.join(classes, ["d1", "d2"])
-    buckets = (
-        members.where("doc_id = rep")
-        .dropDuplicates(["doc_id"])
-        .select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s1", "s2")
-    )
-    hub = F.min(F.struct("id", "n", "s1", "s2"))
+    named = members.where("doc_id = rep").dropDuplicates(["doc_id"])
+    buckets = named.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"))
     crowded = (
-        buckets.groupBy("key").agg(hub.alias("hub"), F.count("*").alias("size")).where("size > 1")
+        buckets.groupBy("key")
+        .agg(F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"), F.count("*").alias("size"))
+        .where("size > 1")
     )
     met = saved(buckets.join(crowded, "key"), "buckets")
-    star = met.where("id <> hub.id").select(
-        F.struct("id", "n", "s1", "s2").alias("x"), F.col("hub").alias("y")
-    ).where(_alike("x", "y"))
-    pairs = saved(star.select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).distinct(), "pairs")
+    bits = signs.where("d1 IS NOT NULL").select(F.col("doc_id").alias("id"), "bits").dropDuplicates(["id"])
+    star = met.where("id <> hub").where(_sizes("n", "hub_n")).select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    pairs = saved(
+        star.distinct()
+        .join(bits.select(F.col("id").alias("a"), F.col("bits").alias("bits_a")), "a")
+        .join(bits.select(F.col("id").alias("b"), F.col("bits").alias("bits_b")), "b")
+        .where(_bits_alike("bits_a", "bits_b"))
+        .select("a", "b"),
+        "pairs",
+    )
     links = saved(confirmed(pairs, docs), "links")
     labels = connected_components(links)
 
     inside = saved(
-        met.where("size > 2").drop("hub", "size")
+        met.where("size > 2").select("key", "id", "n")
         .join(labels, "id", "left")
-        .withColumn("component", F.coalesce("component_id", "id")).drop("component_id"),
+        .select("key", "id", "n", F.coalesce("component_id", "id").alias("component")),
         "inside",
     )
     mixed = inside.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     if not mixed.isEmpty():
-        counts = inside.join(mixed.select("key"), "key").groupBy("key", "component").count()
-        main = counts.groupBy("key").agg(F.max(F.struct("count", "component")).alias("m")).select("key", "m.component")
-        held = inside.join(main.withColumnRenamed("component", "main"), "key")
-        x = held.where("component <> main").select("key", F.struct("id", "n", "s1", "s2", "component").alias("x"))
-        y = inside.select("key", F.struct("id", "n", "s1", "s2", "component").alias("y"))
+        counts = inside.groupBy("key", "component").count()
+        main = counts.join(mixed, "key").groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+        held = saved(inside.join(main, "key").join(bits, "id"), "held")
+        x = held.where("component <> main").select("key", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "component", "bits")])
+        y = held.select("key", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "component", "bits")])
         more = (
             x.join(y, "key")
-            .where((F.col("x.component") != F.col("y.component")) & _alike("x", "y"))
-            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+            .where("component_x <> component_y")
+            .where(_sizes("n_x", "n_y") & _bits_alike("bits_x", "bits_y"))
+            .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
             .distinct()
             .join(pairs, ["a", "b"], "left_anti")
         )
@@ -248,8 +245,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if not added.isEmpty():
             labels = connected_components(links.union(added))
 
-    named = labels.withColumnRenamed("id", "rep")
-    found = members.select("doc_id", "rep").distinct().join(named, "rep", "left").select(
+    found = members.select("doc_id", "rep").distinct().join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "doc_id", F.coalesce("component_id", "rep").alias("found")
     )
     out = signs.select("doc_id", "n_shingles").join(found, "doc_id", "left")
