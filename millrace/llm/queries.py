@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, fast_minhash, quality_rules, token_counts
+from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, token_counts
 from millrace.llm.tables import table
 
 TOKEN_LIMIT = 4096
@@ -39,9 +39,15 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = host_suffixes.main_text(table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_html_text": op9_html_text,
 }
