@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, token_counts
+from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, token_counts, warc_zip
 from millrace.llm.tables import table
 
 TOKEN_LIMIT = 4096
@@ -21,6 +21,12 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_zip.round_trip(table(spark, folder, "pages"), least=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return fast_minhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -46,6 +52,7 @@ def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_warc_zip": op3_warc_zip,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
