@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, token_counts, warc_zip
+from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, secret_forest, token_counts, warc_zip
 from millrace.llm.tables import table
 
 TOKEN_LIMIT = 4096
@@ -27,6 +27,12 @@ def op3_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_forest.findings(table(spark, folder, "documents")).select(
+        "doc_id", "at", F.col("core").alias("finding"), F.round("probability", 6).alias("probability"), "is_secret"
+    )
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return fast_minhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -53,6 +59,7 @@ def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_warc_zip": op3_warc_zip,
+    "op4_secret_scan": op4_secret_scan,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
