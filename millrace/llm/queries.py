@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, secret_forest, token_counts, warc_zip
+from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, secret_forest, source_mixing, token_counts, warc_zip
 from millrace.llm.tables import table
 
 TOKEN_LIMIT = 4096
@@ -21,6 +21,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mixing.mixed(table(spark, folder, "documents"))
+
+
 def op3_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
     return warc_zip.round_trip(table(spark, folder, "pages"), least=0).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -58,6 +62,7 @@ def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_source_mixing": op2_source_mixing,
     "op3_warc_zip": op3_warc_zip,
     "op4_secret_scan": op4_secret_scan,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millrace.llm.mixing_sql import MIXING
 from millrace.llm.quality_sql import QUALITY
 
 NEAR_DUPLICATES = r"""
@@ -34,6 +35,7 @@ WITH RECURSIVE texts AS (
 
 SQL: dict[str, str] = {
     "op1_quality_rules": QUALITY,
+    "op2_source_mixing": MIXING,
     "op6_minhash_near_dedup": NEAR_DUPLICATES.format(docs="documents")
     + "SELECT *, component_id = doc_id AS kept FROM near",
 }
