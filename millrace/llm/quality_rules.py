@@ -64,12 +64,8 @@ def _count(text: Column, kind: str) -> Column:
     return (F.size(F.split(text, kind)) - 1).cast("long")
 
 
-def signals(docs: DataFrame) -> DataFrame:
-    """One narrow row per document: doc_id and the counts that the rules read.
-
-    A null or empty text has no words; every count is 0. Texts are read whole.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
+def _signals(text: Column) -> Column:
+    """The counts that the rules read, as one struct. A null or empty text has no words; every count is 0."""
 
     def measured(t: Column, words: Column) -> Column:
         lines = F.filter(F.split(t, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
@@ -85,8 +81,20 @@ def signals(docs: DataFrame) -> DataFrame:
             _count(t, "!").alias("n_shouts"),
         )
 
-    made = let(text, lambda t: let(words_of(t), lambda words: measured(t, words)))
-    return docs.select(F.col("doc_id"), made.alias("s")).select("doc_id", "s.*")
+    return let(F.coalesce(text, F.lit("")), lambda t: let(words_of(t), lambda words: measured(t, words)))
+
+
+def signals(docs: DataFrame) -> DataFrame:
+    """One narrow row per document: doc_id and the counts. Texts are read whole."""
+    return docs.select("doc_id", _signals(F.col("text")).alias("s")).select("doc_id", "s.*")
+
+
+def _base_failed() -> Column:
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))
+
+
+def _votes() -> Column:
+    return F.array(*[vote.cast("int") for vote in rules().values()])
 
 
 def _percent(part: str, whole: str, least: int) -> Column:
@@ -196,7 +204,12 @@ def fitted(votes: DataFrame, n_rules: int) -> DataFrame:
     Documents enter as counts of vote patterns. Their number depends on the rules alone (at most 2^7 * 3^4
     for the rules here), so one row holds them all, whatever the size of the corpus.
     """
-    counts = votes.groupBy("v").agg(F.count("*").alias("n"))
+    return fitted_counts(votes.groupBy("v").count(), n_rules)
+
+
+def fitted_counts(patterns: DataFrame, n_rules: int) -> DataFrame:
+    """The same from (v, count)."""
+    counts = patterns.select("v", F.col("count").alias("n"))
     ordered = F.sort_array(F.collect_list(F.struct("v", "n")))
     model = counts.agg(ordered.alias("patterns")).select("patterns", _fit(n_rules).alias("model"))
     scored = model.select(
@@ -214,15 +227,24 @@ def judged(docs: DataFrame) -> DataFrame:
     from. A null or empty text fails the base. Equal rows and null ids are judged row by row; an empty
     table gives no rows.
     """
-    named = rules()
-    seen = saved(
-        signals(docs).withColumn("v", F.array(*[vote.cast("int") for vote in named.values()])), "quality-signals"
-    )
+    seen = saved(signals(docs).withColumn("v", _votes()), "quality-signals")
     # One row per pattern that occurs: a few thousand at most, by the number of rules.
-    scores = F.broadcast(saved(fitted(seen, len(named)), "quality-scores"))
-    base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))
+    scores = F.broadcast(saved(fitted(seen, len(rules())), "quality-scores"))
     return (
         seen.join(scores, "v")
-        .withColumn("base_failed", base)
+        .withColumn("base_failed", _base_failed())
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM))
     )
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The documents that :func:`judged` keeps, row by row and with their columns as they are.
+
+    The verdict needs a row's own counts and the fitted scores alone, so texts are read twice and never
+    shuffled, and rows need no id of their own.
+    """
+    patterns = saved(signals(docs).select(_votes().alias("v")).groupBy("v").count(), "quality-votes")
+    scores = saved(fitted_counts(patterns, len(rules())), "quality-scores")
+    whole = docs.select(F.struct(*docs.columns).alias("document"), _signals(F.col("text")).alias("s")).select("document", "s.*")
+    judged_rows = whole.withColumn("v", _votes()).join(F.broadcast(scores), "v")
+    return judged_rows.where(~_base_failed() & (F.col("quality") >= KEEP_FROM)).select("document.*")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, secret_forest, source_mixing, token_counts, warc_zip
+from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, secret_forest, source_mixing, subspace_join, token_counts, warc_zip
 from millrace.llm.tables import table
 
 TOKEN_LIMIT = 4096
@@ -37,6 +37,10 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return subspace_join.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return fast_minhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_warc_zip": op3_warc_zip,
     "op4_secret_scan": op4_secret_scan,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,

@@ -189,17 +189,20 @@ def masked(docs: DataFrame, model=None) -> DataFrame:
     """The documents, with every secret in their texts replaced by ``<secret>``; the columns stay as they are.
 
     ``n_chars``, where there is such a column, follows the new text. Nothing is dropped: documents without a
-    secret pass through.
+    secret pass through. Rows that share an id, or have none, share its secrets.
     """
     secrets = (
         findings(docs, model).where("is_secret").groupBy(F.col("doc_id").alias("found_in")).agg(F.collect_set("core").alias("secrets"))
     )
-    joined = docs.join(secrets, docs["doc_id"] == secrets["found_in"], "left")
+    joined = docs.select(F.struct(*docs.columns).alias("document"), F.col("doc_id").alias("own_id")).join(
+        secrets, F.col("own_id").eqNullSafe(F.col("found_in")), "left"
+    )
+    text = F.col("document.text")
     longest_first = F.reverse(F.array_sort(F.transform("secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))
-    clean = F.when(F.col("secrets").isNull(), F.col("text")).otherwise(
-        F.aggregate(longest_first, F.col("text"), lambda t, s: F.replace(t, s.s, F.lit(MASK)))
+    clean = F.when(F.col("secrets").isNull(), text).otherwise(
+        F.aggregate(longest_first, text, lambda t, s: F.replace(t, s.s, F.lit(MASK)))
     )
-    out = {"text": clean}
-    if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("secrets").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast("long"))
-    return joined.withColumns(out).select(docs.columns)
+    out = {c: F.col(f"document.`{c}`") for c in docs.columns} | {"text": clean}
+    if "n_chars" in out:
+        out["n_chars"] = F.when(F.col("secrets").isNull(), out["n_chars"]).otherwise(F.length(clean).cast("long"))
+    return joined.select(*[c.alias(name) for name, c in out.items()])

@@ -108,3 +108,20 @@ def mixed(docs: DataFrame, weights: dict[str | None, int] | None = None, block_r
         F.ceil((F.col("block") + 1) * q / F.col("weight")).alias("deadline"),
         (F.col("turn") * q + F.col("at")).alias("slot"),
     )
+
+
+def in_mixture_order(docs: DataFrame, weights: dict[str | None, int] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """All documents, with their columns, dealt and sorted by their place in the mixture.
+
+    Parts follow each other in the order of slots, and rows within a part, so files written from this hold the
+    mixture in order. Rows without a slot (their source has no target, or they have no id) come last.
+    """
+    places = mixed(docs, weights, block_rows).where("doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("placed_id"), F.struct(F.col("slot").isNull().alias("last"), "slot", "number").alias("place")
+    ).dropDuplicates(["placed_id"])
+    rows = docs.select(F.struct(*docs.columns).alias("document"), F.col("doc_id").alias("own_id"))
+    ordered = rows.join(places, F.col("own_id") == F.col("placed_id"), "left").select(
+        "document", F.coalesce(F.col("place.last"), F.lit(True)).alias("last"), "place.slot", "place.number"
+    )
+    keys = ["last", "slot", "number"]
+    return ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).select("document.*")
