@@ -256,3 +256,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each component, with its columns; rows without an id all stay."""
+    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("document"), F.col("doc_id").alias("own_id"))
+    found = rows.join(kept, F.col("own_id") == F.col("kept_id"), "left_semi").dropDuplicates(["own_id"])
+    return found.select("document.*").union(docs.where("doc_id IS NULL"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, secret_forest, source_mixing, subspace_join, token_counts, warc_zip
+from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, secret_forest, source_mixing, subspace_join, token_counts, tool_calls, warc_zip
 from millrace.llm.tables import table
 
 TOKEN_LIMIT = 4096
@@ -64,6 +64,54 @@ def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+TOOLS = {
+    "lookup": {"key": {"type": "string", "required": True}, "of": {"type": "string"}},
+    "search": {
+        "limit": {"type": "integer", "required": True, "minimum": 1, "maximum": 10},
+        "query": {"type": "string", "required": True},
+    },
+    "translate": {
+        "lang": {"type": "string", "required": True, "enum": ["de", "en", "es", "fr"]},
+        "text": {"type": "string", "required": True},
+    },
+}
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """The conversations as an agent's log: each assistant turn asks for a tool, the user's next one answers.
+
+    The tool and its arguments follow from the turn's whole text. A third of the calls looks something up that
+    an earlier call of the conversation gave, where there is one. Some arguments break the tool's schema.
+    """
+    n = F.length("text")
+    call_id = F.concat_ws("_", F.lit("call"), F.col("conv_id"), F.col("turn"))
+    earlier = F.when(
+        F.floor(F.col("turn") / 2) % 3 != 0, F.concat_ws("_", F.lit("$ref:call"), F.col("conv_id"), F.col("turn") - 2)
+    )
+    search = F.to_json(F.struct((n % 13).alias("limit"), F.col("text").alias("query")))
+    lookup = F.to_json(F.struct(F.md5(F.col("text").cast("binary")).alias("key"), earlier.alias("of")))
+    lang = F.element_at(F.array(*map(F.lit, ["de", "en", "es", "fr", "xx"])), (n % 5 + 1).cast("int"))
+    translate = F.to_json(F.struct(F.col("text"), lang.alias("lang")))
+    kind = n % 3
+    call = F.concat(
+        F.lit('[{"id":"'), call_id, F.lit('","name":"'),
+        F.when(kind == 0, "search").when(kind == 1, "lookup").otherwise("translate"), F.lit('","arguments":'),
+        F.when(kind == 0, search).when(kind == 1, lookup).otherwise(translate), F.lit("}]"),
+    )
+    asks = F.col("role") == "assistant"
+    answers = (F.col("role") == "user") & (F.col("turn") > 0)
+    answered = F.when(n % 7 == 0, F.lit("none")).otherwise((F.col("turn") - 1).cast("string"))
+    return conversations.select(
+        "conv_id", "turn", F.when(answers, "tool").otherwise(F.col("role")).alias("role"),
+        F.when(~asks | (kind == 1), F.col("text")).alias("content"), F.when(asks, call).alias("tool_calls"),
+        F.when(answers, F.concat_ws("_", F.lit("call"), F.col("conv_id"), answered)).alias("tool_call_id"),
+    )
+
+
+def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    return tool_calls.formatted(tool_messages(table(spark, folder, "conversations")), TOOLS)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
@@ -74,4 +122,5 @@ QUERIES: dict[str, Query] = {
     "op7_token_counts": op7_token_counts,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_text": op9_html_text,
+    "op10_tool_calls": op10_tool_calls,
 }

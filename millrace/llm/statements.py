@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millrace.llm.chats_sql import CHATS
 from millrace.llm.mixing_sql import MIXING
 from millrace.llm.quality_sql import QUALITY
 from millrace.llm.vectors_sql import VECTORS
@@ -38,6 +39,7 @@ SQL: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op2_source_mixing": MIXING,
     "op5_embedding_near_dedup": VECTORS,
+    "op10_tool_calls": CHATS,
     "op6_minhash_near_dedup": NEAR_DUPLICATES.format(docs="documents")
     + "SELECT *, component_id = doc_id AS kept FROM near",
 }
