@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import connected_components
-from millrace.llm.tables import arrow, saved
+from millrace.llm.tables import arrow, saved, whole_row
 
 WORDS_PER_SHINGLE = 5
 PERCENT = 75
@@ -261,6 +261,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component, with its columns; rows without an id all stay."""
     kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("document"), F.col("doc_id").alias("own_id"))
+    rows = docs.select(whole_row(docs).alias("document"), F.col("doc_id").alias("own_id"))
     found = rows.join(kept, F.col("own_id") == F.col("kept_id"), "left_semi").dropDuplicates(["own_id"])
     return found.select("document.*").union(docs.where("doc_id IS NULL"))

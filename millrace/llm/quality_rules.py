@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.tables import let, saved
+from millrace.llm.tables import let, saved, whole_row
 
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
@@ -245,6 +245,6 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """
     patterns = saved(signals(docs).select(_votes().alias("v")).groupBy("v").count(), "quality-votes")
     scores = saved(fitted_counts(patterns, len(rules())), "quality-scores")
-    whole = docs.select(F.struct(*docs.columns).alias("document"), _signals(F.col("text")).alias("s")).select("document", "s.*")
+    whole = docs.select(whole_row(docs).alias("document"), _signals(F.col("text")).alias("s")).select("document", "s.*")
     judged_rows = whole.withColumn("v", _votes()).join(F.broadcast(scores), "v")
     return judged_rows.where(~_base_failed() & (F.col("quality") >= KEEP_FROM)).select("document.*")

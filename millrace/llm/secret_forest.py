@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.tables import let, saved
+from millrace.llm.tables import let, quoted, saved, whole_row
 
 # What may be a secret: a run of key characters, 16 or more.
 CORE = r"[A-Za-z0-9_+/\-]{16,}={0,2}"
@@ -194,7 +194,7 @@ def masked(docs: DataFrame, model=None) -> DataFrame:
     secrets = (
         findings(docs, model).where("is_secret").groupBy(F.col("doc_id").alias("found_in")).agg(F.collect_set("core").alias("secrets"))
     )
-    joined = docs.select(F.struct(*docs.columns).alias("document"), F.col("doc_id").alias("own_id")).join(
+    joined = docs.select(whole_row(docs).alias("document"), F.col("doc_id").alias("own_id")).join(
         secrets, F.col("own_id").eqNullSafe(F.col("found_in")), "left"
     )
     text = F.col("document.text")
@@ -202,7 +202,7 @@ def masked(docs: DataFrame, model=None) -> DataFrame:
     clean = F.when(F.col("secrets").isNull(), text).otherwise(
         F.aggregate(longest_first, text, lambda t, s: F.replace(t, s.s, F.lit(MASK)))
     )
-    out = {c: F.col(f"document.`{c}`") for c in docs.columns} | {"text": clean}
+    out = {c: F.col("document." + quoted(c)) for c in docs.columns} | {"text": clean}
     if "n_chars" in out:
         out["n_chars"] = F.when(F.col("secrets").isNull(), out["n_chars"]).otherwise(F.length(clean).cast("long"))
     return joined.select(*[c.alias(name) for name, c in out.items()])

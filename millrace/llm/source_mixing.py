@@ -8,7 +8,7 @@ from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.tables import saved
+from millrace.llm.tables import saved, whole_row
 
 BLOCK_ROWS = 16
 # Slots of one period at most: the weights' resolution times the number of sources.
@@ -119,7 +119,7 @@ def in_mixture_order(docs: DataFrame, weights: dict[str | None, int] | None = No
     places = mixed(docs, weights, block_rows).where("doc_id IS NOT NULL").select(
         F.col("doc_id").alias("placed_id"), F.struct(F.col("slot").isNull().alias("last"), "slot", "number").alias("place")
     ).dropDuplicates(["placed_id"])
-    rows = docs.select(F.struct(*docs.columns).alias("document"), F.col("doc_id").alias("own_id"))
+    rows = docs.select(whole_row(docs).alias("document"), F.col("doc_id").alias("own_id"))
     ordered = rows.join(places, F.col("own_id") == F.col("placed_id"), "left").select(
         "document", F.coalesce(F.col("place.last"), F.lit(True)).alias("last"), "place.slot", "place.number"
     )

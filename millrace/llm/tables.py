@@ -51,9 +51,13 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def column(frame: DataFrame, name: str) -> Column:
-    """A column by its plain name, whatever characters are in it."""
-    return frame["`" + name.replace("`", "``") + "`"]
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(frame: DataFrame) -> Column:
+    """All columns as one struct, so that no name of theirs meets a name of ours."""
+    return F.struct(*[F.col(quoted(c)).alias(c) for c in frame.columns])
 
 
 # Applications that have been sent the package already.
