@@ -18,8 +18,8 @@ COORDINATES = 1024
 BANDS = 32
 ROWS = 4
 # Two sets at the threshold agree in 7/8 of their sketches' single bits on average (a coordinate that
-# differs still agrees by chance), with a deviation of 1 %. 842 of 1024 is over five deviations below.
-LEAST_BITS = 842
+# differs still agrees by chance), with a deviation of 0.9 %. 850 of 1024 is five deviations below.
+LEAST_BITS = 850
 
 U64 = np.uint64
 
@@ -185,7 +185,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     1. Texts with equal sets form a class, named by its smallest id; only that one goes on.
     2. Classes that share a band of four sketch coordinates meet. A pair at the threshold shares none of
        the 32 bands with a probability of 5e-6, at 0.8 of 5e-8. In each bucket all members meet the
-       smallest one; sizes and 1,024 sketch bits rule out most false pairs, whole texts confirm the rest.
+       most central one, whose buckets are the largest: the least changed copy of a group is in most of them.
+       Sizes and 1,024 sketch bits rule out most false pairs, whole texts confirm the rest.
     3. Buckets that are not yet one component: every member outside the most frequent component is held
        against every member of another component, by sizes and sketch bits within the join; whole texts
        confirm the pairs that are left. Then no pair of a bucket is left that could join two components, and
@@ -201,12 +202,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = signs.join(classes, ["d1", "d2"])
     named = members.where("doc_id = rep").dropDuplicates(["doc_id"])
     buckets = named.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"))
-    crowded = (
-        buckets.groupBy("key")
-        .agg(F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"), F.count("*").alias("size"))
-        .where("size > 1")
-    )
-    met = saved(buckets.join(crowded, "key"), "buckets")
+    crowded = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = saved(buckets.join(crowded, "key"), "buckets")
+    central = shared.groupBy("id").agg(F.sum("size").alias("weight"))
+    hubs = (
+        shared.join(central, "id").groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"), "n")).alias("top"))
+        .select("key", (-F.col("top.id")).alias("hub"), F.col("top.n").alias("hub_n"))
+    )
+    met = saved(shared.join(hubs, "key"), "met")
     bits = signs.where("d1 IS NOT NULL").select(F.col("doc_id").alias("id"), "bits").dropDuplicates(["id"])
     star = met.where("id <> hub").where(_sizes("n", "hub_n")).select(F.col("hub").alias("a"), F.col("id").alias("b"))
     pairs = saved(
@@ -239,7 +242,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .where(_sizes("n_x", "n_y") & _bits_alike("bits_x", "bits_y"))
             .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
             .distinct()
-            .join(pairs, ["a", "b"], "left_anti")
+            .join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         )
         added = saved(confirmed(saved(more, "pairs"), docs), "links")
         if not added.isEmpty():
