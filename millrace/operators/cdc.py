@@ -30,7 +30,7 @@ def row_image(changes: DataFrame) -> DataFrame:
     )
 
 
-def flatten(changes: DataFrame, id_field: str = "id") -> DataFrame:
+def flatten(changes: DataFrame, id_field: str = "id", extra: list[Column] = ()) -> DataFrame:
     """One flat record per change, named by row id and time."""
     return changes.select(
         F.concat_ws("_", image()[id_field], F.col("ts_ms").cast("string")).alias("id_ts"),
@@ -40,14 +40,23 @@ def flatten(changes: DataFrame, id_field: str = "id") -> DataFrame:
         keys.map_text(F.col("before")).alias("before"),
         keys.map_text(F.col("after")).alias("after"),
         F.col("ts_ms").cast("string").alias("ts"),
+        *extra,
     )
 
 
 def audit_latest(changes: DataFrame) -> DataFrame:
-    """Audit table of changes, one row per table and record name; a repeated change overwrites."""
+    """Audit table of changes, one row per table and record name; a repeated change overwrites.
+
+    Changes of one row in the same millisecond share a name. The one that is later in the log stays, by
+    ``seq`` where the changes carry it; without it a delete is taken to be the last and a snapshot row the
+    first, as nothing is done to a row that is gone or not yet there.
+    """
     flat = flatten(changes)
-    rest = [c for c in flat.columns if c not in ("table_name", "id_ts")]
-    return latest_per_key(flat, ["table_name", "id_ts"], ["ts", *[c for c in rest if c != "ts"]])
+    turn = F.when(F.col("op") == "d", 3).when(F.col("op") == "u", 2).when(F.col("op") == "c", 1).otherwise(0)
+    at = F.col("seq") if "seq" in changes.columns else F.lit(0)
+    placed = flatten(changes, extra=[at.cast("bigint").alias("__at")]).withColumn("__turn", turn)
+    latest = latest_per_key(placed, ["table_name", "id_ts"], ["__at", "__turn", "before", "after", "database"])
+    return latest.select(*flat.columns)
 
 
 def config_current(changes: DataFrame, key: str, order: list[str]) -> DataFrame:

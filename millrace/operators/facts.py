@@ -36,12 +36,20 @@ def detail_extras(activities: DataFrame, coupons: DataFrame) -> DataFrame:
     ).select("order_detail_id", "activity.activity_id", "activity.activity_rule_id", "coupon.coupon_id")
 
 
+def latest_orders(orders: DataFrame) -> DataFrame:
+    """User and province of each order in its latest version; every status change sends a new one."""
+    version = F.struct(*[c for c in ("ts", "user_id", "province_id") if c in orders.columns])
+    latest = orders.groupBy("id").agg(F.max(version).alias("__version"))
+    return latest.select("id", "__version.user_id", "__version.province_id")
+
+
 def order_detail_wide(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> DataFrame:
     """Order details with the order's user and province and the detail's activity and coupon.
 
     Activity and coupon are taken in their latest version per detail, so a repeated detail never
-    multiplies with repeated activities. Both come from one table by detail id, the order by order
-    id: two shuffles of the details, with heavy ids split in each.
+    multiplies with repeated activities; the order is taken in its latest version, too. Activity and coupon
+    come from one table by detail id, the order by order id: two shuffles of the details, nothing is counted
+    before.
     """
     extras = ["activity_id", "activity_rule_id", "coupon_id"]
     wide = spread_lookup(
@@ -49,11 +57,10 @@ def order_detail_wide(details: DataFrame, orders: DataFrame, activities: DataFra
     )
     wide = spread_lookup(
         wide,
-        orders,
+        latest_orders(orders),
         {"order_id": "id"},
         {"user_id": "user_id", "province_id": "province_id"},
         "inner",
-        counted=details,
     )
     return wide.select(
         "id",
@@ -73,24 +80,19 @@ def order_detail_wide(details: DataFrame, orders: DataFrame, activities: DataFra
 
 
 def order_cancellations(changes: DataFrame) -> DataFrame:
-    """Orders that went from unpaid to cancelled."""
+    """Orders that went from unpaid to cancelled, once per order with the latest cancellation."""
     cancelled = cdc.status_became(changes, "order_info", "order_status", CANCELLED, UNPAID)
-    return cancelled.select(
-        F.col("after")["id"].alias("id"),
-        times.millis_to_timestamp(F.col("after")["operate_time"].try_cast("bigint")).alias("operate_ts"),
-    )
+    at = times.millis_to_timestamp(F.col("after")["operate_time"].try_cast("bigint"))
+    return cancelled.groupBy(F.col("after")["id"].alias("id")).agg(F.max(at).alias("operate_ts"))
 
 
-def order_cancel_detail(wide: DataFrame, changes: DataFrame, within: Column | None = None, counted: DataFrame | None = None) -> DataFrame:
+def order_cancel_detail(wide: DataFrame, changes: DataFrame, within: Column | None = None) -> DataFrame:
     """Details of cancelled orders; an order is cancelled once.
 
     ``within`` is an optional condition on ``ts`` and ``operate_ts``, the retention of old details.
-    ``counted`` is a cheaper frame with the details' order ids, to find heavy orders in.
     """
     cancelled = order_cancellations(changes)
-    joined = spread_lookup(
-        wide, cancelled, {"order_id": "id"}, {"operate_ts": "operate_ts"}, "inner", counted
-    )
+    joined = spread_lookup(wide, cancelled, {"order_id": "id"}, {"operate_ts": "operate_ts"}, "inner")
     if within is not None:
         joined = joined.where(within)
     return joined.select(
@@ -134,19 +136,13 @@ def payment_detail(
     dictionary: DataFrame,
     lower: int = PAYMENT_LOWER,
     upper: int = PAYMENT_UPPER,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Paid order details: interval join of payment and detail, then the name of the payment type.
-
-    ``counted`` is a cheaper frame with the details' order ids and times, to find heavy orders in.
-    """
+    """Paid order details: interval join of payment and detail, then the name of the payment type."""
     paid = payments.select(
         "order_id", F.md5("payment_type").alias("payment_type_code"), F.col("ts").alias("callback_ts")
     )
     detail = details.withColumnRenamed("id", "order_detail_id")
-    joined = interval_join(
-        paid, detail, ["order_id"], "callback_ts", "ts", lower, upper, detail if counted is None else counted
-    )
+    joined = interval_join(paid, detail, ["order_id"], "callback_ts", "ts", lower, upper)
     named = enrich(
         joined,
         flat_dictionary(dictionary),
@@ -199,7 +195,6 @@ def refund_payment_detail(refunds: DataFrame, refund_infos: DataFrame, orders: D
         {"order_id": "id"},
         {"user_id": "user_id", "province_id": "province_id"},
         "inner",
-        counted=refunds,
     )
     coded = joined.withColumn("payment_type", F.md5("payment_type"))
     named = enrich(
@@ -268,8 +263,7 @@ def comment_dic_left(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
 def comment_order_interval(comments: DataFrame, orders: DataFrame, lower: int = -60, upper: int = 60) -> DataFrame:
     """Comments with their order (``info_`` columns) when both happened within the interval."""
     info = prefixed(orders, "info_").withColumn("order_id", F.col("info_id"))
-    # One order meets many comments, so the comments are the side whose heavy orders are split.
-    joined = interval_join(info, comments, ["order_id"], "info_ts", "ts", -upper, -lower, comments)
+    joined = interval_join(info, comments, ["order_id"], "info_ts", "ts", -upper, -lower)
     return joined.withColumn("ds", times.day_stamp(F.col("ts")))
 
 
@@ -293,4 +287,4 @@ def order_detail_interval(orders: DataFrame, details: DataFrame, lower: int = -1
         "split_total_amount",
         F.col("ts").alias("detail_ts"),
     )
-    return interval_join(order, detail, ["order_id"], "create_ts", "detail_ts", lower, upper, detail)
+    return interval_join(order, detail, ["order_id"], "create_ts", "detail_ts", lower, upper)

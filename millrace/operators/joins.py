@@ -3,35 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
 
 from millrace.operators.running import has_map
 
-# A lookup table is broadcast only when it was counted and is below both bounds.
+# A lookup table is broadcast only when it was measured and is below both bounds.
 BROADCAST_ROWS = 200_000
-BROADCAST_TEXT_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
-# A key with more rows is split into parts of about this size; at most so many keys are split.
-HEAVY_ROWS = 1_000_000
-HEAVY_KEYS = 1_000
-MOST_PARTS = 4_096
+# Over so many join keys rows without a key are dealt in a lookup that keeps them.
+NULL_PARTS = 8_192
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_TEXT_BYTES) -> DataFrame:
+def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark ``dim`` for broadcast after measuring it; a larger one is left to a shuffle join.
 
     Use it where the optimizer cannot see that a table is small, for instance after ``distinct``.
-    The measurement is one row of counts; no rows of the table come to the driver.
+    All columns count, whatever their type, by the length of their JSON. The measurement is one row of
+    sizes; no rows of the table come to the driver.
     """
     return broadcast_each_if_small([dim], max_rows, max_bytes)[0]
 
 
-def broadcast_each_if_small(dims: list[DataFrame], max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_TEXT_BYTES) -> list[DataFrame]:
+def broadcast_each_if_small(dims: list[DataFrame], max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> list[DataFrame]:
     """:func:`broadcast_if_small` for several tables, measured in one job."""
     sizes = None
     for place, dim in enumerate(dims):
-        texts = [f.name for f in dim.schema.fields if isinstance(f.dataType, T.StringType)]
-        width = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(0))
+        width = F.octet_length(F.to_json(F.struct(*dim.columns), {"ignoreNullFields": "false"}))
         measured = dim.agg(
             F.lit(place).alias("place"),
             F.count(F.lit(1)).alias("rows"),
@@ -42,18 +39,17 @@ def broadcast_each_if_small(dims: list[DataFrame], max_rows: int = BROADCAST_ROW
     return [F.broadcast(d) if place in small else d for place, d in enumerate(dims)]
 
 
-def measured_lookups(df: DataFrame, lookups: list[tuple[DataFrame, dict[str, str], dict[str, str]]], counted: DataFrame) -> DataFrame:
+def measured_lookups(df: DataFrame, lookups: list[tuple[DataFrame, dict[str, str], dict[str, str]]]) -> DataFrame:
     """Left lookups one after the other, each by the way its table's size asks for.
 
-    All tables are measured in one job. Small ones are broadcast; for a large one heavy keys are split,
-    found in ``counted`` where it has the key columns.
+    All tables are measured in one job. Small ones are broadcast, large ones joined by :func:`spread_lookup`.
     """
     dims = broadcast_each_if_small([dim for dim, _, _ in lookups])
     for measured, (dim, on, take) in zip(dims, lookups):
         if measured is not dim:
             df = enrich(df, measured, on, take)
         else:
-            df = spread_lookup(df, dim, on, take, counted=counted if set(on) <= set(counted.columns) else None)
+            df = spread_lookup(df, dim, on, take)
     return df
 
 
@@ -72,63 +68,30 @@ def enrich(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, st
     return df.join(picked, condition, how).drop(*[f"__k{i}" for i in range(len(on))])
 
 
-def heavy_keys(df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys with more than ``heavy_rows`` rows and the number of parts each is split into.
-
-    One aggregate over the key columns only. At most :data:`HEAVY_KEYS` keys come back, the largest
-    ones, so the result is safe to broadcast; a key that is not among them has few rows or less than a
-    thousandth of all rows, and is joined unsplit.
-    """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > heavy_rows)
-    largest = counted.orderBy(F.desc("__n"), *keys).limit(HEAVY_KEYS)
-    parts = F.least(F.ceil(F.col("__n") / heavy_rows), F.lit(MOST_PARTS)).cast("int")
-    return F.broadcast(largest.select(*[F.col(k).alias(f"__h_{k}") for k in keys], parts.alias("__parts")))
-
-
-def _with_parts(df: DataFrame, keys: list[str], heavy: DataFrame, heavy_names: list[str]) -> DataFrame:
-    """Add the columns of ``heavy`` to the rows of heavy keys, by a broadcast join."""
-    condition = [F.col(k) == F.col(h) for k, h in zip(keys, heavy_names)]
-    return df.join(heavy, condition, "left").drop(*heavy_names)
-
-
-def _part(df: DataFrame, parts: Column) -> Column:
-    """Part of a row: a hash of its values and of the task's number, so that copies spread too, and
-    a task that runs again gives the same parts."""
-    plain = [f.name for f in df.schema.fields if not has_map(f.dataType)]
-    mixed = F.xxhash64(*plain) + F.spark_partition_id() * 7919
-    return F.when(parts > 1, F.pmod(mixed, parts.cast("bigint")).cast("int")).otherwise(0)
-
-
 def spread_lookup(
-    df: DataFrame,
-    dim: DataFrame,
-    on: dict[str, str],
-    take: dict[str, str],
-    how: str = "left",
-    counted: DataFrame | None = None,
-    heavy_rows: int = HEAVY_ROWS,
+    df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, str], how: str = "left"
 ) -> DataFrame:
     """:func:`enrich` for two large tables where single keys of ``df`` may hold much of it.
 
-    Rows of heavy keys are dealt over several parts and the one dimension row of such a key is
-    repeated for each part; all other keys are joined as they are. ``counted`` names a cheaper frame
-    with the same key columns to count on.
+    One pass: nothing is counted before. A key with many rows makes a large partition, which adaptive
+    execution splits (``skewJoin``, forced by the session's settings), repeating the one dimension row. Rows
+    without a key can't be split so, as they match nothing; where the join keeps them they get a second key
+    out of a hash of their values and are dealt over all partitions.
     """
-    keys = list(on)
-    heavy = heavy_keys(df if counted is None else counted, keys, heavy_rows)
-    names = [f"__h_{k}" for k in keys]
-    rows = _with_parts(df, keys, heavy, names)
-    rows = rows.withColumn("__part", _part(df, F.coalesce("__parts", F.lit(1)))).drop("__parts")
     side = dim.select(
         *[F.col(d).alias(f"__k{i}") for i, d in enumerate(on.values())],
         *[F.col(c).alias(name) for c, name in take.items()],
     )
-    repeated = _with_parts(side, [f"__k{i}" for i in range(len(keys))], heavy, names)
-    repeated = repeated.withColumn(
-        "__kpart", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))
-    ).drop("__parts")
-    condition = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)] + [F.col("__part") == F.col("__kpart")]
-    joined = rows.join(repeated, condition, how)
+    condition = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(on)]
+    if how != "left":
+        return df.join(side, condition, how).select(*df.columns, *take.values())
+    missing = F.greatest(*[F.col(k).isNull() for k in on], F.lit(False))
+    plain = [f.name for f in df.schema.fields if not has_map(f.dataType)]
+    dealt = F.when(missing, 1 + F.pmod(F.xxhash64(*plain), F.lit(NULL_PARTS))).otherwise(0).cast("bigint")
+    rows = df.withColumn("__part", dealt)
+    # Zero, but not a constant: the optimizer would drop the second key for one.
+    zero = F.pmod(F.xxhash64("__k0"), F.lit(1).cast("bigint"))
+    joined = rows.join(side.withColumn("__kpart", zero), [*condition, F.col("__part") == F.col("__kpart")], how)
     return joined.select(*df.columns, *take.values())
 
 
@@ -140,18 +103,14 @@ def interval_join(
     right_ts: str,
     lower: int,
     upper: int,
-    counted: DataFrame | None = None,
-    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Inner join on ``on`` where ``left_ts + lower <= right_ts <= left_ts + upper`` (seconds).
 
     Time is cut into stretches as long as the interval. A right row lies in one stretch, a left row
     reaches at most two, so each matching pair meets exactly once and the join key (on, stretch)
-    spreads a hot key over time. ``on`` columns appear once in the result; other columns of the two
+    spreads a hot key over time; adaptive execution splits what is still large. Rows without a key are
+    left out before the shuffle. ``on`` columns appear once in the result; other columns of the two
     sides must not share names.
-
-    With ``counted``, a frame with the ``on`` and ``right_ts`` columns of the right side, (on, stretch)
-    groups that are heavy there are also dealt over parts, and the left rows that reach them repeated.
     """
     width = max(upper - lower, 1)
 
@@ -160,21 +119,13 @@ def interval_join(
         return F.floor(moved / F.lit(width * 1_000_000)).cast("bigint")
 
     keys = [*on, "__stretch"]
-    reach = left.withColumn("__stretch", F.explode(F.sequence(at(left_ts, lower), at(left_ts, upper))))
-    placed = right.withColumn("__stretch", at(right_ts, 0))
-    if counted is not None:
-        heavy = heavy_keys(counted.withColumn("__stretch", at(right_ts, 0)), keys, heavy_rows)
-        names = [f"__h_{k}" for k in keys]
-        parts = F.coalesce("__parts", F.lit(1))
-        placed = _with_parts(placed, keys, heavy, names).withColumn("__part", _part(right, parts)).drop("__parts")
-        reach = _with_parts(reach, keys, heavy, names)
-        reach = reach.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
-        keys = [*keys, "__part"]
+    reach = left.dropna(subset=on).withColumn("__stretch", F.explode(F.sequence(at(left_ts, lower), at(left_ts, upper))))
+    placed = right.dropna(subset=on).withColumn("__stretch", at(right_ts, 0))
     gap = F.unix_micros(F.col(right_ts)) - F.unix_micros(F.col(left_ts))
     return (
         reach.join(placed, keys)
         .where(gap.between(lower * 1_000_000, upper * 1_000_000))
-        .drop("__stretch", "__part")
+        .drop("__stretch")
     )
 
 

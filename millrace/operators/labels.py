@@ -8,7 +8,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions import profile, times
-from millrace.operators.joins import enrich, interval_join, measured_lookups
+from millrace.operators.joins import enrich, interval_join, measured_lookups, spread_lookup
 
 BUCKETS = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
 
@@ -165,7 +165,8 @@ def score_search(df: DataFrame, categories: DataFrame, compare: DataFrame) -> Da
     ``categories`` has ``b3name, b1name``; ``compare`` has ``category_name, search_category``; both
     have one row per key. Phrases without a search category score 0.
     """
-    known = enrich(df, categories, {"search_item": "b3name"}, {"b1name": "b1_category"})
+    # Most views are no search and have no phrase: those rows are dealt apart.
+    known = spread_lookup(df, categories, {"search_item": "b3name"}, {"b1name": "b1_category"})
     known = enrich(
         known, compare, {"b1_category": "category_name"}, {"search_category": "search_category"}
     )
@@ -207,19 +208,14 @@ def score_category(df: DataFrame, category: str = "b1_name", groups: Mapping[str
     return _scored(df, "category", _group(F.col(category), groups), CATEGORY, WEIGHTS["category"], CATEGORY_OTHER)
 
 
-def order_dimensions(details: DataFrame, snapshot: DataFrame, hierarchy: DataFrame, counted: DataFrame | None = None) -> DataFrame:
-    """Brand and top category of each ordered sku.
-
-    ``counted`` is a cheaper frame with the details' sku ids, to find heavy skus in when the sku table
-    is too large to broadcast.
-    """
+def order_dimensions(details: DataFrame, snapshot: DataFrame, hierarchy: DataFrame) -> DataFrame:
+    """Brand and top category of each ordered sku."""
     return measured_lookups(
         details,
         [
             (snapshot, {"sku_id": "skuid"}, {"c3id": "c3id", "tname": "tname"}),
             (hierarchy, {"c3id": "id"}, {"b1name": "b1_name"}),
         ],
-        details if counted is None else counted,
     )
 
 
@@ -323,7 +319,12 @@ def user_label(scores: DataFrame, profiles: DataFrame, lower: int = -6 * 3600, u
 
 
 def merge_labels(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Columns of both sides; the right side wins where it has a value."""
+    """Columns of both sides, with the day of the right side's time as ``ds`` where it has one.
+
+    The right side wins where it has a value; a null on the right never removes a value.
+    """
+    if "ts" in right.columns and "ds" not in right.columns:
+        right = right.withColumn("ds", times.day_stamp(F.col("ts")))
     both = [c for c in left.columns if c in right.columns and c != key]
     renamed = right.select(F.col(key), *[F.col(c).alias(f"__r_{c}") if c in both else F.col(c) for c in right.columns if c != key])
     joined = left.join(renamed, [key])

@@ -149,7 +149,7 @@ def fix_is_new(log: DataFrame) -> DataFrame:
     first = first_per_key(seen, ["__mid"], ["ts", "seq"], ["first_day", "first_is_new"])
     keyed = log.withColumn("__mid", F.col("common.mid"))
     joined = spread_lookup(
-        keyed, first, {"__mid": "__mid"}, {"first_day": "first_day", "first_is_new": "first_is_new"}, counted=seen
+        keyed, first, {"__mid": "__mid"}, {"first_day": "first_day", "first_is_new": "first_is_new"}
     )
     fixed = repaired_is_new(
         F.col("common.is_new"),

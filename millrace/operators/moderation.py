@@ -6,10 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import texts, times
 from millrace.operators.dedup import dedup_pair
-from millrace.operators.joins import broadcast_if_small
-
-# Longest stretch of text two candidates are matched on before the full comparison.
-ANCHOR_LIMIT = 8
+from millrace.operators.joins import spread_lookup
 
 
 def word_table(words: DataFrame, column: str = "word") -> DataFrame:
@@ -20,37 +17,50 @@ def word_table(words: DataFrame, column: str = "word") -> DataFrame:
 
 def comment_blacklist(comments: DataFrame, words: DataFrame, text: str = "msg") -> DataFrame:
     """Flag comments whose last comma part is a blacklisted word."""
-    listed = broadcast_if_small(words.select(F.col("word").alias("__listed")))
+    listed = words.select("word", F.lit(True).alias("__listed"))
+    # A text without a last part has no key; the lookup deals those rows over all partitions.
     part = F.coalesce(texts.last_part(F.col(text)), F.lit(""))
-    flagged = comments.withColumn("last_word", part).join(
-        listed, F.lower("last_word") == F.col("__listed"), "left"
-    )
-    return flagged.withColumn("is_violation", F.col("__listed").isNotNull().cast("bigint")).drop("__listed")
+    keyed = comments.withColumn("last_word", part).withColumn("__last", F.nullif(F.lower("last_word"), F.lit("")))
+    flagged = spread_lookup(keyed, listed, {"__last": "word"}, {"__listed": "__listed"})
+    return flagged.withColumn("is_violation", F.col("__listed").isNotNull().cast("bigint")).drop("__listed", "__last")
 
 
 def dictionary_hits(comments: DataFrame, words: DataFrame, key: str, text: str = "msg") -> DataFrame:
     """Different dictionary words found anywhere in each text, as a sorted comma list.
 
-    Every position of the text gives a row with the stretch that starts there, as long as the longest
-    word; it meets the dictionary on its first letters and is then compared in full. So the work per
-    text grows with its length and not with the dictionary. Only the key travels with the stretches.
-    A small dictionary is broadcast (after counting it), a large one is joined by shuffle.
+    Words fall into classes by length: class c holds the words of c to 2 c - 1 letters, c a power of two. For
+    each class there is, every position of a text gives the hash of the c letters that start there, which meets
+    the first c letters of the class's words. So each position gives one row per class, whatever the shortest
+    or longest word or the size of the dictionary. Only (key, position, hash) is shuffled; hits get their text
+    back by key and are compared in full. The classes in use come with the dictionary, which is read in the
+    plan, not before.
     """
-    lengths = words.agg(F.min(F.length("word")).alias("lo"), F.max(F.length("word")).alias("hi")).first()
-    if lengths["lo"] is None:
-        return comments.select(key, F.lit("").alias("hits")).limit(0)
-    anchor = min(lengths["lo"], ANCHOR_LIMIT)
-    stretches = F.regexp_extract_all(
-        F.lower(F.col(text)), F.lit(f"(?s)(?=(.{{{anchor},{lengths['hi']}}}))"), F.lit(1)
+    letters = F.length("word")
+    size = F.pow(F.lit(2), F.floor(F.log2(letters))).cast("int")
+    entries = words.where(letters > 0).select("word", size.alias("__class")).withColumn(
+        "__hash", F.xxhash64(F.substring(F.col("word"), F.lit(1), F.col("__class")))
     )
-    placed = comments.select(key, F.explode(stretches).alias("__at")).withColumn(
-        "__anchor", F.substring("__at", 1, anchor)
+    # One row: at most as many classes as the longest word's length has binary digits.
+    classes = words.where(letters > 0).select(size.alias("c")).agg(F.array_sort(F.collect_set("c")).alias("__classes"))
+    low = F.lower(F.col(text))
+    places = comments.select(
+        F.col(key).alias("__key"), low.alias("__text"), F.explode(classes.scalar()).alias("__class")
     )
-    dictionary = broadcast_if_small(
-        words.select("word", F.substring("word", 1, anchor).alias("__anchor"))
+    grams = places.where(F.length("__text") >= F.col("__class")).select(
+        "__key", "__class",
+        F.posexplode(
+            F.transform(
+                F.sequence(F.lit(1), F.length("__text") - F.col("__class") + 1),
+                lambda i: F.xxhash64(F.substring(F.col("__text"), i, F.col("__class"))),
+            )
+        ).alias("__at", "__hash"),
+    )
+    met = grams.join(entries, ["__class", "__hash"]).select("__key", "__at", "word")
+    found = met.join(comments.select(F.col(key).alias("__key"), low.alias("__text")), "__key").where(
+        F.substring(F.col("__text"), F.col("__at") + 1, F.length("word")) == F.col("word")
     )
-    found = placed.join(dictionary, ["__anchor"]).where(F.startswith(F.col("__at"), F.col("word")))
-    return found.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("word")), ",").alias("hits"))
+    hits = found.groupBy("__key").agg(F.array_join(F.array_sort(F.collect_set("word")), ",").alias("hits"))
+    return hits.select(F.col("__key").alias(key), "hits")
 
 
 def comment_moderation(comments: DataFrame, words: DataFrame, key: str, text: str = "msg") -> DataFrame:

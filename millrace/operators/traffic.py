@@ -25,15 +25,16 @@ def _opens_session():
 def uv_flag(views: DataFrame) -> DataFrame:
     """Mark the first view of each device and day, and views that open a session.
 
-    The first view per (device, day) is an aggregate; the flag is found by meeting it on the unique
-    position of the view, so no task ever holds all views of a device.
+    The first view per (device, day) is an aggregate; the flag is found by meeting it on device, time and
+    position, so no task ever holds all views of a device, and positions need not be unique beyond it.
     """
-    first = first_per_key(
-        views.withColumn("day", _day()), ["mid", "day"], ["ts", "seq"], ["seq"]
-    ).select(F.col("seq").alias("__first_seq"))
-    return views.join(first, F.col("seq") == F.col("__first_seq"), "left").select(
+    first = first_per_key(views.withColumn("day", _day()), ["mid", "day"], ["ts", "seq"], ["ts", "seq"]).select(
+        F.col("mid").alias("__mid"), F.col("ts").alias("__ts"), F.col("seq").alias("__seq")
+    )
+    met = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("mid", "ts", "seq")]
+    return views.join(first, met, "left").select(
         *views.columns,
-        F.col("__first_seq").isNotNull().cast("bigint").alias("uv_ct"),
+        F.col("__seq").isNotNull().cast("bigint").alias("uv_ct"),
         _opens_session().cast("bigint").alias("sv_ct"),
     )
 

@@ -339,7 +339,7 @@ def order_detail_wide(i: Inputs) -> DataFrame:
 
 @query
 def order_cancel_detail(i: Inputs) -> DataFrame:
-    return _no_nulls(facts.order_cancel_detail(_wide(i), i.changes(), counted=i.order_detail()), "activity_id", "coupon_id")
+    return _no_nulls(facts.order_cancel_detail(_wide(i), i.changes()), "activity_id", "coupon_id")
 
 
 @query
@@ -356,7 +356,7 @@ def cart_uu_window(i: Inputs) -> DataFrame:
 def payment_detail(i: Inputs) -> DataFrame:
     """Interval of 30 days before to 5 days after, in the data's scale of days."""
     paid = facts.payment_detail(
-        _wide(i), i.payments(), i.dictionary(), -30 * DAY, 5 * DAY, counted=i.order_detail()
+        _wide(i), i.payments(), i.dictionary(), -30 * DAY, 5 * DAY
     )
     return _no_nulls(paid, "activity_id", "coupon_id")
 
@@ -448,10 +448,10 @@ def province_order_window(i: Inputs) -> DataFrame:
 
 @query
 def sku_dim_chain(i: Inputs) -> DataFrame:
-    """Amounts per sku and day, then the six lookups; the top category table lacks one entry."""
+    """Amounts per sku and day, then the six lookups."""
     summed = trade.sku_order_window(i.order_detail(), Inputs.DETAIL_ORDER, "1 day")
     small = broadcast_each_if_small(
-        [i.spu(), i.trademark(), i.category3(), i.category2(), i.category1_partial()]
+        [i.spu(), i.trademark(), i.category3(), i.category2(), i.category1()]
     )
     chained = trade.sku_dim_chain(summed, i.sku(), *small)
     return _no_nulls(
@@ -496,17 +496,9 @@ def shop_actions_invalid(i: Inputs) -> DataFrame:
 
 @query
 def shop_actions_by_type(i: Inputs) -> DataFrame:
-    parts = [
-        customers.of_type(_clean(i), t)
-        for t in (customers.VISIT, customers.INTERACTION, customers.PAYMENT, customers.FOLLOW)
-    ]
-    counted = [
-        p.groupBy("action_type", "shop_id").agg(F.count(F.lit(1)).alias("action_count")) for p in parts
-    ]
-    out = counted[0]
-    for part in counted[1:]:
-        out = out.unionByName(part)
-    return out
+    types = (customers.VISIT, customers.INTERACTION, customers.PAYMENT, customers.FOLLOW)
+    split = _clean(i).where(F.col("action_type").isin(*types))
+    return split.groupBy("action_type", "shop_id").agg(F.count(F.lit(1)).alias("action_count"))
 
 
 @query
@@ -721,7 +713,7 @@ def _with_dimensions(i: Inputs, details: DataFrame) -> DataFrame:
     """Details with brand and top category."""
     hierarchy = trade.category_hierarchy(i.category3(), i.category2(), i.category1())
     snapshot = trade.sku_snapshot(i.sku(), i.spu(), i.trademark())
-    return labels.order_dimensions(details, snapshot, hierarchy, counted=i.order_detail())
+    return labels.order_dimensions(details, snapshot, hierarchy)
 
 
 @query

@@ -178,14 +178,14 @@ VIEWS: dict[str, str] = {
     "v_words": """
         SELECT DISTINCT word FROM (
             SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM benchmark)
-        WHERE length(word) > 4""",
+        WHERE word <> ''""",
     "v_comment": """
         SELECT concat_ws('-', conv_id, turn) AS id, CAST(conv_id AS VARCHAR) AS user_id, CAST(conv_id AS VARCHAR) AS order_id,
                'c-' || conv_id AS consignee, substr('ANRX', length(text) % 4 + 1, 1) AS appraise,
                coalesce([w FOR w IN regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+') IF w <> ''][-1], '') AS last_token,
                text || ',' || last_token AS msg,
                TIMESTAMP '1995-01-01' + to_days(CAST(length(text) % 1000 AS INTEGER)) AS ts
-        FROM conversations WHERE role = 'user'""",
+        FROM conversations""",
     "v_last": """
         SELECT *, coalesce(string_split(regexp_replace(msg, ',+$', ''), ',')[-1], '') AS last_word FROM v_comment""",
     "v_graded": """
@@ -459,7 +459,7 @@ SQL: dict[str, str] = {
         FROM v_change""",
     "cdc_audit_latest": """
         SELECT table_name, id || '_' || ts_ms AS id_ts, op, CAST(ts_ms AS VARCHAR) AS ts, after FROM v_change
-        QUALIFY row_number() OVER (PARTITION BY table_name, id, ts_ms ORDER BY op DESC, before DESC, after DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY table_name, id, ts_ms ORDER BY CASE op WHEN 'd' THEN 3 WHEN 'u' THEN 2 WHEN 'c' THEN 1 ELSE 0 END DESC, before DESC, after DESC) = 1""",
     "cdc_row_image": """
         SELECT op, 'order_info' AS table_name, CAST(o_orderkey AS VARCHAR) AS id,
                CASE WHEN op = 'd' THEN '1001' ELSE new_status END AS order_status, amount AS total_amount, ts_ms
@@ -590,7 +590,7 @@ SQL: dict[str, str] = {
         SELECT strftime(day, {SECOND}) AS stt, sku_id, p_name AS sku_name, CAST(spu AS VARCHAR) AS spu_id, 'spu-' || spu AS spu_name,
                p_brand AS trademark_id, lower(p_brand) AS trademark_name, CAST(c3 AS VARCHAR) AS category3_id, 'c3-' || c3 AS category3_name,
                CAST(c2 AS VARCHAR) AS category2_id, 'c2-' || c2 AS category2_name, CAST(c1 AS VARCHAR) AS category1_id,
-               CASE WHEN c1 = 2 THEN '' ELSE 'c1-' || c1 END AS category1_name, CAST(amount AS DOUBLE) AS order_amount
+               'c1-' || c1 AS category1_name, CAST(amount AS DOUBLE) AS order_amount
         FROM (SELECT date_trunc('day', ts) AS day, sku_id, sum(split_total_amount * sign) AS amount FROM v_signed GROUP BY ALL)
         LEFT JOIN v_parts ON sku_id = CAST(p_partkey AS VARCHAR)""",
     "category_hierarchy": """

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import texts
-from millrace.operators.joins import broadcast_if_small, spread_lookup
+from millrace.operators.joins import spread_lookup
 from millrace.operators.labels import SEARCH
 from millrace.session import configure
 
@@ -311,18 +311,15 @@ class Inputs:
         )
 
     def dictionary(self) -> DataFrame:
-        """Names of the codes in use. Measured before it is broadcast."""
-        line = self.table("lineitem")
+        """Names of the codes in use: one narrow pass over each table, joined by its size at run time."""
+        pairs = self.table("lineitem").groupBy("l_returnflag", "l_linestatus").count()
         codes = (
-            self.table("orders").select(F.col("o_orderpriority").alias("code"))
-            .union(line.select("l_returnflag"))
-            .union(line.select("l_linestatus"))
+            self.table("orders").groupBy(F.col("o_orderpriority").alias("code")).count().select("code")
+            .union(pairs.select(F.explode(F.array("l_returnflag", "l_linestatus"))))
             .distinct()
         )
-        return broadcast_if_small(
-            codes.select(
-                F.md5("code").alias("dic_code"), F.struct(F.lower("code").alias("dic_name")).alias("info")
-            )
+        return codes.select(
+            F.md5("code").alias("dic_code"), F.struct(F.lower("code").alias("dic_name")).alias("info")
         )
 
     def provinces(self) -> DataFrame:
@@ -374,10 +371,6 @@ class Inputs:
     def category1(self) -> DataFrame:
         return self._named("c1")
 
-    def category1_partial(self) -> DataFrame:
-        """Top categories with one missing, so that a lookup meets an unknown key."""
-        return self.category1().where(F.col("id") != "2")
-
     def _named(self, level: str, parent: tuple[str, str] | None = None) -> DataFrame:
         ids = [F.col(level)] + ([F.col(parent[0])] if parent else [])
         out = [
@@ -527,12 +520,11 @@ class Inputs:
     # --- comments ------------------------------------------------------------------------------
 
     def comments(self) -> DataFrame:
-        """User turns of the conversations; each ends with its last word as a part of its own."""
+        """All turns of the conversations; each ends with its last word as a part of its own."""
         size = F.length("text")
         last_word = F.coalesce(F.element_at(texts.words(F.col("text")), -1), F.lit(""))
         return (
             self.table("conversations")
-            .where(F.col("role") == "user")
             .select(
                 F.concat_ws("-", text(F.col("conv_id")), text(F.col("turn"))).alias("id"),
                 text(F.col("conv_id")).alias("user_id"),
@@ -545,9 +537,9 @@ class Inputs:
         )
 
     def words(self) -> DataFrame:
-        """Different words of the benchmark table with more than four letters."""
+        """Different words of the benchmark table, of any length."""
         tokens = self.table("benchmark").select(F.explode(texts.words(F.col("text"))).alias("word"))
-        return tokens.where(F.length("word") > 4).distinct()
+        return tokens.where(F.col("word") != "").distinct()
 
     # --- labels --------------------------------------------------------------------------------
 

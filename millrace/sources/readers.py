@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
 
 EARLIEST, LATEST = "earliest", "latest"
 
+# Partitions of a topic at most, for the position of a message in one number.
+PARTITIONS = 65_536
 
-def topic_options(servers: str, topic: str, offsets: str = EARLIEST, per_trigger: int | None = None) -> dict[str, str]:
-    """Options of a topic source. The topic's position is kept in the query's checkpoint."""
+
+def topic_options(
+    servers: str, topic: str, offsets: str = EARLIEST, per_trigger: int | None = None, skip_lost: bool = False
+) -> dict[str, str]:
+    """Options of a topic source. The topic's position is kept in the query's checkpoint.
+
+    Positions that the topic no longer holds end the query, unless ``skip_lost`` asks to go on without them.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "false" if skip_lost else "true",
     }
     if per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(per_trigger)
@@ -24,13 +32,23 @@ def topic_options(servers: str, topic: str, offsets: str = EARLIEST, per_trigger
 
 
 def topic_values(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """Message values of a topic as text, with their position as ``seq``.
+    """Message values of a topic as text, with their position.
+
+    Offsets repeat in every partition, so ``seq`` is made of both: unique in the topic, and in the order of
+    arrival within a partition.
 
     Needs the Kafka connector package on the cluster. Values of tombstones are null; drop them with
     :func:`without_tombstones`.
     """
     raw = spark.readStream.format("kafka").options(**options).load()
-    return raw.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"))
+    return raw.select(
+        F.col("value").cast("string").alias("value"), "partition", "offset", position("partition", "offset").alias("seq")
+    )
+
+
+def position(partition: str, offset: str) -> Column:
+    """A unique, growing number out of a message's offset and partition."""
+    return F.col(offset).cast("bigint") * PARTITIONS + F.col(partition).cast("bigint")
 
 
 def without_tombstones(values: DataFrame) -> DataFrame:
@@ -38,13 +56,33 @@ def without_tombstones(values: DataFrame) -> DataFrame:
 
 
 def json_table(values: DataFrame, schema: T.StructType, view: str | None = None) -> DataFrame:
-    """Messages as typed columns, optionally under a view name for SQL users."""
-    table = values.select(F.from_json("value", schema).alias("r")).select("r.*")
+    """Messages as typed columns, optionally under a view name for SQL users.
+
+    Malformed messages are left out; :func:`malformed` gives them. A position (``seq``) stays beside the columns.
+    """
+    kept = [c for c in ("seq",) if c in values.columns and c not in schema.fieldNames()]
+    table = _parsed(values, schema).where(~_broken()).select("r.*", *kept)
     if view is not None:
         table.createOrReplaceTempView(view)
     return table
 
 
+def _parsed(values: DataFrame, schema: T.StructType) -> DataFrame:
+    marked = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
+    read = values.withColumn("__r", F.from_json("value", marked, {"columnNameOfCorruptRecord": "__bad"}))
+    plain = F.struct(*[F.col("__r")[f.name].alias(f.name) for f in schema.fields])
+    return read.withColumn("r", plain).withColumn("__broken", F.col("__r").isNull() | F.col("__r.__bad").isNotNull())
+
+
+def _broken() -> Column:
+    return F.col("__broken") & F.col("value").isNotNull()
+
+
+def malformed(values: DataFrame, schema: T.StructType) -> DataFrame:
+    """The messages that :func:`json_table` leaves out because their text is no such record."""
+    return _parsed(values, schema).where(_broken()).select(*values.columns)
+
+
 def text_lines(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
     """New lines of a folder as a stream; the source remembers which files it has seen."""
     reader = spark.readStream.format("text")
@@ -62,7 +100,11 @@ def folder_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: s
 
 
 def changelog(values: DataFrame) -> DataFrame:
-    """Change records (op, before, after, source, ts_ms) from their JSON text; decimals stay text."""
+    """Change records (op, before, after, source, ts_ms) from their JSON text; decimals stay text.
+
+    With a topic's values the records carry their position as ``seq``. Malformed texts are left out here and
+    given by :func:`malformed` with ``schemas.CHANGE``.
+    """
     return json_table(without_tombstones(values), schemas.CHANGE)
 
 
@@ -76,7 +118,8 @@ def changelog_with_snapshot(spark: SparkSession, snapshot: DataFrame, database:
         F.create_map(F.lit("db"), F.lit(database), F.lit("table"), F.lit(table)).alias("source"),
         F.lit(0).cast("bigint").alias("ts_ms"),
     )
-    return initial.unionByName(changes)
+    # Snapshot rows stand before every position of the log.
+    return initial.withColumn("seq", F.lit(-1).cast("bigint")).unionByName(changes) if "seq" in changes.columns else initial.unionByName(changes)
 
 
 def jdbc_options(url: str, query: str, user: str, password: str, fetch: int = 10_000) -> dict[str, str]:

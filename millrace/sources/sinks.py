@@ -67,13 +67,20 @@ def insert_into(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)
 
 
+def run_of(spark: SparkSession) -> str:
+    """Name of the stream that is writing: the id in its checkpoint, which a restart keeps; "own" outside one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "own"
+
+
 @dataclass(frozen=True)
 class KeyedTable:
-    """Latest row per key over a folder of batches.
+    """Latest row per key over a folder of runs and batches.
 
-    Every batch is reduced to one row per key and written to its own subfolder, replacing an earlier
-    attempt of the same batch, so a repeated batch changes nothing. Reading takes the latest row per
-    key over all batches. :meth:`rewrite` writes the merged rows to a new folder.
+    Every batch is reduced to one row per key and written below its run (see :func:`run_of`), replacing an
+    earlier attempt of the same batch of the same run: a repeated batch changes nothing, and another stream
+    or one that starts anew leaves what is there. Reading takes the latest row per key over all batches; at
+    equal order the later run by name, then the later batch. A read costs as many files as were written since
+    the last :meth:`rewrite`, which writes the merged rows to a new folder.
     """
 
     folder: str
@@ -82,16 +89,16 @@ class KeyedTable:
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         latest = latest_per_key(batch, list(self.key), list(self.order))
-        latest.write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
+        latest.write.mode("overwrite").parquet(f"{self.folder}/run={run_of(batch.sparkSession)}/batch={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         rows = spark.read.parquet(self.folder)
-        order = [*self.order, "batch"]
-        return latest_per_key(rows, list(self.key), order).drop("batch")
+        order = [*self.order, "run", "batch"]
+        return latest_per_key(rows.withColumn("run", F.col("run").cast("string")), list(self.key), order).drop("run", "batch")
 
     def rewrite(self, spark: SparkSession, folder: str) -> KeyedTable:
         merged = KeyedTable(folder, self.key, self.order)
-        self.read(spark).write.mode("errorifexists").parquet(f"{folder}/batch=-1")
+        self.read(spark).write.mode("errorifexists").parquet(f"{folder}/run=0/batch=-1")
         return merged
 
 
@@ -103,13 +110,18 @@ def upsert_statement(table: str, columns: list[str], key: list[str], mark: str =
     return f"INSERT INTO {table} ({names}) VALUES ({marks}) ON DUPLICATE KEY UPDATE {changes}"
 
 
-def write_database(df: DataFrame, connect: Callable[[], object], statement: str) -> None:
+def write_database(
+    df: DataFrame, connect: Callable[[], object], statement: str, key: list[str] = (), order: list[str] = ()
+) -> None:
     """Run an upsert statement for all rows, in small batches, from the tasks.
 
-    ``connect`` opens a DB-API connection inside a task. A failed batch is rolled back and tried
+    ``connect`` opens a DB-API connection inside a task. Tasks write in any order, so with ``key`` and
+    ``order`` the rows are first reduced to the latest one per key. A failed batch is rolled back and tried
     again; upserts make repeats harmless.
     """
     columns = df.columns
+    if key:
+        df = latest_per_key(df, list(key), list(order)).select(*columns)
 
     def write(rows) -> None:
         connection = connect()

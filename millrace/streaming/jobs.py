@@ -11,7 +11,7 @@ from millrace import schemas
 from millrace.functions import times
 from millrace.operators import logs, traffic
 from millrace.session import checkpoint_dir
-from millrace.sources.sinks import KeyedTable
+from millrace.sources.sinks import KeyedTable, run_of
 
 # Allowed lateness of the sources.
 LOG_DELAY, SQL_DELAY, NO_DELAY = "3 seconds", "5 seconds", "0 seconds"
@@ -25,12 +25,21 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
 def with_event_time(df: DataFrame, column: str, delay: str, fallback: str | None = None) -> DataFrame:
     """Event time ``ts`` out of an epoch column in seconds or milliseconds, with a watermark.
 
-    ``fallback`` is read where the column is null. Rows without a time are left out here; the dirty
-    output of the parse step is the place to look for them.
+    ``fallback`` is read where the column is null. A watermark needs a time; rows without one are given by
+    :func:`without_event_time`.
     """
+    timed = df.withColumn("ts", _event_time(column, fallback))
+    return timed.where(F.col("ts").isNotNull()).withWatermark("ts", delay)
+
+
+def without_event_time(df: DataFrame, column: str, fallback: str | None = None) -> DataFrame:
+    """The rows that :func:`with_event_time` leaves out, as they came."""
+    return df.where(_event_time(column, fallback).isNull())
+
+
+def _event_time(column: str, fallback: str | None):
     value = F.col(column) if fallback is None else F.coalesce(F.col(column), F.col(fallback))
-    ts = times.millis_to_timestamp(times.epoch_millis(value.cast("string")))
-    return df.withColumn("ts", ts).where(F.col("ts").isNotNull()).withWatermark("ts", delay)
+    return times.millis_to_timestamp(times.epoch_millis(value.cast("string")))
 
 
 def interval_join(
@@ -99,8 +108,11 @@ def hot_queries(searches: DataFrame, n: int = 10) -> DataFrame:
 # --- running a stream ----------------------------------------------------------------------------
 
 
-def run_available(df: DataFrame, name: str, write: Callable[[DataFrame, int], None], mode: str = "append", wait: int = 300, location: str | None = None) -> StreamingQuery:
-    """Work off what the sources hold now, batch by batch, and return the ended query."""
+def run_available(df: DataFrame, name: str, write: Callable[[DataFrame, int], None], mode: str = "append", wait: int | None = None, location: str | None = None) -> StreamingQuery:
+    """Work off what the sources hold now, batch by batch, and return the ended query.
+
+    It takes as long as that takes; with ``wait`` the stream is stopped after so many seconds with an error.
+    """
     query = (
         df.writeStream.queryName(name)
         .outputMode(mode)
@@ -109,7 +121,9 @@ def run_available(df: DataFrame, name: str, write: Callable[[DataFrame, int], No
         .foreachBatch(write)
         .start()
     )
-    if not query.awaitTermination(wait):
+    if wait is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(wait):
         query.stop()
         raise TimeoutError(f"stream {name} did not end within {wait} s")
     return query
@@ -132,10 +146,10 @@ def upsert_into(table: KeyedTable) -> Callable[[DataFrame, int], None]:
 
 
 def append_batch(folder: str) -> Callable[[DataFrame, int], None]:
-    """Write each batch to its own subfolder, replacing an earlier attempt of the same batch."""
+    """Write each batch to its own subfolder of its run, replacing an earlier attempt of the same batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{folder}/run={run_of(batch.sparkSession)}/batch={batch_id}")
 
     return write
 
@@ -147,6 +161,7 @@ def split_log_batch(folder: str) -> Callable[[DataFrame, int], None]:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = run_of(batch.sparkSession)
         parsed = logs.parse_json(batch, schemas.PAGE_LOG).persist()
         try:
             good = logs.good_records(parsed)
@@ -159,7 +174,7 @@ def split_log_batch(folder: str) -> Callable[[DataFrame, int], None]:
                 "page": logs.split_page(good),
             }
             for name, rows in outputs.items():
-                rows.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
+                rows.write.mode("overwrite").parquet(f"{folder}/{name}/run={run}/batch={batch_id}")
         finally:
             parsed.unpersist()
 

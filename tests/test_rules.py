@@ -466,3 +466,51 @@ def test_goods_log_labels_are_the_sixth_field(spark):
     goods = search.parse_goods_log(spark.createDataFrame([("3,shop,5,tv,99,hot",)], "value string"))
     row = search.search_records(goods).collect()[0]
     assert (row.query_id, row.query, row.doc_id, row.title, row.timestamp, row.type) == (3, "tv", 5, "shop", 99, "hot")
+
+
+def test_equal_offsets_in_two_partitions(spark):
+    """Positions of two partitions repeat; no view is doubled and each device has one first view a day."""
+    from millrace.sources.readers import position
+
+    rows = [(0, 7, "a"), (1, 7, "a"), (1, 7, "b")]
+    raw = spark.createDataFrame(rows, "partition int, offset long, mid string")
+    assert raw.select(position("partition", "offset")).distinct().count() == 2
+    views = raw.select("mid", position("partition", "offset").alias("seq"), F.lit("2024-01-01 10:00:00").cast("timestamp").alias("ts"), F.lit(None).cast("string").alias("last_page_id"))
+    flags = traffic.uv_flag(views).collect()
+    assert len(flags) == 3 and sum(r.uv_ct for r in flags) == 2
+    same_position = traffic.uv_flag(views.withColumn("seq", F.lit(7).cast("bigint"))).where("mid = 'b'").collect()
+    assert [r.uv_ct for r in same_position] == [1]
+
+
+def test_a_delete_and_an_update_in_one_millisecond(spark):
+    one = "struct<op:string,before:map<string,string>,after:map<string,string>,source:map<string,string>,ts_ms:bigint,seq:bigint>"
+    source = {"db": "d", "table": "t"}
+    rows = [("u", {"id": "1"}, {"id": "1", "x": "z"}, source, 5, 10), ("d", {"id": "1"}, None, source, 5, 11)]
+    changes = spark.createDataFrame(rows, one)
+    assert [r.op for r in cdc.audit_latest(changes).collect()] == ["d"]
+    assert [r.op for r in cdc.audit_latest(changes.drop("seq")).collect()] == ["d"]
+    turned = changes.withColumn("seq", 20 - F.col("seq"))
+    assert [r.op for r in cdc.audit_latest(turned).collect()] == ["u"]
+
+
+def test_an_order_in_two_versions_does_not_double_its_details(spark):
+    order = spark.createDataFrame([("o", "u1", "p1", "2024-01-01"), ("o", "u2", "p2", "2024-01-02")], "id string, user_id string, province_id string, ts string")
+    assert [tuple(r) for r in facts.latest_orders(order).collect()] == [("o", "u2", "p2")]
+
+
+def test_malformed_changes_have_an_output(spark):
+    from millrace import schemas
+    from millrace.sources import readers
+
+    good = '{"op":"c","before":null,"after":{"id":"1"},"source":{"db":"d","table":"t"},"ts_ms":1}'
+    values = spark.createDataFrame([(good, 1), ("{broken", 2), (None, 3)], "value string, seq bigint")
+    changes = readers.changelog(values)
+    assert [(r.op, r.seq) for r in changes.collect()] == [("c", 1)]
+    assert [r.seq for r in readers.malformed(values, schemas.CHANGE).collect()] == [2]
+
+
+def test_rows_without_a_time_have_an_output(spark):
+    from millrace.streaming import jobs
+
+    rows = spark.createDataFrame([(1, "1704067200000"), (2, None), (3, "x")], "n int, at string")
+    assert [r.n for r in jobs.without_event_time(rows, "at").collect()] == [2, 3]

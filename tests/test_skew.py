@@ -133,11 +133,17 @@ def test_dictionary_scan_equals_brute_force(spark):
     assert found == expected
 
 
-def test_dictionary_scan_beyond_the_broadcast_bound(spark, monkeypatch):
-    comments = spark.createDataFrame([(1, "xx hello yy"), (2, "nothing")], "id bigint, msg string")
-    table = moderation.word_table(spark.createDataFrame([("hello",), ("world",)], "word string"))
-    monkeypatch.setattr(moderation, "broadcast_if_small", lambda df: joins.broadcast_if_small(df, max_rows=0))
-    assert [(r.id, r.hits) for r in moderation.dictionary_hits(comments, table, "id").collect()] == [(1, "hello")]
+def test_dictionary_scan_with_very_short_and_long_words(spark):
+    """A one-letter word doesn't make every position meet the long ones: one row per position and class."""
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcde") for _ in range(500))
+    texts = [(n, "".join(rng.choice("abcde ") for _ in range(300)) + (long if n % 3 == 0 else "")) for n in range(12)]
+    words = ["q", long, *{"".join(rng.choice("abcde") for _ in range(k)) for k in range(5, 60)}]
+    comments = spark.createDataFrame(texts, "id bigint, msg string")
+    table = moderation.word_table(spark.createDataFrame([(w,) for w in words], "word string"))
+    hits = moderation.dictionary_hits(comments, table, "id")
+    found = {r.id: r.hits for r in hits.collect()}
+    assert found == {n: ",".join(sorted(w for w in words if w in t)) for n, t in texts if any(w in t for w in words)}
 
 
 def test_empty_dictionary(spark):
@@ -174,34 +180,45 @@ def test_window_totals_equal_the_retracted_rows(inputs, same):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_spread_lookup_equals_plain_join(spark, hot, same, how):
-    """Heavy keys are dealt over parts; copies, unknown keys and null keys keep their rows."""
+    """Copies, unknown keys and null keys keep their rows."""
     odd = spark.createDataFrame([(None, START, 5000, 1), ("none", START, 5001, 2)], hot.schema)
     facts_ = hot.unionByName(hot.where("seq < 200")).unionByName(odd)
     dim = hot.groupBy(F.col("k").alias("id")).agg(F.max("v").alias("top"))
-    fast = joins.spread_lookup(facts_, dim, {"k": "id"}, {"top": "top"}, how, heavy_rows=50)
+    fast = joins.spread_lookup(facts_, dim, {"k": "id"}, {"top": "top"}, how)
     same(fast, joins.enrich(facts_, dim, {"k": "id"}, {"top": "top"}, how))
 
 
-def test_heavy_keys_are_split_into_parts(hot):
-    heavy = {r["__h_k"]: r["__parts"] for r in joins.heavy_keys(hot, ["k"], heavy_rows=100).collect()}
-    rows_of_hot = hot.where("k = 'hot'").count()
-    assert heavy == {"hot": -(-rows_of_hot // 100)}
-    parts = hot.where("k = 'hot'").select(joins._part(hot, F.lit(heavy["hot"])).alias("p")).groupBy("p").count()
-    sizes = [r["count"] for r in parts.collect()]
-    assert len(sizes) == heavy["hot"] and max(sizes) < 2 * rows_of_hot / len(sizes)
+def test_rows_without_a_key_lie_in_many_partitions(spark, same):
+    """Two thirds of the rows have no key; with broadcasts off they are dealt over all partitions."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).alias("k"), F.col("id").alias("seq"))
+        dim = rows.where("k IS NOT NULL").select(F.col("k").alias("id"), F.col("seq").alias("top"))
+        joined = joins.spread_lookup(rows, dim, {"k": "id"}, {"top": "top"})
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 16 and max(sizes) < 1.5 * 30_000 / 16
+        same(joined, joins.enrich(rows, dim, {"k": "id"}, {"top": "top"}))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_at_most_the_largest_keys_are_split(hot, monkeypatch):
-    monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
-    assert joins.heavy_keys(hot, ["k"], heavy_rows=1).count() == 2
+def test_all_columns_are_measured_before_a_broadcast(spark):
+    nested = spark.range(10).select(F.struct(F.repeat(F.lit("x"), 1000).alias("name")).alias("info"), F.array(F.lit(1)).alias("a"))
+    marked = joins.broadcast_if_small(nested, max_bytes=5_000)
+    assert "broadcast" not in marked._jdf.queryExecution().logical().toString().lower()
 
 
-@pytest.mark.parametrize("lower,upper", [(-300, 300), (-1800, 5)])
-def test_spread_interval_join_equals_plain(hot, same, lower, upper):
-    left = hot.where(F.col("seq") < 300).select("k", F.col("ts").alias("lt"), F.col("seq").alias("ls"))
-    right = hot.where(F.col("seq") >= 600).select("k", F.col("ts").alias("rt"), F.col("seq").alias("rs"))
-    plain = joins.interval_join(left, right, ["k"], "lt", "rt", lower, upper)
-    same(joins.interval_join(left, right, ["k"], "lt", "rt", lower, upper, right, 3), plain)
+def test_wide_details_read_each_table_once(inputs):
+    """No counting pass: details, activities, coupons and orders are scanned once each."""
+    from millrace.plans.batch import _wide
+
+    wide = _wide(inputs)
+    text = wide._jdf.queryExecution().executedPlan().toString()
+    assert text.count("lineitem.parquet") <= 3
 
 
 def test_newest_only_with_repeats(spark, same):
@@ -222,6 +239,6 @@ def test_measured_lookups_take_both_ways(hot, same, monkeypatch):
     dim = hot.groupBy(F.col("k").alias("id")).agg(F.max("v").alias("top"))
     tops = hot.groupBy("v").agg(F.min("seq").alias("first")).withColumnRenamed("v", "id")
     lookups = [(dim, {"k": "id"}, {"top": "top"}), (tops, {"top": "id"}, {"first": "first"})]
-    small = joins.measured_lookups(hot, lookups, hot)
+    small = joins.measured_lookups(hot, lookups)
     monkeypatch.setattr(joins, "broadcast_each_if_small", lambda dims: dims)
-    same(joins.measured_lookups(hot, lookups, hot), small)
+    same(joins.measured_lookups(hot, lookups), small)
