@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 from functools import reduce
-from math import gcd
+from math import gcd, sqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,10 +20,9 @@ def tempered_weights(docs: DataFrame) -> dict[str | None, int]:
 
     One row per source reaches the driver; sources are names that people gave, not data.
     """
-    counts = docs.groupBy(F.col("source").cast("string").alias("source")).count()
-    top = counts.agg(F.max("count").alias("top"))
-    weight = F.greatest(F.lit(1), F.floor(1000 * F.sqrt(F.col("count") / F.col("top"))))
-    return {r["source"]: r["w"] for r in counts.join(F.broadcast(top)).select("source", weight.alias("w")).collect()}
+    sizes = docs.groupBy(F.col("source").cast("string").alias("source")).count().collect()
+    top = max((r["count"] for r in sizes), default=1)
+    return {r["source"]: max(1, int(1000 * sqrt(r["count"] / top))) for r in sizes}
 
 
 def period(weights: dict[str | None, int]) -> tuple[int, list[tuple[str | None, int, int, int]]]:
