@@ -195,3 +195,19 @@ def test_event_time(spark):
     df = spark.createDataFrame([(1700000000, None), (1700000000123, None), (None, 5), (None, None)], "a bigint, b bigint")
     out = jobs.with_event_time(df, "a", "3 seconds", fallback="b").select(F.unix_millis("ts")).collect()
     assert sorted(r[0] for r in out) == [5000, 1700000000000, 1700000000123]
+
+
+def test_two_runs_into_one_table(spark, tmp_path):
+    """A second stream starts at batch 0 again and leaves the first one's rows; a repeat replaces its own."""
+    from millrace.sources.readers import folder_stream
+
+    table = KeyedTable(str(tmp_path / "table"), ("k",), ("v",))
+    for n, rows in enumerate([[("a", 1)], [("b", 2)]]):
+        source = str(tmp_path / f"in{n}")
+        frame = spark.createDataFrame(rows, "k string, v bigint")
+        frame.coalesce(1).write.parquet(source)
+        stream = folder_stream(spark, source, frame.schema)
+        jobs.run_available(stream, f"run{n}", table.write_batch, location=str(tmp_path / f"cp{n}"))
+    assert sorted(tuple(r) for r in table.read(spark).select("k", "v").collect()) == [("a", 1), ("b", 2)]
+    merged = table.rewrite(spark, str(tmp_path / "merged"))
+    assert merged.read(spark).count() == 2
