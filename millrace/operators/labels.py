@@ -128,6 +128,18 @@ def user_device_rollup(base: DataFrame) -> DataFrame:
     )
 
 
+def user_device_values(base: DataFrame) -> DataFrame:
+    """Views per user and value of each field (os, ch, md, ba, search_item), one row each.
+
+    The long form of :func:`user_device_rollup`: nothing is gathered, so a user with any number of different
+    phrases is as many rows. Empty values have none.
+    """
+    parts = {c: F.col(f"device.{c}") for c in ("os", "ch", "md", "ba")} | {"search_item": F.col("search_item")}
+    values = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), value.alias("value")) for name, value in parts.items()]))
+    long = base.select("uid", values.alias("__v")).select("uid", "__v.*").where(F.coalesce("value", F.lit("")) != "")
+    return long.groupBy("uid", "field", "value").agg(F.count(F.lit(1)).alias("views"))
+
+
 def user_device_latest_window(base: DataFrame, width: str = "2 minutes") -> DataFrame:
     """Last device row per user and window, with the user's views so far.
 

@@ -337,6 +337,43 @@ def order_detail_wide(i: Inputs) -> DataFrame:
     return _no_nulls(_wide(i), "activity_id", "activity_rule_id", "coupon_id")
 
 
+def _wide_of_changes(changes: DataFrame) -> DataFrame:
+    """Wide details out of a changelog of the four tables."""
+    details = records.order_detail_records(changes)
+    orders = records.order_records(changes)
+    return facts.order_detail_wide(
+        details, orders, records.activity_records(changes), records.coupon_records(changes)
+    )
+
+
+@query
+def changelog_order_wide(i: Inputs) -> DataFrame:
+    """From the changelog through typed records to wide details; orders come in two versions."""
+    return _no_nulls(_wide_of_changes(i.fact_changes()), "activity_id", "activity_rule_id", "coupon_id")
+
+
+@query
+def changelog_payment(i: Inputs) -> DataFrame:
+    """Payments out of the changelog, with the wide details out of the changelog."""
+    payments = records.payment_records(i.payment_changes()).select("order_id", "payment_type", "ts")
+    paid = facts.payment_detail(_wide_of_changes(i.fact_changes()), payments, i.dictionary(), -30 * DAY, 5 * DAY)
+    return paid.select("order_detail_id", "order_id", "user_id", "payment_type_name", "callback_ts", "sku_num", "split_payment_amount")
+
+
+@query
+def changelog_refund(i: Inputs) -> DataFrame:
+    """Refund requests out of the changelog, with their orders."""
+    refunding = i.order_info().where(F.col("status") == "O")
+    return facts.refund_order_detail(records.refund_request_records(i.refund_changes()), refunding, i.dictionary())
+
+
+@query
+def changelog_comment_dic(i: Inputs) -> DataFrame:
+    """Comments out of the changelog, with the name of their rating."""
+    comments = records.comment_records(i.comment_changes())
+    return facts.comment_dic(comments, i.dictionary()).select("id", "user_id", "appraise", "appraise_name", "msg", "table_name")
+
+
 @query
 def order_cancel_detail(i: Inputs) -> DataFrame:
     return _no_nulls(facts.order_cancel_detail(_wide(i), i.changes()), "activity_id", "coupon_id")
@@ -677,6 +714,18 @@ def user_device_rollup(i: Inputs) -> DataFrame:
     return labels.user_device_rollup(logs.device_search_base(i.page_log()))
 
 
+@query
+def user_device_values(i: Inputs) -> DataFrame:
+    return labels.user_device_values(logs.device_search_base(i.page_log()))
+
+
+@query
+def label_merge(i: Inputs) -> DataFrame:
+    """User rows merged with the body measures reported, and the day of the report."""
+    users = i.users().select("uid", "uname", "user_level", F.coalesce("gender", F.lit("home")).alias("gender"))
+    return labels.merge_labels(users, i.supplements(), "uid")
+
+
 @query
 def user_device_latest_window(i: Inputs) -> DataFrame:
     return _no_nulls(_device_rows(i), "search_item")

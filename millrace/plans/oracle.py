@@ -504,6 +504,35 @@ SQL: dict[str, str] = {
         SELECT CASE WHEN event_type = 'error' THEN 'error_bucket' ELSE strftime(ts, '%Y%m%d') END AS day, count(*) AS row_count
         FROM v_events GROUP BY 1""",
     "order_detail_wide": f"SELECT * REPLACE ({_money(*_AMOUNTS)}, {_stamp('ts')}) FROM v_wide",
+    "changelog_order_wide": f"""
+        SELECT * REPLACE ({_money(*_AMOUNTS)}, {_stamp('ts')}) FROM (
+            SELECT * REPLACE (CAST(sku_num * split_original_amount AS DECIMAL(16,2)) AS split_original_amount) FROM v_wide)""",
+    "changelog_payment": f"""
+        SELECT w.id AS order_detail_id, w.order_id, user_id, dic_name AS payment_type_name, {_stamp("o_orderdate", "callback_ts")},
+               sku_num, CAST(split_total_amount AS DOUBLE) AS split_payment_amount
+        FROM v_wide w JOIN orders ON w.order_id = CAST(o_orderkey AS VARCHAR) AND o_orderstatus = 'F'
+        JOIN v_dic ON dic_code = md5(o_orderpriority)
+        WHERE w.ts BETWEEN o_orderdate - INTERVAL '30 days' AND o_orderdate + INTERVAL '5 days'""",
+    "changelog_refund": f"""
+        SELECT r.id, r.user_id, r.order_id, r.sku_id, o.province_id, strftime(r.ts, '%Y-%m-%d') AS date_id,
+               t.dic_code AS refund_type_code, t.dic_name AS refund_type_name, s.dic_code AS refund_reason_type_code,
+               s.dic_name AS refund_reason_type_name, refund_reason_txt, refund_num, {_money("refund_amount")}, {_stamp("r.ts")}
+        FROM v_refund r JOIN v_order o ON r.order_id = o.id AND o.status = 'O'
+        JOIN v_dic t ON t.dic_code = md5(refund_type) JOIN v_dic s ON s.dic_code = md5(refund_reason_type)""",
+    "changelog_comment_dic": """
+        SELECT id, user_id, md5(appraise) AS appraise, dic_name AS appraise_name, msg, 'comment_info' AS table_name
+        FROM v_comment JOIN v_dic ON dic_code = md5(appraise)""",
+    "user_device_values": """
+        SELECT uid, field, value, count(*) AS views FROM (
+            UNPIVOT (SELECT seq, uid, os, ch, md, ba, search_item FROM v_device) ON os, ch, md, ba, search_item INTO NAME field VALUE value)
+        WHERE value <> '' GROUP BY ALL""",
+    "label_merge": f"""
+        SELECT CAST(c_custkey AS VARCHAR) AS uid, c_name AS uname, CAST(c_custkey % 5 AS VARCHAR) AS user_level,
+               CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'home' END AS gender,
+               CAST(150 + c_custkey % 50 AS VARCHAR) AS height, 'cm' AS unit_height, CAST(45 + c_custkey % 40 AS VARCHAR) AS weight,
+               'kg' AS unit_weight, strftime(ts, '%Y%m%d') AS ds, {_stamp("ts")}
+        FROM (SELECT *, TIMESTAMP '2024-01-01' + to_minutes(CAST(c_custkey * 211 % 43200 + c_custkey * 7 % 21 - 10 AS INTEGER)) AS ts
+              FROM customer)""",
     "order_cancel_detail": f"""
         SELECT w.id, w.order_id, user_id, sku_id, province_id, activity_id, coupon_id,
                strftime(o_orderdate, '%Y-%m-%d') AS order_cancel_date_id, sku_num, {_money(*_AMOUNTS)}, {_stamp("o_orderdate", "operate_ts")}

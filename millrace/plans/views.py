@@ -517,6 +517,60 @@ class Inputs:
             F.col("p_partkey").alias("seq"),
         )
 
+    # --- the facts' tables as a changelog --------------------------------------------------------
+
+    @staticmethod
+    def as_changes(rows: DataFrame, name: str, op: str = "c", ts: str = "ts", renamed: dict[str, str] | None = None) -> DataFrame:
+        """Rows of a table as changes: every column is a text of the new image."""
+        renamed = renamed or {}
+        entries = [
+            c for column in rows.columns if column != ts for c in (F.lit(renamed.get(column, column)), text(F.col(column)))
+        ]
+        image = F.create_map(*entries)
+        return rows.select(
+            F.lit(op).alias("op"),
+            (image if op == "u" else F.lit(None).cast("map<string,string>")).alias("before"),
+            image.alias("after"),
+            F.create_map(F.lit("db"), F.lit("shop"), F.lit("table"), F.lit(name), F.lit("server_id"), F.lit("1")).alias("source"),
+            F.unix_millis(F.col(ts).cast("timestamp")).alias("ts_ms"),
+        )
+
+    def fact_changes(self) -> DataFrame:
+        """Orders in two versions, details, activities and coupons, as one changelog.
+
+        The second version of an order comes a day later with another status, as every status change sends one.
+        """
+        orders = self.order_info().select("id", "user_id", "province_id", "consignee", F.col("status").alias("order_status"), "total_amount", "ts")
+        later = orders.withColumn("order_status", F.lit("1004")).withColumn("ts", F.col("ts") + F.make_dt_interval(days=F.lit(1)))
+        details = self.order_detail().select(
+            "id", "order_id", "sku_id", "sku_name", "sku_num", F.col("split_original_amount").alias("order_price"),
+            "split_activity_amount", "split_coupon_amount", "split_total_amount", "ts",
+        )
+        parts = [
+            self.as_changes(orders, "order_info"),
+            self.as_changes(later, "order_info", "u"),
+            self.as_changes(details, "order_detail"),
+            self.as_changes(self.activities(), "order_detail_activity"),
+            self.as_changes(self.coupons(), "order_detail_coupon"),
+        ]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+    def payment_changes(self) -> DataFrame:
+        paid = self.payments().withColumn("payment_status", F.lit("1602")).withColumn(
+            "callback_time", F.unix_millis(F.col("ts"))
+        )
+        return self.as_changes(paid, "payment_info", "u")
+
+    def refund_changes(self) -> DataFrame:
+        asked = self.refund_infos().withColumn("create_time", F.unix_millis(F.col("ts")))
+        return self.as_changes(asked, "order_refund_info")
+
+    def comment_changes(self) -> DataFrame:
+        return self.as_changes(self.comments(), "comment_info", renamed={"msg": "comment_txt"})
+
     # --- comments ------------------------------------------------------------------------------
 
     def comments(self) -> DataFrame:
