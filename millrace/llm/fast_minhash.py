@@ -18,8 +18,8 @@ COORDINATES = 1024
 BANDS = 32
 ROWS = 4
 # Two sets at the threshold agree in 7/8 of their sketches' single bits on average (a coordinate that
-# differs still agrees by chance), with a deviation of 0.9 %. 850 of 1024 is five deviations below.
-LEAST_BITS = 850
+# differs still agrees by chance), with a deviation of 0.9 %. 855 of 1024 is four and a half deviations below: 3e-6 of such pairs have less.
+LEAST_BITS = 855
 
 U64 = np.uint64
 
@@ -233,13 +233,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not mixed.isEmpty():
         counts = inside.groupBy("key", "component").count()
         main = counts.join(mixed, "key").groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-        held = saved(inside.join(main, "key").join(bits, "id"), "held")
-        x = held.where("component <> main").select("key", *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "component", "bits")])
-        y = held.select("key", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "component", "bits")])
+        sketched = signs.where("d1 IS NOT NULL").select(F.col("doc_id").alias("id"), "bits", "keys").dropDuplicates(["id"])
+        held = saved(inside.join(main, "key").join(sketched, "id"), "held")
+        sides = ("id", "n", "component", "bits", "keys")
+        x = held.where("component <> main").select("key", *[F.col(c).alias(f"{c}_x") for c in sides])
+        y = held.select("key", *[F.col(c).alias(f"{c}_y") for c in sides])
+        # A pair that shares several buckets is taken up in the first of them alone.
+        first = F.col("key") == F.array_min(F.array_intersect("keys_x", "keys_y"))
         more = (
             x.join(y, "key")
             .where("component_x <> component_y")
-            .where(_sizes("n_x", "n_y") & _bits_alike("bits_x", "bits_y"))
+            .where(_sizes("n_x", "n_y") & _bits_alike("bits_x", "bits_y") & first)
             .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
             .distinct()
             .join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
