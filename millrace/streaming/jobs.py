@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
 from millrace.functions import times
-from millrace.operators import logs, traffic
+from millrace.operators import cdc, logs, moderation, traffic
 from millrace.session import checkpoint_dir
 from millrace.sources.sinks import KeyedTable, run_of
 
@@ -154,6 +154,36 @@ def append_batch(folder: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def route_facts(config: Callable[[], DataFrame], folder: str) -> Callable[[DataFrame, int], None]:
+    """Each batch of changes into one folder per sink table, by the configuration as it is at that time."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        routed = cdc.route_fact(batch, config())
+        target = f"{folder}/run={run_of(batch.sparkSession)}/batch={batch_id}"
+        routed.write.mode("overwrite").partitionBy("sink_table").parquet(target)
+
+    return write
+
+
+def upsert_dimensions(config: Callable[[], DataFrame], table: KeyedTable) -> Callable[[DataFrame, int], None]:
+    """Dimension rows of each batch of changes into a table keyed by (sink_table, row_key)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(cdc.dim_latest(batch, config()), batch_id)
+
+    return write
+
+
+def moderate(words: Callable[[], DataFrame], key: str, folder: str) -> Callable[[DataFrame, int], None]:
+    """Each batch of comments with its grade, by the word table as it is at that time."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        graded = moderation.comment_moderation(batch, words(), key)
+        graded.write.mode("overwrite").parquet(f"{folder}/run={run_of(batch.sparkSession)}/batch={batch_id}")
+
+    return write
+
+
 def split_log_batch(folder: str) -> Callable[[DataFrame, int], None]:
     """One parse, six sinks: dirty, err, start, display, action, page.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from millrace.functions import times
-from millrace.operators import customers, dedup, facts, labels, logs, search, traffic
+from millrace.operators import cdc, customers, dedup, facts, labels, logs, moderation, search, traffic
 from millrace.plans.views import Inputs
 from millrace.sources.sinks import KeyedTable
 from millrace.streaming import jobs, state
@@ -211,3 +211,27 @@ def test_two_runs_into_one_table(spark, tmp_path):
     assert sorted(tuple(r) for r in table.read(spark).select("k", "v").collect()) == [("a", 1), ("b", 2)]
     merged = table.rewrite(spark, str(tmp_path / "merged"))
     assert merged.read(spark).count() == 2
+
+
+def test_routing_and_dimensions_equal_their_batch_forms(spark, inputs, feed, tmp_path, same):
+    changes = inputs.changes()
+    stream = feed(changes.select(*changes.columns), ["ts_ms"])
+    routed = str(tmp_path / "routed")
+    jobs.run_available(stream, "route", jobs.route_facts(inputs.fact_config, routed), location=str(tmp_path / "cp1"))
+    got = spark.read.parquet(routed).select("sink_table", F.array_sort(F.map_entries("payload")).alias("p"), "ts")
+    want = cdc.route_fact(changes, inputs.fact_config()).select("sink_table", F.array_sort(F.map_entries("payload")).alias("p"), "ts")
+    same(got, want)
+
+    table = KeyedTable(str(tmp_path / "dims"), ("sink_table", "row_key"), ("ts_ms", "payload"))
+    stream = feed(changes, ["ts_ms"])
+    jobs.run_available(stream, "dims", jobs.upsert_dimensions(inputs.dim_config, table), location=str(tmp_path / "cp2"))
+    same(table.read(spark), cdc.dim_latest(changes, inputs.dim_config()))
+
+
+def test_moderated_stream_equals_batch(spark, inputs, feed, tmp_path, same):
+    comments = inputs.comments().where("id LIKE '%-1'")
+    words = inputs.words().where("length(word) > 3")
+    folder = str(tmp_path / "graded")
+    jobs.run_available(feed(comments, ["id"]), "moderate", jobs.moderate(lambda: words, "id", folder), location=str(tmp_path / "cp"))
+    want = moderation.comment_moderation(comments, words, "id")
+    same(spark.read.parquet(folder).select(*want.columns), want)
