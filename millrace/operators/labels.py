@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.functions import profile, times
 from millrace.operators.joins import enrich, interval_join, measured_lookups, spread_lookup
 
+Numbers = tuple[float, ...]
+
 BUCKETS = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
 
 # Weight of each feature.
@@ -24,40 +26,41 @@ WEIGHTS = {
 
 # Six numbers per label, in the order of the buckets.
 DEVICE = {
-    "iOS": "0.7 0.6 0.5 0.4 0.3 0.2",
-    "Android": "0.8 0.7 0.6 0.5 0.4 0.3",
+    "iOS": (0.7, 0.6, 0.5, 0.4, 0.3, 0.2),
+    "Android": (0.8, 0.7, 0.6, 0.5, 0.4, 0.3),
 }
 SEARCH = {
-    "时尚与潮流": "0.9 0.7 0.5 0.3 0.2 0.1",
-    "性价比": "0.2 0.4 0.6 0.7 0.8 0.8",
-    "健康与养生": "0.1 0.2 0.4 0.6 0.8 0.7",
-    "家庭与育儿": "0.1 0.2 0.4 0.6 0.8 0.7",
-    "科技与数码": "0.8 0.6 0.4 0.3 0.2 0.1",
-    "学习与发展": "0.4 0.5 0.6 0.7 0.8 0.7",
+    "时尚与潮流": (0.9, 0.7, 0.5, 0.3, 0.2, 0.1),
+    "性价比": (0.2, 0.4, 0.6, 0.7, 0.8, 0.8),
+    "健康与养生": (0.1, 0.2, 0.4, 0.6, 0.8, 0.7),
+    "家庭与育儿": (0.1, 0.2, 0.4, 0.6, 0.8, 0.7),
+    "科技与数码": (0.8, 0.6, 0.4, 0.3, 0.2, 0.1),
+    "学习与发展": (0.4, 0.5, 0.6, 0.7, 0.8, 0.7),
 }
-SEARCH_OTHER = "0 0 0 0 0 0"
+SEARCH_OTHER = (0, 0, 0, 0, 0, 0)
 TIME = {
-    "凌晨": "0.2 0.1 0.1 0.1 0.1 0.1",
-    "早晨": "0.1 0.1 0.1 0.1 0.2 0.3",
-    "上午": "0.2 0.2 0.2 0.2 0.3 0.4",
-    "中午": "0.4 0.4 0.4 0.4 0.4 0.3",
-    "下午": "0.4 0.5 0.5 0.5 0.5 0.4",
-    "晚上": "0.8 0.7 0.6 0.5 0.4 0.3",
-    "夜间": "0.9 0.7 0.5 0.3 0.2 0.1",
+    "凌晨": (0.2, 0.1, 0.1, 0.1, 0.1, 0.1),
+    "早晨": (0.1, 0.1, 0.1, 0.1, 0.2, 0.3),
+    "上午": (0.2, 0.2, 0.2, 0.2, 0.3, 0.4),
+    "中午": (0.4, 0.4, 0.4, 0.4, 0.4, 0.3),
+    "下午": (0.4, 0.5, 0.5, 0.5, 0.5, 0.4),
+    "晚上": (0.8, 0.7, 0.6, 0.5, 0.4, 0.3),
+    "夜间": (0.9, 0.7, 0.5, 0.3, 0.2, 0.1),
 }
 AMOUNT = {
-    "低消费": "0.8 0.6 0.4 0.3 0.2 0.1",
-    "中消费": "0.2 0.4 0.6 0.7 0.8 0.7",
-    "高消费": "0.1 0.2 0.3 0.4 0.5 0.6",
+    "低消费": (0.8, 0.6, 0.4, 0.3, 0.2, 0.1),
+    "中消费": (0.2, 0.4, 0.6, 0.7, 0.8, 0.7),
+    "高消费": (0.1, 0.2, 0.3, 0.4, 0.5, 0.6),
 }
 AMOUNT_MIDDLE_FROM, AMOUNT_HIGH_FROM = 1000, 4000
 BRAND = {
-    "A": "0.2 0.3 0.4 0.5 0.6 0.7",
-    "B": "0.9 0.8 0.7 0.7 0.7 0.5",
-    "C": "0.5 0.6 0.8 0.8 0.9 0.2",
-    "D": "0.3 0.4 0.6 0.8 0.9 0.2",
+    "A": (0.2, 0.3, 0.4, 0.5, 0.6, 0.7),
+    "B": (0.9, 0.8, 0.7, 0.7, 0.7, 0.5),
+    "C": (0.5, 0.6, 0.8, 0.8, 0.9, 0.2),
+    "D": (0.3, 0.4, 0.6, 0.8, 0.9, 0.2),
 }
-BRAND_OTHER = "0.1 0.2 0.3 0.4 0.5 0.6"
+BRAND_OTHER = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6)
+# Members of each group.
 BRAND_GROUPS = {
     "A": ["TCL"],
     "B": ["苹果", "联想", "小米"],
@@ -65,10 +68,11 @@ BRAND_GROUPS = {
     "D": ["香奈儿"],
 }
 CATEGORY = {
-    "1": "0.9 0.8 0.6 0.4 0.2 0.1",
-    "2": "0.2 0.4 0.6 0.8 0.9 0.7",
+    "1": (0.9, 0.8, 0.6, 0.4, 0.2, 0.1),
+    "2": (0.2, 0.4, 0.6, 0.8, 0.9, 0.7),
 }
-CATEGORY_OTHER = "0.1 0.2 0.4 0.5 0.8 0.9"
+CATEGORY_OTHER = (0.1, 0.2, 0.4, 0.5, 0.8, 0.9)
+# Members of each group.
 CATEGORY_GROUPS = {
     "1": ["数码", "手机", "电脑办公", "个护化妆", "服饰内衣"],
     "2": ["家居家装", "图书、音像、电子书刊", "厨具", "鞋靴", "母婴", "汽车用品", "珠宝", "家用电器"],
@@ -77,14 +81,14 @@ CATEGORY_GROUPS = {
 SCORE_TYPE = "decimal(6,3)"
 
 
-def _scored(df: DataFrame, prefix: str, label: Column, table: Mapping[str, str], weight: Decimal, other: str | None = None) -> DataFrame:
+def _scored(df: DataFrame, prefix: str, label: Column, table: Mapping[str, Numbers], weight: Decimal, other: Numbers | None = None) -> DataFrame:
     """Add six columns: the label's numbers times the weight, half up to three digits.
 
     The products are constants, so scoring is one lookup per row in a projection. Labels that are
     null, or unknown where there is no ``other`` row, have no score.
     """
-    def products(numbers: str) -> Column:
-        values = [(Decimal(n) * weight).quantize(Decimal("0.001"), ROUND_HALF_UP) for n in numbers.split()]
+    def products(numbers: Numbers) -> Column:
+        values = [(Decimal(str(n)) * weight).quantize(Decimal("0.001"), ROUND_HALF_UP) for n in numbers]
         return F.array(*[F.lit(v).cast(SCORE_TYPE) for v in values])
 
     by_label = F.create_map(*[c for name, numbers in table.items() for c in (F.lit(name), products(numbers))])

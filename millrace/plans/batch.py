@@ -765,6 +765,20 @@ def _with_dimensions(i: Inputs, details: DataFrame) -> DataFrame:
     return labels.order_dimensions(details, snapshot, hierarchy)
 
 
+@query
+def score_named_groups(i: Inputs) -> DataFrame:
+    """Brand and category scores with the groups of real brands and categories, dealt over the skus."""
+
+    def dealt(groups: dict[str, list[str]]) -> Column:
+        names = [m for members in groups.values() for m in members] + ["无"]
+        return F.array(*map(F.lit, names))[(F.col("sku_id").cast("bigint") % len(names)).cast("int")]
+
+    named = i.order_detail().select("id", dealt(labels.BRAND_GROUPS).alias("tname"), dealt(labels.CATEGORY_GROUPS).alias("b1_name"))
+    brands = labels.score_brand(named, groups=labels.BRAND_GROUPS)
+    both = labels.score_category(brands, groups=labels.CATEGORY_GROUPS)
+    return both.select("id", "tname", "b1_name", *labels.score_columns("brand"), *labels.score_columns("category"))
+
+
 @query
 def score_brand(i: Inputs) -> DataFrame:
     scored = labels.score_brand(_with_dimensions(i, i.order_detail()), groups=BRAND_GROUPS)

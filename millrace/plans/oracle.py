@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import re
 
-from millrace.functions.profile import ZODIAC
 from millrace.functions.texts import CLEAN_CHARACTERS
-from millrace.functions.times import TIME_SLOTS
-from millrace.operators import labels
+from millrace.plans import score_values as labels
 from millrace.plans.batch import BRAND_GROUPS, CATEGORY_GROUPS
+from millrace.plans.score_values import TIME_SLOTS, ZODIAC
 from millrace.plans.views import PROFILE_DAY
 
 STAMP = "'%Y-%m-%d %H:%M:%S.%g'"
@@ -258,12 +257,12 @@ VIEWS: dict[str, str] = {
 }
 
 
-def _score_case(label: str, table: dict[str, str], weight, i: int, other: str | None) -> str:
+def _score_case(label: str, table: dict[str, tuple[float, ...]], weight, i: int, other: tuple[float, ...] | None) -> str:
     """The i-th number of the label's row times the weight, rounded by the other engine."""
     whens = " ".join(
-        f"WHEN '{name}' THEN {numbers.split()[i]}" for name, numbers in table.items()
+        f"WHEN '{name}' THEN {numbers[i]}" for name, numbers in table.items()
     )
-    rest = f"ELSE {other.split()[i]}" if other else ""
+    rest = f"ELSE {other[i]}" if other else ""
     return f"round(CAST(CASE {label} {whens} {rest} END AS DECIMAL(6,4)) * CAST({weight} AS DECIMAL(6,4)), 3)"
 
 
@@ -284,6 +283,21 @@ FEATURES = {
 }
 
 
+_BRANDS = [m for members in labels.BRAND_GROUPS.values() for m in members] + ["无"]
+_CATEGORIES = [m for members in labels.CATEGORY_GROUPS.values() for m in members] + ["无"]
+
+
+def _real(kind: str) -> str:
+    value, groups, table, other = {
+        "brand": ("tname", labels.BRAND_GROUPS, labels.BRAND, labels.BRAND_OTHER),
+        "category": ("b1_name", labels.CATEGORY_GROUPS, labels.CATEGORY, labels.CATEGORY_OTHER),
+    }[kind]
+    return ", ".join(
+        f"CAST({_score_case(_group_case(value, groups), table, labels.WEIGHTS[kind], i, other)} AS DOUBLE) AS {kind}_{b}"
+        for i, b in enumerate(labels.BUCKETS)
+    )
+
+
 def _score(feature: str, i: int) -> str:
     label, table, other = FEATURES[feature]
     return _score_case(label, table, labels.WEIGHTS[feature], i, other)
@@ -685,6 +699,10 @@ SQL: dict[str, str] = {
         SELECT id, pay_time_slot, {_scores("time")} FROM (SELECT id, {_slot("create_ts")} AS pay_time_slot FROM v_label_order)""",
     "score_amount": f"""
         SELECT id, spending_pow, {_scores("amount")} FROM (SELECT id, {_POWER} AS spending_pow FROM v_label_order)""",
+    "score_named_groups": f"""
+        SELECT id, tname, b1_name, {_real("brand")}, {_real("category")} FROM (
+            SELECT id, {_BRANDS}[CAST(sku_id AS BIGINT) % {len(_BRANDS)} + 1] AS tname,
+                   {_CATEGORIES}[CAST(sku_id AS BIGINT) % {len(_CATEGORIES)} + 1] AS b1_name FROM v_detail)""",
     "score_brand": f"""
         SELECT d.id, d.sku_id, sku_num, {_stamp("ts")}, tname, {_scores("brand")} FROM v_detail d JOIN v_sku_dims s ON d.sku_id = s.sku_id""",
     "score_category": f"""
