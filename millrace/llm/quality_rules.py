@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.tables import let, saved, whole_row
+from millrace.llm.tables import let, saved
 
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
@@ -89,26 +89,26 @@ def signals(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", _signals(F.col("text")).alias("s")).select("doc_id", "s.*")
 
 
-def _base_failed() -> Column:
-    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))
+def _base_failed(of=F.col) -> Column:
+    return (of("n_words") < LEAST_WORDS) | (100 * of("n_repeat_words") > MOST_REPEAT_PERCENT * of("n_words"))
 
 
-def _votes() -> Column:
-    return F.array(*[vote.cast("int") for vote in rules().values()])
+def _votes(of=F.col) -> Column:
+    return F.array(*[vote.cast("int") for vote in rules(of).values()])
 
 
-def _percent(part: str, whole: str, least: int) -> Column:
-    return 100 * F.col(part) >= least * F.col(whole)
-
-
-def rules() -> dict[str, Column]:
-    """Each rule's vote over the columns of :func:`signals`: 1 good, -1 bad, 0 abstains.
+def rules(of=F.col) -> dict[str, Column]:
+    """Each rule's vote over the counts of :func:`signals`, which ``of`` gives by name: 1 good, -1 bad, 0 abstains.
 
     The first seven look for one fault each and vote bad or abstain; the others look for a sign of prose and
     vote good, bad or abstain. Three of those read words and sentences, so they don't call a text good that
     is dense with symbols: there they can't tell.
     """
-    plain = ~_percent("n_symbols", "n_words", 10)
+
+    def percent(part: str, whole: str, least: int) -> Column:
+        return 100 * of(part) >= least * of(whole)
+
+    plain = ~percent("n_symbols", "n_words", 10)
 
     def bad(condition: Column) -> Column:
         return F.when(condition, BAD).otherwise(0)
@@ -117,20 +117,20 @@ def rules() -> dict[str, Column]:
         return F.when(good, GOOD).when(wrong, BAD).otherwise(0)
 
     return {
-        "too_short": bad(F.col("n_words") < LEAST_WORDS),
-        "repetitive": bad(_percent("n_repeat_words", "n_words", 40)),
-        "symbols": bad(_percent("n_symbols", "n_words", 20)),
-        "shouting": bad(_percent("n_upper", "word_chars", 40)),
-        "exclaiming": bad(_percent("n_shouts", "n_words", 20)),
-        "repeated_lines": bad((F.col("n_lines") >= 4) & _percent("n_dup_lines", "n_lines", 40)),
-        "word_length": bad(~F.col("word_chars").between(2 * F.col("n_words"), 14 * F.col("n_words"))),
+        "too_short": bad(of("n_words") < LEAST_WORDS),
+        "repetitive": bad(percent("n_repeat_words", "n_words", 40)),
+        "symbols": bad(percent("n_symbols", "n_words", 20)),
+        "shouting": bad(percent("n_upper", "word_chars", 40)),
+        "exclaiming": bad(percent("n_shouts", "n_words", 20)),
+        "repeated_lines": bad((of("n_lines") >= 4) & percent("n_dup_lines", "n_lines", 40)),
+        "word_length": bad(~of("word_chars").between(2 * of("n_words"), 14 * of("n_words"))),
         "sentences": either(
-            plain & _percent("n_ends", "n_words", 2) & ~_percent("n_ends", "n_words", 34),
-            ~_percent("n_ends", "n_words", 1) | _percent("n_ends", "n_words", 50),
+            plain & percent("n_ends", "n_words", 2) & ~percent("n_ends", "n_words", 34),
+            ~percent("n_ends", "n_words", 1) | percent("n_ends", "n_words", 50),
         ),
-        "plain_characters": either(~_percent("n_symbols", "n_words", 3), _percent("n_symbols", "n_words", 10)),
-        "letter_case": either(plain & ~_percent("n_upper", "word_chars", 12), _percent("n_upper", "word_chars", 30)),
-        "varied": either(plain & ~_percent("n_repeat_words", "n_words", 12), _percent("n_repeat_words", "n_words", 30)),
+        "plain_characters": either(~percent("n_symbols", "n_words", 3), percent("n_symbols", "n_words", 10)),
+        "letter_case": either(plain & ~percent("n_upper", "word_chars", 12), percent("n_upper", "word_chars", 30)),
+        "varied": either(plain & ~percent("n_repeat_words", "n_words", 12), percent("n_repeat_words", "n_words", 30)),
     }
 
 
@@ -241,10 +241,17 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that :func:`judged` keeps, row by row and with their columns as they are.
 
     The verdict needs a row's own counts and the fitted scores alone, so texts are read twice and never
-    shuffled, and rows need no id of their own.
+    shuffled, and rows need no id of their own. The scores of all patterns are one value of the plan; each
+    row's counts are one expression, so that no part of the plan computes them again.
     """
-    patterns = saved(signals(docs).select(_votes().alias("v")).groupBy("v").count(), "quality-votes")
+
+    def votes(s: Column) -> Column:
+        return _votes(lambda name: s[name])
+
+    patterns = saved(docs.select(let(_signals(F.col("text")), votes).alias("v")).groupBy("v").count(), "quality-votes")
     scores = saved(fitted_counts(patterns, len(rules())), "quality-scores")
-    whole = docs.select(whole_row(docs).alias("document"), _signals(F.col("text")).alias("s")).select("document", "s.*")
-    judged_rows = whole.withColumn("v", _votes()).join(F.broadcast(scores), "v")
-    return judged_rows.where(~_base_failed() & (F.col("quality") >= KEEP_FROM)).select("document.*")
+    by_pattern = scores.agg(F.map_from_entries(F.collect_list(F.struct("v", "quality"))).alias("m"))
+    passed = let(
+        _signals(F.col("text")), lambda s: F.when(~_base_failed(lambda name: s[name]), votes(s))
+    )
+    return docs.where(F.try_element_at(by_pattern.scalar(), passed) >= KEEP_FROM)
