@@ -5,6 +5,7 @@ from __future__ import annotations
 import array
 import base64
 from collections.abc import Iterator
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -95,11 +96,25 @@ WITH RECURSIVE t(w, pos, tok, live, round) AS (
 """
 
 RESULT = """
-SELECT w, list(tok ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS text
+SELECT w, string_agg(code, '' ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS text
 FROM t JOIN tokens ON tokens.id = tok WHERE NOT live GROUP BY w ORDER BY w
 """
 
 
+class _Numbers(dict):
+    """Piece to number; a piece met for the first time gets the next one and is noted as new."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        at = len(self)
+        self[piece] = at
+        return at
+
+
 class Vocabulary:
     """The rank table in a DuckDB of its own, in memory, and the pieces encoded so far."""
 
@@ -115,20 +130,22 @@ class Vocabulary:
         unsafe = np.union1d(left[to < left], right[to < right])
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self._table("merges", k=left * 1048576 + right, r=to.astype(np.int32), is_safe=~np.isin(to, unsafe))
-        self._table(
-            "tokens", id=np.array(list(ranks.values()), np.int32), hex=[t.hex() for t in ranks]
-        )
+        # The code is the id as it is written out: four bytes, the low one first.
+        codes = [r.to_bytes(4, "little").hex() for r in ranks.values()]
+        self._table("tokens", id=np.array(list(ranks.values()), np.int32), hex=[t.hex() for t in ranks], code=codes)
         self.bytes = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
-        self.clear()
+        self.number = _Numbers()
+        self.ids: list[bytes] = []
+        self.texts: list[bytes] = []
 
     def _table(self, name: str, **columns) -> None:
         rows = pa.table(columns)  # noqa: F841  read by name in the statement
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM rows")
 
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids: list[bytes] = []
-        self.texts: list[bytes] = []
+    def keep(self, most: int) -> None:
+        """Forget all but the first pieces: what came early is what is common."""
+        self.number = _Numbers(islice(self.number.items(), most))
+        del self.ids[most:], self.texts[most:]
 
     def _query(self, statement: str):
         return self.db.execute(statement).fetchall()
@@ -157,7 +174,7 @@ class Vocabulary:
                 flat = np.frombuffer(b"".join(raw), np.uint8)
                 self._pieces(flat, np.fromiter(map(len, raw), np.int64, len(raw)))
                 for w, found, text in contract():
-                    ids[part[w]] = np.array(found, "<u4").tobytes()
+                    ids[part[w]] = bytes.fromhex(found)
                     texts[part[w]] = bytes.fromhex(text)
         return ids, texts
 
@@ -180,21 +197,15 @@ class Vocabulary:
     def learn(self, texts: list[str], split: regex.Pattern) -> list[array.array]:
         """The numbers of each text's pieces; pieces not met before are encoded."""
         if len(self.number) > REMEMBERED:
-            self.clear()
-        number, new, out = self.number, [], []
+            self.keep(REMEMBERED // 2)
+        number, out = self.number, []
         for text in texts:
             if len(text) > BYTES_AT_ONCE:
                 found = (m.group() for m in split.finditer(text))
             else:
                 found = split.findall(text)
-            line = array.array("I")
-            for piece in found:
-                at = number.get(piece)
-                if at is None:
-                    at = number[piece] = len(number)
-                    new.append(piece)
-                line.append(at)
-            out.append(line)
+            out.append(array.array("I", map(number.__getitem__, found)))
+        new, number.new = number.new, []
         if new:
             ids, decoded = self.encode([piece.encode() for piece in new])
             self.ids += ids
