@@ -148,20 +148,11 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole texts pass. The texts are dealt once by id and once by pair."""
-    ends = pairs.select(
-        "a", "b", F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.lit(0).alias("side")),
-                                    F.struct(F.col("b").alias("doc_id"), F.lit(1).alias("side")))).alias("end")
-    ).select("a", "b", "end.doc_id", "end.side")
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    both = (
-        ends.join(texts, "doc_id")
-        .groupBy("a", "b")
-        .agg(
-            F.max(F.when(F.col("side") == 0, F.col("text"))).alias("left"),
-            F.max(F.when(F.col("side") == 1, F.col("text"))).alias("right"),
-        )
-    )
+    """The pairs (a, b) whose whole texts pass. One row per pair meets the texts of its two ends in turn."""
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).dropDuplicates(["doc_id"])
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
     return arrow(both, _confirm, "a long, b long")
 
 
