@@ -308,6 +308,30 @@ def test_main_text(spark, shard):
     assert host_suffixes.main_text(pages.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("shard", [400_000, 15])
+def test_main_text_loses_no_article(spark, shard):
+    """A story under two addresses, a paragraph quoted once, teasers and comments marked up as articles."""
+    story, body, quoted, note = (" ".join(f"{k}{i}" for i in range(n)) for k, n in (("s", 80), ("b", 60), ("q", 12), ("n", 9)))
+    page = lambda *parts: "<body>" + "".join(f"<div>{p}</div>" for p in parts)
+    rows = [
+        (1, "http://two.com/s", page(story)), (2, "http://two.com/s?utm_source=feed", page(story)),
+        (3, "http://near.com/1", page(story, "one")), (4, "http://near.com/2", page(story, "two")),
+        *((10 + i, f"http://many.com/{i}", page(note, quoted if i < 2 else "", f"p{i} alone")) for i in range(6)),
+        (20, "http://t.com/", f"{page(body)}<article>short teaser</article>"),
+        (21, "http://c.com/", f'{page("kept")}<article class="comment">me too</article><article>{body}<article class="comment">no</article></article>'),
+        (22, "http://d.com/", '<article class="teaser">all there is</article>'),
+        (23, "http://e.com/", f"{page(body)}<article>{story}</article>tail"),
+    ]
+    before, host_suffixes.TOKENS_PER_SHARD = host_suffixes.TOKENS_PER_SHARD, shard
+    got = {r.page_id: r.text for r in host_suffixes.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    host_suffixes.TOKENS_PER_SHARD = before
+    assert got == {
+        1: story, 2: story, 3: f"{story}\none", 4: f"{story}\ntwo", 20: f"{body}\nshort teaser", 21: body, 22: "all there is",
+        23: f"{body}\n{story}", 10: f"{quoted}\np0 alone", 11: f"{quoted}\np1 alone",
+        **{10 + i: f"p{i} alone" for i in range(2, 6)},
+    }
+
+
 def test_suffix_order_by_brute_force():
     rng = np.random.RandomState(3)
     tokens = rng.randint(0, 3, 200)
