@@ -168,6 +168,31 @@ def test_secrets(spark, odd, none):
     assert secret_forest.masked(odd).count() == odd.count()
 
 
+def test_secrets_of_any_form(spark):
+    """Without digits, short, punctuated or with an issuer's start only; and words in the same places."""
+    rng = random.Random(9)
+    text = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    common = [lambda: f'token = "{text(40, "0123456789abcdef")}"', lambda: "INTERNATIONALISATION", lambda: text(16, "0123456789"),
+              lambda: "internationalisations", lambda: "AKIA" + text(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")]
+    rows = [(100 + i, f"{PROSE} {common[i % 5]()} {PROSE}", "s") for i in range(200)]
+    secret = {
+        1: ('secret = "{}"', "qWErtYuIopASDfghJKLz"), 2: ("password={}", "hunter2!"), 3: ("pwd: {},", "Tr0ub4dor&3$xK9"),
+        4: ('{{"api_key":"{}","n":1}}', "aB3.dE5"), 5: ("password {}", "hunter2!"), 6: ("Authorization: Bearer {}", "aX9.b-7"),
+        7: ("see {} there", "ghp_aB3dE5f"), 8: ("?access_key={}&page=2", "x9%7Bq"),
+    }
+    dull = {20: "the authors of internationalisations", 21: "token: children", 22: "a secret bridge", 23: "auth = https://a.com/1"}
+    rows += [(i, f"{PROSE} {form.format(value)} {PROSE}", "s") for i, (form, value) in secret.items()]
+    rows += [(i, f"{PROSE} {words} {PROSE}", "s") for i, words in dull.items()]
+    docs = frame(spark, rows)
+    found = {(r.doc_id, r.core): r.is_secret for r in secret_forest.findings(docs).collect()}
+    assert {(i, v): found.get((i, v)) for i, (_, v) in secret.items()} == {(i, v): True for i, (_, v) in secret.items()}
+    assert found[20, "internationalisations"] is False and found[21, "children"] is False and found[103, "internationalisations"] is False
+    got = by_id(secret_forest.masked(docs), "text")
+    for i, (form, _) in secret.items():
+        assert got[i] == (f"{PROSE} {form.format('<secret>')} {PROSE}",)
+    assert all("<secret>" not in got[i][0] for i in [*dull, 101, 102, 103])
+
+
 def test_vectors_by_brute_force(spark):
     rng = np.random.RandomState(1)
     base = rng.normal(size=(40, 10))
