@@ -260,6 +260,14 @@ def test_sketch_is_unbiased():
         assert abs(agree - len(np.intersect1d(x, y)) / len(np.union1d(x, y))) < 0.06
 
 
+def test_sketch_bits_lose_fewer_links_than_bands():
+    from math import comb
+
+    n = fast_minhash.COORDINATES
+    lost = sum(comb(n, i) * 7**i for i in range(fast_minhash.LEAST_BITS)) / 8**n
+    assert lost < (1 - 0.75**fast_minhash.ROWS) ** fast_minhash.BANDS / 10
+
+
 def test_components(spark):
     rng = random.Random(7)
     edges = [(i, i + 1) for i in range(100, 160)] + [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(30)] + [(5, None), (9, 9)]
