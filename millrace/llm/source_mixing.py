@@ -16,13 +16,23 @@ MOST_SLOTS = 5_000_000
 
 
 def tempered_weights(docs: DataFrame) -> dict[str | None, int]:
-    """Integer target weights by source: 1,000 times the square root of its size over the largest one's.
+    """Integer target weights by source: 1,000 times the square root of its size over the largest one's, or so
+    many times less that a period of all sources has MOST_SLOTS at most.
 
     One row per source reaches the driver; sources are names that people gave, not data.
     """
     sizes = docs.groupBy(F.col("source").cast("string").alias("source")).count().collect()
     top = max((r["count"] for r in sizes), default=1)
-    return {r["source"]: max(1, int(1000 * sqrt(r["count"] / top))) for r in sizes}
+    shares = {r["source"]: sqrt(r["count"] / top) for r in sizes}
+
+    def weights(most: float) -> dict[str | None, int]:
+        return {s: max(1, int(most * share)) for s, share in shares.items()}
+
+    fine = weights(1000)
+    if sum(fine.values()) <= MOST_SLOTS:
+        return fine
+    # Each weight is at most its part of what is left beside one slot a source, and that one.
+    return weights(max(0, MOST_SLOTS - len(shares)) / sum(shares.values()))
 
 
 def period(weights: dict[str | None, int]) -> tuple[int, list[tuple[str | None, int, int, int]]]:

@@ -112,6 +112,14 @@ def test_mixing_bounds(spark, odd, none):
     assert ordered.columns == odd.columns and ordered.count() == odd.count()
 
 
+def test_default_weights_of_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(source_mixing, "MOST_SLOTS", 300)
+    docs = frame(spark, [(i * 100 + j, "t", f"s{i}") for i in range(40) for j in range(40 + i)])
+    weights = source_mixing.tempered_weights(docs)
+    assert len(weights) == 40 and 150 < sum(weights.values()) <= 300
+    assert source_mixing.mixed(docs).where("slot IS NULL").count() == 0 and source_mixing.mixed(docs).count() == docs.count()
+
+
 def test_warc_round_trip(spark):
     pages = spark.createDataFrame(
         [(1, "http://a.com/x", "<p>é", 1), (2, None, "<p>é", 1), (3, "http://b.com", None, 1), (4, "http://[bad", "", 1),
