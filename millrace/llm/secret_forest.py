@@ -255,13 +255,14 @@ def masked(docs: DataFrame, model=None) -> DataFrame:
     """The documents, with every secret in their texts replaced by ``<secret>``; the columns stay as they are.
 
     ``n_chars``, where there is such a column, follows the new text. Nothing is dropped: documents without a
-    secret pass through. Rows that share an id, or have none, share its secrets.
+    secret pass through. Rows that share an id share its secrets; a row without one has those of its own text.
     """
+    own = F.when(F.col("doc_id").isNotNull(), F.col("doc_id").cast("long")).when(F.col("text").isNotNull(), F.xxhash64("text"))
     secrets = (
-        findings(docs, model).where("is_secret").groupBy(F.col("doc_id").alias("found_in")).agg(F.collect_set("core").alias("secrets"))
+        findings(docs.select(own.alias("doc_id"), "text"), model).where("is_secret").groupBy(F.col("doc_id").alias("found_in")).agg(F.collect_set("core").alias("secrets"))
     )
-    joined = docs.select(whole_row(docs).alias("document"), F.col("doc_id").alias("own_id")).join(
-        secrets, F.col("own_id").eqNullSafe(F.col("found_in")), "left"
+    joined = docs.select(whole_row(docs).alias("document"), own.alias("own_id")).join(
+        secrets, F.col("own_id") == F.col("found_in"), "left"
     )
     text = F.col("document.text")
     longest_first = F.reverse(F.array_sort(F.transform("secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))

@@ -117,9 +117,13 @@ def formatted(messages: DataFrame, tools: dict[str, dict[str, dict]]) -> DataFra
     )
     answers = rows.where("tool_call_id IS NOT NULL AND conv_id IS NOT NULL").select("conv_id", F.col("tool_call_id").alias("id"), "turn")
     first_call = calls.groupBy("conv_id", "id").agg(F.min("turn").alias("called"))
+    # The side of one row per identifier is hashed and the results stream by, so a hot identifier can be split.
+    met = (
+        answers.join(first_call.hint("shuffle_hash"), ["conv_id", "id"]).where("turn > called")
+        .groupBy("conv_id", "id").agg(F.min("turn").alias("answered"))
+    )
     linked = saved(
-        first_call.join(answers.hint("shuffle_hash"), ["conv_id", "id"], "left")
-        .groupBy("conv_id", "id", "called").agg(F.min(F.when(F.col("turn") > F.col("called"), F.col("turn"))).alias("answered"))
+        first_call.join(met, ["conv_id", "id"], "left").select("conv_id", "id", "called", "answered")
         .join(levels(calls), ["conv_id", "id"]),
         "linked",
     )

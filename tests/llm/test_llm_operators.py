@@ -201,6 +201,13 @@ def test_secrets_of_any_form(spark):
     assert all("<secret>" not in got[i][0] for i in [*dull, 101, 102, 103])
 
 
+def test_rows_without_id_keep_to_their_own_secrets(spark):
+    value = "0f3a9c81d2e4b5f60718"
+    rows = [(None, f"{PROSE} token = {value} {PROSE}", "s"), (None, f"{PROSE} shown {value[:8]}, {value} {PROSE}", "s"), (None, None, "s")]
+    texts = [r.text or "" for r in secret_forest.masked(frame(spark, rows)).collect()]
+    assert len(texts) == 3 and sum("<secret>" in t for t in texts) == 1 and sum(value in t for t in texts) == 1
+
+
 def test_vectors_by_brute_force(spark):
     rng = np.random.RandomState(1)
     base = rng.normal(size=(40, 10))
@@ -408,6 +415,28 @@ def test_tool_calls(spark):
     assert tool_calls.formatted(frame_.where("false"), tools).count() == 0
 
 
+def test_many_results_of_one_call_stream(spark):
+    call = '[{"name":"f","id":"a","arguments":{}}]'
+    rows = [(1, 0, "assistant", None, call, None), (1, 10_000, "assistant", None, call.replace('"a"', '"b"'), None)]
+    rows += [(1, t, "tool", "r", None, "a") for t in range(1, 3000)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, content string, tool_calls string, tool_call_id string")
+    built = []
+    join = type(messages).join
+
+    def seen(left, right, *more):
+        if any("shuffle_hash" in str(x) for x in (right._jdf.queryExecution().logical().toString().split("\n")[0],)):
+            built.append(right.columns)
+        return join(left, right, *more)
+
+    type(messages).join = seen
+    try:
+        got = tool_calls.formatted(messages, {"f": {}}).groupBy("status").count().collect()
+    finally:
+        type(messages).join = join
+    assert built == [["conv_id", "id", "called"]]
+    assert {r.status: r["count"] for r in got} == {"": 2, "repeated": 2998, "unanswered": 1}
+
+
 def test_pipeline_by_brute_force(spark, folder):
     """Each stage's decisions against SQL or a plain program on its own input."""
     con = connect(folder)
