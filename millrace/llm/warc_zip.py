@@ -143,12 +143,16 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
-    """One record as a gzip member. A revisit holds the response's headers alone and names the first one."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+    """One record as a gzip member. A revisit holds the response's headers alone and names the first one.
+
+    The record of a page without an id has a random one of its own.
+    """
+    name = uuid.uuid4().urn if page_id is None else f"{ID}{page_id}"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     body = http if refers_to is not None else http + payload
     lines = [
-        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{ID}{page_id}>",
+        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{name}>",
         f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{digest(payload)}",
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}",
     ]
@@ -176,7 +180,8 @@ def _headers(block: bytes) -> tuple[str, dict[str, str]]:
 
 
 def _page(name: str | None) -> int | None:
-    return int(name.strip("<>").removeprefix(ID)) if name else None
+    """The page's id in a record's name; None for records of pages without one."""
+    return int(name.strip("<>").removeprefix(ID)) if name and not name.strip("<>").startswith("urn:uuid:") else None
 
 
 def surt(url: str | None) -> str:
@@ -208,7 +213,7 @@ def first_holders(pages: DataFrame) -> DataFrame:
     )
 
 
-def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, least: int = 0, without_id: bool = False) -> DataFrame:
     """Write a record per page into archives below ``folder``; returns (path, records, bytes), one per archive.
 
     ``pages`` needs page_id, url and html; other columns are ignored. Of records with equal payloads of at
@@ -217,7 +222,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     package description, and is written as a stream. A task writes under a name of its own, so one that
     is run again leaves no half archive in the result, which is saved: it lists each page once.
 
-    Pages without an id have no record. Repeated rows of a page are written again, each as its first row
+    Pages without an id have no record, or, if asked for (``without_id``), a response each under a random name
+    that reads back as a null page_id. Repeated rows of a page are written again, each as its first row
     would be. Null html is an empty payload, a null url leaves the target out. No pages give no archives.
     """
 
@@ -235,7 +241,9 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
         if out:
             yield out.close()
 
-    held = first_holders(pages).where("page_id IS NOT NULL")
+    held = first_holders(pages)
+    if not without_id:
+        held = held.where("page_id IS NOT NULL")
     if least:
         held = held.withColumn("refers_to", F.when(F.length("payload") >= least, F.col("refers_to")))
     return saved(arrow(held, write, "path string, records long, bytes long"), "manifest")
@@ -250,7 +258,7 @@ class _Archive:
         self.zip, self.index = ZipWriter(self.file), []
         self.zip.begin(RECORDS)
 
-    def add(self, page: int, url: str | None, payload: bytes, refers: int | None) -> None:
+    def add(self, page: int | None, url: str | None, payload: bytes, refers: int | None) -> None:
         data = record(page, url, payload, refers)
         entry = {"offset": self.zip.size, "length": len(data), "digest": f"sha1:{digest(payload)}"}
         self.index.append(f"{surt(url)} {DATE[:4]}0101000000 {json.dumps(entry)}\n")
@@ -375,6 +383,7 @@ def read_records(archives: DataFrame, payloads: bool = True) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
-    """Write all pages into archives in the shared folder and read every record back (without payloads)."""
+    """Write all pages, also those without an id, into archives in the shared folder and read every record back
+    (without payloads)."""
     folder = new_folder(pages.sparkSession, "archives")
-    return read_records(write_archives(pages, folder, least), payloads=False)
+    return read_records(write_archives(pages, folder, least, without_id=True), payloads=False)

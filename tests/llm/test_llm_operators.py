@@ -141,6 +141,14 @@ def test_warc_round_trip(spark):
     assert warc_zip.round_trip(pages.where("false")).count() == 0
 
 
+def test_warc_round_trip_keeps_pages_without_id(spark):
+    rows = [(1, "http://a.com", "same"), (2, "http://a.com/2", "same"), (None, "http://a.com/3", "same"), (None, None, None)]
+    got = warc_zip.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to, r.payload_bytes) for r in got) == [
+        (0, "response", None, 0), (0, "response", None, 4), (1, "response", None, 4), (2, "revisit", 1, 4)
+    ]
+
+
 def test_zip_directories(tmp_path):
     """Archives of another writer, with a comment, and a damaged one."""
     path = tmp_path / "a.zip"
