@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, fast_minhash, host_suffixes, quality_rules, secret_forest, source_mixing, subspace_join, token_counts, tool_calls, warc_zip
+from millrace.llm import (
+    byte_bpe, fast_minhash, host_suffixes, lexical_search, prefix_trie, quality_rules, secret_forest, sharding, source_mixing,
+    subspace_join, token_counts, tool_calls, warc_zip,
+)
 from millrace.llm.tables import table
 
 TOKEN_LIMIT = 4096
@@ -112,6 +115,27 @@ def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     return tool_calls.formatted(tool_messages(table(spark, folder, "conversations")), TOOLS)
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    dealt = sharding.sharded(table(spark, folder, "documents"), shards=8)
+    return dealt.select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
@@ -123,4 +147,7 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_text": op9_html_text,
     "op10_tool_calls": op10_tool_calls,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_sharding": op13_sharding,
 }

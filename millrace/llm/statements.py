@@ -5,6 +5,8 @@ from __future__ import annotations
 from millrace.llm.chats_sql import CHATS
 from millrace.llm.mixing_sql import MIXING
 from millrace.llm.quality_sql import QUALITY
+from millrace.llm.search_sql import SEARCH
+from millrace.llm.trie_sql import TRIE
 from millrace.llm.vectors_sql import VECTORS
 
 NEAR_DUPLICATES = r"""
@@ -40,6 +42,8 @@ SQL: dict[str, str] = {
     "op2_source_mixing": MIXING,
     "op5_embedding_near_dedup": VECTORS,
     "op10_tool_calls": CHATS,
+    "op11_lexical_search": SEARCH,
+    "op12_prefix_trie": TRIE,
     "op6_minhash_near_dedup": NEAR_DUPLICATES.format(docs="documents")
     + "SELECT *, component_id = doc_id AS kept FROM near",
 }
