@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import profile, times
 from millrace.operators.joins import enrich, interval_join, measured_lookups, spread_lookup
+from millrace.operators.running import Running, running
 
 Numbers = tuple[float, ...]
 
@@ -147,28 +148,51 @@ def user_device_values(base: DataFrame) -> DataFrame:
 def user_device_latest_window(base: DataFrame, width: str = "2 minutes") -> DataFrame:
     """Last device row per user and window, with the user's views so far.
 
-    Views are counted per window first; the running total then looks at one row per window.
+    Views are counted per window first; the running total then looks at one row per window, day by day, so a
+    user's windows are never one task's.
     """
     latest = F.max_by(F.struct("device", "search_item", "ts"), F.struct("ts", "seq")).alias("__last")
     windowed = base.groupBy("uid", F.window("ts", width)).agg(
         latest, F.count(F.lit(1)).alias("__n")
     )
-    so_far = (
-        Window.partitionBy("uid")
-        .orderBy("window.start")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return windowed.select(
+    counted = windowed.withColumn("__from", F.col("window.start"))
+    day = F.floor(F.unix_seconds("__from") / 86_400)
+    so_far = running(counted, ["uid"], ["__from"], day, [Running("__views", "sum", F.col("__n"), through=True)])
+    return so_far.select(
         "uid",
         times.second_text(F.col("window.start")).alias("stt"),
         times.second_text(F.col("window.end")).alias("edt"),
-        F.sum("__n").over(so_far).alias("pv"),
+        F.col("__views").alias("pv"),
         *[F.col(f"__last.device.{c}").alias(c) for c in ("os", "ch", "md", "ba")],
         F.col("__last.search_item").alias("search_item"),
         F.col("__last.ts").alias("ts"),
     )
 
 
+DEVICE_FIELDS = ("os", "ch", "md", "ba", "search_item")
+
+
+def user_device_running(base: DataFrame, slice_by: Column) -> DataFrame:
+    """Per event the user's views so far and how many different values of each field were seen so far.
+
+    ``base`` has uid, ts, seq (different for every event), device and search_item; null and empty values don't
+    count. A value counts at the event that shows it first, which is an aggregate over (uid, field, value); the
+    events' marks are then summed in order, by slices of time (``slice_by`` over ts). No set of values is built.
+    """
+    values = [F.struct(F.lit(n).alias("field"), (F.col("search_item") if n == "search_item" else F.col(f"device.{n}")).alias("value")) for n in DEVICE_FIELDS]
+    long = base.select("uid", "ts", "seq", F.explode(F.array(*values)).alias("__v")).where(F.coalesce("__v.value", F.lit("")) != "")
+    first = long.groupBy("uid", "__v").agg(F.min(F.struct("ts", "seq")).alias("__at"))
+    marks = first.groupBy("uid", "__at").agg(
+        *[F.sum((F.col("__v.field") == n).cast("bigint")).alias(f"__new_{n}") for n in DEVICE_FIELDS]
+    )
+    events = base.select("uid", "ts", "seq").withColumn("__at", F.struct("ts", "seq"))
+    marked = events.join(marks, ["uid", "__at"], "left").drop("__at")
+    measures = [Running("pv", "sum", F.lit(1).cast("bigint"), through=True)]
+    measures += [Running(f"n_{n}", "sum", F.coalesce(f"__new_{n}", F.lit(0).cast("bigint")), through=True) for n in DEVICE_FIELDS]
+    counted = running(marked, ["uid"], ["ts", "seq"], slice_by, measures)
+    return counted.select("uid", "ts", "seq", *[m.name for m in measures])
+
+
 def score_device(df: DataFrame, os: str = "os") -> DataFrame:
     """Device score from the first of the user's operating systems."""
     judged = df.withColumn("judge_os", F.split(F.col(os), ",")[0])

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import texts, times
 from millrace.operators.dedup import dedup_pair
-from millrace.operators.joins import spread_lookup
+from millrace.operators.joins import broadcast_if_small, spread_lookup
 
 
 def word_table(words: DataFrame, column: str = "word") -> DataFrame:
@@ -25,40 +25,53 @@ def comment_blacklist(comments: DataFrame, words: DataFrame, text: str = "msg")
     return flagged.withColumn("is_violation", F.col("__listed").isNotNull().cast("bigint")).drop("__listed", "__last")
 
 
+def _letters(text: Column) -> Column:
+    return F.split(text, "")
+
+
+def _gram_hashes(letters: Column, levels: Column) -> Column:
+    """For each level l from 0 to ``levels``: the different hashes of runs of 2^l letters, as (level, hashes).
+
+    The hash of a run comes from the hashes of its two halves, so a level costs one step per letter.
+    """
+    start = F.struct(
+        F.transform(letters, lambda c: F.xxhash64(c)).alias("h"), F.array().cast("array<struct<level:int,hashes:array<bigint>>>").alias("out")
+    )
+
+    def step(s: Column, level: Column) -> Column:
+        half = F.pow(F.lit(2), level).cast("int")
+        longer = F.when(
+            F.size(s["h"]) > half,
+            F.transform(F.sequence(F.lit(0), F.size(s["h"]) - half - 1), lambda i: F.xxhash64(F.get(s["h"], i), F.get(s["h"], i + half))),
+        ).otherwise(F.array().cast("array<bigint>"))
+        found = F.struct(level.alias("level"), F.array_distinct(s["h"]).alias("hashes"))
+        return F.struct(longer.alias("h"), F.concat(s["out"], F.array(found)).alias("out"))
+
+    return F.aggregate(F.sequence(F.lit(0), levels), start, step, lambda s: s["out"])
+
+
 def dictionary_hits(comments: DataFrame, words: DataFrame, key: str, text: str = "msg") -> DataFrame:
     """Different dictionary words found anywhere in each text, as a sorted comma list.
 
-    Words fall into classes by length: class c holds the words of c to 2 c - 1 letters, c a power of two. For
-    each class there is, every position of a text gives the hash of the c letters that start there, which meets
-    the first c letters of the class's words. So each position gives one row per class, whatever the shortest
-    or longest word or the size of the dictionary. Only (key, position, hash) is shuffled; hits get their text
-    back by key and are compared in full. The classes in use come with the dictionary, which is read in the
-    plan, not before.
+    Words fall into classes by length: class l holds the words of 2^l to 2^(l+1) - 1 letters. A text is cut into
+    letters once; per class its different runs of 2^l letters are hashed, in time that grows with the text, and
+    meet the first 2^l letters of the class's words. What meets is confirmed in the text, which is carried once per
+    text and word. Only (key, class, hash) moves, and not even that where the measured dictionary is small enough
+    to be broadcast.
     """
-    letters = F.length("word")
-    size = F.pow(F.lit(2), F.floor(F.log2(letters))).cast("int")
-    entries = words.where(letters > 0).select("word", size.alias("__class")).withColumn(
-        "__hash", F.xxhash64(F.substring(F.col("word"), F.lit(1), F.col("__class")))
-    )
-    # One row: at most as many classes as the longest word's length has binary digits.
-    classes = words.where(letters > 0).select(size.alias("c")).agg(F.array_sort(F.collect_set("c")).alias("__classes"))
+    letters = _letters(F.col("word"))
+    level = F.floor(F.log2(F.size(letters))).cast("int")
+    hashed = F.element_at(_gram_hashes(F.slice(letters, F.lit(1), F.pow(F.lit(2), level).cast("int")), level), -1)["hashes"][0]
+    entries = words.where(F.length("word") > 0).select("word", level.alias("__level"), hashed.alias("__hash"))
+    deepest = entries.agg(F.max("__level").alias("l")).scalar()
     low = F.lower(F.col(text))
-    places = comments.select(
-        F.col(key).alias("__key"), low.alias("__text"), F.explode(classes.scalar()).alias("__class")
-    )
-    grams = places.where(F.length("__text") >= F.col("__class")).select(
-        "__key", "__class",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.length("__text") - F.col("__class") + 1),
-                lambda i: F.xxhash64(F.substring(F.col("__text"), i, F.col("__class"))),
-            )
-        ).alias("__at", "__hash"),
-    )
-    met = grams.join(entries, ["__class", "__hash"]).select("__key", "__at", "word")
-    found = met.join(comments.select(F.col(key).alias("__key"), low.alias("__text")), "__key").where(
-        F.substring(F.col("__text"), F.col("__at") + 1, F.length("word")) == F.col("word")
-    )
+    texts_of = comments.where(F.length(F.col(text)) > 0).select(F.col(key).alias("__key"), low.alias("__text"))
+    # A subquery may not stand inside a lambda, so its value is a column first.
+    levelled = texts_of.withColumn("__deepest", F.coalesce(deepest, F.lit(0)))
+    levels = levelled.select("__key", F.explode(_gram_hashes(_letters(F.col("__text")), F.col("__deepest"))).alias("__g"))
+    grams = levels.select("__key", F.col("__g.level").alias("__level"), F.explode("__g.hashes").alias("__hash"))
+    met = grams.join(broadcast_if_small(entries), ["__level", "__hash"]).select("__key", "word")
+    found = met.join(texts_of, "__key").where(F.contains("__text", "word"))
     hits = found.groupBy("__key").agg(F.array_join(F.array_sort(F.collect_set("word")), ",").alias("hits"))
     return hits.select(F.col("__key").alias(key), "hits")
 

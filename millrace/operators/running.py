@@ -26,7 +26,8 @@ SLICE = "__slice"
 class Running:
     """One running measure.
 
-    ``kind`` is ``sum`` or ``max``; ``through`` says whether the current row counts.
+    ``kind`` is ``sum``, ``max`` or ``last`` (the last value that isn't null); ``through`` says whether the
+    current row counts.
     """
 
     name: str
@@ -46,7 +47,8 @@ def running(
     """Add running measures over ``keys`` in ``order``.
 
     ``slice_by`` must not decrease along ``order``. With ``backward`` the measures run from the last
-    row to the first. Sums of nothing are 0, maxima of nothing are null.
+    row to the first. Sums of nothing are 0, maxima and last values of nothing are null. For ``last`` the order
+    columns must tell all rows apart that have a value.
     """
     inputs = {m.name: f"__in_{m.name}" for m in measures}
     carried = {m.name: f"__carry_{m.name}" for m in measures}
@@ -55,7 +57,7 @@ def running(
         rows = rows.withColumn(inputs[m.name], m.value)
 
     per_slice = rows.groupBy(*keys, SLICE).agg(
-        *[_fold(m, F.col(inputs[m.name])).alias(carried[m.name]) for m in measures]
+        *[_collapse(m, F.col(inputs[m.name]), order, backward).alias(carried[m.name]) for m in measures]
     )
     direction = F.desc(SLICE) if backward else F.asc(SLICE)
     earlier = Window.partitionBy(*keys).orderBy(direction)
@@ -82,6 +84,8 @@ def running(
         before = F.col(carried[m.name])
         if m.kind == "sum":
             both = F.coalesce(here, F.lit(0)) + F.coalesce(before, F.lit(0))
+        elif m.kind == "last":
+            both = F.coalesce(here, before)
         else:
             both = F.greatest(here, before)
         results.append(both.alias(m.name))
@@ -93,9 +97,19 @@ def _fold(m: Running, value: Column) -> Column:
         return F.sum(value)
     if m.kind == "max":
         return F.max(value)
+    if m.kind == "last":
+        return F.last(value, ignorenulls=True)
     raise ValueError(f"unknown running measure {m.kind}")
 
 
+def _collapse(m: Running, value: Column, order: list[str], backward: bool) -> Column:
+    """The measure over all rows of a slice, in any order that the rows come in."""
+    if m.kind != "last":
+        return _fold(m, value)
+    at = F.when(value.isNotNull(), F.struct(*order))
+    return (F.min_by if backward else F.max_by)(value, at)
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[str], take: list[str]) -> DataFrame:
     """Columns of the first row of each key, as an aggregate (combines map-side, no window)."""
     picked = _extreme(df, order, take, F.min, F.min_by).alias("__row")

@@ -16,6 +16,7 @@ from millrace.functions import keys, times
 from millrace.functions.sql import register_functions
 from millrace.operators import (
     cdc,
+    changelog,
     customers,
     dedup,
     facts,
@@ -25,6 +26,7 @@ from millrace.operators import (
     records,
     search,
     tables,
+    temporal,
     trade,
     traffic,
 )
@@ -337,6 +339,49 @@ def order_detail_wide(i: Inputs) -> DataFrame:
     return _no_nulls(_wide(i), "activity_id", "activity_rule_id", "coupon_id")
 
 
+def _wide_emissions(i: Inputs, life: int) -> DataFrame:
+    rows = changelog.wide_changelog(i.order_detail(), i.order_info(), i.activities(), i.coupons(), life)
+    out = changelog.emitted(rows).select(
+        "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id", "sku_num",
+        "split_total_amount", "sign", F.col("at.side").alias("side"), F.col("at.ts").alias("at_ts"),
+    )
+    return _no_nulls(out, "activity_id", "activity_rule_id", "coupon_id")
+
+
+@query
+def wide_changelog(i: Inputs) -> DataFrame:
+    """All that the join of four streams emits and takes back, with state that outlives the tables' time."""
+    return _wide_emissions(i, 3_650 * DAY)
+
+
+@query
+def wide_changelog_expiring(i: Inputs) -> DataFrame:
+    """The same with state of 60 days: what comes later finds nothing to join."""
+    return _wide_emissions(i, 60 * DAY)
+
+
+@query
+def detail_price_as_of(i: Inputs) -> DataFrame:
+    """Details with the sku's price and supplier as they were some hours before the detail's time."""
+    facts_of = i.order_detail().withColumn("asked_ts", F.col("ts") - F.make_dt_interval(hours=F.col("sku_num").cast("int")))
+    found = temporal.lookup_as_of(
+        facts_of, i.sku_versions(), {"sku_id": "sku_id"}, "asked_ts", "ts", ["op", "price", "supplier"],
+        {"price": "price", "supplier": "supplier"}, day_slice(), F.col("op") == "d",
+    )
+    shown = found.withColumn("price", F.coalesce("price", F.lit(0).cast("decimal(16,2)")))
+    return _no_nulls(shown.select("id", "order_id", "sku_id", "sku_num", "asked_ts", "price", "supplier"), "supplier")
+
+
+@query
+def snapshot_handover(i: Inputs) -> DataFrame:
+    """Orders read in chunks while their log goes on, then the log."""
+    out = temporal.snapshot_handover(i.order_snapshot(), i.order_log(), i.order_marks(), "id")
+    return out.select(
+        "op", "id", "seq", F.coalesce(F.col("after")["order_status"], F.lit("")).alias("order_status"),
+        F.coalesce(F.col("after")["total_amount"], F.lit("")).alias("total_amount"),
+    )
+
+
 def _wide_of_changes(changes: DataFrame) -> DataFrame:
     """Wide details out of a changelog of the four tables."""
     details = records.order_detail_records(changes)
@@ -473,6 +518,28 @@ def detail_latest_held(i: Inputs) -> DataFrame:
     return held.select("id", "sku_id", "sku_num", "split_total_amount", "ts")
 
 
+def _quiet_spells(i: Inputs, quiet: int) -> DataFrame:
+    spells = temporal.emissions_after_quiet(i.order_detail(), "id", "ts", Inputs.DETAIL_ORDER, quiet, day_slice())
+    return spells.select("id", "sku_id", "sku_num", "split_total_amount", "ts", "emit_ts")
+
+
+@query
+def detail_emissions(i: Inputs) -> DataFrame:
+    """Each detail's version held when nothing came for 5 seconds."""
+    return _quiet_spells(i, 5)
+
+
+@query
+def detail_emissions_year(i: Inputs) -> DataFrame:
+    """The same with a wait of 365 days, in which several versions fall."""
+    return _quiet_spells(i, 365 * DAY)
+
+
+@query
+def province_order_emissions(i: Inputs) -> DataFrame:
+    return trade.province_order_emissions(i.detail_of_orders().drop("user_id"), Inputs.DETAIL_ORDER, day_slice())
+
+
 @query
 def sku_order_window(i: Inputs) -> DataFrame:
     return trade.sku_order_window(i.order_detail(), Inputs.DETAIL_ORDER)
@@ -726,6 +793,12 @@ def label_merge(i: Inputs) -> DataFrame:
     return labels.merge_labels(users, i.supplements(), "uid")
 
 
+@query
+def user_device_running(i: Inputs) -> DataFrame:
+    """Views and different devices, channels and phrases of a user after each event."""
+    return labels.user_device_running(logs.device_search_base(i.page_log()), day_slice())
+
+
 @query
 def user_device_latest_window(i: Inputs) -> DataFrame:
     return _no_nulls(_device_rows(i), "search_item")

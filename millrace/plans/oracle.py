@@ -131,6 +131,38 @@ VIEWS: dict[str, str] = {
         FROM v_detail d JOIN v_order o ON d.order_id = o.id
         LEFT JOIN v_activity a ON a.order_detail_id = d.id
         LEFT JOIN v_coupon c ON c.order_detail_id = d.id""",
+    "v_ev_order": """
+        SELECT DISTINCT id AS order_id, user_id, province_id, ts,
+               strftime(ts, '%Y%m%d%H%M%S') || '0' || concat_ws('|', id, user_id, province_id) AS at
+        FROM v_order""",
+    "v_ev_detail": """
+        SELECT DISTINCT id, order_id, sku_id, sku_num, split_total_amount, ts,
+               strftime(ts, '%Y%m%d%H%M%S') || '1' || concat_ws('|', id, order_id, sku_id, sku_name, sku_num,
+                   split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount) AS at
+        FROM v_detail""",
+    "v_ev_activity": """
+        SELECT DISTINCT concat_ws('-', l_orderkey, l_linenumber) AS order_detail_id, 'act-' || (l_suppkey % 10) AS activity_id,
+               'rule-' || CAST(round(l_discount * 100) AS INTEGER) AS activity_rule_id, l_shipdate AS ts,
+               strftime(l_shipdate, '%Y%m%d%H%M%S') || '2' || activity_id || '|' || activity_rule_id AS at
+        FROM lineitem WHERE l_discount > 0""",
+    "v_ev_coupon": """
+        SELECT DISTINCT concat_ws('-', l_orderkey, l_linenumber) AS order_detail_id,
+               'cou-' || CAST(round(l_tax * 100) AS INTEGER) AS coupon_id, l_shipdate AS ts,
+               strftime(l_shipdate, '%Y%m%d%H%M%S') || '3' || coupon_id AS at
+        FROM lineitem WHERE l_tax > 0""",
+    "v_sku_version": """
+        SELECT CAST(l_partkey AS VARCHAR) AS sku_id, l_shipdate AS ts,
+               CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'd' ELSE 'u' END AS op,
+               CAST(l_extendedprice AS DECIMAL(16,2)) AS price, CAST(l_suppkey AS VARCHAR) AS supplier
+        FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_partkey, l_shipdate ORDER BY op DESC, price DESC, supplier DESC) = 1""",
+    "v_log3": """
+        SELECT o_orderkey // 1000 AS chunk, CAST(o_orderkey AS VARCHAR) AS id, o_orderkey * 7919 % 100000 + n * 50000 AS seq,
+               60000 + (o_orderkey // 1000) * 997 % 50000 + 8000 AS high,
+               CASE WHEN n = 2 AND o_orderkey % 50 = 0 THEN 'd' WHEN n = 0 THEN 'c' ELSE 'u' END AS op,
+               CASE WHEN op = 'd' THEN '' ELSE ['1001', '1002', '1004'][n + 1] END AS order_status,
+               CASE WHEN op = 'd' THEN '' ELSE CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR) END AS total_amount
+        FROM orders, range(3) r(n)""",
     "v_dic": """
         SELECT md5(code) AS dic_code, lower(code) AS dic_name FROM (
             SELECT o_orderpriority AS code FROM orders UNION SELECT l_returnflag FROM lineitem
@@ -409,7 +441,95 @@ _NEWCOMER = """
     FROM (SELECT *, CAST(first_value(ts) OVER w AS DATE) - CASE WHEN first_value(is_new) OVER w = '1' THEN 0 ELSE 1 END AS known
           FROM v_log WINDOW w AS (PARTITION BY uid ORDER BY ts, seq))"""
 
+def _emissions(days: int) -> str:
+    """Each join in turn: who meets whom, what is current when, and from when to when nothing was."""
+    life = f"INTERVAL '{days} days'"
+
+    def left_join(name: str, rows: str, events: str, columns: str) -> str:
+        bare = ", ".join("NULL" for _ in columns.split(", "))
+        return f"""
+        {name}_met AS (
+            SELECT r.*, {columns}, e.at AS e_at, e.ts AS e_ts, lead(e.at) OVER (PARTITION BY r.rid ORDER BY e.at) AS e_next
+            FROM {rows} r JOIN {events} e ON e.order_detail_id = r.id AND e.ts BETWEEN r.born_ts - {life} AND r.born_ts + {life}
+             AND (r.gone IS NULL OR e.at < r.gone)),
+        {name} AS (
+            SELECT * EXCLUDE (e_at, e_ts, e_next, rid, born, born_ts, gone), rid || '#' || e_at AS rid, greatest(born, e_at) AS born,
+                   greatest(born_ts, e_ts) AS born_ts, least(gone, e_next) AS gone
+            FROM {name}_met WHERE e_next IS NULL OR e_next > born
+            UNION ALL
+            SELECT r.* EXCLUDE (rid, born, born_ts, gone), {bare}, r.rid || '#', r.born, r.born_ts, least(r.gone, f.first)
+            FROM {rows} r LEFT JOIN (SELECT rid, min(e_at) AS first FROM {name}_met GROUP BY rid) f ON f.rid = r.rid
+            WHERE f.first IS NULL OR f.first > r.born)"""
+
+    return f"""
+        WITH placed AS (
+            SELECT d.id, d.order_id, o.user_id, d.sku_id, o.province_id, d.sku_num, d.split_total_amount, d.at || '#' || o.at AS rid,
+                   greatest(d.at, o.at) AS born, greatest(d.ts, o.ts) AS born_ts, CAST(NULL AS VARCHAR) AS gone
+            FROM v_ev_detail d JOIN v_ev_order o USING (order_id) WHERE o.ts BETWEEN d.ts - {life} AND d.ts + {life}),
+        {left_join("acted", "placed", "v_ev_activity", "activity_id, activity_rule_id")},
+        {left_join("whole", "acted", "v_ev_coupon", "coupon_id")},
+        emitted AS (SELECT *, born AS e, 1 AS sign FROM whole UNION ALL SELECT *, gone, -1 FROM whole WHERE gone IS NOT NULL)
+        SELECT id, order_id, user_id, sku_id, province_id, coalesce(activity_id, '') AS activity_id,
+               coalesce(activity_rule_id, '') AS activity_rule_id, coalesce(coupon_id, '') AS coupon_id, sku_num,
+               {_money("split_total_amount")}, sign, CAST(e[15] AS BIGINT) AS side,
+               strftime(strptime(e[1:14], '%Y%m%d%H%M%S'), {STAMP}) AS at_ts
+        FROM emitted"""
+
+
+def _quiet(seconds: int) -> str:
+    order = "ts, sku_id, sku_num, split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount"
+    return f"""
+        SELECT id, sku_id, sku_num, {_money("split_total_amount")}, {_stamp("ts")}, strftime(ts + INTERVAL '{seconds} seconds', {STAMP}) AS emit_ts
+        FROM (SELECT *, lead(ts) OVER (PARTITION BY id ORDER BY {order}) AS next_ts FROM v_detail)
+        WHERE next_ts IS NULL OR next_ts > ts + INTERVAL '{seconds} seconds'"""
+
+
 SQL: dict[str, str] = {
+    "wide_changelog": _emissions(3_650),
+    "wide_changelog_expiring": _emissions(60),
+    "detail_price_as_of": f"""
+        SELECT d.id, d.order_id, d.sku_id, d.sku_num, {_stamp("d.asked_ts")},
+               coalesce(CASE WHEN v.op = 'u' THEN CAST(v.price AS DOUBLE) END, 0) AS price,
+               coalesce(CASE WHEN v.op = 'u' THEN v.supplier END, '') AS supplier
+        FROM (SELECT *, ts - to_hours(CAST(sku_num AS INTEGER)) AS asked_ts FROM v_detail) d
+        ASOF LEFT JOIN v_sku_version v ON d.sku_id = v.sku_id AND d.asked_ts >= v.ts""",
+    "snapshot_handover": """
+        SELECT 'r' AS op, id, high AS seq, order_status, total_amount FROM (
+            SELECT * FROM v_log3 WHERE seq <= high QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1)
+        WHERE op <> 'd'
+        UNION ALL
+        SELECT op, id, seq, order_status, total_amount FROM v_log3 WHERE seq > high""",
+    "detail_emissions": _quiet(5),
+    "detail_emissions_year": _quiet(365 * 86_400),
+    "province_order_emissions": f"""
+        WITH versions AS (
+            SELECT DISTINCT d.*, o.province_id FROM v_detail d JOIN v_order o ON d.order_id = o.id
+        ), placed AS (
+            SELECT *, strftime(ts, '%Y%m%d') || md5(id)[1:2] AS place,
+                   row_number() OVER (PARTITION BY id ORDER BY ts, sku_id, sku_num, split_original_amount, split_activity_amount,
+                       split_coupon_amount, split_total_amount) AS n
+            FROM versions
+        ), signed AS (
+            SELECT id, order_id, province_id, ts, split_total_amount, 1 AS sign, ts AS at_ts, place, n FROM placed
+            UNION ALL
+            SELECT a.id, a.order_id, a.province_id, a.ts, -a.split_total_amount, -1, b.ts, b.place, b.n
+            FROM placed a JOIN placed b ON a.id = b.id AND b.n = a.n + 1
+        ), ordered AS (
+            SELECT *, time_bucket(INTERVAL '10 seconds', ts) AS w,
+                   sum(sign) OVER (PARTITION BY time_bucket(INTERVAL '10 seconds', ts), province_id, order_id
+                                   ORDER BY place, id, n, sign ROWS UNBOUNDED PRECEDING) AS held
+            FROM signed
+        )
+        SELECT {_window("10 seconds", "ts")}, province_id, order_id, id, sign, {_stamp("at_ts")},
+               CAST(sum(CASE WHEN held > 0 AND held - sign <= 0 THEN 1 WHEN held <= 0 AND held - sign > 0 THEN -1 ELSE 0 END) OVER p AS BIGINT) AS order_count,
+               CAST(sum(split_total_amount) OVER p AS DOUBLE) AS order_amount
+        FROM ordered WINDOW p AS (PARTITION BY w, province_id ORDER BY place, id, n, sign ROWS UNBOUNDED PRECEDING)""",
+    "user_device_running": f"""
+        SELECT uid, {_stamp("ts")}, seq, row_number() OVER u AS pv, {", ".join(
+            f"CAST(sum(CASE WHEN {c} <> '' AND nth_{c} = 1 THEN 1 ELSE 0 END) OVER u AS BIGINT) AS n_{c}" for c in ("os", "ch", "md", "ba", "search_item"))}
+        FROM (SELECT *, {", ".join(
+            f"row_number() OVER (PARTITION BY uid, {c} ORDER BY ts, seq) AS nth_{c}" for c in ("os", "ch", "md", "ba", "search_item"))} FROM v_device)
+        WINDOW u AS (PARTITION BY uid ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)""",
     "log_parse_dirty": """
         SELECT seq, CASE WHEN k = 97 THEN 1 ELSE 0 END AS dirty, CASE WHEN k = 97 THEN '' ELSE uid END AS mid,
                CASE WHEN k = 97 OR event_type = 'signup' THEN '' ELSE page_id END AS page_id,

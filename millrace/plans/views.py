@@ -484,6 +484,59 @@ class Inputs:
             F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ts_ms"),
         )
 
+    def sku_versions(self) -> DataFrame:
+        """The history of price and supplier that :meth:`sku_changes` gives; a deletion has no values."""
+        after = F.col("after")
+        return self.sku_changes().select(
+            after["id"].alias("sku_id"), "op", money(after["price"]).alias("price"), after["supplier"].alias("supplier"),
+            F.timestamp_millis("ts_ms").alias("ts"),
+        )
+
+    # --- a table that is read while it changes -------------------------------------------------
+
+    # Orders of a chunk, the log's length, and the positions that pass while a chunk is read.
+    CHUNK, LOG_PLACES, CHUNK_PLACES = 1_000, 100_000, 8_000
+
+    def order_log(self) -> DataFrame:
+        """Three changes of each order, far apart in the log; the last one of every 50th is a deletion."""
+        key = F.col("o_orderkey")
+        n = F.explode(F.array(*map(F.lit, range(3))))
+        rows = self.table("orders").select(key, "o_totalprice", n.alias("n"))
+        gone = (F.col("n") == 2) & (key % 50 == 0)
+        return rows.select(
+            F.floor(key / self.CHUNK).alias("chunk"), text(key).alias("id"), self._log_place(F.col("n")).alias("seq"),
+            F.when(gone, "d").when(F.col("n") == 0, "c").otherwise("u").alias("op"),
+            F.when(~gone, self._order_image(F.col("n"))).alias("after"),
+        )
+
+    def order_marks(self) -> DataFrame:
+        """Where the log stood before and after each chunk was read."""
+        chunks = self.table("orders").select(F.floor(F.col("o_orderkey") / self.CHUNK).alias("chunk")).distinct()
+        low = self._low_mark(F.col("chunk"))
+        return chunks.select("chunk", low.alias("low"), (low + self.CHUNK_PLACES).alias("high"))
+
+    def order_snapshot(self) -> DataFrame:
+        """The orders as they were at some moment between their chunk's marks, another one for each."""
+        key = F.col("o_orderkey")
+        read = self._low_mark(F.floor(key / self.CHUNK)) + key % (self.CHUNK_PLACES + 1)
+        seen = F.size(F.filter(F.array(*[self._log_place(F.lit(n)) for n in range(3)]), lambda p: p <= F.col("read")))
+        rows = self.table("orders").withColumn("read", read).withColumn("n", seen - 1)
+        there = (F.col("n") >= 0) & ~((F.col("n") == 2) & (key % 50 == 0))
+        return rows.where(there).select(
+            F.floor(key / self.CHUNK).alias("chunk"), text(key).alias("id"), self._order_image(F.col("n")).alias("row")
+        )
+
+    def _log_place(self, n: Column) -> Column:
+        return F.col("o_orderkey") * 7_919 % self.LOG_PLACES + n.cast("bigint") * (self.LOG_PLACES // 2)
+
+    def _low_mark(self, chunk: Column) -> Column:
+        return F.lit(60_000) + chunk * 997 % 50_000
+
+    @staticmethod
+    def _order_image(n: Column) -> Column:
+        status = F.get(F.array(*map(F.lit, ("1001", "1002", "1004"))), n.cast("int"))
+        return F.create_map(F.lit("order_status"), status, F.lit("total_amount"), text(money(F.col("o_totalprice"))))
+
     @staticmethod
     def _source(table: str) -> Column:
         return F.create_map(F.lit("db"), F.lit("shop"), F.lit("table"), F.lit(table)).alias("source")
