@@ -13,7 +13,6 @@ counted from the left row's birth. A left join shows nulls from birth until the
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
 
 from millrace.operators.joins import interval_join
 from millrace.operators.running import has_map
@@ -30,13 +29,18 @@ def _text(df: DataFrame, columns: list[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
 
 
-def events(df: DataFrame, side: int, ts: str, seq: list[str], take: list[str]) -> DataFrame:
+def placed_events(df: DataFrame, side: int, ts: str, seq: list[str], take: list[str]) -> DataFrame:
     """Upserts of a side: the columns ``take`` and their position ``at``.
 
-    ``seq`` orders events of one time; its columns are joined as text. Rows at the same position are one
-    event that came more than once, and rows without a time have no place in a stream: both are left out.
+    ``seq`` orders events of one time; its columns are joined as text. Rows without a time have no place in a
+    stream and are left out.
     """
-    placed = df.where(F.col(ts).isNotNull()).select(*take, position(F.col(ts), side, _text(df, seq)).alias("at"))
+    return df.where(F.col(ts).isNotNull()).select(*take, position(F.col(ts), side, _text(df, seq)).alias("at"))
+
+
+def events(df: DataFrame, side: int, ts: str, seq: list[str], take: list[str]) -> DataFrame:
+    """:func:`placed_events`, each once: rows at the same position are one event that came more than once."""
+    placed = placed_events(df, side, ts, seq, take)
     return placed.dropDuplicates([c for c in placed.columns if not has_map(placed.schema[c].dataType)])
 
 
@@ -106,17 +110,23 @@ def current(rows: DataFrame) -> DataFrame:
 ORDERS, DETAILS, ACTIVITIES, COUPONS = range(4)
 
 
-def wide_sides(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> list[DataFrame]:
-    """Orders, details, activities and coupons as events, by the number of their side."""
-    detail_columns = [c for c in details.columns if not isinstance(details.schema[c].dataType, T.MapType)]
+def wide_columns(details: DataFrame) -> list[tuple[list[str], list[str]]]:
+    """Per side the columns that order events of one time, and those that are taken."""
+    plain = [c for c in details.columns if not has_map(details.schema[c].dataType) and c != "ts"]
     return [
-        events(orders.withColumnRenamed("id", "order_id"), ORDERS, "ts", ["order_id", "user_id", "province_id"], ["order_id", "user_id", "province_id"]),
-        events(details, DETAILS, "ts", [c for c in detail_columns if c != "ts"], detail_columns),
-        events(activities, ACTIVITIES, "ts", ["activity_id", "activity_rule_id"], ["order_detail_id", "activity_id", "activity_rule_id"]),
-        events(coupons, COUPONS, "ts", ["coupon_id"], ["order_detail_id", "coupon_id"]),
+        (["order_id", "user_id", "province_id"], ["order_id", "user_id", "province_id"]),
+        (plain, [*plain, "ts"]),
+        (["activity_id", "activity_rule_id"], ["order_detail_id", "activity_id", "activity_rule_id"]),
+        (["coupon_id"], ["order_detail_id", "coupon_id"]),
     ]
 
 
+def wide_sides(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> list[DataFrame]:
+    """Orders, details, activities and coupons as events, by the number of their side."""
+    frames = (orders.withColumnRenamed("id", "order_id"), details, activities, coupons)
+    return [events(f, n, "ts", seq, take) for n, (f, (seq, take)) in enumerate(zip(frames, wide_columns(details)))]
+
+
 def wide_changelog(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame, life: int) -> DataFrame:
     """Order details joined with their order, and left with activity and coupon, as they arrive.
 

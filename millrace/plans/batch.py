@@ -15,6 +15,7 @@ from millrace import schemas
 from millrace.functions import keys, times
 from millrace.functions.sql import register_functions
 from millrace.operators import (
+    blooms,
     cdc,
     changelog,
     customers,
@@ -203,6 +204,16 @@ def dedup_pair(i: Inputs) -> DataFrame:
     return dedup.dedup_pair(events, "user_id", "k", ["ts_ms", "seq"])
 
 
+@query
+def dedup_pair_filtered(i: Inputs) -> DataFrame:
+    """Pairs of the second half of the month that the first half doesn't have, and whether the filter kept its rate."""
+    events = i.events().select("user_id", "k", "event_type", "ts_ms", "seq")
+    middle = F.unix_millis(F.lit("2024-01-16").cast("timestamp"))
+    fresh, figures = blooms.new_pairs(events.where(F.col("ts_ms") >= middle), events.where(F.col("ts_ms") < middle), "user_id", "k", ["ts_ms", "seq"])
+    held = figures.select(F.coalesce((F.col("measured") <= 2 * F.col("asked")).cast("bigint"), F.lit(1).cast("bigint")))
+    return fresh.withColumns({"rate_asked": F.lit(0.01), "rate_held": held.scalar()})
+
+
 @query
 def rows_to_json(i: Inputs) -> DataFrame:
     bean = i.events().select(
@@ -680,6 +691,12 @@ def hot_query_topn(i: Inputs) -> DataFrame:
     return search.hot_query_topn(search.query_count_window(search.search_log_clean(i.search_lines())))
 
 
+@query
+def hot_query_changes(i: Inputs) -> DataFrame:
+    """What entered, left or moved in the ten most searched queries, window by window."""
+    return search.hot_query_changes(search.query_count_window(search.search_log_clean(i.search_lines())))
+
+
 @query
 def search_records(i: Inputs) -> DataFrame:
     """Goods log lines renamed into search records."""

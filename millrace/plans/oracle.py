@@ -586,6 +586,11 @@ SQL: dict[str, str] = {
     "dedup_pair": """
         SELECT user_id, k, event_type, ts_ms, seq FROM v_events
         QUALIFY row_number() OVER (PARTITION BY user_id, k ORDER BY ts_ms, seq) = 1""",
+    "dedup_pair_filtered": """
+        SELECT user_id, k, event_type, ts_ms, seq, 0.01::DOUBLE AS rate_asked, 1::BIGINT AS rate_held
+        FROM v_events e WHERE ts >= TIMESTAMP '2024-01-16' AND NOT EXISTS (
+            SELECT 1 FROM v_events b WHERE b.user_id = e.user_id AND b.k = e.k AND b.ts < TIMESTAMP '2024-01-16')
+        QUALIFY row_number() OVER (PARTITION BY user_id, k ORDER BY ts_ms, seq) = 1""",
     "rows_to_json": """
         SELECT '{"event_seq":' || seq || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}' AS value FROM v_events""",
     "cdc_flatten": """
@@ -793,6 +798,27 @@ SQL: dict[str, str] = {
         SELECT query, CAST(sum(query_count) AS BIGINT) AS query_count, max(window_end) AS last_window_end,
                row_number() OVER (ORDER BY sum(query_count) DESC, query) AS rank
         FROM v_query_count GROUP BY query QUALIFY rank <= 10""",
+    "hot_query_changes": """
+        WITH totals AS (
+            SELECT query, window_end, sum(query_count) OVER (PARTITION BY query ORDER BY window_end) AS total,
+                   lead(window_end) OVER (PARTITION BY query ORDER BY window_end) AS until
+            FROM v_query_count
+        ), windows AS (
+            SELECT w_end, row_number() OVER (ORDER BY w_end) AS n FROM (SELECT DISTINCT window_end AS w_end FROM v_query_count)
+        ), listed AS (
+            SELECT w_end, n, query, total, row_number() OVER (PARTITION BY w_end ORDER BY total DESC, query) AS rank
+            FROM windows JOIN totals ON window_end <= w_end AND (until IS NULL OR until > w_end)
+            QUALIFY rank <= 10
+        ), both_lists AS (
+            SELECT n, query, max(rank) AS rank, max(previous_rank) AS previous_rank, max(total) AS query_count FROM (
+                SELECT n, query, rank, 0 AS previous_rank, total FROM listed
+                UNION ALL
+                SELECT n + 1, query, 0, rank, total FROM listed WHERE n < (SELECT max(n) FROM windows))
+            GROUP BY n, query
+        )
+        SELECT w_end AS window_end, query, CASE WHEN previous_rank = 0 THEN 'entered' WHEN rank = 0 THEN 'left' ELSE 'moved' END AS change,
+               rank, previous_rank, CAST(query_count AS BIGINT) AS query_count
+        FROM both_lists JOIN windows USING (n) WHERE rank <> previous_rank""",
     "keyword_tokens": """
         SELECT lang, keyword, count(*) AS keyword_count FROM (
             SELECT lang, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS keyword FROM documents)
