@@ -204,7 +204,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     )
     zero = F.lit(0).cast("long")
     paths = running(
-        blocks.select("c", "k", "steps", "end").join(own, ["c", "k"], "left"), ["c"], ["k"], -F.floor(F.col("k") / SLICE),
+        blocks.select("c", "k", "steps", "end").join(own, ["c", "k"], "left"), ["c"], ["k"], F.floor(F.col("k") / SLICE),
         [
             Running("later", "sum", F.coalesce("v", zero)), Running("leaves", "sum", F.coalesce("leaf", zero), through=True),
             Running("following", "sum", F.lit(1).cast("long")),
