@@ -119,6 +119,21 @@ def province_order_emissions(details: DataFrame, order: list[str], slice_by: Col
     )
 
 
+def sku_order_emissions(details: DataFrame, order: list[str], slice_by: Column, width: str = "5 seconds") -> DataFrame:
+    """What the windows of :func:`sku_order_window` hold after each version and each negation, one row per signed version.
+
+    As :func:`province_order_emissions`, for the amounts of a sku.
+    """
+    signed = signed_details(details, order, slice_by)
+    rows = signed.select(F.window("ts", width).alias("window"), "sku_id", "id", *SKU_AMOUNTS, "sign", "at")
+    totals = [Running(f"__{name}", "sum", F.col(c) * F.col("sign"), through=True) for c, name in SKU_AMOUNTS.items()]
+    counted = running(rows, ["window", "sku_id"], ["at", "sign"], F.struct("at.ts", "at.part"), totals)
+    return counted.select(
+        *times.window_bounds(F.col("window")), "sku_id", "id", "sign", F.col("at.ts").alias("at_ts"),
+        *[_money(F.col(f"__{name}")).alias(name) for name in SKU_AMOUNTS.values()],
+    )
+
+
 def sku_dim_chain(
     df: DataFrame,
     sku: DataFrame,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
-from millrace.functions import keys, times
+from millrace.functions import keys, texts, times
 from millrace.functions.sql import register_functions
 from millrace.operators import (
     blooms,
@@ -26,6 +26,7 @@ from millrace.operators import (
     moderation,
     records,
     search,
+    segments,
     tables,
     temporal,
     trade,
@@ -551,6 +552,11 @@ def province_order_emissions(i: Inputs) -> DataFrame:
     return trade.province_order_emissions(i.detail_of_orders().drop("user_id"), Inputs.DETAIL_ORDER, day_slice())
 
 
+@query
+def sku_order_emissions(i: Inputs) -> DataFrame:
+    return trade.sku_order_emissions(i.order_detail(), Inputs.DETAIL_ORDER, day_slice())
+
+
 @query
 def sku_order_window(i: Inputs) -> DataFrame:
     return trade.sku_order_window(i.order_detail(), Inputs.DETAIL_ORDER)
@@ -717,6 +723,17 @@ def keyword_udtf(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def keyword_segments(i: Inputs) -> DataFrame:
+    """Words of the conversations' turns as found without their blanks, by role; the dictionary is counted from them."""
+    turns = i.table("conversations").select("role", "text")
+    words = segments.dictionary(turns.select(F.explode(texts.words(F.col("text"))).alias("word")))
+    counted = turns.select("role", F.explode(segments.runs(F.col("text"))).alias("run")).groupBy("role", "run").agg(F.count(F.lit(1)).alias("n"))
+    cut = segments.segmented(counted, words)
+    found = counted.join(cut, "run").select("role", "n", F.explode("words").alias("keyword"))
+    return found.groupBy("role", "keyword").agg(F.sum("n").alias("keyword_count"))
+
+
 @query
 def keyword_tokens(i: Inputs) -> DataFrame:
     """Words of all documents, counted per language."""

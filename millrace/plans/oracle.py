@@ -441,6 +441,19 @@ _NEWCOMER = """
     FROM (SELECT *, CAST(first_value(ts) OVER w AS DATE) - CASE WHEN first_value(is_new) OVER w = '1' THEN 0 ELSE 1 END AS known
           FROM v_log WINDOW w AS (PARTITION BY uid ORDER BY ts, seq))"""
 
+# Versions of details in their order, and each with the negation of the one before.
+_SIGNED = """versions AS ({versions}), placed AS (
+            SELECT *, strftime(ts, '%Y%m%d') || md5(id)[1:2] AS place,
+                   row_number() OVER (PARTITION BY id ORDER BY ts, sku_id, sku_num, split_original_amount, split_activity_amount,
+                       split_coupon_amount, split_total_amount) AS n
+            FROM versions
+        ), signed AS (
+            SELECT *, 1 AS sign, ts AS at_ts FROM placed
+            UNION ALL
+            SELECT a.* REPLACE (b.place AS place, b.n AS n), -1, b.ts FROM placed a JOIN placed b ON a.id = b.id AND b.n = a.n + 1
+        )"""
+
+
 def _emissions(days: int) -> str:
     """Each join in turn: who meets whom, what is current when, and from when to when nothing was."""
     life = f"INTERVAL '{days} days'"
@@ -502,19 +515,7 @@ SQL: dict[str, str] = {
     "detail_emissions": _quiet(5),
     "detail_emissions_year": _quiet(365 * 86_400),
     "province_order_emissions": f"""
-        WITH versions AS (
-            SELECT DISTINCT d.*, o.province_id FROM v_detail d JOIN v_order o ON d.order_id = o.id
-        ), placed AS (
-            SELECT *, strftime(ts, '%Y%m%d') || md5(id)[1:2] AS place,
-                   row_number() OVER (PARTITION BY id ORDER BY ts, sku_id, sku_num, split_original_amount, split_activity_amount,
-                       split_coupon_amount, split_total_amount) AS n
-            FROM versions
-        ), signed AS (
-            SELECT id, order_id, province_id, ts, split_total_amount, 1 AS sign, ts AS at_ts, place, n FROM placed
-            UNION ALL
-            SELECT a.id, a.order_id, a.province_id, a.ts, -a.split_total_amount, -1, b.ts, b.place, b.n
-            FROM placed a JOIN placed b ON a.id = b.id AND b.n = a.n + 1
-        ), ordered AS (
+        WITH {_SIGNED.format(versions="SELECT DISTINCT d.*, o.province_id FROM v_detail d JOIN v_order o ON d.order_id = o.id")}, ordered AS (
             SELECT *, time_bucket(INTERVAL '10 seconds', ts) AS w,
                    sum(sign) OVER (PARTITION BY time_bucket(INTERVAL '10 seconds', ts), province_id, order_id
                                    ORDER BY place, id, n, sign ROWS UNBOUNDED PRECEDING) AS held
@@ -522,8 +523,16 @@ SQL: dict[str, str] = {
         )
         SELECT {_window("10 seconds", "ts")}, province_id, order_id, id, sign, {_stamp("at_ts")},
                CAST(sum(CASE WHEN held > 0 AND held - sign <= 0 THEN 1 WHEN held <= 0 AND held - sign > 0 THEN -1 ELSE 0 END) OVER p AS BIGINT) AS order_count,
-               CAST(sum(split_total_amount) OVER p AS DOUBLE) AS order_amount
+               CAST(sum(sign * split_total_amount) OVER p AS DOUBLE) AS order_amount
         FROM ordered WINDOW p AS (PARTITION BY w, province_id ORDER BY place, id, n, sign ROWS UNBOUNDED PRECEDING)""",
+    "sku_order_emissions": f"""
+        WITH {_SIGNED.format(versions="SELECT DISTINCT * FROM v_detail")}
+        SELECT {_window("5 seconds", "ts")}, sku_id, id, sign, {_stamp("at_ts")}, {", ".join(
+            f"CAST(sum(sign * {c}) OVER p AS DOUBLE) AS {name}" for c, name in (
+                ("split_original_amount", "original_amount"), ("split_activity_amount", "activity_reduce_amount"),
+                ("split_coupon_amount", "coupon_reduce_amount"), ("split_total_amount", "order_amount")))}
+        FROM signed
+        WINDOW p AS (PARTITION BY time_bucket(INTERVAL '5 seconds', ts), sku_id ORDER BY place, id, n, sign ROWS UNBOUNDED PRECEDING)""",
     "user_device_running": f"""
         SELECT uid, {_stamp("ts")}, seq, row_number() OVER u AS pv, {", ".join(
             f"CAST(sum(CASE WHEN {c} <> '' AND nth_{c} = 1 THEN 1 ELSE 0 END) OVER u AS BIGINT) AS n_{c}" for c in ("os", "ch", "md", "ba", "search_item"))}
@@ -819,6 +828,40 @@ SQL: dict[str, str] = {
         SELECT w_end AS window_end, query, CASE WHEN previous_rank = 0 THEN 'entered' WHEN rank = 0 THEN 'left' ELSE 'moved' END AS change,
                rank, previous_rank, CAST(query_count AS BIGINT) AS query_count
         FROM both_lists JOIN windows USING (n) WHERE rank <> previous_rank""",
+    "keyword_segments": """
+        WITH RECURSIVE tokens AS (
+            SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM conversations
+        ), dict AS (
+            SELECT word, length(word)::INT AS size, floor(1000 * ln(sum(count(*)) OVER () / count(*)))::BIGINT AS cost
+            FROM tokens WHERE word <> '' GROUP BY word
+        ), unknown AS (
+            SELECT floor(1000 * ln(count(*)::DOUBLE * 10))::BIGINT AS cost FROM tokens WHERE word <> ''
+        ), pieces AS (
+            SELECT role, regexp_replace(r, '\\s+', '', 'g') AS run FROM (
+                SELECT role, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}\\s]+')) AS r FROM conversations)
+        ), ids AS (
+            SELECT run, length(run) AS n, row_number() OVER () AS id FROM (SELECT DISTINCT run FROM pieces WHERE run <> '')
+        ), edges AS (
+            SELECT id, (i + size - 1)::INT AS e, size, cost FROM (
+                SELECT id, i, size, substr(run, i, size) AS word FROM (SELECT id, run, unnest(range(1, n + 1)) AS i FROM ids),
+                    (SELECT DISTINCT size FROM dict) WHERE i + size - 1 <= length(run)) JOIN dict USING (word, size)
+            UNION ALL
+            SELECT id, unnest(range(1, n + 1))::INT, 1, cost FROM ids, unknown
+        ), ends AS (
+            SELECT id, e, list({'size': size, 'cost': cost}) AS words FROM edges GROUP BY id, e
+        ), dp(id, e, best) AS (
+            SELECT id, 0, [{'cost': 0::BIGINT, 'words': 0, 'back': 0}] FROM ids
+            UNION ALL
+            SELECT id, ends.e, list_append(best, list_min(list_transform(words, lambda w: {
+                'cost': best[dp.e + 2 - w.size].cost + w.cost, 'words': best[dp.e + 2 - w.size].words + 1, 'back': -w.size})))
+            FROM dp JOIN ends USING (id) WHERE ends.e = dp.e + 1
+        ), path(id, best, e, size) AS (
+            SELECT id, best, ids.n::INT, -best[ids.n + 1].back FROM dp JOIN ids USING (id) WHERE dp.e = ids.n
+            UNION ALL
+            SELECT id, best, e - size, -best[e - size + 1].back FROM path WHERE e > size
+        )
+        SELECT role, substr(p.run, e - size + 1, size) AS keyword, count(*) AS keyword_count
+        FROM pieces p JOIN ids USING (run) JOIN path USING (id) GROUP BY ALL""",
     "keyword_tokens": """
         SELECT lang, keyword, count(*) AS keyword_count FROM (
             SELECT lang, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS keyword FROM documents)

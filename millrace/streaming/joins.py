@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators import changelog
 from millrace.operators.labels import DEVICE_FIELDS
+from millrace.operators.trade import SKU_AMOUNTS
 
 AT = ["at_ts", "at_side", "at_seq"]
 AT_FIELDS = [T.StructField("at_ts", T.TimestampType()), T.StructField("at_side", T.IntegerType()), T.StructField("at_seq", T.StringType())]
@@ -301,29 +302,63 @@ class OrderTotals(StatefulProcessor):
         pass
 
 
-def province_order_emissions(details: DataFrame, order: list[str], delay: str, width: str = "10 seconds") -> DataFrame:
-    """Stream form of :func:`millrace.operators.trade.province_order_emissions`, up to the text of the window's bounds.
+class SkuTotals(StatefulProcessor):
+    """Amounts of one (window, sku) after each signed version."""
 
-    Two stateful operators in one query: versions by detail, totals by window and province. The time of the version
-    behind a row goes through as event time; a negation's window may be long past.
-    """
+    def __init__(self, output: T.StructType):
+        self.output = output
+
+    def init(self, handle):
+        self.totals = handle.getValueState("totals", ", ".join(f"{c} decimal(38,2)" for c in SKU_AMOUNTS))
+
+    def handleInputRows(self, key, rows, timerValues):
+        frame = _ordered(rows, ["at_ts", "part", "id", "at_n", "sign"])
+        if frame is None:
+            return
+        totals = list(self.totals.get()) if self.totals.exists() else [0] * len(SKU_AMOUNTS)
+        out = []
+        for ident, sign, at, *values in zip(*[frame[c] for c in ("id", "sign", "at_ts", *SKU_AMOUNTS)]):
+            totals = [t + v * int(sign) for t, v in zip(totals, values)]
+            out.append((*key, ident, int(sign), at, *totals))
+        self.totals.update(tuple(totals))
+        yield _frame(out, self.output)
+
+    def close(self) -> None:
+        pass
+
+
+def _signed_stream(details: DataFrame, order: list[str], delay: str, width: str) -> DataFrame:
+    """Signed versions with the start of their own window, as a number: a window column would be one of the stream's."""
     signer = SignedVersions(details.schema, order)
     signed = details.withWatermark("ts", delay).groupBy("id").transformWithStateInPandas(
         statefulProcessor=signer, outputStructType=signer.output, outputMode="Append", timeMode="EventTime", eventTimeColumnName="at_ts",
     )
-    seconds = T.LongType()
-    output = T.StructType(
-        [
-            T.StructField("window_start", seconds), T.StructField("province_id", T.StringType()), T.StructField("order_id", T.StringType()),
-            T.StructField("id", T.StringType()), T.StructField("sign", T.IntegerType()), T.StructField("at_ts", T.TimestampType()),
-            T.StructField("order_count", T.LongType()), T.StructField("order_amount", T.DecimalType(38, 2)),
-        ]
-    )
-    # The window's start as a number: a window column would be taken for a time window of the stream.
     length = F.lit(int(pd.Timedelta(width).total_seconds()))
     start = F.floor(F.unix_seconds("ts") / length) * length
-    placed = signed.withColumns({"window_start": start.cast("bigint"), "part": F.substring(F.md5("id"), 1, 2)})
-    return placed.groupBy("window_start", "province_id").transformWithStateInPandas(
+    return signed.withColumns({"window_start": start.cast("bigint"), "part": F.substring(F.md5("id"), 1, 2)})
+
+
+def sku_order_emissions(details: DataFrame, order: list[str], delay: str, width: str = "5 seconds") -> DataFrame:
+    """Stream form of :func:`millrace.operators.trade.sku_order_emissions`, with the window's start in seconds."""
+    output = T.StructType.fromDDL(
+        "window_start bigint, sku_id string, id string, sign int, at_ts timestamp, " + ", ".join(f"{n} decimal(38,2)" for n in SKU_AMOUNTS.values())
+    )
+    return _signed_stream(details, order, delay, width).groupBy("window_start", "sku_id").transformWithStateInPandas(
+        statefulProcessor=SkuTotals(output), outputStructType=output, outputMode="Append", timeMode="EventTime", eventTimeColumnName="at_ts",
+    )
+
+
+def province_order_emissions(details: DataFrame, order: list[str], delay: str, width: str = "10 seconds") -> DataFrame:
+    """Stream form of :func:`millrace.operators.trade.province_order_emissions`, with the window's start in seconds.
+
+    Two stateful operators in one query: versions by detail, totals by window and province. The time of the version
+    behind a row goes through as event time; a negation's window may be long past.
+    """
+    output = T.StructType.fromDDL(
+        "window_start bigint, province_id string, order_id string, id string, sign int, at_ts timestamp, order_count bigint, "
+        "order_amount decimal(38,2)"
+    )
+    return _signed_stream(details, order, delay, width).groupBy("window_start", "province_id").transformWithStateInPandas(
         statefulProcessor=OrderTotals(output), outputStructType=output, outputMode="Append", timeMode="EventTime", eventTimeColumnName="at_ts",
     )
 

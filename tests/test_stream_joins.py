@@ -7,9 +7,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Window, functions as F
 
 from millrace.functions import times
-from millrace.operators import changelog, facts, labels, logs, temporal, trade
+from millrace.operators import changelog, facts, labels, logs, temporal, trade, traffic
 from millrace.plans.views import Inputs
-from millrace.streaming import joins, jobs
+from millrace.streaming import jobs, joins, windows
 
 DAY = 86_400
 FAR = 3_650 * DAY
@@ -155,17 +155,41 @@ def test_quiet_spells_by_hand(spark):
         assert sorted((r.v, (r.emit_ts - t).seconds) for r in got) == [(2, 10), (3, 16), (6, 44)]
 
 
-def test_province_emissions_stream(inputs, feed, run, same):
+def test_window_emissions_stream(inputs, feed, run, same):
+    """Batches come in order; within each one versions come in any order."""
     details = inputs.detail_of_orders().where(F.col("order_id").cast("bigint") <= 60).drop("user_id").dropDuplicates()
-    batch = trade.province_order_emissions(details, Inputs.DETAIL_ORDER, times.seconds_slice(F.col("ts"), DAY))
-    # Batches come in order; within each one versions come in any order.
-    source = feed(details.withColumn("__day", F.to_date("ts")), ["__day", "sku_id"]).drop("__day")
-    got = run(joins.province_order_emissions(source, Inputs.DETAIL_ORDER, "1 day"), "province")
-    shown = got.select(
-        *times.window_bounds(F.struct(F.timestamp_seconds("window_start").alias("start"), F.timestamp_seconds(F.col("window_start") + 10).alias("end"))),
-        "province_id", "order_id", "id", "sign", "at_ts", "order_count", F.col("order_amount").cast("decimal(16,2)"),
+    day = times.seconds_slice(F.col("ts"), DAY)
+    bounds = lambda width: times.window_bounds(
+        F.struct(F.timestamp_seconds("window_start").alias("start"), F.timestamp_seconds(F.col("window_start") + width).alias("end"))
+    )
+    source = lambda: feed(details.withColumn("__day", F.to_date("ts")), ["__day", "sku_id"]).drop("__day")
+    by_province = run(joins.province_order_emissions(source(), Inputs.DETAIL_ORDER, "1 day"), "province")
+    same(
+        by_province.select(*bounds(10), "province_id", "order_id", "id", "sign", "at_ts", "order_count", F.col("order_amount").cast("decimal(16,2)")),
+        trade.province_order_emissions(details, Inputs.DETAIL_ORDER, day),
+    )
+    by_sku = run(joins.sku_order_emissions(source(), Inputs.DETAIL_ORDER, "1 day"), "sku")
+    amounts = [F.col(n).cast("decimal(16,2)") for n in trade.SKU_AMOUNTS.values()]
+    same(by_sku.select(*bounds(5), "sku_id", "id", "sign", "at_ts", *amounts), trade.sku_order_emissions(details, Inputs.DETAIL_ORDER, day))
+
+
+def test_first_of_day_windows_stream(inputs, feed, run, same):
+    """One query each, state and window; a row far in the future closes the last window."""
+    views = logs.page_views(inputs.page_log())
+    columns = ["mid", "uid", "page_id", "last_page_id", "ts", "seq"]
+    flat = views.select(*columns).where(F.col("seq") < 500)
+    end = flat.limit(1).select(
+        F.lit("end").alias("mid"), F.lit("end").alias("uid"), F.lit("home").alias("page_id"), F.lit("login").alias("last_page_id"),
+        F.lit("2030-01-01").cast("timestamp").alias("ts"), F.lit(10**9).cast("bigint").alias("seq"),
     )
-    same(shown, batch)
+    source = lambda: feed(flat.unionByName(end), ["ts", "seq"])
+    past = lambda df: df.where("stt < '2029'")
+    same(past(run(windows.home_detail_uv_window(source(), "0 seconds"), "home")), traffic.home_detail_uv_window(flat))
+    same(past(run(windows.user_login_window(source(), "0 seconds"), "login")), traffic.user_login_window(flat))
+    adds = facts.cart_adds(inputs.cart_changes()).select("user_id", "ts").where("ts < '1996-01-01'")
+    last = adds.limit(1).select(F.lit("end").alias("user_id"), F.lit("2030-01-01").cast("timestamp").alias("ts"))
+    got = run(windows.cart_uu_window(feed(adds.unionByName(last), ["ts"]), "0 seconds"), "cart")
+    same(past(got), traffic.cart_uu_window(adds))
 
 
 def test_last_emission_of_a_window_is_its_total(inputs, same):
