@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import connected_components
 from millrace.llm.tables import arrow, saved, whole_row
+from millrace.operators.joins import broadcast_if_small
 
 WORDS_PER_SHINGLE = 5
 PERCENT = 75
@@ -168,6 +169,38 @@ def _bits_alike(x: str, y: str) -> Column:
     return differing <= COORDINATES - LEAST_BITS
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for doc, text in zip(batch["id"].to_pylist(), batch["text"], strict=True):
+            found = shingle_set(text.as_py()).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), doc)), pa.array(found)], names=["id", "shingle"])
+
+
+def _shareable(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, common): how many shingles of each of these documents are in another one of them, too.
+
+    No two of them have more than the smaller of their numbers in common.
+    """
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
+    wanted = texts.join(broadcast_if_small(ids), "id").dropDuplicates(["id"])
+    shingles = arrow(wanted, _shingle_rows, "id long, shingle long")
+    owners = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"), F.min("id").alias("id"))
+    single = owners.where("sets = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    sizes = shingles.groupBy("id").agg(F.count(F.lit(1)).alias("all"))
+    return sizes.join(single, "id", "left").select("id", (F.col("all") - F.coalesce("own", F.lit(0))).alias("common"))
+
+
+def _contracted(labels: DataFrame, added: DataFrame) -> DataFrame:
+    """The labels after more links: only the components that these join are named anew."""
+    name = lambda end: labels.select(F.col("id").alias(end), F.col("component_id").alias(f"{end}_component"))
+    ends = added.join(name("a"), "a", "left").join(name("b"), "b", "left")
+    joined = ends.select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b"))
+    renamed = connected_components(joined).select(F.col("id").alias("component_id"), F.col("component_id").alias("now"))
+    alone = added.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(labels, "id", "left_anti")
+    known = labels.unionByName(alone.select("id", F.col("id").alias("component_id")))
+    return saved(known.join(renamed, "component_id", "left").select("id", F.coalesce("now", "component_id").alias("component_id")), "labels")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept (the smallest id of its component).
 
@@ -180,9 +213,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
        most central one, whose buckets are the largest: the least changed copy of a group is in most of them.
        Sizes and 1,024 sketch bits rule out most false pairs, whole texts confirm the rest.
     3. Buckets that are not yet one component: every member outside the most frequent component is held
-       against every member of another component, by sizes and sketch bits within the join; whole texts
-       confirm the pairs that are left. Then no pair of a bucket is left that could join two components, and
-       a group of n near copies costs about n confirmed pairs, not n * n.
+       against every member of another component, by sizes, by sketch bits and by how many of its shingles
+       any other member of such buckets has, within the join; whole texts confirm the pairs that are left. The
+       shingles that only one set has bound what it can have in common with others, so members that are changed
+       too much to link drop out before they meet. Then no pair of a bucket is left that could join two
+       components, and a group of n near copies costs about n confirmed pairs, not n * n.
 
     Nothing is capped or sampled. A null or empty text, or one without words, has an empty set and is its
     own component. Equal rows give equal results; a row with a null id links with nothing and is kept. An
@@ -225,24 +260,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not mixed.isEmpty():
         counts = inside.groupBy("key", "component").count()
         main = counts.join(mixed, "key").groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+        left = saved(inside.join(main, "key"), "left")
+        shareable = _shareable(docs, left.select("id").distinct())
         sketched = signs.where("d1 IS NOT NULL").select(F.col("doc_id").alias("id"), "bits", "keys").dropDuplicates(["id"])
-        held = saved(inside.join(main, "key").join(sketched, "id"), "held")
-        sides = ("id", "n", "component", "bits", "keys")
+        # A link takes three quarters of either set, so a set with less to share has none here.
+        held = saved(left.join(shareable, "id").where("4 * common >= 3 * n").join(sketched, "id"), "held")
+        sides = ("id", "n", "common", "component", "bits", "keys")
         x = held.where("component <> main").select("key", *[F.col(c).alias(f"{c}_x") for c in sides])
         y = held.select("key", *[F.col(c).alias(f"{c}_y") for c in sides])
         # A pair that shares several buckets is taken up in the first of them alone.
         first = F.col("key") == F.array_min(F.array_intersect("keys_x", "keys_y"))
+        # 100 * c >= 75 * (n_x + n_y - c) for the common part c, which is within what either shares with anyone.
+        enough = 7 * F.least("common_x", "common_y") >= 3 * (F.col("n_x") + F.col("n_y"))
         more = (
             x.join(y, "key")
             .where("component_x <> component_y")
-            .where(_sizes("n_x", "n_y") & _bits_alike("bits_x", "bits_y") & first)
+            .where(enough & _sizes("n_x", "n_y") & _bits_alike("bits_x", "bits_y") & first)
             .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
             .distinct()
             .join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         )
         added = saved(confirmed(saved(more, "pairs"), docs), "links")
         if not added.isEmpty():
-            labels = connected_components(links.union(added))
+            labels = _contracted(labels, added)
 
     found = members.select("doc_id", "rep").distinct().join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "doc_id", F.coalesce("component_id", "rep").alias("found")

@@ -230,3 +230,31 @@ def test_sharding_query(spark, folder):
         text = (texts.pop(r.doc_id) or "").encode()
         assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(text) + 1, zlib.crc32(text), "rows", None)
     assert not texts
+
+
+def test_shingles_that_others_have_bound_what_is_common(spark):
+    """Against sets by hand; the bound holds for all pairs and is reached by equal sets."""
+    from millrace.llm import fast_minhash
+
+    rng = random.Random(12)
+    base = [f"w{n}" for n in range(60)]
+    texts = []
+    for _ in range(25):
+        words = list(base)
+        for _ in range(rng.randrange(12)):
+            words[rng.randrange(60)] = f"x{rng.randrange(400)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.common for r in fast_minhash._shareable(docs, docs.select(F.col("doc_id").alias("id"))).collect()}
+    sets = [set(fast_minhash.shingle_set(t.encode()).tolist()) for t in texts]
+    assert got == {n: len(s & set().union(*(o for k, o in enumerate(sets) if k != n))) for n, s in enumerate(sets)}
+    assert all(len(a & b) <= min(got[n], got[k]) for n, a in enumerate(sets) for k, b in enumerate(sets) if n != k)
+
+
+def test_added_links_rename_only_what_they_join(spark):
+    from millrace.llm import fast_minhash
+
+    labels = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "id long, component_id long")
+    added = spark.createDataFrame([(6, 2), (3, 9), (3, 4), (1, 2)], "a long, b long")
+    got = {r.id: r.component_id for r in fast_minhash._contracted(labels, added).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 6: 1, 8: 3, 9: 3, 3: 3, 4: 3}
