@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -122,6 +124,24 @@ def changelog_with_snapshot(spark: SparkSession, snapshot: DataFrame, database:
     return initial.withColumn("seq", F.lit(-1).cast("bigint")).unionByName(changes) if "seq" in changes.columns else initial.unionByName(changes)
 
 
+def chunked_snapshot(
+    spark: SparkSession, read: Callable[[int, int], DataFrame], log_position: Callable[[], int], bounds: list[int], folder: str
+) -> tuple[DataFrame, DataFrame]:
+    """A table read chunk by chunk while it changes, with the log's position before and after each chunk.
+
+    ``read`` gives the rows with key from ``bounds[n]`` up to, but not, ``bounds[n + 1]``; each chunk is read once, into
+    its own folder below ``folder``. Returns the rows with their chunk, and (chunk, low, high): what
+    :func:`millrace.operators.temporal.snapshot_handover` takes. A chunk that is read again after a failure gets
+    new marks and replaces its folder.
+    """
+    marks = []
+    for n, (lower, upper) in enumerate(zip(bounds, bounds[1:])):
+        low = log_position()
+        read(lower, upper).write.mode("overwrite").parquet(f"{folder}/chunk={n}")
+        marks.append((n, low, log_position()))
+    return spark.read.parquet(folder), spark.createDataFrame(marks, "chunk bigint, low bigint, high bigint")
+
+
 def jdbc_options(url: str, query: str, user: str, password: str, fetch: int = 10_000) -> dict[str, str]:
     return {"url": url, "query": query, "user": user, "password": password, "fetchsize": str(fetch)}
 

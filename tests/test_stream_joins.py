@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import Window, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import Window, functions as F
 from millrace.functions import times
 from millrace.operators import changelog, facts, labels, logs, temporal, trade, traffic
 from millrace.plans.views import Inputs
+from millrace.sources import readers
 from millrace.streaming import jobs, joins, windows
 
 DAY = 86_400
@@ -137,6 +139,38 @@ def test_snapshot_handover_gives_each_row_once(spark, inputs):
     assert any(r.seq <= r.low for r in log) and any(r.low < r.seq <= r.high for r in log) and any(r.seq > r.high for r in log)
 
 
+def test_a_changing_table_is_read_in_chunks(spark, tmp_path):
+    """A table in memory that changes before, between and while its chunks are read."""
+    rng = random.Random(9)
+    table, log = {}, []
+
+    def change(times_: int) -> None:
+        for _ in range(times_):
+            key = rng.randrange(40)
+            op = "d" if key in table and rng.random() < 0.3 else "u" if key in table else "c"
+            row = None if op == "d" else {"v": str(len(log))}
+            table.pop(key, None) if op == "d" else table.update({key: row})
+            log.append((key // 10, key, len(log) + 1, op, row))
+
+    def read(lower, upper):
+        change(3)
+        rows = [(k, r) for k, r in sorted(table.items()) if lower <= k < upper]
+        change(3)
+        return spark.createDataFrame(rows, "id bigint, row map<string,string>")
+
+    change(60)
+    snapshot, marks = readers.chunked_snapshot(spark, read, lambda: len(log), [0, 10, 20, 30, 40], str(tmp_path / "chunks"))
+    change(40)
+    logged = spark.createDataFrame(log, "chunk bigint, id bigint, seq bigint, op string, after map<string,string>")
+    out = temporal.snapshot_handover(snapshot, logged, marks, "id").collect()
+    reads = [r.id for r in out if r.op == "r"]
+    assert len(set(reads)) == len(reads)
+    got = {r.id: r.after for r in out if r.op == "r"}
+    for r in sorted((r for r in out if r.op != "r"), key=lambda r: r.seq):
+        got[r.id] = r.after
+    assert {k: v for k, v in got.items() if v} == table
+
+
 def test_quiet_spells_stream(spark, inputs, feed, run, same):
     details = sides(inputs, 60)[0].select("id", *Inputs.DETAIL_ORDER).dropDuplicates()
     end = details.limit(1).withColumn("id", F.lit("end")).withColumn("ts", F.lit("2030-01-01").cast("timestamp"))
