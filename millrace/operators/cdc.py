@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import keys, times
 from millrace.operators.running import latest_per_key
+from millrace.operators.temporal import lookup_as_of
 
 
 def of_table(changes: DataFrame, table: str) -> DataFrame:
@@ -82,6 +83,25 @@ def route_fact(changes: DataFrame, config: DataFrame) -> DataFrame:
     )
 
 
+def route_fact_as_of(changes: DataFrame, history: DataFrame, slice_by: Column) -> DataFrame:
+    """:func:`route_fact` by the configuration that was in force at each change's own time.
+
+    ``history`` has source_table, sink_table, sink_columns, op (``d`` ends the entry) and ts. Changes of tables that
+    had no entry at their time go nowhere. An entry of the change's own time counts. ``slice_by`` cuts time (``ts``), so
+    a table with most of the changes is many tasks.
+    """
+    new = changes.where((F.col("op") != "d") & F.col("after").isNotNull()).select(
+        F.col("source")["table"].alias("source_table"), "after", F.col("ts_ms"), F.timestamp_millis("ts_ms").alias("at_ts")
+    )
+    known = lookup_as_of(
+        new, history, {"source_table": "source_table"}, "at_ts", "ts", ["op", "sink_table", "sink_columns"],
+        {"sink_table": "sink_table", "sink_columns": "__columns"}, slice_by, F.col("op") == "d",
+    )
+    return known.where(F.col("sink_table").isNotNull()).select(
+        "sink_table", keys.keep_keys(F.col("after"), F.split("__columns", ",")).alias("payload"), F.col("ts_ms").alias("ts")
+    )
+
+
 def dim_latest(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Dimension rows by configuration: pruned, keyed by the md5 of the row key, latest per key."""
     wanted = config.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -290,13 +290,15 @@ def user_profile_interval(users: DataFrame, supplements: DataFrame, lower: int =
 FEATURES = ["device", "search", "time", "amount", "brand", "category"]
 
 
-def label_scores_join(devices: DataFrame, orders: DataFrame, lower: int = -6 * 3600, upper: int = 6 * 3600) -> DataFrame:
+def label_scores_join(
+    devices: DataFrame, orders: DataFrame, lower: int = -6 * 3600, upper: int = 6 * 3600, join: Callable[..., DataFrame] = interval_join
+) -> DataFrame:
     """Device and order scores of a user within the interval, and the sum per bucket.
 
-    A feature without a score counts as 0.
+    A feature without a score counts as 0. Streams give their own ``join``.
     """
     order = orders.withColumnRenamed("ts", "order_ts")
-    joined = interval_join(devices, order, ["uid"], "ts", "order_ts", lower, upper)
+    joined = join(devices, order, ["uid"], "ts", "order_ts", lower, upper)
     sums = {
         f"sum_{b}": sum(
             (F.coalesce(F.col(f"{f}_{b}"), F.lit(0)) for f in FEATURES[1:]),
@@ -324,10 +326,12 @@ def label_max_bucket(df: DataFrame) -> DataFrame:
     )
 
 
-def user_label(scores: DataFrame, profiles: DataFrame, lower: int = -6 * 3600, upper: int = 6 * 3600) -> DataFrame:
-    """Nested user label out of bucket scores and profile within the interval."""
+def user_label(
+    scores: DataFrame, profiles: DataFrame, lower: int = -6 * 3600, upper: int = 6 * 3600, join: Callable[..., DataFrame] = interval_join
+) -> DataFrame:
+    """Nested user label out of bucket scores and profile within the interval. Streams give their own ``join``."""
     base = profiles.withColumnRenamed("ts", "profile_ts")
-    joined = label_max_bucket(interval_join(scores, base, ["uid"], "ts", "profile_ts", lower, upper))
+    joined = label_max_bucket(join(scores, base, ["uid"], "ts", "profile_ts", lower, upper))
     return joined.select(
         "uid",
         "uname",

@@ -257,6 +257,13 @@ def route_fact(i: Inputs) -> DataFrame:
     return routed.withColumn("payload", keys.map_text(F.col("payload")))
 
 
+@query
+def route_fact_as_of(i: Inputs) -> DataFrame:
+    """Facts by the configuration of their own time, which changes through the years."""
+    routed = cdc.route_fact_as_of(i.changes(), i.config_history(), day_slice())
+    return routed.withColumn("payload", keys.map_text(F.col("payload")))
+
+
 @query
 def config_current(i: Inputs) -> DataFrame:
     return cdc.config_current(i.config_changes(), "source_table", ["seq"])

@@ -618,6 +618,22 @@ SQL: dict[str, str] = {
         UNION ALL
         SELECT 'dwd_order_detail', 'id=' || l_orderkey || '-' || l_linenumber || ',sku_id=' || l_partkey || ',sku_num=' || CAST(l_quantity AS BIGINT),
                epoch_ms(l_shipdate) FROM lineitem""",
+    "route_fact_as_of": """
+        WITH history AS (
+            SELECT n_nationkey AS n, CASE WHEN n_nationkey % 2 = 0 THEN 'order_info' ELSE 'order_detail' END AS source_table,
+                   n_nationkey % 7 = 3 AS gone, TIMESTAMP '1995-01-15' + to_days(CAST(n_nationkey * 100 AS INTEGER)) AS ts FROM nation
+        ), facts AS (
+            SELECT 'order_info' AS source_table, ts_ms, CAST(o_orderkey AS VARCHAR) AS id, ',user_id=' || o_custkey AS second,
+                   ',order_status=' || new_status || ',total_amount=' || amount AS third
+            FROM v_order_change WHERE op <> 'd'
+            UNION ALL
+            SELECT 'order_detail', epoch_ms(l_shipdate), l_orderkey || '-' || l_linenumber, ',sku_id=' || l_partkey,
+                   ',order_id=' || l_orderkey || ',sku_num=' || CAST(l_quantity AS BIGINT) FROM lineitem
+        )
+        SELECT 'dwd_' || f.source_table || '_' || (n % 3) AS sink_table,
+               'id=' || id || CASE n % 3 WHEN 0 THEN '' WHEN 1 THEN second ELSE third END AS payload, ts_ms AS ts
+        FROM (SELECT *, make_timestamp(ts_ms * 1000) AS at_ts FROM facts) f
+        ASOF JOIN history h ON f.source_table = h.source_table AND f.at_ts >= h.ts WHERE NOT gone""",
     "config_current": """
         SELECT * FROM (
             SELECT lower(p_type) || '_' || lower(p_brand) AS source_table, 'sink_' || p_size AS sink_table,

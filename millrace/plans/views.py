@@ -561,6 +561,19 @@ class Inputs:
             """
         )
 
+    def config_history(self) -> DataFrame:
+        """Entries for two tables, one per nation and every 100 days: other sinks and columns, some deletions."""
+        n = F.col("n_nationkey")
+        info, detail = ("id", "id,user_id", "id,order_status,total_amount"), ("id", "id,sku_id", "id,order_id,sku_num")
+        pick = lambda names: F.get(F.array(*map(F.lit, names)), (n % 3).cast("int"))
+        table = F.when(n % 2 == 0, "order_info").otherwise("order_detail")
+        return self.table("nation").select(
+            table.alias("source_table"), F.concat_ws("_", F.lit("dwd"), table, text(n % 3)).alias("sink_table"),
+            F.when(n % 2 == 0, pick(info)).otherwise(pick(detail)).alias("sink_columns"),
+            F.when(n % 7 == 3, "d").otherwise("u").alias("op"),
+            (F.lit("1995-01-15").cast("timestamp") + F.make_dt_interval(days=(n * 100).cast("int"))).alias("ts"),
+        )
+
     def config_changes(self) -> DataFrame:
         """A long history of configuration entries, one per part."""
         return self.table("part").select(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
 from millrace.functions import times
-from millrace.operators import cdc, logs, moderation, traffic
+from millrace.operators import cdc, labels, logs, moderation, traffic
 from millrace.session import checkpoint_dir
 from millrace.sources.sinks import KeyedTable, run_of
 
@@ -51,10 +52,14 @@ def interval_join(
     lower: int,
     upper: int,
     delay: str = LOG_DELAY,
+    timed: bool = False,
 ) -> DataFrame:
-    """Stream-stream twin of the batch interval join; the bounds let Spark drop old state."""
+    """Stream-stream twin of the batch interval join; the bounds let Spark drop old state.
+
+    ``timed`` says that the left side has its watermark already, as the result of such a join has.
+    """
     right_named = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
-    left_side = left.withWatermark(left_ts, delay)
+    left_side = left if timed else left.withWatermark(left_ts, delay)
     right_side = right_named.withWatermark(right_ts, delay)
     keys = [F.col(c) == F.col(f"__r_{c}") for c in on]
     reach = F.expr(
@@ -66,6 +71,12 @@ def interval_join(
     return left_side.join(right_side, condition).drop(*[f"__r_{c}" for c in on])
 
 
+def user_label(devices: DataFrame, orders: DataFrame, profiles: DataFrame, delay: str = LOG_DELAY) -> DataFrame:
+    """Device scores with order scores with profiles, as one stream of two interval joins."""
+    scores = labels.label_scores_join(devices, orders, join=partial(interval_join, delay=delay))
+    return labels.user_label(scores, profiles, join=partial(interval_join, delay=delay, timed=True))
+
+
 def daily_distinct(df: DataFrame, key: list[str], ts: str = "ts") -> DataFrame:
     """First arriving row per key and day; state of a day is dropped one day after it ends."""
     day = df.withColumn("day", F.date_trunc("day", F.col(ts))).withWatermark("day", "1 day")

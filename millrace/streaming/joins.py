@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from millrace.functions import keys
 from millrace.operators import changelog
 from millrace.operators.labels import DEVICE_FIELDS
 from millrace.operators.trade import SKU_AMOUNTS
@@ -178,6 +179,62 @@ def wide_changelog(details: DataFrame, orders: DataFrame, activities: DataFrame,
     return join_over_time(wide, coupon, {"id": "order_detail_id"}, life)
 
 
+# A table's changes are dealt over so many keys, as one table may send most of them; each gets the configuration.
+CONFIG_PARTS = 32
+
+
+class RouteByConfig(StatefulProcessor):
+    """One part of a source table's changes, with the entry that is in force as state."""
+
+    OUTPUT = T.StructType(
+        [*[T.StructField(n, T.StringType()) for n in ("sink_table", "sink_columns", "after")], T.StructField("ts", T.TimestampType())]
+    )
+
+    def init(self, handle):
+        self.entry = handle.getValueState("entry", "sink_table string, sink_columns string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        frame = _ordered(rows, ["ts", "kind", "op", "sink_table", "sink_columns"])
+        if frame is None:
+            return
+        entry, out = self.entry.get() if self.entry.exists() else None, []
+        before = entry
+        for ts, kind, op, table, columns, after in zip(*[frame[c] for c in ("ts", "kind", "op", "sink_table", "sink_columns", "after")]):
+            if kind == 0:
+                entry = None if op == "d" else (table, columns)
+            elif entry is not None:
+                out.append((*entry, after, ts))
+        if entry is None:
+            self.entry.clear()
+        elif entry != before:
+            self.entry.update(entry)
+        if out:
+            yield _frame(out, self.OUTPUT)
+
+    def close(self) -> None:
+        pass
+
+
+def route_facts(changes: DataFrame, history: DataFrame) -> DataFrame:
+    """Stream form of :func:`millrace.operators.cdc.route_fact_as_of`: changes and configuration as two streams.
+
+    Both have an event time ``ts``; ``history`` has source_table, sink_table, sink_columns and op. An entry goes to all parts
+    of its table. Changes that come before the first entry of their table go nowhere.
+    """
+    nothing = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
+    rows = changes.where((F.col("op") != "d") & F.col("after").isNotNull()).select(
+        F.col("source")["table"].alias("source_table"), F.pmod(F.xxhash64(F.to_json("after")), F.lit(CONFIG_PARTS)).alias("part"),
+        "ts", F.lit(1).alias("kind"), *nothing("op", "sink_table", "sink_columns"), F.to_json("after").alias("after"),
+    )
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(CONFIG_PARTS - 1).cast("bigint")))
+    entries = history.select("source_table", parts.alias("part"), "ts", F.lit(0).alias("kind"), "op", "sink_table", "sink_columns", *nothing("after"))
+    routed = rows.unionByName(entries).groupBy("source_table", "part").transformWithStateInPandas(
+        statefulProcessor=RouteByConfig(), outputStructType=RouteByConfig.OUTPUT, outputMode="Append", timeMode="None"
+    )
+    payload = keys.keep_keys(F.from_json("after", "map<string,string>"), F.split("sink_columns", ","))
+    return routed.select("sink_table", payload.alias("payload"), F.unix_millis("ts").alias("ts"))
+
+
 class QuietSpells(StatefulProcessor):
     """One key of :func:`millrace.operators.temporal.emissions_after_quiet`.
 

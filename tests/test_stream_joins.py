@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Window, functions as F
 
-from millrace.functions import times
-from millrace.operators import changelog, facts, labels, logs, temporal, trade, traffic
+from millrace.functions import keys, times
+from millrace.operators import cdc, changelog, facts, labels, logs, temporal, trade, traffic
+from millrace.plans import batch as batch_plans
 from millrace.plans.views import Inputs
 from millrace.sources import readers
 from millrace.streaming import jobs, joins, windows
@@ -245,3 +246,26 @@ def test_device_running_streams(inputs, feed, run, same):
     flat = base.select("uid", "ts", "seq", "device.os", "device.ch", "device.md", "device.ba", "search_item")
     batch = labels.user_device_running(base, times.seconds_slice(F.col("ts"), DAY))
     same(run(joins.user_device_running(feed(flat, ["ts", "seq"])), "devices"), batch)
+
+
+def test_facts_are_routed_by_a_second_stream(inputs, feed, run, same):
+    changes = inputs.changes().where("ts_ms < 860000000000")
+    history = inputs.config_history()
+    batch = cdc.route_fact_as_of(changes, history, times.seconds_slice(F.col("ts"), DAY))
+    timed = changes.withColumn("ts", F.timestamp_millis("ts_ms")).select("op", "source", "after", "ts", F.lit(1).alias("kind"))
+    entries = history.select("op", "ts", "source_table", "sink_table", "sink_columns", F.lit(0).alias("kind"))
+    both = feed(timed.unionByName(entries, allowMissingColumns=True), ["ts", "kind"])
+    streamed = joins.route_facts(both.where("kind = 1").drop("kind"), both.where("kind = 0").select(*entries.columns[:-1]))
+    got = run(streamed, "routed")
+    plain = lambda df: df.withColumn("payload", keys.map_text(F.col("payload")))
+    same(plain(got), plain(batch))
+    assert batch.select("sink_table").distinct().count() > 4
+
+
+def test_label_chain_streams(inputs, feed, run, same):
+    few = lambda df: df.where(F.col("uid").cast("bigint") % 5 == 1)
+    devices, orders, profiles = few(batch_plans._searched(inputs)), few(batch_plans._order_scores(inputs)), few(batch_plans._profiles(inputs))
+    whole = labels.user_label(labels.label_scores_join(devices, orders), profiles)
+    assert not whole.isEmpty()
+    streamed = jobs.user_label(feed(devices, ["ts"], 2), feed(orders, ["ts"], 2), feed(profiles, ["ts"], 2))
+    same(run(streamed, "labels"), whole)
