@@ -40,10 +40,14 @@ def _gram_hashes(letters: Column, levels: Column) -> Column:
 
     def step(s: Column, level: Column) -> Column:
         half = F.pow(F.lit(2), level).cast("int")
-        longer = F.when(
-            F.size(s["h"]) > half,
-            F.transform(F.sequence(F.lit(0), F.size(s["h"]) - half - 1), lambda i: F.xxhash64(F.get(s["h"], i), F.get(s["h"], i + half))),
-        ).otherwise(F.array().cast("array<bigint>"))
+        # Computed once per level, not per letter.
+        longer = F.transform(
+            F.array(F.struct(half.alias("half"), (F.size(s["h"]) - half).alias("n"))),
+            lambda v: F.when(
+                v["n"] > 0,
+                F.transform(F.sequence(F.lit(0), v["n"] - 1), lambda i: F.xxhash64(F.get(s["h"], i), F.get(s["h"], i + v["half"]))),
+            ).otherwise(F.array().cast("array<bigint>")),
+        )[0]
         found = F.struct(level.alias("level"), F.array_distinct(s["h"]).alias("hashes"))
         return F.struct(longer.alias("h"), F.concat(s["out"], F.array(found)).alias("out"))
 
@@ -66,6 +70,9 @@ def dictionary_hits(comments: DataFrame, words: DataFrame, key: str, text: str =
     deepest = entries.agg(F.max("__level").alias("l")).scalar()
     low = F.lower(F.col(text))
     texts_of = comments.where(F.length(F.col(text)) > 0).select(F.col(key).alias("__key"), low.alias("__text"))
+    # Dealt by key first: the work per text is spread however the texts are stored, and the join back needs no more.
+    # Of few bytes is much work made, so partitions aren't merged by their size.
+    texts_of = texts_of.repartition(int(comments.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__key")
     # A subquery may not stand inside a lambda, so its value is a column first.
     levelled = texts_of.withColumn("__deepest", F.coalesce(deepest, F.lit(0)))
     levels = levelled.select("__key", F.explode(_gram_hashes(_letters(F.col("__text")), F.col("__deepest"))).alias("__g"))

@@ -33,7 +33,7 @@ def dictionary(words: DataFrame, word: str = "word") -> DataFrame:
     counted = words.where(F.length(word) > 0).groupBy(F.col(word).alias("word")).agg(F.count(F.lit(1)).alias("n"))
     total = counted.agg(F.sum("n").alias("n")).scalar()
     return counted.select(
-        "word", F.size(F.split("word", "")).alias("size"), F.floor(1000 * F.log(total / F.col("n"))).cast("bigint").alias("cost"),
+        "word", F.length("word").alias("size"), F.floor(1000 * F.log(total / F.col("n"))).cast("bigint").alias("cost"),
         F.floor(1000 * F.log(total * F.lit(UNKNOWN))).cast("bigint").alias("unknown"),
     )
 
@@ -112,12 +112,12 @@ def segmented(texts: DataFrame, words: DataFrame, run: str = "run") -> DataFrame
     """
     level = F.floor(F.log2("size")).cast("int")
     lead = F.pow(F.lit(2), level).cast("int")
-    entries = words.select(
-        "word", "size", "cost", level.alias("__level"), F.array_join(F.slice(F.split("word", ""), F.lit(1), lead), "").alias("__lead")
-    )
+    entries = words.select("word", "size", "cost", level.alias("__level"), F.substring("word", F.lit(1), lead).alias("__lead"))
     limits = words.agg(F.struct(F.max("size").alias("longest"), F.max(level).alias("level"), F.max("unknown").alias("unknown"))).scalar()
     distinct = texts.select(F.col(run).alias("run")).where(F.length("run") > 0).distinct()
-    rows = distinct.select("run", F.md5("run").alias("__id"), F.split("run", "").alias("__letters"), limits.alias("__m"))
+    rows = distinct.select("run", F.md5("run").alias("__id"), F.regexp_extract_all("run", F.lit("(?s)."), F.lit(0)).alias("__letters"), limits.alias("__m"))
+    # Of few bytes is much work made, so partitions aren't merged by their size; the joins by id need no further exchange.
+    rows = rows.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__id")
     rows = rows.withColumns(
         {
             "__longest": F.coalesce("__m.longest", F.lit(1)), "__deepest": F.coalesce("__m.level", F.lit(0)),
@@ -136,7 +136,7 @@ def segmented(texts: DataFrame, words: DataFrame, run: str = "run") -> DataFrame
             )
         ).alias("__at", "__fragment"),
     )
-    leads = fragments.withColumn("__lead", F.array_join(F.slice(F.split("__fragment", ""), F.lit(1), F.pow(F.lit(2), F.col("__level")).cast("int")), ""))
+    leads = fragments.withColumn("__lead", F.substring("__fragment", F.lit(1), F.pow(F.lit(2), F.col("__level")).cast("int")))
     met = leads.join(broadcast_if_small(entries), ["__level", "__lead"]).where(F.startswith("__fragment", "word"))
     edges = met.select("__id", (F.col("__at") + F.col("size")).cast("int").alias("end"), "size", "cost")
     alone = rows.select("__id", F.explode(F.sequence(F.lit(1), F.size("__letters"))).alias("end"), F.lit(1).alias("size"), F.col("__unknown").alias("cost"))

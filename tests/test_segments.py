@@ -32,13 +32,13 @@ def plain(run: str, costs: dict[str, int], unknown: int) -> list[str]:
 def test_segments_by_plain_programming(spark, monkeypatch, step):
     monkeypatch.setattr(segments, "STEP", step)
     rng = random.Random(step)
-    tokens = ["ab", "abc", "b", "cab", "bca", "小米", "手机", "小", "aaaaaaaaa", "é"]
+    tokens = ["ab", "abc", "b", "cab", "bca", "小米", "手机", "小", "aaaaaaaaa", "é", "𠀀𠀁"]
     counted = [t for t in tokens for _ in range(rng.randrange(1, 40))]
     words = segments.dictionary(spark.createDataFrame([(t,) for t in [*counted, "", None]], "word string"))
     total = len(counted)
     costs = {t: math.floor(1000 * math.log(total / n)) for t, n in Counter(counted).items()}
     assert {r.word: r.cost for r in words.collect()} == costs
-    texts = ["".join(rng.choices([*tokens, "x", "手", "c"], k=rng.randrange(1, 30))) for _ in range(60)] + ["x", "é", "abcab" * 200]
+    texts = ["".join(rng.choices([*tokens, "x", "手", "c"], k=rng.randrange(1, 30))) for _ in range(60)] + ["x", "é", "𠀀𠀁𠀀", "abcab" * 200]
     frame = spark.createDataFrame([(t,) for t in [*texts, *texts, "", None]], "run string")
     got = {r.run: list(r.words) for r in segments.segmented(frame, words).collect()}
     unknown = math.floor(1000 * math.log(total * segments.UNKNOWN))

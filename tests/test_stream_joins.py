@@ -8,11 +8,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import Window, functions as F
 
 from millrace.functions import keys, times
-from millrace.operators import cdc, changelog, facts, labels, logs, temporal, trade, traffic
+from millrace.operators import cdc, changelog, facts, labels, logs, search, temporal, trade, traffic
 from millrace.plans import batch as batch_plans
 from millrace.plans.views import Inputs
 from millrace.sources import readers
-from millrace.streaming import jobs, joins, windows
+from millrace.streaming import jobs, joins, tops, windows
 
 DAY = 86_400
 FAR = 3_650 * DAY
@@ -269,3 +269,12 @@ def test_label_chain_streams(inputs, feed, run, same):
     assert not whole.isEmpty()
     streamed = jobs.user_label(feed(devices, ["ts"], 2), feed(orders, ["ts"], 2), feed(profiles, ["ts"], 2))
     same(run(streamed, "labels"), whole)
+
+
+def test_hot_query_changes_stream(inputs, feed, run, same):
+    searches = search.search_log_clean(inputs.search_lines()).select("query", "ts").where(F.col("query").isNotNull())
+    end = searches.limit(1).select("query", F.lit("2030-01-01").cast("timestamp").alias("ts"))
+    batch = search.hot_query_changes(search.query_count_window(searches), 5)
+    got = run(tops.hot_query_changes(feed(searches.unionByName(end), ["ts"]), 5, delay="0 seconds"), "tops")
+    same(got.where("window_end < 1800000000000"), batch)
+    assert batch.count() > 20
