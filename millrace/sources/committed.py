@@ -26,7 +26,7 @@ FILE_LINES = 100_000
 STAGING = "_staging"
 
 
-def _opened(uri: str) -> tuple[fs.FileSystem, str]:
+def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
@@ -45,7 +45,7 @@ class LinesWriter(DataSourceWriter):
         self.staged = f"{STAGING}/{label}-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[Row]) -> Written:
-        system, root = _opened(self.folder)
+        system, root = opened(self.folder)
         files, lines, out = [], 0, None
         system.create_dir(f"{root}/{self.staged}", recursive=True)
         try:
@@ -63,7 +63,7 @@ class LinesWriter(DataSourceWriter):
         return Written(files, lines)
 
     def commit(self, messages: list[Written | None]) -> None:
-        system, root = _opened(self.folder)
+        system, root = opened(self.folder)
         staged, final = f"{root}/{self.staged}", f"{root}/{self.label}"
         kept = {f for m in messages if m is not None for f in m.files}
         system.create_dir(staged, recursive=True)
@@ -77,7 +77,7 @@ class LinesWriter(DataSourceWriter):
         system.move(staged, final)
 
     def abort(self, messages: list[Written | None]) -> None:
-        system, root = _opened(self.folder)
+        system, root = opened(self.folder)
         staged = f"{root}/{self.staged}"
         if system.get_file_info(staged).type != fs.FileType.NotFound:
             system.delete_dir(staged)
@@ -98,7 +98,7 @@ class CommittedLines(DataSource):
 
 
 def committed(spark: SparkSession, folder: str, label: str) -> bool:
-    system, root = _opened(folder.rstrip("/"))
+    system, root = opened(folder.rstrip("/"))
     return system.get_file_info(f"{root}/{label}").type != fs.FileType.NotFound
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import blooms, dedup, search
 from millrace.sources import committed as sink
+from millrace.sources.keyed import BucketedTable
+from millrace.streaming import jobs
 
 KEPT = lambda root: sorted(d for d in os.listdir(root) if d != sink.STAGING)
 
@@ -110,3 +112,38 @@ def test_hot_query_changes_by_brute_force(spark, stretch):
                 want.append((w, q, kind, rank, before, (now.get(q) or listed[q])[1]))
         listed = now
     assert sorted(want) == sorted(map(tuple, search.hot_query_changes(df, 4, stretch).collect()))
+
+
+def test_bucketed_table_rewrites_what_a_batch_touches(spark, tmp_path):
+    root = str(tmp_path / "keyed")
+    table = BucketedTable(root, ("k",), ("ts",), buckets=8)
+    rng = random.Random(4)
+    with pytest.raises(FileNotFoundError):
+        table.read(spark)
+    want, versions = {}, {}
+    for batch in range(5):
+        rows = [(rng.randrange(60), rng.randrange(20), f"b{batch}-{n}") for n in range(30 if batch else 200)]
+        rows = list({(k, ts): (k, ts, v) for k, ts, v in rows}.values())
+        for k, ts, v in sorted(rows):
+            if k not in want or ts >= want[k][0]:
+                want[k] = (ts, v)
+        frame = spark.createDataFrame(rows, "k int, ts int, v string")
+        for _ in range(2):
+            table.write_batch(frame, batch)
+        assert {r.k: (r.ts, r.v) for r in table.read(spark).collect()} == want
+        state = table._newest()
+        touched = {str(r[0]) for r in frame.select(table._bucket()).collect()}
+        assert all(versions.get(b) == v for b, v in state["versions"].items() if b not in touched)
+        versions = state["versions"]
+    table.write_batch(spark.createDataFrame([(1, 99, "last")], "k int, ts int, v string"), 5)
+    assert sum(a != b for a, b in zip(versions.values(), table._newest()["versions"].values())) == 1
+    left = {(d.split("/")[-2], d.split("/")[-1]) for d, _, names in os.walk(root) if any(f.endswith(".parquet") for f in names)}
+    named = {(v, f"__bucket={b}") for p in table._manifests() for b, v in table._manifest(p)["versions"].items()}
+    assert left == named and len(table._manifests()) == 2
+
+
+def test_streams_upsert_into_buckets(spark, feed, tmp_path, same):
+    rows = spark.createDataFrame([(n % 7, n, f"v{n}") for n in range(60)], "k int, ts int, v string")
+    table = BucketedTable(str(tmp_path / "stream"), ("k",), ("ts",), buckets=4)
+    jobs.run_available(feed(rows, ["ts"]), "buckets", jobs.upsert_into(table), location=str(tmp_path / "cp"))
+    same(table.read(spark), rows.where("ts >= 53"))
