@@ -844,40 +844,6 @@ SQL: dict[str, str] = {
         SELECT w_end AS window_end, query, CASE WHEN previous_rank = 0 THEN 'entered' WHEN rank = 0 THEN 'left' ELSE 'moved' END AS change,
                rank, previous_rank, CAST(query_count AS BIGINT) AS query_count
         FROM both_lists JOIN windows USING (n) WHERE rank <> previous_rank""",
-    "keyword_segments": """
-        WITH RECURSIVE tokens AS (
-            SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM conversations
-        ), dict AS (
-            SELECT word, length(word)::INT AS size, floor(1000 * ln(sum(count(*)) OVER () / count(*)))::BIGINT AS cost
-            FROM tokens WHERE word <> '' GROUP BY word
-        ), unknown AS (
-            SELECT floor(1000 * ln(count(*)::DOUBLE * 10))::BIGINT AS cost FROM tokens WHERE word <> ''
-        ), pieces AS (
-            SELECT role, regexp_replace(r, '\\s+', '', 'g') AS run FROM (
-                SELECT role, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}\\s]+')) AS r FROM conversations)
-        ), ids AS (
-            SELECT run, length(run) AS n, row_number() OVER () AS id FROM (SELECT DISTINCT run FROM pieces WHERE run <> '')
-        ), edges AS (
-            SELECT id, (i + size - 1)::INT AS e, size, cost FROM (
-                SELECT id, i, size, substr(run, i, size) AS word FROM (SELECT id, run, unnest(range(1, n + 1)) AS i FROM ids),
-                    (SELECT DISTINCT size FROM dict) WHERE i + size - 1 <= length(run)) JOIN dict USING (word, size)
-            UNION ALL
-            SELECT id, unnest(range(1, n + 1))::INT, 1, cost FROM ids, unknown
-        ), ends AS (
-            SELECT id, e, list({'size': size, 'cost': cost}) AS words FROM edges GROUP BY id, e
-        ), dp(id, e, best) AS (
-            SELECT id, 0, [{'cost': 0::BIGINT, 'words': 0, 'back': 0}] FROM ids
-            UNION ALL
-            SELECT id, ends.e, list_append(best, list_min(list_transform(words, lambda w: {
-                'cost': best[dp.e + 2 - w.size].cost + w.cost, 'words': best[dp.e + 2 - w.size].words + 1, 'back': -w.size})))
-            FROM dp JOIN ends USING (id) WHERE ends.e = dp.e + 1
-        ), path(id, best, e, size) AS (
-            SELECT id, best, ids.n::INT, -best[ids.n + 1].back FROM dp JOIN ids USING (id) WHERE dp.e = ids.n
-            UNION ALL
-            SELECT id, best, e - size, -best[e - size + 1].back FROM path WHERE e > size
-        )
-        SELECT role, substr(p.run, e - size + 1, size) AS keyword, count(*) AS keyword_count
-        FROM pieces p JOIN ids USING (run) JOIN path USING (id) GROUP BY ALL""",
     "keyword_tokens": """
         SELECT lang, keyword, count(*) AS keyword_count FROM (
             SELECT lang, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS keyword FROM documents)

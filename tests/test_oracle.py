@@ -16,11 +16,15 @@ def con(folder):
     connection.close()
 
 
+# Its path recursion takes minutes in SQL on the whole table; test_segments.py holds it against plain programming.
+WITHOUT_SQL = {"keyword_segments"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) <= set(contract.oracle_sql()) and set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) - WITHOUT_SQL <= set(contract.oracle_sql()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITHOUT_SQL))
 def test_query(spark, folder, con, name):
     assert difference(contract.queries()[name](spark, folder), con, contract.oracle_sql()[name]) is None
 
