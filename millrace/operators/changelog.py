@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.operators.joins import interval_join
 from millrace.operators.running import has_map
 
 POSITION = "struct<ts:timestamp,side:int,seq:string>"
@@ -40,55 +39,65 @@ def placed_events(df: DataFrame, side: int, ts: str, seq: list[str], take: list[
 
 def events(df: DataFrame, side: int, ts: str, seq: list[str], take: list[str]) -> DataFrame:
     """:func:`placed_events`, each once: rows at the same position are one event that came more than once."""
-    placed = placed_events(df, side, ts, seq, take)
-    return placed.dropDuplicates([c for c in placed.columns if not has_map(placed.schema[c].dataType)])
+    if not set(seq) <= set(take):
+        placed = placed_events(df, side, ts, seq, take)
+        return placed.dropDuplicates([c for c in placed.columns if not has_map(placed.schema[c].dataType)])
+    # The position follows from the columns, so repeats go before its text is made.
+    rows = df.where(F.col(ts).isNotNull()).select(*dict.fromkeys([*take, ts]))
+    once = rows.dropDuplicates([c for c in rows.columns if not has_map(rows.schema[c].dataType)])
+    return placed_events(once, side, ts, seq, take)
 
 
 def inserted(rows: DataFrame) -> DataFrame:
     """Events that nothing takes back, as the first left side."""
     return rows.select(
-        *[c for c in rows.columns if c != "at"], F.col("at").alias("born"), F.lit(None).cast(POSITION).alias("gone"),
-        F.array("at").alias("origin"),
-    )
+        *[c for c in rows.columns if c != "at"], F.col("at").alias("born"), F.lit(None).cast(POSITION).alias("gone")
+    )
 
 
 def join_over_time(left: DataFrame, right: DataFrame, on: dict[str, str], life: int, how: str = "left") -> DataFrame:
     """The changelog of a join of the changelog ``left`` with the upserts ``right`` (column ``at``).
 
-    ``on`` maps columns of the left to key columns of the right, ``life`` is in seconds. Pairs meet through the
-    interval join, so a hot key is spread over stretches of time. What follows is per left row.
+    ``on`` maps columns of the left to key columns of the right, ``life`` is in seconds. Time is cut into stretches
+    as long as a left row's reach, which spreads a hot key. A left row lies in the stretch of its birth; a right row,
+    which is the narrower one, is repeated in the two stretches that it can be reached from. So a left row meets all
+    its events in one place, and what follows per left row needs no further exchange. The rows of ``left`` must differ
+    in their columns, ``born`` included, as those of :func:`events` and of this function do.
     """
     keys = [f"__k{n}" for n in range(len(on))]
-    side = right.select(
-        *[F.col(c).alias(k) for c, k in zip(on.values(), keys)],
-        *[c for c in right.columns if c not in on.values() and c != "at"],
-        F.col("at").alias("__at"), F.col("at.ts").alias("__right_ts"),
-    )
-    marked = left.withColumns({k: F.col(c) for c, k in zip(on, keys)} | {"__left_ts": F.col("born.ts")})
     taken = [c for c in right.columns if c not in on.values() and c != "at"]
-    met = interval_join(marked, side, keys, "__left_ts", "__right_ts", -life, life)
-    met = met.where(F.col("gone").isNull() | (F.col("__at") < F.col("gone")))
-
-    own = Window.partitionBy("origin").orderBy("__at")
-    following = met.withColumn("__next", F.lead("__at").over(own))
-    # Of the events before the birth only the last one is current.
-    seen = following.where(F.col("__next").isNull() | (F.col("__next") > F.col("born")))
-    shown = seen.select(
-        *[c for c in left.columns if c not in ("born", "gone", "origin")], *taken,
-        F.greatest("born", "__at").alias("born"), F.least("gone", "__next").alias("gone"),
-        F.concat("origin", F.array("__at")).alias("origin"),
-    )
-    if how == "inner":
-        return shown
-    first = met.groupBy("origin").agg(F.min("__at").alias("__first"))
-    bare = left.join(first, "origin", "left").where(F.col("__first").isNull() | (F.col("__first") > F.col("born")))
-    unmatched = bare.select(
-        *[c for c in left.columns if c not in ("born", "gone", "origin")],
-        *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in taken],
-        "born", F.least("gone", "__first").alias("gone"),
-        F.concat("origin", F.array(F.lit(None).cast(POSITION))).alias("origin"),
+    width = max(2 * life, 1) * 1_000_000
+
+    def stretch(ts: str, shift: int) -> Column:
+        return F.floor((F.unix_micros(F.col(ts)) + F.lit(shift * 1_000_000)) / F.lit(width)).cast("bigint")
+
+    side = right.select(*[F.col(c).alias(k) for c, k in zip(on.values(), keys)], *taken, F.col("at").alias("__at"))
+    side = side.dropna(subset=keys).withColumn("__stretch", F.explode(F.sequence(stretch("__at.ts", -life), stretch("__at.ts", life))))
+    own = [c for c in left.columns if not has_map(left.schema[c].dataType)]
+    # Rows without a key meet nothing, so they lie anywhere.
+    keyless = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
+    marked = left.withColumns({k: F.col(c) for c, k in zip(on, keys)}).withColumn(
+        "__stretch", F.when(keyless, F.xxhash64(*own)).otherwise(stretch("born.ts", 0))
+    )
+    gap = F.unix_micros("__at.ts") - F.unix_micros("born.ts")
+    meets = gap.between(-life * 1_000_000, life * 1_000_000) & (F.col("gone").isNull() | (F.col("__at") < F.col("gone")))
+    same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in (*keys, "__stretch")]
+    met = marked.alias("l").join(side.alias("r"), [*same, meets], how).drop(*[F.col(f"r.{k}") for k in (*keys, "__stretch")])
+
+    each = Window.partitionBy(*keys, "__stretch", *own).orderBy("__at")
+    following = met.withColumns({"__next": F.lead("__at").over(each), "__n": F.row_number().over(each)})
+    # Of the events before the birth only the last one is current; nulls are shown until the first event.
+    shown = F.col("__at").isNotNull() & (F.col("__next").isNull() | (F.col("__next") > F.col("born")))
+    bare = (F.col("__n") == 1) & (F.col("__at").isNull() | (F.col("__at") > F.col("born")))
+    spans = [F.when(shown, F.struct(F.col("__at").alias("since"), F.col("__next").alias("until")))]
+    if how != "inner":
+        spans.append(F.when(bare, F.struct(F.lit(None).cast(POSITION).alias("since"), F.col("__at").alias("until"))))
+    spanned = following.withColumn("__span", F.explode(F.filter(F.array(*spans), lambda s: s.isNotNull())))
+    return spanned.select(
+        *[c for c in left.columns if c not in ("born", "gone")],
+        *[F.when(F.col("__span.since").isNotNull(), F.col(c)).alias(c) for c in taken],
+        F.greatest("born", "__span.since").alias("born"), F.least("gone", "__span.until").alias("gone"),
     )
-    return shown.unionByName(unmatched)
 
 
 def emitted(rows: DataFrame) -> DataFrame:
@@ -97,13 +106,13 @@ def emitted(rows: DataFrame) -> DataFrame:
         F.array(F.struct(F.col("born").alias("at"), F.lit(1).alias("sign")), F.struct(F.col("gone").alias("at"), F.lit(-1).alias("sign"))),
         lambda c: c["at"].isNotNull(),
     )
-    plain = [c for c in rows.columns if c not in ("born", "gone", "origin")]
+    plain = [c for c in rows.columns if c not in ("born", "gone")]
     return rows.select(*plain, F.explode(changes).alias("change")).select(*plain, "change.at", "change.sign")
 
 
 def current(rows: DataFrame) -> DataFrame:
     """What stays when all events are in: the net of the emissions."""
-    return rows.where(F.col("gone").isNull()).drop("born", "gone", "origin")
+    return rows.where(F.col("gone").isNull()).drop("born", "gone")
 
 
 # Sides of the wide order detail, in the order that events of one time are taken.
@@ -124,7 +133,10 @@ def wide_columns(details: DataFrame) -> list[tuple[list[str], list[str]]]:
 def wide_sides(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> list[DataFrame]:
     """Orders, details, activities and coupons as events, by the number of their side."""
     frames = (orders.withColumnRenamed("id", "order_id"), details, activities, coupons)
-    return [events(f, n, "ts", seq, take) for n, (f, (seq, take)) in enumerate(zip(frames, wide_columns(details)))]
+    # A detail replaces nothing, so its order among those of its time decides nothing and isn't carried.
+    return [
+        events(f, n, "ts", [] if n == DETAILS else seq, take) for n, (f, (seq, take)) in enumerate(zip(frames, wide_columns(details)))
+    ]
 
 
 def wide_changelog(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame, life: int) -> DataFrame:

@@ -359,7 +359,8 @@ def order_detail_wide(i: Inputs) -> DataFrame:
 
 
 def _wide_emissions(i: Inputs, life: int) -> DataFrame:
-    rows = changelog.wide_changelog(i.order_detail(), i.order_info(), i.activities(), i.coupons(), life)
+    # The sku's name follows from its id.
+    rows = changelog.wide_changelog(i.order_detail().drop("sku_name"), i.order_info(), i.activities(), i.coupons(), life)
     out = changelog.emitted(rows).select(
         "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id", "sku_num",
         "split_total_amount", "sign", F.col("at.side").alias("side"), F.col("at.ts").alias("at_ts"),
