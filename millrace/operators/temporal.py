@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.operators.running import Running, latest_per_key, running
 
@@ -85,17 +85,18 @@ def emissions_after_quiet(df: DataFrame, key: str, ts: str, order: list[str], qu
 
     A row belongs to the spell before it if it is at most ``quiet`` seconds younger than its last row. ``emit_ts`` is
     the last row's time plus the wait. ``order`` starts with ``ts`` and orders a key's rows up to equal ones. Rows
-    without a key or time are left out. Spells are found by running measures over slices of time, so a key with
-    many rows is many tasks; the last version per spell is an aggregate.
+    without a key or time are left out. A spell ends at a row whose follower, in its slice or at the start of the key's
+    next one, is further away. Rows are dealt once, by (key, slice), so a key with many rows is many tasks.
     """
-    rows = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    rows = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withColumn("__slice", slice_by)
     micros = F.unix_micros(F.col(ts))
-    before = running(rows, [key], order, slice_by, [Running("__before", "max", micros)])
-    opens = F.col("__before").isNull() | (micros - F.col("__before") > quiet * 1_000_000)
-    # Of equal rows the one that opens a spell comes first.
-    numbered = running(
-        before.withColumn("__follows", (~opens).cast("bigint")).drop("__before"), [key], [*order, "__follows"], slice_by,
-        [Running("__spell", "sum", 1 - F.col("__follows"), through=True)],
-    )
-    last = latest_per_key(numbered.drop("__follows"), [key, "__spell"], order).drop("__spell")
-    return last.withColumn("emit_ts", F.timestamp_micros(micros + quiet * 1_000_000))
+    within = Window.partitionBy(key, "__slice").orderBy(*order)
+    gap = F.unix_micros(F.lead(ts).over(within)) - micros
+    # Closed by the next row of the slice, or open until the key's next slice.
+    ends = rows.withColumns({"__gap": gap}).where(F.col("__gap").isNull() | (F.col("__gap") > quiet * 1_000_000))
+    starts = rows.groupBy(key, "__slice").agg(F.min(ts).alias("__start"))
+    further = starts.select(key, "__slice", F.lead("__start").over(Window.partitionBy(key).orderBy("__slice")).alias("__then"))
+    goes_on = further.where(F.col("__then").isNotNull())
+    linked = ends.join(goes_on, [key, "__slice"], "left")
+    apart = F.col("__gap").isNotNull() | F.col("__then").isNull() | (F.unix_micros("__then") - micros > quiet * 1_000_000)
+    return linked.where(apart).select(*df.columns, F.timestamp_micros(micros + quiet * 1_000_000).alias("emit_ts"))
