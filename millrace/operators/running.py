@@ -43,29 +43,42 @@ def running(
     slice_by: Column,
     measures: list[Running],
     backward: bool = False,
+    dealt_once: bool = False,
 ) -> DataFrame:
     """Add running measures over ``keys`` in ``order``.
 
     ``slice_by`` must not decrease along ``order``. With ``backward`` the measures run from the last
     row to the first. Sums of nothing are 0, maxima and last values of nothing are null. For ``last`` the order
     columns must tell all rows apart that have a value.
+
+    By default the rows are computed twice, for step 1 and for step 3, which is right where step 1 collapses them. With
+    ``dealt_once`` they are dealt by (key, slice) first, and both steps read that one exchange; use it where most
+    slices hold few rows or the rows are dear to compute. It works if what follows uses all columns of ``df``.
     """
     inputs = {m.name: f"__in_{m.name}" for m in measures}
     carried = {m.name: f"__carry_{m.name}" for m in measures}
     rows = df.withColumn(SLICE, slice_by)
+    if dealt_once:
+        rows = rows.repartition(*keys, SLICE)
+        plain = [f.name for f in rows.schema.fields if not has_map(f.dataType)]
     for m in measures:
         rows = rows.withColumn(inputs[m.name], m.value)
 
-    per_slice = rows.groupBy(*keys, SLICE).agg(
-        *[_collapse(m, F.col(inputs[m.name]), order, backward).alias(carried[m.name]) for m in measures]
-    )
+    totals = [_collapse(m, F.col(inputs[m.name]), order, backward).alias(carried[m.name]) for m in measures]
+    per_slice = rows.groupBy(*keys, SLICE)
+    if dealt_once:
+        # It asks for all columns: an exchange of fewer ones would be a second one.
+        per_slice = per_slice.agg(*totals, F.max(F.xxhash64(*plain)).alias("__every")).where(F.col("__every").isNotNull())
+    else:
+        per_slice = per_slice.agg(*totals)
     direction = F.desc(SLICE) if backward else F.asc(SLICE)
     earlier = Window.partitionBy(*keys).orderBy(direction)
     strictly = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    # Keys that pass through the window stay as they are: a filter on them would go down to one use of the exchange only.
+    named = {k: f"__of_{k}" if dealt_once else k for k in (*keys, SLICE)}
     inherited = (
         per_slice.select(
-            *keys,
-            SLICE,
+            *[(F.lag(k, 0).over(earlier) if dealt_once else F.col(k)).alias(name) for k, name in named.items()],
             F.lag(SLICE).over(earlier).alias("__previous"),
             *[_fold(m, F.col(carried[m.name])).over(strictly).alias(carried[m.name]) for m in measures],
         )
@@ -76,7 +89,10 @@ def running(
     inside = Window.partitionBy(*keys, SLICE).orderBy(
         *[F.desc(c) if backward else F.asc(c) for c in order]
     )
-    out = rows.join(inherited, [*keys, SLICE], "left")
+    if dealt_once:
+        out = rows.join(inherited, [F.col(k) == F.col(name) for k, name in named.items()], "left")
+    else:
+        out = rows.join(inherited, [*keys, SLICE], "left")
     results = []
     for m in measures:
         frame = inside.rowsBetween(Window.unboundedPreceding, 0 if m.through else -1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions import times
 from millrace.operators.joins import enrich
@@ -66,26 +66,47 @@ def province_order_window(details: DataFrame, provinces: DataFrame, order: list[
     )
 
 
+def _signed(amount: str) -> Column:
+    """The amount with the row's sign, in its own type."""
+    return F.when(F.col("sign") < 0, -F.col(amount)).otherwise(F.col(amount))
+
+
+def _window_from(start: str, width: str) -> Column:
+    """The tumbling window that begins at a column."""
+    return F.struct(F.col(start).alias("start"), (F.col(start) + F.expr(f"INTERVAL {width}")).alias("end"))
+
+
 def signed_details(details: DataFrame, order: list[str], slice_by: Column) -> DataFrame:
     """Each version of a detail (sign 1) and its negation (sign -1), with the position of the version behind it.
 
     ``at`` is the position: time of the version that caused the row, the first two digits of the id's hash (so that
-    rows of one time can be split), the id, then ``order``. Versions that are equal in all columns are one.
+    rows of one time can be split), the id, then the version's number within its id and slice. ``order`` starts with
+    ``ts``, which ``slice_by`` follows, so the number only decides among an id's versions of one time. Versions that are
+    equal in all columns are one.
+
+    Rows are dealt once, by (id, slice). What the last version of a slice needs, the time of the id's next slice, is
+    one row per (id, slice), taken from the same exchange.
     """
-    versions = details.dropDuplicates()
-    place = lambda row: F.struct(
-        row["ts"].alias("ts"), F.substring(F.md5("id"), 1, 2).alias("part"), F.col("id").alias("id"), row.alias("row")
+    dealt = details.withColumn("__slice", slice_by).repartition("id", "__slice").dropDuplicates()
+    within = Window.partitionBy("id", "__slice").orderBy(*order)
+    numbered = dealt.withColumns({"__n": F.row_number().over(within), "__next": F.lead("ts").over(within)})
+    # The count asks for the rows as they are without repeats, and so for the same exchange.
+    starts = dealt.groupBy("id", "__slice").agg(F.min("ts").alias("__start"), F.count(F.lit(1)).alias("__rows")).where("__rows > 0")
+    further = starts.drop("__rows").withColumn("__then", F.lead("__start").over(Window.partitionBy("id").orderBy("__slice")))
+    linked = numbered.join(further.where(F.col("__then").isNotNull()).drop("__start"), ["id", "__slice"], "left")
+
+    def place(ts: Column, n: Column) -> Column:
+        return F.struct(ts.alias("ts"), F.substring(F.md5("id"), 1, 2).alias("part"), F.col("id").alias("id"), n.alias("n"))
+
+    following = F.when(F.col("__next").isNotNull(), place(F.col("__next"), F.col("__n") + 1)).when(
+        F.col("__then").isNotNull(), place(F.col("__then"), F.lit(1))
     )
-    held = versions.withColumn("__own", F.struct(*order))
-    following = running(held, ["id"], order, slice_by, [Running("__next", "last", F.col("__own"))], backward=True)
-    signs = F.filter(
-        F.array(
-            F.struct(place(F.col("__own")).alias("at"), F.lit(1).alias("sign")),
-            F.struct(F.when(F.col("__next").isNotNull(), place(F.col("__next"))).alias("at"), F.lit(-1).alias("sign")),
-        ),
-        lambda s: s["at"].isNotNull(),
+    signs = F.array(
+        F.struct(place(F.col("ts"), F.col("__n")).alias("at"), F.lit(1).alias("sign")),
+        F.struct(following.alias("at"), F.lit(-1).alias("sign")),
     )
-    return following.select(*details.columns, F.explode(signs).alias("__s")).select(*details.columns, "__s.at", "__s.sign")
+    signed = linked.select(*details.columns, F.explode(signs).alias("__s")).where(F.col("__s.at").isNotNull())
+    return signed.select(*details.columns, "__s.at", "__s.sign")
 
 
 def province_order_emissions(details: DataFrame, order: list[str], slice_by: Column, width: str = "10 seconds") -> DataFrame:
@@ -99,22 +120,23 @@ def province_order_emissions(details: DataFrame, order: list[str], slice_by: Col
     """
     signed = signed_details(details, order, slice_by)
     rows = signed.select(
-        F.window("ts", width).alias("window"), "province_id", "order_id", "id", "split_total_amount", "sign", "at"
+        F.window("ts", width)["start"].alias("start"), "province_id", "order_id", "split_total_amount", "sign", "at"
     )
     cut = F.struct("at.ts", "at.part")
     here = [
         Running("__before", "sum", F.col("sign").cast("bigint")),
         Running("__after", "sum", F.col("sign").cast("bigint"), through=True),
     ]
-    per_order = running(rows, ["window", "province_id", "order_id"], ["at", "sign"], cut, here)
+    per_order = running(rows, ["start", "province_id", "order_id"], ["at", "sign"], cut, here, dealt_once=True)
     change = (F.col("__after") > 0).cast("bigint") - (F.col("__before") > 0).cast("bigint")
     totals = [
-        Running("order_count", "sum", change, through=True),
-        Running("order_amount", "sum", F.col("split_total_amount") * F.col("sign"), through=True),
+        Running("order_count", "sum", F.col("__change"), through=True),
+        Running("order_amount", "sum", _signed("split_total_amount"), through=True),
     ]
-    counted = running(per_order, ["window", "province_id"], ["at", "sign"], cut, totals)
+    changes = per_order.withColumn("__change", change).drop("__before", "__after")
+    counted = running(changes, ["start", "province_id"], ["at", "sign"], cut, totals, dealt_once=True)
     return counted.select(
-        *times.window_bounds(F.col("window")), "province_id", "order_id", "id", "sign", F.col("at.ts").alias("at_ts"),
+        *times.window_bounds(_window_from("start", width)), "province_id", "order_id", F.col("at.id").alias("id"), "sign", F.col("at.ts").alias("at_ts"),
         "order_count", _money(F.col("order_amount")).alias("order_amount"),
     )
 
@@ -125,11 +147,12 @@ def sku_order_emissions(details: DataFrame, order: list[str], slice_by: Column,
     As :func:`province_order_emissions`, for the amounts of a sku.
     """
     signed = signed_details(details, order, slice_by)
-    rows = signed.select(F.window("ts", width).alias("window"), "sku_id", "id", *SKU_AMOUNTS, "sign", "at")
-    totals = [Running(f"__{name}", "sum", F.col(c) * F.col("sign"), through=True) for c, name in SKU_AMOUNTS.items()]
-    counted = running(rows, ["window", "sku_id"], ["at", "sign"], F.struct("at.ts", "at.part"), totals)
+    rows = signed.select(F.window("ts", width)["start"].alias("start"), "sku_id", *SKU_AMOUNTS, "sign", "at")
+    cut = F.struct("at.ts", "at.part")
+    totals = [Running(f"__{name}", "sum", _signed(c), through=True) for c, name in SKU_AMOUNTS.items()]
+    counted = running(rows, ["start", "sku_id"], ["at", "sign"], cut, totals, dealt_once=True)
     return counted.select(
-        *times.window_bounds(F.col("window")), "sku_id", "id", "sign", F.col("at.ts").alias("at_ts"),
+        *times.window_bounds(_window_from("start", width)), "sku_id", F.col("at.id").alias("id"), "sign", F.col("at.ts").alias("at_ts"),
         *[_money(F.col(f"__{name}")).alias(name) for name in SKU_AMOUNTS.values()],
     )
 

@@ -539,7 +539,7 @@ def detail_latest_held(i: Inputs) -> DataFrame:
 
 
 def _quiet_spells(i: Inputs, quiet: int) -> DataFrame:
-    spells = temporal.emissions_after_quiet(i.order_detail(), "id", "ts", Inputs.DETAIL_ORDER, quiet, day_slice())
+    spells = temporal.emissions_after_quiet(i.order_detail().select("id", *Inputs.DETAIL_ORDER), "id", "ts", Inputs.DETAIL_ORDER, quiet, day_slice())
     return spells.select("id", "sku_id", "sku_num", "split_total_amount", "ts", "emit_ts")
 
 
@@ -557,12 +557,14 @@ def detail_emissions_year(i: Inputs) -> DataFrame:
 
 @query
 def province_order_emissions(i: Inputs) -> DataFrame:
-    return trade.province_order_emissions(i.detail_of_orders().drop("user_id"), Inputs.DETAIL_ORDER, day_slice())
+    # The sku's name follows from its id.
+    return trade.province_order_emissions(i.detail_of_orders().drop("user_id", "sku_name"), Inputs.DETAIL_ORDER, day_slice())
 
 
 @query
 def sku_order_emissions(i: Inputs) -> DataFrame:
-    return trade.sku_order_emissions(i.order_detail(), Inputs.DETAIL_ORDER, day_slice())
+    # The order follows from the detail's id, the sku's name from the sku's.
+    return trade.sku_order_emissions(i.order_detail().drop("order_id", "sku_name"), Inputs.DETAIL_ORDER, day_slice())
 
 
 @query

@@ -22,3 +22,20 @@ def test_each_side_of_the_changelog_is_read_once(spark, folder, name):
     df = QUERIES[name](spark, folder)
     assert plan(df).count("lineitem.parquet") <= 3
     assert exchanges(df) <= 7
+
+
+def reads_when_done(df, table: str) -> int:
+    """Scans of a table in the plan as it ran; what reads another one's exchange isn't counted."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0].count(f"{table}.parquet")
+
+
+@pytest.mark.parametrize("name", ["province_order_emissions", "sku_order_emissions"])
+def test_signed_details_are_computed_once(spark, folder, name):
+    """Running sums deal the rows once; the totals per slice come from the same exchange."""
+    assert reads_when_done(QUERIES[name](spark, folder), "lineitem") == 1
+
+
+@pytest.mark.parametrize("name", ["detail_emissions", "detail_emissions_year"])
+def test_quiet_spells_deal_the_rows_once(spark, folder, name):
+    assert exchanges(QUERIES[name](spark, folder)) <= 3
