@@ -130,6 +130,20 @@ def cart_adds(changes: DataFrame, include_inserts: bool = False) -> DataFrame:
     )
 
 
+def details_in_reach(details: DataFrame, payments: DataFrame, lower: int = PAYMENT_LOWER, upper: int = PAYMENT_UPPER) -> DataFrame:
+    """Details that :func:`payment_detail` finds a payment for, so that what they lack is looked up for these only."""
+    calls = payments.select(F.col("order_id").alias("__order"), F.col("ts").alias("__callback")).dropna(subset=["__order"])
+    width = max(upper - lower, 1) * 1_000_000
+
+    def stretch(ts: str, shift: int) -> Column:
+        return F.floor((F.unix_micros(F.col(ts)) + F.lit(shift * 1_000_000)) / F.lit(width)).cast("bigint")
+
+    reach = calls.withColumn("__reach", F.explode(F.sequence(stretch("__callback", lower), stretch("__callback", upper))))
+    gap = F.unix_micros("ts") - F.unix_micros("__callback")
+    meets = (F.col("order_id") == F.col("__order")) & (stretch("ts", 0) == F.col("__reach"))
+    return details.join(reach, meets & gap.between(lower * 1_000_000, upper * 1_000_000), "left_semi")
+
+
 def payment_detail(
     details: DataFrame,
     payments: DataFrame,

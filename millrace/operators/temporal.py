@@ -40,7 +40,7 @@ def lookup_as_of(
     timed = placed.where(F.greatest(*[F.col(k).isNull() for k in keys], F.col("ts").isNull()) == F.lit(False))
     others = placed.where(F.greatest(*[F.col(k).isNull() for k in keys], F.col("ts").isNull()))
     together = ranked.unionByName(timed, allowMissingColumns=True)
-    carried = running(together, keys, ["ts", "__fact"], slice_by, [Running("__seen", "last", F.col("__version"))])
+    carried = running(together, keys, ["ts", "__fact"], slice_by, [Running("__seen", "last", F.col("__version"))], dealt_once=True)
     found = carried.where(F.col("__fact") == 1).select("__row", F.col("__seen.v").alias("v"))
     nothing = others.select("__row", F.lit(None).cast(found.schema["v"].dataType).alias("v"))
     return found.unionByName(nothing).select(

@@ -383,7 +383,8 @@ def wide_changelog_expiring(i: Inputs) -> DataFrame:
 @query
 def detail_price_as_of(i: Inputs) -> DataFrame:
     """Details with the sku's price and supplier as they were some hours before the detail's time."""
-    facts_of = i.order_detail().withColumn("asked_ts", F.col("ts") - F.make_dt_interval(hours=F.col("sku_num").cast("int")))
+    asked = F.col("ts") - F.make_dt_interval(hours=F.col("sku_num").cast("int"))
+    facts_of = i.order_detail().select("id", "order_id", "sku_id", "sku_num", asked.alias("asked_ts"))
     found = temporal.lookup_as_of(
         facts_of, i.sku_versions(), {"sku_id": "sku_id"}, "asked_ts", "ts", ["op", "price", "supplier"],
         {"price": "price", "supplier": "supplier"}, day_slice(), F.col("op") == "d",
@@ -457,9 +458,9 @@ def cart_uu_window(i: Inputs) -> DataFrame:
 @query
 def payment_detail(i: Inputs) -> DataFrame:
     """Interval of 30 days before to 5 days after, in the data's scale of days."""
-    paid = facts.payment_detail(
-        _wide(i), i.payments(), i.dictionary(), -30 * DAY, 5 * DAY
-    )
+    reached = facts.details_in_reach(i.order_detail(), i.payments(), -30 * DAY, 5 * DAY)
+    wide = facts.order_detail_wide(reached, i.order_info(), i.activities(), i.coupons())
+    paid = facts.payment_detail(wide, i.payments(), i.dictionary(), -30 * DAY, 5 * DAY)
     return _no_nulls(paid, "activity_id", "coupon_id")
 
 

@@ -39,3 +39,14 @@ def test_signed_details_are_computed_once(spark, folder, name):
 @pytest.mark.parametrize("name", ["detail_emissions", "detail_emissions_year"])
 def test_quiet_spells_deal_the_rows_once(spark, folder, name):
     assert exchanges(QUERIES[name](spark, folder)) <= 3
+
+
+def test_lookup_as_of_deals_versions_and_facts_once(spark, folder):
+    """The versions are reduced in one read of lineitem, the facts are the second, those without a key the third."""
+    assert reads_when_done(QUERIES["detail_price_as_of"](spark, folder), "lineitem") == 3
+
+
+def test_payment_detail_looks_up_what_was_paid(spark, folder):
+    """Details meet the payments before anything is looked up for them."""
+    text = plan(QUERIES["payment_detail"](spark, folder))
+    assert "LeftSemi" in text
