@@ -506,8 +506,13 @@ def detail_latest_only(i: Inputs) -> DataFrame:
 ARRIVAL = ["detail_ts", "sku_id", "sku_num", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
 
 
-def _newest_details(i: Inputs) -> DataFrame:
-    joined = facts.order_detail_interval(i.label_orders(), i.label_details())
+def _newest_details(i: Inputs, of_users: DataFrame | None = None) -> DataFrame:
+    """``of_users`` (column uid) leaves out orders that were never one of theirs; a detail's id tells its order."""
+    orders = i.label_orders()
+    if of_users is not None:
+        own = orders.join(of_users.select(F.col("uid").alias("user_id")).distinct(), "user_id", "left_semi").select("id")
+        orders = orders.join(own, "id", "left_semi")
+    joined = facts.order_detail_interval(orders, i.label_details())
     return dedup.newest_only(joined, "detail_id", "create_ts", ARRIVAL, day_slice("detail_ts"))
 
 
@@ -793,12 +798,12 @@ BRAND_GROUPS = {
 CATEGORY_GROUPS = {"1": ["c1-0"], "2": ["c1-1"]}
 
 
-def _order_rows(i: Inputs) -> DataFrame:
-    return _with_dimensions(i, _newest_details(i))
+def _order_rows(i: Inputs, of_users: DataFrame | None = None) -> DataFrame:
+    return _with_dimensions(i, _newest_details(i, of_users))
 
 
-def _order_scores(i: Inputs) -> DataFrame:
-    scored = labels.score_amount(labels.score_time(labels.pay_time_slot(_order_rows(i))))
+def _order_scores(i: Inputs, of_users: DataFrame | None = None) -> DataFrame:
+    scored = labels.score_amount(labels.score_time(labels.pay_time_slot(_order_rows(i, of_users))))
     scored = labels.score_category(labels.score_brand(scored, groups=BRAND_GROUPS), groups=CATEGORY_GROUPS)
     return scored.select(
         "uid",
@@ -815,7 +820,9 @@ def _order_scores(i: Inputs) -> DataFrame:
 
 
 def _joined_scores(i: Inputs) -> DataFrame:
-    return labels.label_scores_join(_searched(i), _order_scores(i))
+    # Orders meet devices by their user, so those of users without a device need no dimensions and no scores.
+    seen = logs.device_search_base(i.page_log()).select("uid")
+    return labels.label_scores_join(_searched(i), _order_scores(i, seen))
 
 
 SUMS = [f"sum_{b}" for b in labels.BUCKETS]

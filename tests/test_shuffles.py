@@ -50,3 +50,9 @@ def test_payment_detail_looks_up_what_was_paid(spark, folder):
     """Details meet the payments before anything is looked up for them."""
     text = plan(QUERIES["payment_detail"](spark, folder))
     assert "LeftSemi" in text
+
+
+@pytest.mark.parametrize("name", ["label_scores_join", "label_max_bucket", "user_label"])
+def test_labels_score_the_orders_of_users_with_a_device(spark, folder, name):
+    """Orders are reduced to those users' before they meet their details."""
+    assert plan(QUERIES[name](spark, folder)).count("LeftSemi") >= 2
