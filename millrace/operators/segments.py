@@ -17,6 +17,8 @@ NOT_RUN = "[^\\p{L}\\p{N}\\s]+"
 UNKNOWN = 10
 # Letters that one step of the outer loop takes, so that what grows with a text is copied once per step.
 STEP = 256
+# Letters of all runs that one task cuts: a letter is some rows that are sorted by their run, and those fit in memory.
+TASK_LETTERS = 250_000
 
 
 def runs(text: Column) -> Column:
@@ -108,7 +110,8 @@ def segmented(texts: DataFrame, words: DataFrame, run: str = "run") -> DataFrame
     empty runs have no row. Each place of a run gives one row per class of word lengths (1, 2-3, 4-7, ...), with the
     letters that such a word could have; those rows meet the class's words by their first letters, in the task where
     the measured dictionary is small enough to be sent there, and what fits entirely is an edge. The path takes time
-    and memory in proportion to the run.
+    and memory in proportion to the run. The texts' letters are counted first, and there are as many tasks as they ask
+    for, so what a task sorts doesn't grow with the table. For both measurements it takes batch frames only.
     """
     level = F.floor(F.log2("size")).cast("int")
     lead = F.pow(F.lit(2), level).cast("int")
@@ -117,7 +120,9 @@ def segmented(texts: DataFrame, words: DataFrame, run: str = "run") -> DataFrame
     distinct = texts.select(F.col(run).alias("run")).where(F.length("run") > 0).distinct()
     rows = distinct.select("run", F.md5("run").alias("__id"), F.regexp_extract_all("run", F.lit("(?s)."), F.lit(0)).alias("__letters"), limits.alias("__m"))
     # Of few bytes is much work made, so partitions aren't merged by their size; the joins by id need no further exchange.
-    rows = rows.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__id")
+    letters = texts.agg(F.coalesce(F.sum(F.length(F.col(run)).cast("bigint")), F.lit(0))).first()[0]
+    tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-letters // TASK_LETTERS))
+    rows = rows.repartition(tasks, "__id")
     rows = rows.withColumns(
         {
             "__longest": F.coalesce("__m.longest", F.lit(1)), "__deepest": F.coalesce("__m.level", F.lit(0)),

@@ -59,3 +59,13 @@ def test_a_long_run_takes_time_in_proportion(spark):
     words = segments.dictionary(spark.createDataFrame([("ab",), ("abc",), ("ca",)], "word string"))
     run = "abcab" * 20_000
     assert "".join(segments.segmented(spark.createDataFrame([(run,)], "run string"), words).first().words) == run
+
+
+def test_tasks_grow_with_the_letters(spark, monkeypatch):
+    monkeypatch.setattr(segments, "TASK_LETTERS", 5)
+    words = segments.dictionary(spark.createDataFrame([("ab",), ("c",)], "word string"))
+    runs = spark.createDataFrame([(f"ab{n}c" * 10,) for n in range(10)], "run string")
+    cut = segments.segmented(runs, words)
+    assert "hashpartitioning(__id" in (plan := cut._jdf.queryExecution().executedPlan().toString())
+    assert ", 80), REPARTITION_BY_NUM" in plan
+    assert {"".join(r.words) for r in cut.collect()} == {r.run for r in runs.collect()}
