@@ -388,6 +388,38 @@ def test_main_text_loses_no_article(spark, shard):
     }
 
 
+@pytest.mark.parametrize("shard", [400_000, 15])
+def test_runs_decide_inside_articles(spark, shard):
+    """What markup rules out on most pages of a host is no part of the two articles that hold it without a name."""
+    line = lambda k, n=12: " ".join(f"{k}{i}" for i in range(n))
+    notice, quote, lone, banner, head = line("n"), line("q"), line("l"), line("b", 25), line("h")
+    article = lambda *parts: "<article>" + "".join(p if p[0] == "<" else f"<p>{p}</p>" for p in parts) + "</article>"
+    ruled = f"<aside>{notice}</aside><footer>{lone}</footer><nav>{head}</nav>"
+    rows = [
+        *((i, f"http://a.com/{i}", ruled + article(f"own {i}", quote)) for i in range(1, 5)),
+        (5, "http://a.com/5", article(f"<h1>{head}</h1>", line("x"), notice, lone, line("y"))),
+        (6, "http://a.com/6", article(f"<h1>{head}</h1>", notice, quote, f"he said {notice}")),
+        (7, "http://a.com/7", article(notice)),
+        (8, "http://a.com/7?again", article(notice)),
+        # Ruled out on one page only; on another host; equal text counts as one article.
+        (10, "http://b.com/1", ruled + article("one")), (11, "http://b.com/2", article(notice, "two")), (12, "http://b.com/3", article(notice, "three")),
+        (20, "http://c.com/1", ruled + article("one")), (21, "http://c.com/2", ruled + article("two")),
+        (22, "http://c.com/3", article(notice, "same")), (23, "http://c.com/4", article(notice, "same")),
+        # Open text beside articles is a host's, whatever the articles say; runs end with the open text.
+        *((30 + i, f"http://d.com/{i}", f"<div>{banner}</div>" + article(f"own {i}")) for i in range(3)),
+        *((40 + i, f"http://e.com/{i}", f"<nav>{line('m', 7)}</nav><p>text {i} ends") for i in range(3)),
+    ]
+    before, host_suffixes.TOKENS_PER_SHARD = host_suffixes.TOKENS_PER_SHARD, shard
+    got = {r.page_id: r.text for r in host_suffixes.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    host_suffixes.TOKENS_PER_SHARD = before
+    assert got == {
+        **{i: f"own {i}\n{quote}" for i in range(1, 5)},
+        5: f"{head}\n{line('x')}\n{lone}\n{line('y')}", 6: f"{head}\n{quote}\nhe said {notice}", 7: notice, 8: notice,
+        10: "one", 11: f"{notice}\ntwo", 12: f"{notice}\nthree", 20: "one", 21: "two", 22: f"{notice}\nsame", 23: f"{notice}\nsame",
+        **{30 + i: f"own {i}" for i in range(3)}, **{40 + i: f"text {i} ends" for i in range(3)},
+    }
+
+
 def test_suffix_order_by_brute_force():
     rng = np.random.RandomState(3)
     tokens = rng.randint(0, 3, 200)
