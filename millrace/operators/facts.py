@@ -24,16 +24,19 @@ AMOUNTS = [
 ]
 
 
-def detail_extras(activities: DataFrame, coupons: DataFrame) -> DataFrame:
-    """Latest activity and latest coupon per order detail, from one aggregate over both tables."""
+def detail_extras(activities: DataFrame, coupons: DataFrame, **more: Column) -> DataFrame:
+    """Latest activity and latest coupon per order detail, from one aggregate over both tables.
+
+    ``more`` are further keys that follow from the detail's id.
+    """
     activity = F.struct("ts", "activity_id", "activity_rule_id")
     coupon = F.struct("ts", "coupon_id")
     rows = activities.select("order_detail_id", activity.alias("activity")).unionByName(
         coupons.select("order_detail_id", coupon.alias("coupon")), allowMissingColumns=True
     )
-    return rows.groupBy("order_detail_id").agg(
+    return rows.withColumns(more).groupBy("order_detail_id", *more).agg(
         F.max("activity").alias("activity"), F.max("coupon").alias("coupon")
-    ).select("order_detail_id", "activity.activity_id", "activity.activity_rule_id", "coupon.coupon_id")
+    ).select("order_detail_id", *more, "activity.activity_id", "activity.activity_rule_id", "coupon.coupon_id")
 
 
 def latest_orders(orders: DataFrame) -> DataFrame:
@@ -43,25 +46,53 @@ def latest_orders(orders: DataFrame) -> DataFrame:
     return latest.select("id", "__version.user_id", "__version.province_id")
 
 
-def order_detail_wide(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> DataFrame:
+def _dealt_once(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> DataFrame:
+    """Details with their extras and their order's user and province, dealt by detail alone.
+
+    Only ids go to the orders; what they bring back goes to the details, once per detail and order. Details without
+    an id have no extras and are dealt by their order.
+    """
+    known = details.where(F.col("order_id").isNotNull())
+    key = F.coalesce("id", F.lit(""))
+    alone = F.when(F.col("id").isNull(), F.concat(F.lit("o"), "order_id")).otherwise("")
+    # Empty, but not a constant: the optimizer would drop the second key for one.
+    empty = F.substring("order_detail_id", 1, 0)
+    extras = detail_extras(activities, coupons, __alone=empty).where("order_detail_id IS NOT NULL")
+    found = known.select("id", "order_id").join(latest_orders(orders).withColumnRenamed("id", "__order"), F.col("order_id") == F.col("__order"))
+    found = found.select(key.alias("__key"), alone.alias("__by"), "__order", "user_id", "province_id")
+    # Dealt by the first two, so that the join needs no exchange behind it.
+    found = found.repartition("__key", "__by").dropDuplicates(["__key", "__by", "__order"])
+    wide = known.join(extras, (key == F.col("order_detail_id")) & (alone == F.col("__alone")), "left")
+    # The order is compared behind the keys: as a third key it would ask for another exchange.
+    of_order = (F.col("order_id") <= F.col("__order")) & (F.col("order_id") >= F.col("__order"))
+    return wide.join(found, (key == F.col("__key")) & (alone == F.col("__by")) & of_order)
+
+
+def order_detail_wide(
+    details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame, read_again: bool = False
+) -> DataFrame:
     """Order details with the order's user and province and the detail's activity and coupon.
 
     Activity and coupon are taken in their latest version per detail, so a repeated detail never
     multiplies with repeated activities; the order is taken in its latest version, too. Activity and coupon
     come from one table by detail id, the order by order id: two shuffles of the details, nothing is counted
-    before.
+    before. Details that are cheap to read, as from a log, can be read again (``read_again``): their ids alone go to the
+    orders then, and the rows themselves are shuffled once.
     """
     extras = ["activity_id", "activity_rule_id", "coupon_id"]
-    wide = spread_lookup(
-        details, detail_extras(activities, coupons), {"id": "order_detail_id"}, {c: c for c in extras}
-    )
-    wide = spread_lookup(
-        wide,
-        latest_orders(orders),
-        {"order_id": "id"},
-        {"user_id": "user_id", "province_id": "province_id"},
-        "inner",
-    )
+    if read_again:
+        wide = _dealt_once(details, orders, activities, coupons)
+    else:
+        wide = spread_lookup(
+            details, detail_extras(activities, coupons), {"id": "order_detail_id"}, {c: c for c in extras}
+        )
+        wide = spread_lookup(
+            wide,
+            latest_orders(orders),
+            {"order_id": "id"},
+            {"user_id": "user_id", "province_id": "province_id"},
+            "inner",
+        )
     return wide.select(
         "id",
         "order_id",

@@ -403,19 +403,19 @@ def snapshot_handover(i: Inputs) -> DataFrame:
     )
 
 
-def _wide_of_changes(changes: DataFrame) -> DataFrame:
+def _wide_of_changes(changes: DataFrame, read_again: bool = False) -> DataFrame:
     """Wide details out of a changelog of the four tables."""
     details = records.order_detail_records(changes)
     orders = records.order_records(changes)
     return facts.order_detail_wide(
-        details, orders, records.activity_records(changes), records.coupon_records(changes)
+        details, orders, records.activity_records(changes), records.coupon_records(changes), read_again
     )
 
 
 @query
 def changelog_order_wide(i: Inputs) -> DataFrame:
     """From the changelog through typed records to wide details; orders come in two versions."""
-    return _no_nulls(_wide_of_changes(i.fact_changes()), "activity_id", "activity_rule_id", "coupon_id")
+    return _no_nulls(_wide_of_changes(i.fact_changes(), read_again=True), "activity_id", "activity_rule_id", "coupon_id")
 
 
 @query

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from millrace.operators import facts
 from millrace.plans.batch import QUERIES
 
 
@@ -56,3 +58,34 @@ def test_payment_detail_looks_up_what_was_paid(spark, folder):
 def test_labels_score_the_orders_of_users_with_a_device(spark, folder, name):
     """Orders are reduced to those users' before they meet their details."""
     assert plan(QUERIES[name](spark, folder)).count("LeftSemi") >= 2
+
+
+def test_changelog_details_are_dealt_once(spark, folder):
+    """The amounts go through one exchange; only ids meet the orders."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lines = plan(QUERIES["changelog_order_wide"](spark, folder)).splitlines()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = [a for a, b in zip(lines, lines[1:]) if "Exchange hashpartitioning" in a and "split_total_amount" in b]
+    assert len(dealt) == 1
+
+
+def test_details_dealt_once_are_the_wide_details(spark, same):
+    """Rows without ids, repeated details, a detail of two orders, orders in versions or unknown."""
+    ids = [("d1", "o1"), ("d1", "o1"), ("d1", "o2"), ("d2", "o2"), (None, "o1"), (None, "o1"), (None, "o2"), ("", "o1"),
+           (None, ""), ("", ""), ("d3", None), (None, None), ("d4", "o9"), ("oo1", "o1")]
+    columns = "id string, order_id string, sku_id string, sku_name string, sku_num bigint, " + "".join(f"{a} double, " for a in facts.AMOUNTS)
+    details = spark.createDataFrame([(*r, "s", "n", i, 1.0, 2.0, 3.0, 4.0, i) for i, r in enumerate(ids)], columns + "t bigint")
+    details = details.withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    orders = spark.createDataFrame(
+        [("o1", 1, "u0", "p0"), ("o1", 2, "u1", "p1"), ("o2", 1, None, "p2"), ("", 1, "u3", None), (None, 1, "u4", "p4")],
+        "id string, ts bigint, user_id string, province_id string",
+    )
+    activities = spark.createDataFrame(
+        [("d1", 1, "a0", "r0"), ("d1", 2, "a1", "r1"), ("", 1, "a2", None), (None, 1, "a3", "r3"), ("o1", 1, "a4", "r4")],
+        "order_detail_id string, ts bigint, activity_id string, activity_rule_id string",
+    )
+    coupons = spark.createDataFrame([("d2", 1, "c"), ("oo1", 2, "c1"), (None, 1, "x")], "order_detail_id string, ts bigint, coupon_id string")
+    plain, dealt = (facts.order_detail_wide(details, orders, activities, coupons, again) for again in (False, True))
+    assert plain.count() == 11
+    same(dealt, plain)
