@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,10 +24,11 @@ PATTERN = public_tokenizers.PATTERN
 LONG_PIECE = 96
 # Rounds of one query over long pieces; the rest goes on in the next one, so rounds don't pile up.
 ROUNDS_AT_ONCE = 48
-# Bounds on what a Python worker holds: pieces it remembers, pieces or bytes of text per step.
-REMEMBERED = 700_000
+# Bounds on what a Python worker holds: pieces it remembers, in a task and after it, pieces or bytes of text per step.
+REMEMBERED = 300_000
+REMEMBERED_IDLE = 50_000
 PIECES_AT_ONCE = 25_000
-BYTES_AT_ONCE = 8_000_000
+BYTES_AT_ONCE = 4_000_000
 
 # A word's tokens are rows (w, pos, len, tok, nxt, r): byte position and length, id, the next token's id
 # and the rank of the pair they make. Each round finds the smallest rank and its leftmost position per word,
@@ -116,7 +118,10 @@ class _Numbers(dict):
 
 
 class Vocabulary:
-    """The rank table in a DuckDB of its own, in memory, and the pieces encoded so far."""
+    """The rank table in a DuckDB of its own, in memory, and the pieces encoded so far.
+
+    The database is there while a task needs it. Spark lets a worker live on after its task, beside the stages that follow.
+    """
 
     def __init__(self, path: str):
         with open(path, "rb") as lines:
@@ -128,16 +133,27 @@ class Vocabulary:
         ]
         left, right, to = (np.array(c, np.int64) for c in zip(*made, strict=True))
         unsafe = np.union1d(left[to < left], right[to < right])
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        self._table("merges", k=left * 1048576 + right, r=to.astype(np.int32), is_safe=~np.isin(to, unsafe))
-        # The code is the id as it is written out: four bytes, the low one first.
-        codes = [r.to_bytes(4, "little").hex() for r in ranks.values()]
-        self._table("tokens", id=np.array(list(ranks.values()), np.int32), hex=[t.hex() for t in ranks], code=codes)
+        self.merges = {"k": left * 1048576 + right, "r": to.astype(np.int32), "is_safe": ~np.isin(to, unsafe)}
+        self.db: duckdb.DuckDBPyConnection | None = None
         self.bytes = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         self.number = _Numbers()
         self.ids: list[bytes] = []
         self.texts: list[bytes] = []
 
+    def _open(self) -> None:
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self._table("merges", **self.merges)
+        # The code is the id as it is written out: four bytes, the low one first.
+        codes = [r.to_bytes(4, "little").hex() for r in self.ranks.values()]
+        self._table("tokens", id=np.array(list(self.ranks.values()), np.int32), hex=[t.hex() for t in self.ranks], code=codes)
+
+    def rest(self) -> None:
+        """Hold little until the next task: the first pieces, no database."""
+        self.keep(REMEMBERED_IDLE)
+        if self.db is not None:
+            self.db.close()
+            self.db = None
+
     def _table(self, name: str, **columns) -> None:
         rows = pa.table(columns)  # noqa: F841  read by name in the statement
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM rows")
@@ -159,6 +175,8 @@ class Vocabulary:
         """Ids (little-endian, 32 bits) of each piece and the bytes they decode to."""
         ids: list[bytes] = [b""] * len(pieces)
         texts: list[bytes] = [b""] * len(pieces)
+        if self.db is None:
+            self._open()
         short, long = [], []
         for i, piece in enumerate(pieces):
             whole = self.ranks.get(piece)
@@ -226,7 +244,7 @@ def _vocabulary(path: str) -> Vocabulary:
 def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``most`` bytes of text each, one row at least."""
     start = size = 0
-    for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
         if i > start and size + (n or 0) > most:
             yield start, i
             start, size = i, 0
@@ -240,6 +258,23 @@ ENCODED = pa.schema(
 )
 
 
+def _encode_batches(batches: Iterator[pa.RecordBatch], ranks: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    known, split = _vocabulary(ranks), regex.compile(pattern)
+    try:
+        for batch in batches:
+            for start, end in slices(batch["text"], BYTES_AT_ONCE):
+                part = batch.slice(start, end - start)
+                lines = known.learn(["" if t is None else t for t in part["text"].to_pylist()], split)
+                ids = [b"".join(map(known.ids.__getitem__, line)) for line in lines]
+                columns = (
+                    part["doc_id"], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                    pa.array([b"".join(map(known.texts.__getitem__, line)) for line in lines], pa.binary()),
+                )
+                yield pa.RecordBatch.from_arrays(list(columns), schema=ENCODED)
+    finally:
+        known.rest()
+
+
 def encoded(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """Per document: doc_id, n_tokens, ids (binary: little-endian unsigned 32-bit) and ``decoded``, the
     bytes that the ids stand for.
@@ -248,29 +283,16 @@ def encoded(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> Data
     machine has. Each match of ``pattern`` is encoded by itself, special strings are ordinary text. In every
     Python worker the distinct pieces of a portion of texts become token rows in DuckDB, where recursive
     queries contract each one's leftmost pair of smallest rank until none is left; an ordered aggregation
-    decodes them. A bounded number of pieces is remembered, so a word met again costs a look-up; nothing
-    shuffles, and a lost task is simply run again.
+    decodes them. A bounded number of pieces is remembered, so a word met again costs a look-up, and fewer of them
+    after a task; nothing shuffles, and a lost task is simply run again.
 
     A null or empty text has no tokens. Repeated rows and null ids are encoded row by row; an empty table
     gives no rows.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, split = _vocabulary(ranks), regex.compile(pattern)
-        for batch in batches:
-            for start, end in slices(batch["text"], BYTES_AT_ONCE):
-                part = batch.slice(start, end - start)
-                lines = known.learn(["" if t is None else t for t in part["text"].to_pylist()], split)
-                ids = [b"".join(map(known.ids.__getitem__, line)) for line in lines]
-                columns = (
-                    part["doc_id"], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
-                    pa.array([b"".join(map(known.texts.__getitem__, line)) for line in lines], pa.binary()),
-                )
-                yield pa.RecordBatch.from_arrays(list(columns), schema=ENCODED)
-
     return arrow(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-        run,
+        lambda batches: _encode_batches(batches, ranks, pattern),
         "doc_id long, n_tokens long, ids binary, decoded binary",
     )
 

@@ -8,6 +8,7 @@ import random
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
@@ -335,6 +336,29 @@ def test_byte_bpe_against_the_library(spark, odd, none):
     assert byte_bpe.encoded(odd).where("n_tokens = 0").count() == 3
 
 
+def test_byte_bpe_worker_holds_little_after_a_task(monkeypatch):
+    """What one task learnt does not stay beside the stages that follow; the next task's ids are the same."""
+    import tiktoken
+
+    monkeypatch.setattr(byte_bpe, "REMEMBERED_IDLE", 100)
+    monkeypatch.setattr(byte_bpe, "_LOADED", {})
+    rng = random.Random(11)
+    texts = [None, " ".join("".join(rng.choice("aethqxz") for _ in range(rng.randint(2, 9))) for _ in range(3000)), PROSE]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": texts})
+    library = None
+    for _ in range(3):
+        (got,) = byte_bpe._encode_batches(iter([batch]), byte_bpe.RANKS, byte_bpe.PATTERN)
+        known = byte_bpe._vocabulary(byte_bpe.RANKS)
+        assert len(known.number) == len(known.ids) == len(known.texts) == 100 and known.db is None
+        library = library or tiktoken.Encoding("own", pat_str=byte_bpe.PATTERN, mergeable_ranks=known.ranks, special_tokens={})
+        assert got["ids"].to_pylist() == [np.array(library.encode_ordinary(t or ""), "<u4").tobytes() for t in texts]
+        assert got["decoded"].to_pylist() == [(t or "").encode() for t in texts]
+    failing = (b for b in [batch, None])
+    with pytest.raises(TypeError):
+        list(byte_bpe._encode_batches(failing, byte_bpe.RANKS, byte_bpe.PATTERN))
+    assert len(known.number) == 100 and known.db is None
+
+
 PAGE = (
     '<html><head><title>x</title></head><body><header><h1>Site</h1></header><div class="menu">a b c d e f g h i</div>'
     "<div>Welcome to the big site of all the good things you read</div><div>{}</div><footer>c</footer></body></html>"
