@@ -1,24 +1,27 @@
 """Dictionary segmentation: words of a text that is written without blanks.
 
 The dictionary words that occur in a text are the edges of a lattice over its letters; the best path has the least
-cost, where a word costs the logarithm of how rare it is. Edges come from a join with the dictionary, the path from
-dynamic programming in column expressions.
+cost, where a word costs the logarithm of how rare it is. The dictionary is sent to the tasks as a trie in two arrays; all
+letters of a step walk down it side by side, and the path is dynamic programming over the words that they meet. Letters
+and edges stay in the task: only the runs themselves go through an exchange.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.joins import broadcast_if_small
-
 # What ends a run of letters; blanks don't.
 NOT_RUN = "[^\\p{L}\\p{N}\\s]+"
 # A letter that is no word costs what a word would that is so many times rarer than the rarest.
 UNKNOWN = 10
-# Letters that one step of the outer loop takes, so that what grows with a text is copied once per step.
-STEP = 256
-# Letters of all runs that one task cuts: a letter is some rows that are sorted by their run, and those fit in memory.
-TASK_LETTERS = 250_000
+# Letters that walk down the trie side by side. A longer run takes several steps.
+STEP = 16_384
+# Letters of all runs that one task cuts.
+TASK_LETTERS = 1_000_000
+# Bits of a letter in a trie's key, what stands behind a run, and the cost of a node where no word ends.
+LETTER_BITS, END, NO_WORD = 21, 0x110000, np.iinfo(np.int64).max
 
 
 def runs(text: Column) -> Column:
@@ -40,114 +43,116 @@ def dictionary(words: DataFrame, word: str = "word") -> DataFrame:
     )
 
 
-def _fold(items: Column, start: Column, step) -> Column:
-    """The list of (end, size) that ``step`` grows over an array; its state ``s`` carries on.
-
-    The list is put down after every STEP items: one that took an entry per item would be copied for each of them.
-    """
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / STEP).cast("int")), lambda n: F.slice(items, n * STEP + 1, F.lit(STEP))
-    )
-    empty = F.array().cast("array<struct<end:int,size:int>>")
-    whole = F.struct(start.alias("s"), F.array().cast("array<array<struct<end:int,size:int>>>").alias("done"))
-
-    def outer(state: Column, piece: Column) -> Column:
-        inner = F.aggregate(piece, F.struct(state["s"].alias("s"), empty.alias("grown")), step)
-        return F.transform(
-            F.array(inner), lambda i: F.struct(i["s"].alias("s"), F.concat(state["done"], F.array(i["grown"])).alias("done"))
-        )[0]
-
-    return F.aggregate(pieces, whole, outer, lambda s: F.flatten(s["done"]))
+def _trie(words: list[str], costs: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """The words as a trie: where each level of nodes begins, each node's key and the cost of the word that ends there.
 
-
-def _sizes_of_best(ends: Column, longest: Column) -> Column:
-    """For each letter the size of the last word of the best path that ends there, as (end, size).
-
-    Of paths of equal cost the one with fewer words counts, then the one whose last word is longer.
+    A key is the parent's number and the letter. Nodes are numbered from 1 by level and key, so a level's keys are sorted
+    and a node's number follows from where its key stands; 0 is the root.
     """
-    zero = F.struct(F.lit(0).cast("bigint").alias("cost"), F.lit(0).alias("words"), F.lit(0).alias("back"))
-
-    def step(state: Column, at: Column) -> Column:
-        ring = state["s"]
-        tried = F.transform(
-            at["words"],
-            lambda w: F.struct(
-                (F.get(ring, w["size"] - 1)["cost"] + w["cost"]).alias("cost"),
-                (F.get(ring, w["size"] - 1)["words"] + 1).alias("words"),
-                (-w["size"]).alias("back"),
-            ),
-        )
-        found = F.struct(F.array_min(tried).alias("best"))
-        return F.transform(
-            F.array(found),
-            lambda f: F.struct(
-                F.slice(F.concat(F.array(f["best"]), ring), F.lit(1), longest).alias("s"),
-                F.concat(state["grown"], F.array(F.struct(at["end"].alias("end"), (-f["best"]["back"]).alias("size")))).alias("grown"),
-            ),
-        )[0]
-
-    return _fold(ends, F.array(zero), step)
-
-
-def _path(best: Column) -> Column:
-    """The words (end, size) of the best path, from the last one to the first."""
-
-    def step(state: Column, at: Column) -> Column:
-        on = at["end"] == state["s"]
-        return F.struct(
-            F.when(on, at["end"] - at["size"]).otherwise(state["s"]).alias("s"),
-            F.when(on, F.concat(state["grown"], F.array(at))).otherwise(state["grown"]).alias("grown"),
-        )
-
-    backward = F.reverse(best)
-    return _fold(backward, F.get(backward, 0)["end"], step)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.cumsum(sizes) - sizes
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+    at, node = np.arange(len(words)), np.zeros(len(words), np.int64)
+    bounds, keys, ends = [0], [], []
+    while (more := sizes[at] >= len(bounds)).any():
+        at, node = at[more], node[more]
+        level, place = np.unique(node << LETTER_BITS | letters[first[at] + len(bounds) - 1], return_inverse=True)
+        here = np.full(len(level), NO_WORD)
+        ended = sizes[at] == len(bounds)
+        np.minimum.at(here, place[ended], costs[at[ended]])
+        node = bounds[-1] + place + 1
+        keys.append(level)
+        ends.append(here)
+        bounds.append(bounds[-1] + len(level))
+    nothing = np.empty(0, np.int64)
+    return bounds, np.concatenate([nothing, *keys]), np.concatenate([nothing, *ends])
+
+
+def _cutter(trie, unknown: int, step: int):
+    """The function that cuts batches of runs. All that it needs is inside it, so executors don't import this package."""
+    bits, end_mark, no_word = LETTER_BITS, END, NO_WORD
+
+    def edges(codes: np.ndarray, low: int, high: int):
+        """(start, end, cost) of the words and lone letters that start from ``low`` to ``high``, by start."""
+        bounds, keys, costs = trie.value
+        at = low + np.flatnonzero(codes[low:high] != end_mark)
+        starts, ends, prices = [at], [at + 1], [np.full(len(at), unknown, np.int64)]
+        node = np.zeros(len(at), np.int64)
+        for size, (first, last) in enumerate(zip(bounds, bounds[1:]), 1):
+            key = node << bits | codes[at + size - 1]
+            place = first + np.searchsorted(keys[first:last], key)
+            place[place == last] = first
+            known = keys[place] == key
+            at, place = at[known], place[known]
+            if not len(at):
+                break
+            price, node = costs[place], place + 1
+            word = price != no_word
+            starts.append(at[word])
+            ends.append(at[word] + size)
+            prices.append(price[word])
+        start = np.concatenate(starts)
+        order = np.argsort(start, kind="stable")
+        return start[order].tolist(), np.concatenate(ends)[order].tolist(), np.concatenate(prices)[order].tolist()
+
+    def cut(runs: list[str]) -> list[list[str]]:
+        """Of paths of equal cost the one with fewer words counts, then the one whose last word is longer."""
+        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+        # A run's letters have a place each, and the mark behind them one more, where the run's paths end.
+        firsts = np.cumsum(sizes + 1) - sizes - 1
+        codes = np.full(int(sizes.sum()) + len(runs), end_mark, np.int64)
+        letters = np.frombuffer("".join(runs).encode("utf-32-le"), np.uint32)
+        codes[np.arange(len(letters)) + np.repeat(np.arange(len(runs)), sizes)] = letters
+        cost, count, back = [None] * len(codes), [0] * len(codes), [0] * len(codes)
+        for first in firsts.tolist():
+            cost[first] = 0
+        # Edges come by their start, so what a path costs up to there is settled, and of two to one end the longer comes first.
+        for low in range(0, len(codes), step):
+            for start, end, price in zip(*edges(codes, low, low + step)):
+                price += cost[start]
+                least = cost[end]
+                if least is None or price < least or (price == least and count[start] + 1 < count[end]):
+                    cost[end], count[end], back[end] = price, count[start] + 1, start
+        found = []
+        for run, first in zip(runs, firsts.tolist()):
+            words, end = [], first + len(run)
+            while end > first:
+                start = back[end]
+                words.append(run[start - first : end - first])
+                end = start
+            found.append(words[::-1])
+        return found
+
+    def batches(stream):
+        for batch in stream:
+            runs, letters = [], 0
+            for n, run in enumerate(batch.column(0).to_pylist(), 1):
+                runs.append(run)
+                letters += len(run)
+                if letters >= step or n == batch.num_rows:
+                    columns = [pa.array(runs, pa.string()), pa.array(cut(runs), pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays(columns, ["run", "words"])
+                    runs, letters = [], 0
+
+    return batches
 
 
 def segmented(texts: DataFrame, words: DataFrame, run: str = "run") -> DataFrame:
     """(run, words): each different run of letters cut into words of :func:`dictionary`.
 
     ``words`` in the result is an array in order of the text. Letters that belong to no word stand alone. Null and
-    empty runs have no row. Each place of a run gives one row per class of word lengths (1, 2-3, 4-7, ...), with the
-    letters that such a word could have; those rows meet the class's words by their first letters, in the task where
-    the measured dictionary is small enough to be sent there, and what fits entirely is an edge. The path takes time
-    and memory in proportion to the run. The texts' letters are counted first, and there are as many tasks as they ask
-    for, so what a task sorts doesn't grow with the table. For both measurements it takes batch frames only.
+    empty runs have no row. The dictionary is collected and sent to the tasks as a trie of 16 bytes a node, so it must fit in
+    memory there; the texts needn't. The path takes time and memory in proportion to the run. The texts' letters are counted
+    first, and there are as many tasks as they ask for. As the dictionary and the letters are known before the plan is, it
+    takes batch frames only.
     """
-    level = F.floor(F.log2("size")).cast("int")
-    lead = F.pow(F.lit(2), level).cast("int")
-    entries = words.select("word", "size", "cost", level.alias("__level"), F.substring("word", F.lit(1), lead).alias("__lead"))
-    limits = words.agg(F.struct(F.max("size").alias("longest"), F.max(level).alias("level"), F.max("unknown").alias("unknown"))).scalar()
+    known = words.select("word", "cost", "unknown").where(F.length("word") > 0).toArrow()
+    unknown = max((n for n in known["unknown"].unique().to_pylist() if n is not None), default=1)
+    trie = _trie(known["word"].to_pylist(), known["cost"].to_numpy())
     distinct = texts.select(F.col(run).alias("run")).where(F.length("run") > 0).distinct()
-    rows = distinct.select("run", F.md5("run").alias("__id"), F.regexp_extract_all("run", F.lit("(?s)."), F.lit(0)).alias("__letters"), limits.alias("__m"))
-    # Of few bytes is much work made, so partitions aren't merged by their size; the joins by id need no further exchange.
+    # Of few bytes is much work made, so partitions aren't merged by their size.
     letters = texts.agg(F.coalesce(F.sum(F.length(F.col(run)).cast("bigint")), F.lit(0))).first()[0]
     tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-letters // TASK_LETTERS))
-    rows = rows.repartition(tasks, "__id")
-    rows = rows.withColumns(
-        {
-            "__longest": F.coalesce("__m.longest", F.lit(1)), "__deepest": F.coalesce("__m.level", F.lit(0)),
-            "__unknown": F.coalesce("__m.unknown", F.lit(1).cast("bigint")),
-        }
-    )
-
-    places = rows.select("__id", "__letters", F.explode(F.sequence(F.lit(0), F.col("__deepest"))).alias("__level"))
-    width = F.pow(F.lit(2), F.col("__level")).cast("int")
-    fragments = places.where(F.size("__letters") >= width).select(
-        "__id", "__level",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.size("__letters") - width + 1),
-                lambda i: F.array_join(F.slice("__letters", i, 2 * width - 1), ""),
-            )
-        ).alias("__at", "__fragment"),
-    )
-    leads = fragments.withColumn("__lead", F.substring("__fragment", F.lit(1), F.pow(F.lit(2), F.col("__level")).cast("int")))
-    met = leads.join(broadcast_if_small(entries), ["__level", "__lead"]).where(F.startswith("__fragment", "word"))
-    edges = met.select("__id", (F.col("__at") + F.col("size")).cast("int").alias("end"), "size", "cost")
-    alone = rows.select("__id", F.explode(F.sequence(F.lit(1), F.size("__letters"))).alias("end"), F.lit(1).alias("size"), F.col("__unknown").alias("cost"))
-    by_end = edges.unionByName(alone).groupBy("__id", "end").agg(F.collect_list(F.struct("size", "cost")).alias("words"))
-    lattice = by_end.groupBy("__id").agg(F.sort_array(F.collect_list(F.struct("end", "words"))).alias("__ends"))
-    best = lattice.join(rows, "__id").withColumn("__best", _sizes_of_best(F.col("__ends"), F.col("__longest")))
-    cut = best.withColumn("__path", F.reverse(_path(F.col("__best"))))
-    letters = lambda p: F.array_join(F.slice("__letters", p["end"] - p["size"] + 1, p["size"]), "")
-    return cut.select("run", F.transform("__path", letters).alias("words"))
+    dealt = distinct.withColumn("__id", F.xxhash64("run")).repartition(tasks, "__id").select("run")
+    cutter = _cutter(texts.sparkSession.sparkContext.broadcast(trie), unknown, STEP)
+    return dealt.mapInArrow(cutter, "run string, words array<string>")

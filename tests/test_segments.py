@@ -69,3 +69,23 @@ def test_tasks_grow_with_the_letters(spark, monkeypatch):
     assert "hashpartitioning(__id" in (plan := cut._jdf.queryExecution().executedPlan().toString())
     assert ", 80), REPARTITION_BY_NUM" in plan
     assert {"".join(r.words) for r in cut.collect()} == {r.run for r in runs.collect()}
+
+
+def test_letters_stay_in_their_task_whatever_the_dictionary(spark):
+    """With more words than a broadcast join takes, only the runs are moved: no row per letter or edge goes through an exchange."""
+    words = spark.range(200_001).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"))
+    runs = spark.createDataFrame([("w12w200000xw7",), ("w12w200000xw7",), ("yw00",)], "run string")
+    cut = segments.segmented(runs, segments.dictionary(words))
+    moved = [line for line in cut._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+    assert moved and all("(run#" in line or "(__id#" in line for line in moved)
+    assert {r.run: r.words for r in cut.collect()} == {"w12w200000xw7": ["w12", "w200000", "x", "w7"], "yw00": ["y", "w0", "0"]}
+
+
+@pytest.mark.parametrize("step", [1, 7])
+def test_runs_of_many_steps_and_a_word_as_long_as_the_run(spark, monkeypatch, step):
+    monkeypatch.setattr(segments, "STEP", step)
+    long = "ab" * 40
+    words = segments.dictionary(spark.createDataFrame([(w,) for w in (long, "ab", "b", "aba")], "word string"))
+    runs = spark.createDataFrame([(long,), (long + "x",), ("x" + long + long,), ("ab\U0010ffffb",)], "run string")
+    got = {r.run: r.words for r in segments.segmented(runs, words).collect()}
+    assert got == {long: [long], long + "x": [long, "x"], "x" + long + long: ["x", long, long], "ab\U0010ffffb": ["ab", "\U0010ffff", "b"]}
