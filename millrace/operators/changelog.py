@@ -12,11 +12,15 @@ counted from the left row's birth. A left join shows nulls from birth until the
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.operators.running import has_map
 
 POSITION = "struct<ts:timestamp,side:int,seq:string>"
+# A stretch of time in life spans: the longer, the fewer rows lie in two of them, and the more of a hot key lies in one.
+LIVES = 4
 
 
 def position(ts: Column, side: int, seq: Column) -> Column:
@@ -37,54 +41,76 @@ def placed_events(df: DataFrame, side: int, ts: str, seq: list[str], take: list[
     return df.where(F.col(ts).isNotNull()).select(*take, position(F.col(ts), side, _text(df, seq)).alias("at"))
 
 
-def events(df: DataFrame, side: int, ts: str, seq: list[str], take: list[str]) -> DataFrame:
-    """:func:`placed_events`, each once: rows at the same position are one event that came more than once."""
-    if not set(seq) <= set(take):
-        placed = placed_events(df, side, ts, seq, take)
-        return placed.dropDuplicates([c for c in placed.columns if not has_map(placed.schema[c].dataType)])
-    # The position follows from the columns, so repeats go before its text is made.
-    rows = df.where(F.col(ts).isNotNull()).select(*dict.fromkeys([*take, ts]))
-    once = rows.dropDuplicates([c for c in rows.columns if not has_map(rows.schema[c].dataType)])
-    return placed_events(once, side, ts, seq, take)
+@dataclass(frozen=True)
+class Events:
+    """A side's upserts as they came: rows that are equal are one event, which counts once it was dealt.
 
+    The columns ``take``, a time and, among events of one time, an order by the text of ``seq``, which is made after the
+    rows were dealt.
+    """
 
-def inserted(rows: DataFrame) -> DataFrame:
-    """Events that nothing takes back, as the first left side."""
-    return rows.select(
-        *[c for c in rows.columns if c != "at"], F.col("at").alias("born"), F.lit(None).cast(POSITION).alias("gone")
-    )
+    rows: DataFrame
+    side: int
+    ts: str
+    seq: list[str]
+    take: list[str]
+
+    def dealt(self, by: list[str], more: dict[str, Column]) -> DataFrame:
+        """Each event once with its position ``at``; those with the same values of ``by`` and ``more`` lie together."""
+        rows = self.rows.withColumns(more).repartition(*by, *more).dropDuplicates()
+        return rows.select(*self.take, *more, position(F.col(self.ts), self.side, _text(rows, self.seq)).alias("at"))
+
+
+def events(df: DataFrame, side: int, ts: str, seq: list[str], take: list[str]) -> Events:
+    """Rows without a time have no place in a stream and are left out. ``seq`` is some of ``take``, which have an order."""
+    return Events(df.where(F.col(ts).isNotNull()).select(*dict.fromkeys([*take, ts])), side, ts, seq, take)
 
 
-def join_over_time(left: DataFrame, right: DataFrame, on: dict[str, str], life: int, how: str = "left") -> DataFrame:
-    """The changelog of a join of the changelog ``left`` with the upserts ``right`` (column ``at``).
+def join_over_time(left: DataFrame | Events, rights: list[Events], on: dict[str, str], life: int, how: str = "left") -> DataFrame:
+    """The changelog of a join of the changelog ``left`` with the upserts ``rights``, one after the other by the same columns.
 
-    ``on`` maps columns of the left to key columns of the right, ``life`` is in seconds. Time is cut into stretches
-    as long as a left row's reach, which spreads a hot key. A left row lies in the stretch of its birth; a right row,
-    which is the narrower one, is repeated in the two stretches that it can be reached from. So a left row meets all
-    its events in one place, and what follows per left row needs no further exchange. The rows of ``left`` must differ
-    in their columns, ``born`` included, as those of :func:`events` and of this function do.
+    ``on`` maps columns of the left to key columns of each right, ``life`` is in seconds. Events as the left side are what
+    nothing takes back. Time is cut into stretches of LIVES life spans, which spreads a hot key. A left row lies in the
+    stretch of its birth, also after a join gave it a later one; a right row, which is the narrower one, is repeated in
+    the stretches that it can be reached from, a life span further for each join before. So a left row goes through one
+    exchange, whatever the number of rights, and meets all its events in one place. The rows of ``left`` must differ in their
+    columns, ``born`` included, as events and the result of this function do.
     """
-    keys = [f"__k{n}" for n in range(len(on))]
-    taken = [c for c in right.columns if c not in on.values() and c != "at"]
-    width = max(2 * life, 1) * 1_000_000
+    width = max(LIVES * life, 1) * 1_000_000
 
     def stretch(ts: str, shift: int) -> Column:
         return F.floor((F.unix_micros(F.col(ts)) + F.lit(shift * 1_000_000)) / F.lit(width)).cast("bigint")
 
-    side = right.select(*[F.col(c).alias(k) for c, k in zip(on.values(), keys)], *taken, F.col("at").alias("__at"))
-    side = side.dropna(subset=keys).withColumn("__stretch", F.explode(F.sequence(stretch("__at.ts", -life), stretch("__at.ts", life))))
-    own = [c for c in left.columns if not has_map(left.schema[c].dataType)]
-    # Rows without a key meet nothing, so they lie anywhere.
-    keyless = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
-    marked = left.withColumns({k: F.col(c) for c, k in zip(on, keys)}).withColumn(
-        "__stretch", F.when(keyless, F.xxhash64(*own)).otherwise(stretch("born.ts", 0))
-    )
+    def home(df: DataFrame, ts: str) -> Column:
+        # Rows without a key meet nothing, so they lie anywhere.
+        keyless = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
+        own = [c for c in df.columns if not has_map(df.schema[c].dataType)]
+        return F.when(keyless, F.xxhash64(*own)).otherwise(stretch(ts, 0))
+
+    if isinstance(left, Events):
+        placed = left.dealt([*on], {"__stretch": home(left.rows, left.ts)})
+        out = placed.select(*left.take, "__stretch", F.col("at").alias("born"), F.lit(None).cast(POSITION).alias("gone"))
+    else:
+        out = left.withColumn("__stretch", home(left, "born.ts"))
+    for n, right in enumerate(rights, 1):
+        near = F.explode(F.sequence(stretch(right.ts, -n * life), stretch(right.ts, life)))
+        known = replace(right, rows=right.rows.dropna(subset=[*on.values()]))
+        out = _joined(out, known.dealt([*on.values()], {"__there": near}), on, life, how)
+    return out.drop("__stretch")
+
+
+def _joined(left: DataFrame, right: DataFrame, on: dict[str, str], life: int, how: str) -> DataFrame:
+    """One join of those; rows that can meet have the same ``__stretch`` and ``__there``."""
+    keys = [f"__k{n}" for n in range(len(on))]
+    taken = [c for c in right.columns if c not in (*on.values(), "__there", "at")]
+    side = right.select(*[F.col(c).alias(k) for c, k in zip(on.values(), keys)], "__there", *taken, F.col("at").alias("__at"))
     gap = F.unix_micros("__at.ts") - F.unix_micros("born.ts")
     meets = gap.between(-life * 1_000_000, life * 1_000_000) & (F.col("gone").isNull() | (F.col("__at") < F.col("gone")))
-    same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in (*keys, "__stretch")]
-    met = marked.alias("l").join(side.alias("r"), [*same, meets], how).drop(*[F.col(f"r.{k}") for k in (*keys, "__stretch")])
+    same = [F.col(c) == F.col(k) for c, k in zip((*on, "__stretch"), (*keys, "__there"))]
+    met = left.join(side, [*same, meets], how).drop(*keys, "__there")
 
-    each = Window.partitionBy(*keys, "__stretch", *own).orderBy("__at")
+    own = [c for c in left.columns if not has_map(left.schema[c].dataType)]
+    each = Window.partitionBy(*own).orderBy("__at")
     following = met.withColumns({"__next": F.lead("__at").over(each), "__n": F.row_number().over(each)})
     # Of the events before the birth only the last one is current; nulls are shown until the first event.
     shown = F.col("__at").isNotNull() & (F.col("__next").isNull() | (F.col("__next") > F.col("born")))
@@ -130,7 +156,7 @@ def wide_columns(details: DataFrame) -> list[tuple[list[str], list[str]]]:
     ]
 
 
-def wide_sides(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> list[DataFrame]:
+def wide_sides(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> list[Events]:
     """Orders, details, activities and coupons as events, by the number of their side."""
     frames = (orders.withColumnRenamed("id", "order_id"), details, activities, coupons)
     # A detail replaces nothing, so its order among those of its time decides nothing and isn't carried.
@@ -146,6 +172,5 @@ def wide_changelog(details: DataFrame, orders: DataFrame, activities: DataFrame,
     :func:`millrace.operators.facts.order_detail_wide`.
     """
     order, detail, activity, coupon = wide_sides(details, orders, activities, coupons)
-    wide = join_over_time(inserted(detail), order, {"order_id": "order_id"}, life, "inner")
-    wide = join_over_time(wide, activity, {"id": "order_detail_id"}, life)
-    return join_over_time(wide, coupon, {"id": "order_detail_id"}, life)
+    wide = join_over_time(detail, [order], {"order_id": "order_id"}, life, "inner")
+    return join_over_time(wide, [activity, coupon], {"id": "order_detail_id"}, life)

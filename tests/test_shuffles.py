@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import facts
+from millrace.operators import changelog, facts
 from millrace.plans.batch import QUERIES
 
 
@@ -26,6 +26,39 @@ def test_each_side_of_the_changelog_is_read_once(spark, folder, name):
     assert exchanges(df) <= 7
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["wide_changelog"])
+def test_each_side_of_the_changelog_is_dealt_once(spark, folder, no_broadcast, name):
+    """Orders' two tables, then a side each, and the wide rows once for activities and coupons together."""
+    assert exchanges(QUERIES[name](spark, folder)) <= 7
+
+
+def test_a_late_birth_reaches_events_further_on(spark):
+    """An activity makes a row 9 s after its detail's birth, which then waits 10 s for a coupon, across all cuts of time."""
+    at = lambda s: F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") + s)
+    births = spark.range(0, 100)
+    name = F.concat(F.lit("d"), F.col("id"))
+    details = births.select(name.alias("id"), F.lit("o").alias("order_id"), at(0).alias("ts"))
+    orders = births.select(F.lit("o").alias("id"), F.lit("u").alias("user_id"), F.lit("p").alias("province_id"), at(0).alias("ts"))
+    activities = births.select(name.alias("order_detail_id"), F.lit("a").alias("activity_id"), F.lit("r").alias("activity_rule_id"), at(9).alias("ts"))
+    coupons = births.select(name.alias("order_detail_id"), F.lit("c").alias("coupon_id"), at(18).alias("ts"))
+    one = orders.where("ts = timestamp_seconds(1700000000)").unionAll(orders.where("ts = timestamp_seconds(1700000000)"))
+    rows = changelog.emitted(changelog.wide_changelog(details.unionAll(details), one, activities, coupons, 10)).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(int(r.id[1:]), []).append((int(r["at"].ts.timestamp()) - 1_700_000_000 - int(r.id[1:]), r.sign, r.activity_id, r.coupon_id))
+    expected = [(0, 1, None, None), (9, -1, None, None), (9, 1, "a", None), (18, -1, "a", None), (18, 1, "a", "c")]
+    assert got.keys() == set(range(11))  # later details don't meet the order
+    assert all(sorted(v, key=lambda e: e[:2]) == expected for v in got.values())
+
+
 def reads_when_done(df, table: str) -> int:
     """Scans of a table in the plan as it ran; what reads another one's exchange isn't counted."""
     df.collect()
