@@ -76,6 +76,11 @@ def _window_from(start: str, width: str) -> Column:
     return F.struct(F.col(start).alias("start"), (F.col(start) + F.expr(f"INTERVAL {width}")).alias("end"))
 
 
+def _part(id: str) -> Column:
+    """The first two digits of an id's hash."""
+    return F.substring(F.md5(id), 1, 2)
+
+
 def signed_details(details: DataFrame, order: list[str], slice_by: Column) -> DataFrame:
     """Each version of a detail (sign 1) and its negation (sign -1), with the position of the version behind it.
 
@@ -87,7 +92,7 @@ def signed_details(details: DataFrame, order: list[str], slice_by: Column) -> Da
     Rows are dealt once, by (id, slice). What the last version of a slice needs, the time of the id's next slice, is
     one row per (id, slice), taken from the same exchange.
     """
-    dealt = details.withColumn("__slice", slice_by).repartition("id", "__slice").dropDuplicates()
+    dealt = details.repartition("id", slice_by).withColumn("__slice", slice_by).dropDuplicates()
     within = Window.partitionBy("id", "__slice").orderBy(*order)
     numbered = dealt.withColumns({"__n": F.row_number().over(within), "__next": F.lead("ts").over(within)})
     # The count asks for the rows as they are without repeats, and so for the same exchange.
@@ -96,7 +101,7 @@ def signed_details(details: DataFrame, order: list[str], slice_by: Column) -> Da
     linked = numbered.join(further.where(F.col("__then").isNotNull()).drop("__start"), ["id", "__slice"], "left")
 
     def place(ts: Column, n: Column) -> Column:
-        return F.struct(ts.alias("ts"), F.substring(F.md5("id"), 1, 2).alias("part"), F.col("id").alias("id"), n.alias("n"))
+        return F.struct(ts.alias("ts"), _part("id").alias("part"), F.col("id").alias("id"), n.alias("n"))
 
     following = F.when(F.col("__next").isNotNull(), place(F.col("__next"), F.col("__n") + 1)).when(
         F.col("__then").isNotNull(), place(F.col("__then"), F.lit(1))
@@ -109,36 +114,62 @@ def signed_details(details: DataFrame, order: list[str], slice_by: Column) -> Da
     return signed.select(*details.columns, "__s.at", "__s.sign")
 
 
-def province_order_emissions(details: DataFrame, order: list[str], slice_by: Column, width: str = "10 seconds") -> DataFrame:
+def province_order_emissions(
+    details: DataFrame, order: list[str], slice_by: Column, width: str = "10 seconds", hot_windows: bool = False
+) -> DataFrame:
     """What the windows of :func:`province_order_window` hold after each version and each negation.
 
     One row per signed version: its window and province, the different orders in there and their amount, by then.
     An order counts while at least one of its versions does, so each (window, province, order) carries how often it
     is in. A negation belongs to the window of the row that it takes back, however late it comes. ``order`` starts
-    with ``ts``; ``slice_by`` cuts a detail's versions. The windows' rows are cut by (time, part of the id), so a
-    province with a third of all rows is many tasks.
+    with ``ts``; ``slice_by`` cuts a detail's versions.
+
+    The signed versions are dealt once, by window and province, so a province with a third of all rows is as many tasks as
+    it has windows. With ``hot_windows`` also one window of a province is many tasks, cut by (time, part of the id), for
+    which rows and sums are moved several times.
     """
     signed = signed_details(details, order, slice_by)
     rows = signed.select(
-        F.window("ts", width)["start"].alias("start"), "province_id", "order_id", "split_total_amount", "sign", "at"
-    )
-    cut = F.struct("at.ts", "at.part")
+        F.window("ts", width)["start"].alias("start"), "province_id", "order_id", "split_total_amount", "sign",
+        F.col("at.ts").alias("at_ts"), F.col("at.id").alias("id"), F.col("at.n").alias("n"),
+    )
+    # What the id's hash says of a position isn't carried.
+    at, cut = F.struct("at_ts", _part("id").alias("part"), "id", "n"), F.struct("at_ts", _part("id").alias("part"))
+    counted = _cut_windows(rows, at, cut) if hot_windows else _whole_windows(rows, at, cut)
+    return counted.select(
+        *times.window_bounds(_window_from("start", width)), "province_id", "order_id", "id", "sign", "at_ts",
+        "order_count", _money(F.col("order_amount")).alias("order_amount"),
+    )
+
+
+def _whole_windows(rows: DataFrame, at: Column, cut: Column) -> DataFrame:
+    """The running count of orders and amount of each window and province, from one exchange."""
+    dealt = rows.repartition("start", "province_id")
+    # Rows without a province are no cell together; those of one cut are.
+    cell = ["start", "province_id", F.when(F.col("province_id").isNull(), cut)]
+    through = Window.partitionBy(*cell, "order_id").orderBy(at, "sign").rowsBetween(Window.unboundedPreceding, 0)
+    after = dealt.withColumn("__after", F.sum(F.col("sign").cast("bigint")).over(through))
+    before = F.col("__after") - F.col("sign")
+    changed = after.withColumn("__change", (F.col("__after") > 0).cast("bigint") - (before > 0).cast("bigint"))
+    so_far = Window.partitionBy(*cell).orderBy(at, "sign").rowsBetween(Window.unboundedPreceding, 0)
+    amount = F.coalesce(F.sum(_signed("split_total_amount")).over(so_far), F.lit(0))
+    return changed.withColumns({"order_count": F.sum("__change").over(so_far), "order_amount": amount})
+
+
+def _cut_windows(rows: DataFrame, at: Column, cut: Column) -> DataFrame:
+    """The same with every window cut."""
     here = [
         Running("__before", "sum", F.col("sign").cast("bigint")),
         Running("__after", "sum", F.col("sign").cast("bigint"), through=True),
     ]
-    per_order = running(rows, ["start", "province_id", "order_id"], ["at", "sign"], cut, here, dealt_once=True)
+    per_order = running(rows.withColumn("at", at), ["start", "province_id", "order_id"], ["at", "sign"], cut, here, dealt_once=True)
     change = (F.col("__after") > 0).cast("bigint") - (F.col("__before") > 0).cast("bigint")
     totals = [
         Running("order_count", "sum", F.col("__change"), through=True),
         Running("order_amount", "sum", _signed("split_total_amount"), through=True),
     ]
     changes = per_order.withColumn("__change", change).drop("__before", "__after")
-    counted = running(changes, ["start", "province_id"], ["at", "sign"], cut, totals, dealt_once=True)
-    return counted.select(
-        *times.window_bounds(_window_from("start", width)), "province_id", "order_id", F.col("at.id").alias("id"), "sign", F.col("at.ts").alias("at_ts"),
-        "order_count", _money(F.col("order_amount")).alias("order_amount"),
-    )
+    return running(changes, ["start", "province_id"], ["at", "sign"], cut, totals, dealt_once=True)
 
 
 def sku_order_emissions(details: DataFrame, order: list[str], slice_by: Column, width: str = "5 seconds") -> DataFrame:

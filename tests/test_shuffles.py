@@ -5,8 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import changelog, facts
+from millrace.functions import times
+from millrace.operators import changelog, facts, trade
 from millrace.plans.batch import QUERIES
+from millrace.plans.views import Inputs
 
 
 def plan(df) -> str:
@@ -71,6 +73,22 @@ def test_signed_details_are_computed_once(spark, folder, name):
     assert reads_when_done(QUERIES[name](spark, folder), "lineitem") == 1
 
 
+def test_windows_of_a_province_are_dealt_once(spark, folder, no_broadcast):
+    """Signed versions go through one exchange; counts of orders and sums need no further ones."""
+    assert exchanges(QUERIES["province_order_emissions"](spark, folder)) <= 13
+
+
+def test_cut_windows_are_the_whole_ones(inputs, same):
+    """Orders with several details in a window, versions of a detail, and rows without a province."""
+    details = inputs.detail_of_orders().drop("user_id", "sku_name").where("cast(order_id as bigint) <= 300")
+    odd = details.withColumn("province_id", F.when(F.col("province_id") != "3", F.col("province_id")))
+    more = odd.unionByName(odd.withColumns({"id": F.concat("id", F.lit("x")), "split_total_amount": F.lit(1).cast("decimal(16,2)")}))
+    day = times.seconds_slice(F.col("ts"), 86_400)
+    whole, cut = (trade.province_order_emissions(more, Inputs.DETAIL_ORDER, day, "90 days", hot_windows=h) for h in (False, True))
+    assert whole.where("order_count > 1").count() > 100 and whole.where("province_id is null").count() > 10
+    same(whole, cut)
+
+
 @pytest.mark.parametrize("name", ["detail_emissions", "detail_emissions_year"])
 def test_quiet_spells_deal_the_rows_once(spark, folder, name):
     assert exchanges(QUERIES[name](spark, folder)) <= 3
