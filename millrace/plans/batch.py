@@ -744,8 +744,10 @@ def keyword_segments(i: Inputs) -> DataFrame:
     """Words of the conversations' turns as found without their blanks, by role; the dictionary is counted from them."""
     turns = i.table("conversations").select("role", "text")
     words = segments.dictionary(turns.select(F.explode(texts.words(F.col("text"))).alias("word")))
-    counted = turns.select("role", F.explode(segments.runs(F.col("text"))).alias("run")).groupBy("role", "run").agg(F.count(F.lit(1)).alias("n"))
-    cut = segments.segmented(counted, words)
+    runs = turns.select("role", F.explode(segments.runs(F.col("text"))).alias("run"))
+    counted = runs.groupBy("role", "run").agg(F.count(F.lit(1)).alias("n"))
+    # Its letters are counted without an exchange if the runs aren't.
+    cut = segments.segmented(runs, words)
     found = counted.join(cut, "run").select("role", "n", F.explode("words").alias("keyword"))
     return found.groupBy("role", "keyword").agg(F.sum("n").alias("keyword_count"))
 
